@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from syncloom.functions.hashing import row_hash
-from syncloom.operators.joins import exclude, in_active_branches
+from syncloom.operators.joins import enrich, exclude, in_active_branches, keep_matching
 from syncloom.schemas import ASSET_KEYS, DEL, NEW, UPD
 
 
@@ -42,10 +42,7 @@ def snapshot_diff(
             .when(F.col("_new") != F.col("_old"), UPD)
         )
     else:
-        # The changed rows are few next to the state: first cut the state down to
-        # them, where their broadcast spares the state a shuffle.
-        known = old.join(current.select(*keys), list(keys), "left_semi")
-        both = current.select(*keys, F.col("hash").alias("_new")).join(known, list(keys), "left")
+        both = enrich(current.select(*keys, F.col("hash").alias("_new")), old, keys)
         change = F.when(F.col("_old").isNull(), NEW).when(F.col("_new") != F.col("_old"), UPD)
     typed = both.select(*keys, change.alias("change_type"))
     return typed.where(F.col("change_type").isNotNull())
@@ -56,11 +53,11 @@ def active_change_feed(diff: DataFrame, assets: DataFrame, active: DataFrame) ->
     located = in_active_branches(
         assets.select(*ASSET_KEYS, "current_branch"), active, branch="current_branch"
     )
-    return diff.join(located.drop("current_branch"), ASSET_KEYS, "left_semi")
+    return keep_matching(diff, located, ASSET_KEYS, unique=True)
 
 
 def replay_into_changes(changes: DataFrame, queue: DataFrame) -> DataFrame:
     """Add the assets that wait in the queue and are not among the changes, as updates."""
     waiting = queue.where(F.col("sent_at").isNull()).select(*ASSET_KEYS).distinct()
-    added = exclude(waiting, changes, ASSET_KEYS).withColumn("change_type", F.lit(UPD))
+    added = exclude(waiting, changes, ASSET_KEYS, unique=True).withColumn("change_type", F.lit(UPD))
     return changes.select(*ASSET_KEYS, "change_type").unionByName(added)

@@ -15,21 +15,40 @@ from syncloom.schemas import BRANCH_KEYS
 Keys = Sequence[str] | Mapping[str, str]
 
 
-def _right_keys(right: DataFrame, keys: Keys) -> DataFrame:
-    """The right side's key columns under the left side's names."""
+def _right_keys(right: DataFrame, keys: Keys, unique: bool) -> DataFrame:
+    """The right side's key columns under the left side's names.
+
+    Unless the right side has each key once, its copies go before the shuffle, so
+    that a key with very many of them cannot overload a task.
+    """
     if isinstance(keys, Mapping):
-        return right.select(*[F.col(theirs).alias(ours) for ours, theirs in keys.items()])
-    return right.select(*keys)
+        chosen = right.select(*[F.col(theirs).alias(ours) for ours, theirs in keys.items()])
+    else:
+        chosen = right.select(*keys)
+    return chosen if unique else chosen.distinct()
 
 
-def keep_matching(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
+def keep_matching(
+    left: DataFrame, right: DataFrame, keys: Keys, unique: bool = False
+) -> DataFrame:
     """Rows of the left side whose key occurs on the right; never multiplies rows."""
-    return left.join(_right_keys(right, keys), list(keys), "left_semi")
+    return left.join(_right_keys(right, keys, unique), list(keys), "left_semi")
 
 
-def exclude(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
+def exclude(left: DataFrame, right: DataFrame, keys: Keys, unique: bool = False) -> DataFrame:
     """Rows of the left side whose key does not occur on the right."""
-    return left.join(_right_keys(right, keys), list(keys), "left_anti")
+    return left.join(_right_keys(right, keys, unique), list(keys), "left_anti")
+
+
+def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows of the left side with the columns of the right, NULL where it lacks the key.
+
+    Meant for a small left side that is a table and a large right side that has
+    each key once: the right side is first cut down to the left side's keys,
+    whose broadcast spares it a shuffle.
+    """
+    needed = right.join(left.select(*keys).distinct(), list(keys), "left_semi")
+    return left.join(needed, list(keys), "left")
 
 
 def in_active_branches(
@@ -37,7 +56,7 @@ def in_active_branches(
 ) -> DataFrame:
     """Rows of active branches, by company and branch, or by branch alone."""
     keys = {branch: "branch"} if company is None else {company: "company", branch: "branch"}
-    return keep_matching(df, active, keys)
+    return keep_matching(df, active, keys, unique=company is not None)
 
 
 def with_branch_id(

@@ -45,14 +45,21 @@ def _comparable(df: DataFrame, keys) -> DataFrame:
     return df.withColumn("account", F.col("account").cast("string")) if "account" in keys else df
 
 
+def _locations(remote: DataFrame, keys) -> DataFrame:
+    """Distinct keys and locations: remote sites that share a location do not multiply rows."""
+    coded = remote.withColumn("branch", branch_code(F.col("branch_name")))
+    return coded.select(*keys, "location_id").distinct()
+
+
 def _by_rule(sites: DataFrame, remote: DataFrame, keys) -> DataFrame:
-    """Locations per site by one rule.
+    """Sites with the locations that one rule gives them."""
+    return _comparable(sites, keys).join(_locations(remote, keys), list(keys))
 
-    The remote side shrinks to its distinct keys and locations before the join,
-    so remote sites that share a location do not multiply the rows.
-    """
-    locations = remote.select(*keys, "location_id").distinct()
-    return _comparable(sites, keys).join(locations, list(keys))
+
+def matched_pairs(sites: DataFrame, remote: DataFrame) -> DataFrame:
+    """Ids of all sites and locations that any of the rules brings together."""
+    found = [_by_rule(sites, remote, keys).select("site_id", "location_id") for keys in SITE_RULES]
+    return union_rules(*found)
 
 
 def match_sites(
@@ -62,19 +69,22 @@ def match_sites(
 
     ``union`` gives every pair that any rule finds, once. A pair that agrees in
     company and branch, or in these and the job, also agrees in branch, so the
-    first and the last rule find them all. ``first_rule`` gives each site the
-    pairs of the strictest rule that finds any.
+    first and the last rule find them all; what the first finds is left out where
+    the last finds it too, which spares a distinct over the wide rows.
+    ``first_rule`` gives each site the pairs of the strictest rule that finds any.
     """
-    coded = remote.withColumn("branch", branch_code(F.col("branch_name")))
     columns = site_columns(address2)
     if mode == "union":
-        found = [_by_rule(sites, coded, keys) for keys in (SITE_RULES[0], SITE_RULES[-1])]
-        return union_rules(*[project_map(pairs, columns) for pairs in found])
+        by_branch = _locations(remote, ["branch"])
+        by_id = _by_rule(sites, remote, SITE_RULES[0])
+        only_by_id = exclude(by_id, by_branch, ["branch", "location_id"], unique=True)
+        in_branch = sites.join(by_branch, "branch")
+        return project_map(in_branch, columns).unionByName(project_map(only_by_id, columns))
     if mode != "first_rule":
         raise ValueError(f"unknown mode {mode}")
-    left, found = sites, []
+    left, result = sites, None
     for rule, keys in enumerate(SITE_RULES, start=1):
-        pairs = _by_rule(left, coded, keys)
-        found.append(project_map(pairs, {**columns, "rule": F.lit(rule)}))
-        left = exclude(_comparable(left, keys), coded, list(keys))
-    return union_rules(*found)
+        pairs = project_map(_by_rule(left, remote, keys), {**columns, "rule": F.lit(rule)})
+        result = pairs if result is None else result.unionByName(pairs)
+        left = exclude(_comparable(left, keys), _locations(remote, keys), list(keys))
+    return result

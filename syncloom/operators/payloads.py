@@ -26,7 +26,7 @@ def asset_payload(
 ) -> DataFrame:
     """Changed assets with their remote ids and their serial numbers, now and before."""
     located = assets.withColumn("branch", F.col("current_branch"))
-    changed = keep_matching(located, changes, ASSET_KEYS)
+    changed = keep_matching(located, changes, ASSET_KEYS, unique=True)
     ids = skus.where(~F.col("is_bulk")).select(*SKU_KEYS, "sku_id")
     before = prior.select(
         "company",

@@ -44,29 +44,36 @@ def fill_from_snapshot(
     return joined.withColumn("prev_qty", filled).drop("_snapshot", "_known")
 
 
-def quantity_changes(
-    deltas: DataFrame,
-    sku_master: DataFrame,
-    active: DataFrame,
-    event_state: DataFrame,
+def risen_quantities(
+    deltas: DataFrame, sku_master: DataFrame, active: DataFrame
 ) -> DataFrame:
-    """Rises of bulk quantities in active branches, marked as new or known events."""
+    """Rises of bulk quantities in active branches."""
     qty = increase(F.col("qty"), F.col("prev_qty"))
     risen = deltas.withColumn("qty_to_send", qty).where(F.col("qty_to_send") > 0)
     bulk = sku_master.where(F.col("bulk") == "Y")
-    wanted = in_active_branches(keep_matching(risen, bulk, MASTER_KEYS), active)
-    event_id = [c for c in EVENT_KEYS if c != "synced_at"]
-    # Each event once, so that the join cannot multiply changes.
-    seen = event_state.select(*event_id).distinct().withColumn("_seen", F.lit(True))
-    typed = wanted.join(seen, event_id, "left").withColumn(
-        "change_type", F.when(F.col("_seen"), UPD).otherwise(NEW)
-    )
-    return typed.select(*EVENT_KEYS, "qty", "qty_to_send", "change_type").distinct()
+    wanted = in_active_branches(keep_matching(risen, bulk, MASTER_KEYS, unique=True), active)
+    return wanted.select(*EVENT_KEYS, "qty", "qty_to_send").distinct()
 
 
-def unseen_events(events: DataFrame, event_state: DataFrame) -> DataFrame:
-    """Events that an earlier, overlapping interval has not already sent."""
-    return exclude(events, event_state, EVENT_KEYS)
+def mark_known_events(risen: DataFrame, event_state: DataFrame) -> DataFrame:
+    """Type each change: an event that the state has, under any sync time, is an update."""
+    event_id = [c for c in EVENT_KEYS if c != "synced_at"]
+    # The state shrinks to the changed events, each once, before it meets them.
+    seen = keep_matching(event_state.select(*event_id), risen, event_id).distinct()
+    flagged = risen.join(seen.withColumn("_seen", F.lit(True)), event_id, "left")
+    change = F.when(F.col("_seen"), UPD).otherwise(NEW)
+    return flagged.select(*risen.columns, change.alias("change_type"))
+
+
+def unseen_events(events: DataFrame, event_state: DataFrame, start=None, end=None) -> DataFrame:
+    """Events that an earlier, overlapping interval has not already sent.
+
+    An event's sync time is part of its key: with the interval of the events, only
+    the state of that interval is read.
+    """
+    if start is not None:
+        event_state = event_state.where(F.col("synced_at").between(start, end))
+    return exclude(events, event_state, EVENT_KEYS, unique=True)
 
 
 def rollup_quantities(changes: DataFrame, net: bool = False) -> DataFrame:

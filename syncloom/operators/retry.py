@@ -54,11 +54,9 @@ def hold_back_bulk(
 
 def replay_quantities(queue: DataFrame, skus: DataFrame) -> DataFrame:
     """Sum of the waiting quantities per SKU and status, for the SKUs given."""
-    return (
-        keep_matching(unsent(queue), skus, SKU_KEYS)
-        .groupBy(*SKU_KEYS, "status")
-        .agg(F.sum("qty").alias("qty"))
-    )
+    # Summed first, so that a SKU with very many waiting rows shrinks before the shuffle.
+    summed = unsent(queue).groupBy(*SKU_KEYS, "status").agg(F.sum("qty").alias("qty"))
+    return keep_matching(summed, skus, SKU_KEYS, unique=True)
 
 
 def send_list(to_send: DataFrame, replayed: DataFrame, held: DataFrame) -> DataFrame:
@@ -67,7 +65,7 @@ def send_list(to_send: DataFrame, replayed: DataFrame, held: DataFrame) -> DataF
     ranked = to_send.select(*columns, F.lit(0).alias("source_rank")).unionByName(
         replayed.select(*columns, F.lit(1).alias("source_rank"))
     )
-    return exclude(ranked, held, SKU_KEYS)
+    return exclude(ranked, held, SKU_KEYS, unique=True)
 
 
 def mark_sent(
@@ -88,7 +86,7 @@ def mark_sent(
 def asset_positions(changes: DataFrame, assets: DataFrame, active: DataFrame) -> DataFrame:
     """Changed assets with their SKU keys, where their current branch is active."""
     located = assets.withColumn("branch", F.col("current_branch"))
-    changed = located.join(changes.select(*ASSET_KEYS), ASSET_KEYS, "left_semi")
+    changed = keep_matching(located, changes, ASSET_KEYS, unique=True)
     return in_active_branches(changed, active).select("asset_id", *SKU_KEYS)
 
 
@@ -123,7 +121,7 @@ def settle_assets(
 
     ``queue`` already has the held rows.
     """
-    remaining = exclude(changes, held, ASSET_KEYS)
+    remaining = exclude(changes, held, ASSET_KEYS, unique=True)
     numeric = resolved(skus).select(*SKU_KEYS)
     waiting = unsent(queue).withColumns(
         {
@@ -131,9 +129,8 @@ def settle_assets(
             "class_code": F.col("class_code").try_cast("decimal(4,0)"),
         }
     )
-    arrived = keep_matching(
-        keep_matching(waiting, remaining, ASSET_KEYS), numeric, SKU_KEYS
-    )
+    asked = keep_matching(waiting, remaining, ASSET_KEYS, unique=True)
+    arrived = keep_matching(asked, numeric, SKU_KEYS, unique=True)
     entry = [*ASSET_KEYS, "branch", "category", "class_code"]
     as_queued = arrived.withColumns(
         {"category": upc(F.col("category")), "class_code": product_id(F.col("class_code"))}

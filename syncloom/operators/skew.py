@@ -28,29 +28,33 @@ _CARRY = "_carry"
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("_n")).scalar()
     hot = (F.col("_n") > hot_rows) & (F.col("_n") * MAX_HOT_KEYS > total)
-    return counts.where(hot).select(*keys)
+    return counts.where(hot).select(*keys, F.lit(True).alias(_HOT))
 
 
-def _slices(df, keys, order, hot, span):
-    """Number the slices: counted along the order for hot keys, 0 for all others."""
-    # At most MAX_HOT_KEYS rows, so the broadcast is bounded however large df is.
-    marked = df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), list(keys), "left")
-    along = F.floor(F.col(order) / F.lit(span)).cast("long")
-    number = F.when(F.col(_HOT), along).otherwise(F.lit(0).cast("long"))
-    return marked.withColumn(_SLICE, number).drop(_HOT)
+def _slice_number(order: str, span: int) -> Column:
+    return F.expr(f"`{order}` div {span}").cast("long")
 
 
-def _with_carries(sliced, carries):
-    """Add the carry rows to the slices they lead."""
-    return sliced.withColumn(_REAL, F.lit(True)).unionByName(
-        carries.withColumn(_REAL, F.lit(False)), allowMissingColumns=True
-    )
+def _with_carries(df, carries, hot, keys, order, span):
+    """Number the slices, and add to each slice of a hot key the carry row that leads it.
 
+    Slices count along the order for hot keys and are 0 for all others.
+    """
+    # At most MAX_HOT_KEYS rows, so the broadcast is bounded however large df is.
+    marked = df.join(F.broadcast(hot), list(keys), "left")
+    number = F.when(F.col(_HOT), _slice_number(order, span)).otherwise(F.lit(0).cast("long"))
+    rows = marked.withColumns({_SLICE: number, _REAL: F.lit(True)}).drop(_HOT)
+    led = rows.unionByName(carries.withColumn(_REAL, F.lit(False)), allowMissingColumns=True)
+    # Keep the slices apart even where the rows already lie together by key.
+    return led.repartition(*keys, _SLICE)
 
-def _hot_rows(sliced, keys, hot):
-    return sliced.join(F.broadcast(hot), list(keys), "left_semi")
+
+def _hot_slices(df, hot, keys, order, span):
+    """The rows of hot keys by slice."""
+    hot_rows = df.join(F.broadcast(hot), list(keys)).drop(_HOT)
+    return hot_rows.withColumn(_SLICE, _slice_number(order, span)).groupBy(*keys, _SLICE)
 
 
 def previous_value(
@@ -69,9 +73,8 @@ def previous_value(
     others break ties. Rows whose key has a NULL are never split.
     """
     hot = hot_keys(df, keys, hot_rows)
-    sliced = _slices(df, keys, order[0], hot, span)
     last = F.max_by(F.struct(F.col(value)), F.struct(*order)).alias("_last")
-    ends = _hot_rows(sliced, keys, hot).groupBy(*keys, _SLICE).agg(last)
+    ends = _hot_slices(df, hot, keys, order[0], span).agg(last)
     # One row per slice of a hot key.
     following = F.lead(_SLICE).over(Window.partitionBy(*keys).orderBy(_SLICE))
     carries = (
@@ -79,13 +82,17 @@ def previous_value(
         .where(F.col(_SLICE).isNotNull())
         .select(*keys, _SLICE, F.col(f"_last.{value}").alias(value))
     )
+    led = _with_carries(df, carries, hot, keys, order[0], span)
     window = Window.partitionBy(*keys, _SLICE).orderBy(_REAL, *order)
-    before = F.lag(F.struct(F.col(value)), 1).over(window)
-    # Keep the slices apart even where the rows already lie together by key.
-    spread = _with_carries(sliced, carries).repartition(*keys, _SLICE)
-    found = spread.withColumn(name, before).where(_REAL)
-    filled = F.when(F.col(name).isNull(), default).otherwise(F.col(f"{name}.{value}"))
-    return found.withColumn(name, filled).drop(_SLICE, _REAL)
+    # The value before may be NULL; the flag before is NULL only where no row comes before.
+    before = {name: F.lag(value, 1).over(window), _CARRY: F.lag(_REAL, 1).over(window)}
+    filled = F.when(F.col(_CARRY).isNull(), default).otherwise(F.col(name))
+    return (
+        led.withColumns(before)
+        .where(_REAL)
+        .withColumn(name, filled)
+        .drop(_SLICE, _REAL, _CARRY)
+    )
 
 
 def total_before(
@@ -99,26 +106,23 @@ def total_before(
 ) -> DataFrame:
     """The sum of a whole-number column over the rows before, per key; 0 for the first row."""
     hot = hot_keys(df, keys, hot_rows)
-    sliced = _slices(df, keys, order[0], hot, span)
-    sums = _hot_rows(sliced, keys, hot).groupBy(*keys, _SLICE).agg(F.sum(value).alias(_CARRY))
+    sums = _hot_slices(df, hot, keys, order[0], span).agg(F.sum(value).alias(_CARRY))
     earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carries = (
         sums.withColumn(_CARRY, F.sum(_CARRY).over(earlier))
         .where(F.col(_CARRY).isNotNull())
         .select(*keys, _SLICE, _CARRY)
     )
+    blank = df.withColumn(_CARRY, F.lit(None).cast("long"))
+    led = _with_carries(blank, carries, hot, keys, order[0], span)
     window = (
         Window.partitionBy(*keys, _SLICE)
         .orderBy(_REAL, *order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     amount = F.coalesce(F.col(value), F.col(_CARRY), F.lit(0))
-    spread = (
-        _with_carries(sliced.withColumn(_CARRY, F.lit(None).cast("long")), carries)
-        .repartition(*keys, _SLICE)
-    )
     summed = F.coalesce(F.sum(amount).over(window), F.lit(0)).cast("long")
-    return spread.withColumn(name, summed).where(_REAL).drop(_SLICE, _REAL, _CARRY)
+    return led.withColumn(name, summed).where(_REAL).drop(_SLICE, _REAL, _CARRY)
 
 
 def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

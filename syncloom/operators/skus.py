@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from syncloom.functions.keys import product_id, sku_label, upc
-from syncloom.operators.joins import exclude, with_branch_id
+from syncloom.operators.joins import enrich, exclude, keep_matching, with_branch_id
 from syncloom.schemas import ACTION_ADD, ACTION_IDLE, ASSET_KEYS, MASTER_KEYS, SKU_KEYS
 
 
@@ -13,7 +13,7 @@ def _derive(keys: DataFrame, sku_master: DataFrame, active: DataFrame, bulk: boo
     """SKU rows for distinct SKU keys that the master and the active branches know."""
     master = sku_master.where(F.col("bulk") == ("Y" if bulk else "N"))
     described = keys.distinct().join(
-        master.select(*MASTER_KEYS, "description").distinct(), MASTER_KEYS
+        master.select(*MASTER_KEYS, "description"), MASTER_KEYS
     )
     category, class_code = F.col("category"), F.col("class_code")
     return with_branch_id(described, active, name="pc_id").select(
@@ -37,7 +37,7 @@ def skus_of_assets(
 ) -> DataFrame:
     """SKUs of changed assets that are not deleted."""
     live = assets.where(F.col("delete_code") == "A")
-    changed = live.join(changes.select(*ASSET_KEYS), ASSET_KEYS, "left_semi")
+    changed = keep_matching(live, changes, ASSET_KEYS, unique=True)
     return _derive(_asset_skus(changed), sku_master, active, bulk=False)
 
 
@@ -91,7 +91,7 @@ def flag_missing(skus: DataFrame, remote: DataFrame) -> DataFrame:
     known = remote.select(
         F.col("location_id").alias("pc_id"), "upc", "product_id", F.lit(True).alias("_known")
     )
-    joined = skus.join(known, ["pc_id", "upc", "product_id"], "left")
+    joined = enrich(skus, known, ["pc_id", "upc", "product_id"])
     action = F.when(F.col("_known"), ACTION_IDLE).otherwise(ACTION_ADD)
     return joined.withColumn("action", action).select(*skus.columns, "action")
 
@@ -99,13 +99,13 @@ def flag_missing(skus: DataFrame, remote: DataFrame) -> DataFrame:
 def missing_skus(skus: DataFrame, remote: DataFrame) -> DataFrame:
     """SKUs that the remote list does not have."""
     known = {"pc_id": "location_id", "upc": "upc", "product_id": "product_id"}
-    return exclude(skus, remote, known)
+    return exclude(skus, remote, known, unique=True)
 
 
 def resolve_skus(skus: DataFrame, remote: DataFrame) -> DataFrame:
     """Add the remote location and SKU ids; an unknown SKU keeps its branch and gets id 0."""
     ids = remote.select(F.col("location_id").alias("pc_id"), "upc", "product_id", "sku_id")
-    joined = skus.join(ids, ["pc_id", "upc", "product_id"], "left")
+    joined = enrich(skus, ids, ["pc_id", "upc", "product_id"])
     sku_id = F.coalesce(F.col("sku_id"), F.lit(0)).cast("long")
     return joined.withColumns({"location_id": F.col("pc_id"), "sku_id": sku_id}).select(
         *skus.columns, "location_id", "sku_id"
@@ -120,6 +120,6 @@ def resolved(skus: DataFrame, is_bulk: bool | None = None) -> DataFrame:
 
 def unresolved(df: DataFrame, skus: DataFrame, keys=tuple(SKU_KEYS)) -> DataFrame:
     """Rows whose SKU is not listed, or is listed without a remote id."""
-    return exclude(df, resolved(skus), list(keys))
+    return exclude(df, resolved(skus), list(keys), unique=True)
 
 

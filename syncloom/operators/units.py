@@ -28,7 +28,7 @@ def expand_units(
     single = ordinary.withColumn(name, F.explode(F.sequence(F.lit(1).cast("long"), units)))
     huge = df.where(F.col(qty) >= chunk + 1).withColumn(
         "_chunk",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((units - 1) / chunk).cast("long"))),
+        F.explode(F.expr(f"sequence(0L, (floor(`{qty}`) - 1) div {chunk})")),
     )
     first = F.col("_chunk") * chunk + 1
     last = F.least(F.col("_chunk") * chunk + chunk, units)

@@ -93,14 +93,14 @@ class SyncRun:
             return Result(skipped=True)
         self.commit = self.store.begin(self.run_id)
         control, bounds = self.intervals()
-        if self.inputs.customer_sites is not None:
+        if self.inputs.customer_sites is not None and not self.inputs.customer_sites.isEmpty():
             self.customer_sites()
-        asset_changes = self.asset_changes(*bounds["assets"])
+        asset_changes, changed_assets = self.asset_changes(*bounds["assets"])
         quantity_changes = self.quantity_changes(*bounds["qty_events"])
-        skus = self.sku_list(asset_changes, quantity_changes)
+        skus = self.sku_list(asset_changes, changed_assets, quantity_changes)
         self.bulk(quantity_changes, skus)
         self.quantity_state(quantity_changes)
-        self.assets(asset_changes, skus)
+        self.assets(asset_changes, changed_assets, skus)
         self.commit.overwrite("control", advance_watermark(control, self.now))
         self.commit.publish()
         return self.result
@@ -125,12 +125,14 @@ class SyncRun:
         prints = ch.fingerprint(sites, ["site_id"])
         state = self.store.read("customer_site_state")
         if self.options.only_changed_sites:
-            sites = keep_matching(sites, ch.snapshot_diff(prints, state, ["site_id"]), ["site_id"])
+            changed = ch.snapshot_diff(prints, state, ["site_id"])
+            sites = keep_matching(sites, changed, ["site_id"], unique=True)
         feed = match_sites(sites, self.inputs.remote_sites, self.options.site_mode)
         self.result.site_feed = self.send("customer_sites", feed)
         self.commit.overwrite("customer_site_state", prints.withColumn("cached_at", self.now))
 
-    def asset_changes(self, start, end) -> DataFrame:
+    def asset_changes(self, start, end) -> tuple[DataFrame, DataFrame]:
+        """The changed assets' keys and types, and their source rows."""
         source, active = self.inputs.assets, self.inputs.active
         chosen = interval_scan(source, "synced_at", start, end)
         if self.options.force_branch is not None:
@@ -141,25 +143,35 @@ class SyncRun:
         prints = ch.fingerprint(
             current, ASSET_KEYS, exclude_columns=["synced_at"], keep=["current_branch"]
         )
-        self.prints = self.work.stage(prints, "asset_prints")
-        diff = ch.snapshot_diff(self.prints, self.store.read("asset_state"), ASSET_KEYS)
-        located = ch.active_change_feed(diff, self.prints, active)
+        prints = self.work.stage(prints, "asset_prints")
+        diff = ch.snapshot_diff(prints, self.store.read("asset_state"), ASSET_KEYS)
+        located = ch.active_change_feed(diff, prints, active)
         changes = ch.replay_into_changes(located, self.store.read("asset_queue"))
-        return self.work.stage(changes, "asset_changes")
+        changes = self.work.stage(changes, "asset_changes")
+        # The wide table is read once for all that follows.
+        rows = keep_matching(source, changes, ASSET_KEYS, unique=True)
+        return changes, self.work.stage(latest(rows, ASSET_KEYS, ["synced_at"]), "changed_assets")
 
     def quantity_changes(self, start, end) -> DataFrame:
         events, state = self.inputs.qty_events, self.store.read("qty_event_state")
-        due = qt.unseen_events(interval_scan(events, "synced_at", start, end), state)
-        due = self.work.stage(due.select(*EVENT_KEYS), "events_due")
+        found = interval_scan(events.select(*EVENT_KEYS, "qty"), "synced_at", start, end)
+        due = self.work.stage(
+            qt.unseen_events(found, state, start, end).select(*EVENT_KEYS), "events_due"
+        )
         history = qt.touched_history(events.select(*EVENT_KEYS, "qty"), due, SKU_KEYS)
-        deltas = keep_matching(qt.quantity_delta(history), due, EVENT_KEYS)
+        # Outside the interval no event is due, which spares most rows the join.
+        within = interval_scan(qt.quantity_delta(history), "synced_at", start, end)
+        deltas = keep_matching(within, due, EVENT_KEYS)
         filled = qt.fill_from_snapshot(deltas, self.store.read("qty_snapshot_state"))
-        changes = qt.quantity_changes(filled, self.inputs.sku_master, self.inputs.active, state)
-        return self.work.stage(changes, "quantity_changes")
+        risen = qt.risen_quantities(filled, self.inputs.sku_master, self.inputs.active)
+        risen = self.work.stage(risen, "risen_quantities")
+        return self.work.stage(qt.mark_known_events(risen, state), "quantity_changes")
 
-    def sku_list(self, asset_changes: DataFrame, quantity_changes: DataFrame) -> DataFrame:
+    def sku_list(
+        self, asset_changes: DataFrame, changed_assets: DataFrame, quantity_changes: DataFrame
+    ) -> DataFrame:
         master, active = self.inputs.sku_master, self.inputs.active
-        listed = sk.skus_of_assets(asset_changes, self.inputs.assets, master, active).unionByName(
+        listed = sk.skus_of_assets(asset_changes, changed_assets, master, active).unionByName(
             sk.skus_of_quantities(quantity_changes, master, active)
         )
         listed = self.work.stage(listed, "skus_of_changes")
@@ -168,6 +180,7 @@ class SyncRun:
         )
         queued_bulk = sk.skus_of_queued_bulk(self.store.read("bulk_queue"), master, active, listed)
         needed = listed.unionByName(queued_assets).unionByName(queued_bulk)
+        needed = self.work.stage(needed, "skus_needed")
         flagged = sk.flag_missing(needed, self.inputs.remote_skus_before)
         skus = sk.resolve_skus(flagged, self.inputs.remote_skus_after)
         skus = self.work.stage(skus, "skus")
@@ -188,7 +201,7 @@ class SyncRun:
         ready = sk.resolved(skus, is_bulk=True)
         replayed = retry.replay_quantities(queue, ready)
         # With dedupe_queue a quantity can be unresolved without being held again.
-        sendable = keep_matching(to_send, ready, SKU_KEYS)
+        sendable = keep_matching(to_send, ready, SKU_KEYS, unique=True)
         sent = self.work.stage(retry.send_list(sendable, replayed, held), "send_list")
         self.commit.overwrite(
             "bulk_queue", retry.mark_sent(queue, sent, SKU_KEYS, self.run_id, self.now)
@@ -209,11 +222,8 @@ class SyncRun:
         state = self.store.read("qty_snapshot_state")
         self.commit.overwrite("qty_snapshot_state", upsert(state, snapshot, SKU_KEYS))
 
-    def assets(self, changes: DataFrame, skus: DataFrame) -> None:
-        source, active = self.inputs.assets, self.inputs.active
-        # The wide table is read once for all that follows.
-        changed = latest(keep_matching(source, changes, ASSET_KEYS), ASSET_KEYS, ["synced_at"])
-        changed = self.work.stage(changed, "changed_assets")
+    def assets(self, changes: DataFrame, changed: DataFrame, skus: DataFrame) -> None:
+        active = self.inputs.active
         queue = self.store.read("asset_queue")
         held = retry.hold_back_assets(
             changes, changed, skus, active, queue, self.run_id, self.now
@@ -230,7 +240,7 @@ class SyncRun:
             remaining, changed, active, sk.resolved(skus, is_bulk=False), prior, self.now
         )
         self.result.asset_feed = self.send("assets", feed)
-        sent = keep_matching(changed, remaining, ASSET_KEYS)
+        sent = keep_matching(changed, remaining, ASSET_KEYS, unique=True)
         prints = ch.fingerprint(sent, ASSET_KEYS, exclude_columns=["synced_at"])
         self.commit.overwrite(
             "asset_state",

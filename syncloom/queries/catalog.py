@@ -19,12 +19,11 @@ from syncloom.operators import (
     units,
     upserts,
 )
-from syncloom.operators.matching import match_sites
+from syncloom.operators.matching import match_sites, matched_pairs
 from syncloom.plans import rebuild
 from syncloom.plans.sync import SOURCES, Inputs, Options, run_sync
 from syncloom.queries.standins import CUTOFF, EVENTS_FROM, EVENTS_TO, Standins, ntz
 from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, MASTER_KEYS, SKU_KEYS
-from syncloom.session import Workspace
 from syncloom.sinks.feeds import nest_json, write_feed
 from syncloom.sources import feeds, scans
 from syncloom.state.store import StateStore
@@ -103,14 +102,10 @@ def forced_scan_orders(t: Standins) -> DataFrame:
 # --- asset changes ------------------------------------------------------------
 
 
-def _diff(t: Standins, **options) -> DataFrame:
-    return ch.snapshot_diff(t.prints(t.assets), t.prints(t.assets_before), ASSET_KEYS, **options)
-
-
 @query
 def snapshot_diff_orders(t: Standins) -> DataFrame:
     """Assets that are new or whose hash differs."""
-    return _diff(t)
+    return t.diff
 
 
 @query
@@ -124,18 +119,13 @@ def snapshot_diff_deletes(t: Standins) -> DataFrame:
 @query
 def active_change_feed(t: Standins) -> DataFrame:
     """Changes of assets whose current branch is active."""
-    return ch.active_change_feed(_diff(t), t.assets, t.active)
-
-
-def _changes(t: Standins) -> DataFrame:
-    found = ch.active_change_feed(_diff(t), t.assets, t.active)
-    return ch.replay_into_changes(found, t.asset_queue)
+    return ch.active_change_feed(t.diff, t.assets, t.active)
 
 
 @query
 def queue_replay_changes(t: Standins) -> DataFrame:
     """Changes and the waiting assets that are not among them."""
-    return _changes(t)
+    return t.changes
 
 
 @query
@@ -147,7 +137,7 @@ def restrict_to_changes(t: Standins) -> DataFrame:
         "l_partkey",
         F.col("l_quantity").cast("long").alias("qty"),
     )
-    return joins.keep_matching(lines, _diff(t), ["asset_id"])
+    return joins.keep_matching(lines, t.diff, ["asset_id"])
 
 
 # --- quantities ---------------------------------------------------------------
@@ -210,7 +200,7 @@ def unseen_events(t: Standins) -> DataFrame:
 @query
 def rollup_quantities(t: Standins) -> DataFrame:
     """Sum of the rises per SKU and branch."""
-    return qt.rollup_quantities(t.quantity_changes)
+    return t.to_send
 
 
 @query
@@ -222,51 +212,35 @@ def rollup_net(t: Standins) -> DataFrame:
 # --- SKUs ---------------------------------------------------------------------
 
 
-def _asset_skus(t: Standins) -> DataFrame:
-    return sk.skus_of_assets(_changes(t), t.assets, t.sku_master, t.active)
-
-
-def _bulk_skus(t: Standins) -> DataFrame:
-    return sk.skus_of_quantities(t.quantity_changes, t.sku_master, t.active)
-
-
-def _listed(t: Standins) -> DataFrame:
-    return _asset_skus(t).unionByName(_bulk_skus(t))
-
-
-def _resolved(t: Standins) -> DataFrame:
-    return sk.resolve_skus(_listed(t), t.remote_skus)
-
-
 @query
 def sku_derivation(t: Standins) -> DataFrame:
     """SKUs of changed assets."""
-    return _asset_skus(t)
+    return t.asset_skus
 
 
 @query
 def sku_derivation_bulk(t: Standins) -> DataFrame:
     """SKUs of quantity changes."""
-    return _bulk_skus(t)
+    return t.bulk_skus
 
 
 @query
 def sku_queue_assets(t: Standins) -> DataFrame:
     """SKUs of waiting assets that the list lacks."""
-    return sk.skus_of_queued_assets(t.asset_queue, t.sku_master, t.active, _bulk_skus(t))
+    return sk.skus_of_queued_assets(t.asset_queue, t.sku_master, t.active, t.bulk_skus)
 
 
 @query
 def sku_queue_bulk(t: Standins) -> DataFrame:
     """SKUs of waiting quantities that the list lacks."""
-    return sk.skus_of_queued_bulk(t.bulk_queue, t.sku_master, t.active, _listed(t))
+    return sk.skus_of_queued_bulk(t.bulk_queue, t.sku_master, t.active, t.listed)
 
 
 @query
 def sku_queue_bulk_any_branch(t: Standins) -> DataFrame:
     """The same, where listed for one branch is listed for all, and sent rows count too."""
     return sk.skus_of_queued_bulk(
-        t.bulk_queue, t.sku_master, t.active, _listed(t), include_sent=True, per_branch=False
+        t.bulk_queue, t.sku_master, t.active, t.listed, include_sent=True, per_branch=False
     )
 
 
@@ -291,34 +265,33 @@ def project_active_bulk(t: Standins) -> DataFrame:
 @query
 def remote_missing_skus(t: Standins) -> DataFrame:
     """SKUs that the remote list does not have."""
-    return sk.missing_skus(_listed(t), t.remote_skus)
+    return sk.missing_skus(t.listed, t.remote_skus)
 
 
 @query
 def flag_missing_skus(t: Standins) -> DataFrame:
     """The SKU list with the action each SKU needs."""
-    return sk.flag_missing(_listed(t), t.remote_skus).select(*SKU_KEYS, "label", "action")
+    return sk.flag_missing(t.listed, t.remote_skus).select(*SKU_KEYS, "label", "action")
 
 
 @query
 def resolve_skus(t: Standins) -> DataFrame:
     """The SKU list with remote ids."""
-    return _resolved(t).select(*SKU_KEYS, "is_bulk", "location_id", "sku_id")
+    return t.resolved.select(*SKU_KEYS, "is_bulk", "location_id", "sku_id")
 
 
 @query
 def unresolved_keys(t: Standins) -> DataFrame:
     """Waiting quantities whose SKU has no remote id."""
-    return sk.unresolved(t.bulk_queue, _resolved(t)).select("run_id", *SKU_KEYS, "qty", "status")
+    return sk.unresolved(t.bulk_queue, t.resolved).select("run_id", *SKU_KEYS, "qty", "status")
 
 
 # --- retry queues -------------------------------------------------------------
 
 
 def _held_bulk(t: Standins) -> DataFrame:
-    to_send = qt.rollup_quantities(t.quantity_changes)
     return retry.hold_back_bulk(
-        to_send, _resolved(t), t.active, t.bulk_queue, RUN_ID, ntz(RUN_TS)
+        t.to_send, t.resolved, t.active, t.bulk_queue, RUN_ID, ntz(RUN_TS)
     )
 
 
@@ -330,7 +303,7 @@ def hold_back_bulk(t: Standins) -> DataFrame:
 
 def _held_assets(t: Standins) -> DataFrame:
     return retry.hold_back_assets(
-        _changes(t), t.assets, _resolved(t), t.active, t.asset_queue, RUN_ID, ntz(RUN_TS)
+        t.changes, t.assets, t.resolved, t.active, t.asset_queue, RUN_ID, ntz(RUN_TS)
     )
 
 
@@ -355,7 +328,7 @@ def append_capture_rows(t: Standins) -> DataFrame:
 
 
 def _replayed(t: Standins) -> DataFrame:
-    return retry.replay_quantities(t.bulk_queue, sk.resolved(_resolved(t), is_bulk=True))
+    return retry.replay_quantities(t.bulk_queue, sk.resolved(t.resolved, is_bulk=True))
 
 
 @query
@@ -365,8 +338,8 @@ def replay_quantities(t: Standins) -> DataFrame:
 
 
 def _send_list(t: Standins) -> DataFrame:
-    to_send = qt.rollup_quantities(t.quantity_changes)
-    return retry.send_list(to_send, _replayed(t), _held_bulk(t))
+    sent = retry.send_list(t.to_send, _replayed(t), _held_bulk(t))
+    return t.stage(sent, "send_list")
 
 
 @query
@@ -383,9 +356,9 @@ def replay_mark_sent(t: Standins) -> DataFrame:
 
 
 def _settled(t: Standins):
-    held = _held_assets(t)
+    held = t.stage(_held_assets(t), "held_assets")
     queue, _ = retry.append_capture(t.asset_queue, held)
-    return retry.settle_assets(_changes(t), queue, held, _resolved(t), RUN_ID, ntz(RUN_TS))
+    return retry.settle_assets(t.changes, queue, held, t.resolved, RUN_ID, ntz(RUN_TS))
 
 
 @query
@@ -437,7 +410,7 @@ def expand_units_chunked(t: Standins) -> DataFrame:
 
 
 def _ranges(t: Standins) -> DataFrame:
-    ready = sk.resolved(_resolved(t), is_bulk=True)
+    ready = sk.resolved(t.resolved, is_bulk=True)
     return units.tag_ranges(
         _send_list(t), units.sku_max_tags(ready, t.remote_items), t.sku_master
     )
@@ -464,6 +437,12 @@ def match_customer_sites(t: Standins) -> DataFrame:
     return match_sites(t.customer_sites, t.remote_sites)
 
 
+@query
+def union_site_rules(t: Standins) -> DataFrame:
+    """Sites and locations that any of the four rules brings together."""
+    return matched_pairs(t.customer_sites, t.remote_sites)
+
+
 @query
 def match_sites_first_rule(t: Standins) -> DataFrame:
     """Customer sites matched by the strictest rule that finds a location."""
@@ -484,7 +463,7 @@ def prior_attributes(t: Standins) -> DataFrame:
 @query
 def asset_payload(t: Standins) -> DataFrame:
     """Changed assets as they are sent."""
-    ready = sk.resolved(_resolved(t), is_bulk=False)
+    ready = sk.resolved(t.resolved, is_bulk=False)
     return payloads.asset_payload(
         _settled(t)[0], t.assets, t.active, ready, _prior(t), ntz(RUN_TS)
     )
@@ -493,13 +472,13 @@ def asset_payload(t: Standins) -> DataFrame:
 @query
 def sku_payload(t: Standins) -> DataFrame:
     """The SKU list as it is sent."""
-    return payloads.sku_payload(sk.flag_missing(_listed(t), t.remote_skus), ntz(RUN_TS))
+    return payloads.sku_payload(sk.flag_missing(t.listed, t.remote_skus), ntz(RUN_TS))
 
 
 @query
 def sku_payload_missing(t: Standins) -> DataFrame:
     """Only the SKUs that the remote side lacks."""
-    flagged = sk.flag_missing(_listed(t), t.remote_skus)
+    flagged = sk.flag_missing(t.listed, t.remote_skus)
     return payloads.sku_payload(flagged, ntz(RUN_TS), only_missing=True)
 
 
@@ -521,7 +500,7 @@ def json_nest_orders(t: Standins) -> DataFrame:
 @query
 def export_roundtrip(t: Standins) -> DataFrame:
     """Orders written as a gzip feed and read back."""
-    root = Workspace(t.spark).path("feeds")
+    root = t.work.path("feeds")
     orders = t.table("orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", k.stamp(F.col("o_orderdate")).alias("added")
     )
@@ -533,7 +512,7 @@ def export_roundtrip(t: Standins) -> DataFrame:
 def customer_snapshot(t: Standins) -> DataFrame:
     """Customers fingerprinted, stored and read back."""
     tables = {"customers": "c_custkey bigint, hash string"}
-    store = StateStore(t.spark, Workspace(t.spark).path("state"), tables)
+    store = StateStore(t.spark, t.work.path("state"), tables)
     customers = t.table("customer").withColumn(
         "c_acctbal", F.col("c_acctbal").cast("decimal(12,2)")
     )
@@ -568,7 +547,7 @@ def dimension_joins(t: Standins) -> DataFrame:
 @query
 def upsert_state(t: Standins) -> DataFrame:
     """The asset state after the changed assets went in."""
-    changed = joins.keep_matching(t.assets, _changes(t), ASSET_KEYS)
+    changed = joins.keep_matching(t.assets, t.changes, ASSET_KEYS)
     return upserts.upsert(t.prints(t.assets_before), t.prints(changed), ASSET_KEYS)
 
 
@@ -607,14 +586,13 @@ def rebuild_snapshot(t: Standins) -> DataFrame:
 @query
 def stream_delta(t: Standins) -> DataFrame:
     """Quantity deltas of the event log read as a stream."""
-    path = f"{t.sf_dir}/events.parquet"
     source = t.table("events").schema
-    stream = event_stream(t.spark, path, source).select(
+    stream = event_stream(t.spark, t.sf_dir, source, files="events.parquet").select(
         "event_id", "ts", "user_id", "event_type", F.floor("value").cast("long").alias("qty")
     )
     keys = ["user_id", "event_type"]
     job = DeltaStream(
-        t.spark, stream.schema, Workspace(t.spark).path("stream"),
+        t.spark, stream.schema, t.work.path("stream"),
         event_keys=[*keys, "event_id", "ts"], keys=keys, order=["event_id"], ts_col="ts",
     )
     job.start(stream).awaitTermination()
@@ -660,12 +638,11 @@ def seeded_store(t: Standins, root: str) -> StateStore:
 @query
 def sync_run(t: Standins) -> DataFrame:
     """A whole run: every record of the SKU, unit and asset feeds it sent."""
-    work = Workspace(t.spark)
-    store = seeded_store(t, work.path("state"))
+    store = seeded_store(t, t.work.path("state"))
     run_id = f"{RUN_ID}-{uuid4().hex}"
     result = run_sync(
         t.spark, sync_inputs(t), store, datetime.fromisoformat(RUN_TS), run_id,
-        work.path("feeds"), Options(),
+        t.work.path("feeds"), Options(),
     )
     none = F.lit(None).cast("string")
     return (

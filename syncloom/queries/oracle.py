@@ -413,6 +413,10 @@ BODIES = {
         UNION {_MATCHED} r.branch = s.branch AND r.account = CAST(k AS VARCHAR)
           AND r.job = 'J' || k AND r.job_location = c_mktsegment
         UNION {_MATCHED} r.branch = s.branch""",
+    "union_site_rules": """
+        SELECT s.site_id, r.location_id FROM sites s JOIN remote_sites r ON r.site_id = s.site_id
+        UNION
+        SELECT s.site_id, r.location_id FROM sites s JOIN remote_sites r ON r.branch = s.branch""",
     "match_sites_first_rule": """
         WITH pairs AS (
             SELECT DISTINCT s.site_id, r.location_id, CASE
@@ -477,21 +481,53 @@ BODIES = {
 }
 
 
-def _needed(sql: str) -> list[str]:
+# In a whole run nothing was sent before, the interval takes in all events, and the SKU
+# list has the SKUs of the queues too.
+RUN_CTES = {
+    "quantity_changes": f"""
+        SELECT {EVENT_KEY}, qty, qty - prev_qty AS qty_to_send, 'NEW' AS change_type
+        FROM deltas
+        WHERE qty - prev_qty > 0
+          AND (company, category, class_code) IN
+              (SELECT (company, category, class_code) FROM sku_master WHERE bulk = 'Y')
+          AND (company, branch) IN (SELECT (company, branch) FROM active)""",
+    "listed": f"""
+        SELECT * FROM master_skus WHERE NOT is_bulk AND (
+            ({KEY}) IN (SELECT ({KEY}) FROM asset_skus)
+            OR ({KEY}) IN (SELECT (company, branch, CAST(category AS BIGINT), CAST(class_code AS BIGINT))
+                           FROM asset_queue WHERE sent_at IS NULL))
+        UNION ALL
+        SELECT * FROM master_skus WHERE is_bulk AND (
+            ({KEY}) IN (SELECT ({KEY}) FROM bulk_skus)
+            OR ({KEY}) IN (SELECT ({KEY}) FROM bulk_queue WHERE sent_at IS NULL AND qty > 0))""",
+}
+
+SYNC_RUN = f"""
+        SELECT 'skus' AS feed, pc_id AS "HQLocationID", CAST(0 AS BIGINT) AS "HQSKUID",
+               label AS name, CAST(NULL AS VARCHAR) AS serial, CAST(NULL AS VARCHAR) AS prev_serial
+        FROM listed
+        UNION ALL
+        SELECT 'units', location_id, sku_id, tag, NULL, NULL FROM unit_tags
+        UNION ALL
+        SELECT 'assets', "HQLocationID", "HQSKUID", "TagID", "SerialNumber", "PrevSerial"
+        FROM ({_ASSET_FEED})"""
+
+
+def _needed(sql: str, ctes: dict[str, str]) -> list[str]:
     """The stand-ins a statement uses, in definition order."""
-    used = {name for name in CTES if re.search(rf"\b{name}\b", sql)}
-    reach = set(used)
-    for name in reversed(CTES):
+    reach = {name for name in ctes if re.search(rf"\b{name}\b", sql)}
+    for name in reversed(ctes):
         if name in reach:
-            reach |= {n for n in CTES if n != name and re.search(rf"\b{n}\b", CTES[name])}
-    return [name for name in CTES if name in reach]
+            reach |= {n for n in ctes if n != name and re.search(rf"\b{n}\b", ctes[name])}
+    return [name for name in ctes if name in reach]
 
 
-def statement(body: str) -> str:
-    names = _needed(body)
+def statement(body: str, **changed: str) -> str:
+    ctes = {**CTES, **changed}
+    names = _needed(body, ctes)
     if not names:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in names) + "\n" + _unnest_with(body)
+    return "WITH " + ",\n".join(f"{n} AS ({ctes[n]})" for n in names) + "\n" + _unnest_with(body)
 
 
 def _unnest_with(body: str) -> str:
@@ -500,4 +536,5 @@ def _unnest_with(body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: statement(body) for name, body in BODIES.items()}
+    whole_run = statement(SYNC_RUN, **RUN_CTES)
+    return {name: statement(body) for name, body in BODIES.items()} | {"sync_run": whole_run}

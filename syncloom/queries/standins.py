@@ -11,9 +11,22 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncloom.functions.keys import pad, product_id, upc
-from syncloom.operators.changes import fingerprint
-from syncloom.operators.quantity import fill_from_snapshot, quantity_changes, quantity_delta
+from syncloom.operators.changes import (
+    active_change_feed,
+    fingerprint,
+    replay_into_changes,
+    snapshot_diff,
+)
+from syncloom.operators.quantity import (
+    fill_from_snapshot,
+    mark_known_events,
+    quantity_delta,
+    risen_quantities,
+    rollup_quantities,
+)
+from syncloom.operators.skus import resolve_skus, skus_of_assets, skus_of_quantities
 from syncloom.schemas import ASSET_KEYS, DEFAULT_COMPANY, SKU_KEYS
+from syncloom.session import Workspace
 
 CUTOFF = "2000-01-01 00:00:00"
 EVENTS_FROM = "2024-01-10 00:00:00"
@@ -27,10 +40,22 @@ def ntz(text: str) -> Column:
 
 
 class Standins:
+    """The tables, and the steps of a run over them that several queries go on from.
+
+    Like a run, a query writes such a step once and reads it as often as it needs.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @cached_property
+    def work(self) -> Workspace:
+        return Workspace(self.spark)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return self.work.stage(df, name)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -138,7 +163,8 @@ class Standins:
         due = self.deltas.where(
             F.col("synced_at").between(ntz(EVENTS_FROM), ntz(EVENTS_TO))
         )
-        return quantity_changes(due, self.sku_master, self.active, self.event_state)
+        risen = risen_quantities(due, self.sku_master, self.active)
+        return mark_known_events(self.stage(risen, "risen"), self.event_state)
 
     def _remote(self, keys: DataFrame) -> DataFrame:
         location = 100 + F.col("branch").cast("long")
@@ -265,3 +291,38 @@ class Standins:
             F.when(ran, F.col("day")).alias("prev_start_ts"),
             F.when(ran, F.col("day")).alias("end_ts"),
         )
+
+    @cached_property
+    def diff(self) -> DataFrame:
+        return snapshot_diff(
+            self.prints(self.assets), self.prints(self.assets_before), ASSET_KEYS
+        )
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        feed = active_change_feed(self.diff, self.assets, self.active)
+        return self.stage(replay_into_changes(feed, self.asset_queue), "changes")
+
+    @cached_property
+    def sent_quantities(self) -> DataFrame:
+        return self.stage(self.quantity_changes, "quantity_changes")
+
+    @cached_property
+    def to_send(self) -> DataFrame:
+        return self.stage(rollup_quantities(self.sent_quantities), "to_send")
+
+    @cached_property
+    def asset_skus(self) -> DataFrame:
+        return skus_of_assets(self.changes, self.assets, self.sku_master, self.active)
+
+    @cached_property
+    def bulk_skus(self) -> DataFrame:
+        return skus_of_quantities(self.sent_quantities, self.sku_master, self.active)
+
+    @cached_property
+    def listed(self) -> DataFrame:
+        return self.stage(self.asset_skus.unionByName(self.bulk_skus), "listed")
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return self.stage(resolve_skus(self.listed, self.remote_skus), "resolved")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from syncloom.operators.units import expand_units
 from syncloom.sources.feeds import feed_path
 
 # A nested document holds about this many children; a larger parent becomes several documents.
@@ -21,15 +22,20 @@ def nest_json(
 ) -> DataFrame:
     """One document per parent with its rows as a sorted array of objects.
 
-    A parent of more rows than ``max_children`` is split by a hash of its rows
-    into documents of about that size, numbered by ``part``.
+    A parent of more rows than ``max_children`` becomes several documents of
+    about that size, numbered by ``part``. Rows go to parts by their hash, and
+    equal rows by their copy number too, so that no part outgrows the others.
     """
-    sizes = df.groupBy(*parent).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > max_children)
+    counted = df.groupBy(*parent, *children).agg(F.count(F.lit(1)).alias("_copies"))
+    sizes = counted.groupBy(*[F.col(c).alias(f"_of_{c}") for c in parent]).agg(
+        F.sum("_copies").alias("_rows")
+    )
+    # A parent of NULL is a parent too.
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in parent]
     parts = F.ceil(F.col("_rows") / max_children)
-    number = F.pmod(F.xxhash64(*children), parts)
-    numbered = df.join(large, list(parent), "left").withColumn(
-        "part", F.when(F.col("_rows").isNull(), F.lit(0)).otherwise(number).cast("int")
+    rows = expand_units(counted.join(sizes, same), "_copies", "_copy")
+    numbered = rows.withColumn(
+        "part", F.pmod(F.xxhash64(*children, "_copy"), parts).cast("int")
     )
     items = F.array_sort(F.collect_list(F.struct(*children))).alias(name)
     # Parts of one parent lie apart even where the rows already lie together by parent.

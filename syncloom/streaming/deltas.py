@@ -21,7 +21,7 @@ def dedupe_events(batch: DataFrame, seen: DataFrame, keys: Sequence[str], ts_col
     within = F.col(ts_col).between(
         batch.agg(F.min(ts_col)).scalar(), batch.agg(F.max(ts_col)).scalar()
     )
-    return exclude(batch.dropDuplicates(list(keys)), seen.where(within), list(keys))
+    return exclude(batch.dropDuplicates(list(keys)), seen.where(within), list(keys), unique=True)
 
 
 class DeltaStream:
@@ -72,7 +72,8 @@ class DeltaStream:
         fresh = dedupe_events(batch, seen, self.event_keys, self.ts_col)
         fresh.write.mode("overwrite").parquet(f"{self.root}/events/epoch={epoch}")
         known = self.events().where(F.col("epoch") <= epoch)
-        history = keep_matching(known, known.where(F.col("epoch") == epoch), self.keys)
+        arrived = known.where(F.col("epoch") == epoch)
+        history = keep_matching(known, arrived, self.keys)
         deltas = quantity_delta(history, self.keys, self.order).where(F.col("epoch") == epoch)
         deltas.drop("epoch").write.mode("overwrite").parquet(f"{self.root}/deltas/epoch={epoch}")
 
@@ -87,10 +88,16 @@ class DeltaStream:
 
 
 def event_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    files: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """A folder or file of events as a stream."""
+    """The event files of a folder as a stream, on demand only those a pattern names."""
     reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(folder)
