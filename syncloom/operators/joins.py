@@ -43,12 +43,11 @@ def exclude(left: DataFrame, right: DataFrame, keys: Keys, unique: bool = False)
 def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of the left side with the columns of the right, NULL where it lacks the key.
 
-    Meant for a small left side that is a table and a large right side that has
-    each key once: the right side is first cut down to the left side's keys,
+    Meant for a small left side that is a table and a large right side, each with
+    every key once: the right side is first cut down to the left side's keys,
     whose broadcast spares it a shuffle.
     """
-    needed = right.join(left.select(*keys).distinct(), list(keys), "left_semi")
-    return left.join(needed, list(keys), "left")
+    return left.join(keep_matching(right, left, keys, unique=True), list(keys), "left")
 
 
 def in_active_branches(

@@ -95,36 +95,6 @@ def previous_value(
     )
 
 
-def total_before(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-    span: int = SLICE_SPAN,
-) -> DataFrame:
-    """The sum of a whole-number column over the rows before, per key; 0 for the first row."""
-    hot = hot_keys(df, keys, hot_rows)
-    sums = _hot_slices(df, hot, keys, order[0], span).agg(F.sum(value).alias(_CARRY))
-    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        sums.withColumn(_CARRY, F.sum(_CARRY).over(earlier))
-        .where(F.col(_CARRY).isNotNull())
-        .select(*keys, _SLICE, _CARRY)
-    )
-    blank = df.withColumn(_CARRY, F.lit(None).cast("long"))
-    led = _with_carries(blank, carries, hot, keys, order[0], span)
-    window = (
-        Window.partitionBy(*keys, _SLICE)
-        .orderBy(_REAL, *order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    amount = F.coalesce(F.col(value), F.col(_CARRY), F.lit(0))
-    summed = F.coalesce(F.sum(amount).over(window), F.lit(0)).cast("long")
-    return led.withColumn(name, summed).where(_REAL).drop(_SLICE, _REAL, _CARRY)
-
-
 def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """One row per key, the latest; an aggregate, so copies shrink before the shuffle."""
     rest = [c for c in df.columns if c not in keys]

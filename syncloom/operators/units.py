@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from syncloom.functions.keys import BRANCH_WIDTH, has_tag_number, number_key, pad, tag_number
-from syncloom.operators.skew import total_before
+from syncloom.functions.keys import BRANCH_WIDTH, has_tag_number, pad, tag_number
 from syncloom.schemas import MASTER_KEYS, SKU_KEYS
 
 # A row of more units than this is first cut into rows of this many.
@@ -62,9 +61,9 @@ def tag_ranges(
 ) -> DataFrame:
     """Per SKU and source, how many units go out and after which tag number they start.
 
-    The few source rows are numbered, not the units they expand to: rows are
-    first summed per SKU and source, then each source starts where the one
-    before it ends.
+    Rows are first summed per SKU and source, so a window holds one row per source
+    of a SKU, not its rows and not the units they expand to; each source starts
+    where the one before it ends.
     """
     units = F.floor(F.col("qty")).cast("long")
     summed = (
@@ -72,7 +71,12 @@ def tag_ranges(
         .groupBy(*keys, rank)
         .agg(F.sum(units).cast("long").alias("units"))
     )
-    offset = total_before(summed, list(keys), [rank], "units", "_offset")
+    earlier = (
+        Window.partitionBy(*keys).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offset = summed.withColumn(
+        "_offset", F.coalesce(F.sum("units").over(earlier), F.lit(0)).cast("long")
+    )
     ids = tagged_skus.select(*keys, "location_id", "sku_id", "max_tag")
     items = sku_master.select(*MASTER_KEYS, "item")
     return (
@@ -96,13 +100,3 @@ def allocate_tags(ranges: DataFrame) -> DataFrame:
     return units.withColumns(
         {"tag_no": number, "tag": tag_text(F.col("item"), F.col("branch"), number)}
     )
-
-
-def decimal_sku_keys(df: DataFrame) -> DataFrame:
-    """Padded SKU texts as the numbers the source keys by."""
-    return df.withColumns(
-        {
-            "category": number_key(F.col("upc"), 3),
-            "class_code": number_key(F.col("product_id"), 4),
-        }
-    )

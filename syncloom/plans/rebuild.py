@@ -14,9 +14,11 @@ from syncloom.state.store import StateStore
 
 def asset_fingerprints(assets: DataFrame, cached_at: Column) -> DataFrame:
     """Hash per asset over all columns but the sync time, which changes without them."""
-    current = latest(assets, ASSET_KEYS, ["synced_at"])
-    hashed = fingerprint(current, ASSET_KEYS, exclude_columns=["synced_at"])
-    return hashed.withColumn("cached_at", cached_at)
+    hashed = fingerprint(
+        assets, ASSET_KEYS, exclude_columns=["synced_at"], keep=["synced_at"]
+    )
+    current = latest(hashed, ASSET_KEYS, ["synced_at"]).drop("synced_at")
+    return current.withColumn("cached_at", cached_at)
 
 
 def event_fingerprints(events: DataFrame, snapshot: DataFrame, cached_at: Column) -> DataFrame:

@@ -14,8 +14,9 @@ from syncloom.operators.skew import latest
 from syncloom.operators.upserts import advance_watermark, upsert
 from syncloom.plans.rebuild import snapshot_fingerprints
 from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, SKU_KEYS
-from syncloom.session import Workspace
+from syncloom.session import Workspace, together
 from syncloom.sinks.feeds import write_feed
+from syncloom.sources.feeds import read_json_feed
 from syncloom.sources.scans import forced_scan, interval_bounds, interval_scan
 from syncloom.state.store import StateStore
 
@@ -53,12 +54,9 @@ class Options:
 
 @dataclass
 class Result:
-    """What a run sent, as tables, and where each feed was written."""
+    """The feeds a run sent, read back from where they were written."""
 
-    site_feed: DataFrame | None = None
-    sku_feed: DataFrame | None = None
-    unit_feed: DataFrame | None = None
-    asset_feed: DataFrame | None = None
+    feeds: dict[str, DataFrame] = field(default_factory=dict)
     paths: dict[str, str | None] = field(default_factory=dict)
     skipped: bool = False
 
@@ -93,42 +91,50 @@ class SyncRun:
             return Result(skipped=True)
         self.commit = self.store.begin(self.run_id)
         control, bounds = self.intervals()
-        if self.inputs.customer_sites is not None and not self.inputs.customer_sites.isEmpty():
-            self.customer_sites()
-        asset_changes, changed_assets = self.asset_changes(*bounds["assets"])
-        quantity_changes = self.quantity_changes(*bounds["qty_events"])
+        (asset_changes, changed_assets), quantity_changes, _ = together(
+            lambda: self.asset_changes(*bounds["assets"]),
+            lambda: self.quantity_changes(*bounds["qty_events"]),
+            self.customer_sites,
+        )
         skus = self.sku_list(asset_changes, changed_assets, quantity_changes)
-        self.bulk(quantity_changes, skus)
+        together(
+            lambda: self.send("skus", self.sku_feed(skus)),
+            lambda: self.bulk(quantity_changes, skus),
+            lambda: self.assets(asset_changes, changed_assets, skus),
+        )
         self.quantity_state(quantity_changes)
-        self.assets(asset_changes, changed_assets, skus)
         self.commit.overwrite("control", advance_watermark(control, self.now))
         self.commit.publish()
         return self.result
 
     def intervals(self):
         """The control table with every source in it, and each source's interval."""
-        known = self.store.read("control")
+        known = self.commit.read("control")
         every = self.spark.createDataFrame([(s,) for s in SOURCES], "source string")
         control = every.join(known, "source", "left")
         # One row per source: two.
         rows = interval_bounds(control, self.now).collect()
         return control, {row["source"]: (row["start"], row["end"]) for row in rows}
 
-    def send(self, name: str, feed: DataFrame) -> DataFrame:
-        """Write a feed; its rows are kept as a table, so that they are computed once."""
-        rows = self.work.stage(feed, f"feed_{name}")
-        self.result.paths[name] = write_feed(rows, self.out, name, self.run_id)
-        return rows
+    def send(self, name: str, feed: DataFrame) -> None:
+        """Write a feed. Its rows come from staged tables: the test for none is cheap."""
+        path = write_feed(feed, self.out, name, self.run_id)
+        self.result.feeds[name] = read_json_feed(
+            self.spark, self.out, feed.schema.toDDL(), self.run_id, name, required=False
+        )
+        self.result.paths[name] = path
 
     def customer_sites(self) -> None:
         sites = self.inputs.customer_sites
+        if sites is None or sites.isEmpty():
+            return
         prints = ch.fingerprint(sites, ["site_id"])
-        state = self.store.read("customer_site_state")
+        state = self.commit.read("customer_site_state")
         if self.options.only_changed_sites:
             changed = ch.snapshot_diff(prints, state, ["site_id"])
             sites = keep_matching(sites, changed, ["site_id"], unique=True)
         feed = match_sites(sites, self.inputs.remote_sites, self.options.site_mode)
-        self.result.site_feed = self.send("customer_sites", feed)
+        self.send("customer_sites", feed)
         self.commit.overwrite("customer_site_state", prints.withColumn("cached_at", self.now))
 
     def asset_changes(self, start, end) -> tuple[DataFrame, DataFrame]:
@@ -139,21 +145,24 @@ class SyncRun:
             chosen = chosen.unionByName(
                 forced_scan(source, active, self.options.force_branch, chosen, ASSET_KEYS)
             )
-        current = latest(chosen, ASSET_KEYS, ["synced_at"])
-        prints = ch.fingerprint(
-            current, ASSET_KEYS, exclude_columns=["synced_at"], keep=["current_branch"]
+        # Hashed first: what is shuffled to find the latest row of an asset is narrow.
+        hashed = ch.fingerprint(
+            chosen,
+            ASSET_KEYS,
+            exclude_columns=["synced_at"],
+            keep=["current_branch", "synced_at"],
         )
-        prints = self.work.stage(prints, "asset_prints")
-        diff = ch.snapshot_diff(prints, self.store.read("asset_state"), ASSET_KEYS)
-        located = ch.active_change_feed(diff, prints, active)
-        changes = ch.replay_into_changes(located, self.store.read("asset_queue"))
+        prints = self.work.stage(latest(hashed, ASSET_KEYS, ["synced_at"]), "asset_prints")
+        diff = ch.snapshot_diff(prints, self.commit.read("asset_state"), ASSET_KEYS)
+        located = self.work.stage(ch.active_change_feed(diff, prints, active), "asset_feed")
+        changes = ch.replay_into_changes(located, self.commit.read("asset_queue"))
         changes = self.work.stage(changes, "asset_changes")
         # The wide table is read once for all that follows.
         rows = keep_matching(source, changes, ASSET_KEYS, unique=True)
         return changes, self.work.stage(latest(rows, ASSET_KEYS, ["synced_at"]), "changed_assets")
 
     def quantity_changes(self, start, end) -> DataFrame:
-        events, state = self.inputs.qty_events, self.store.read("qty_event_state")
+        events, state = self.inputs.qty_events, self.commit.read("qty_event_state")
         found = interval_scan(events.select(*EVENT_KEYS, "qty"), "synced_at", start, end)
         due = self.work.stage(
             qt.unseen_events(found, state, start, end).select(*EVENT_KEYS), "events_due"
@@ -162,7 +171,7 @@ class SyncRun:
         # Outside the interval no event is due, which spares most rows the join.
         within = interval_scan(qt.quantity_delta(history), "synced_at", start, end)
         deltas = keep_matching(within, due, EVENT_KEYS)
-        filled = qt.fill_from_snapshot(deltas, self.store.read("qty_snapshot_state"))
+        filled = qt.fill_from_snapshot(deltas, self.commit.read("qty_snapshot_state"))
         risen = qt.risen_quantities(filled, self.inputs.sku_master, self.inputs.active)
         risen = self.work.stage(risen, "risen_quantities")
         return self.work.stage(qt.mark_known_events(risen, state), "quantity_changes")
@@ -176,20 +185,20 @@ class SyncRun:
         )
         listed = self.work.stage(listed, "skus_of_changes")
         queued_assets = sk.skus_of_queued_assets(
-            self.store.read("asset_queue"), master, active, listed
+            self.commit.read("asset_queue"), master, active, listed
         )
-        queued_bulk = sk.skus_of_queued_bulk(self.store.read("bulk_queue"), master, active, listed)
+        queued_bulk = sk.skus_of_queued_bulk(self.commit.read("bulk_queue"), master, active, listed)
         needed = listed.unionByName(queued_assets).unionByName(queued_bulk)
         needed = self.work.stage(needed, "skus_needed")
         flagged = sk.flag_missing(needed, self.inputs.remote_skus_before)
         skus = sk.resolve_skus(flagged, self.inputs.remote_skus_after)
-        skus = self.work.stage(skus, "skus")
-        feed = payloads.sku_payload(skus, self.now, self.options.only_missing_skus)
-        self.result.sku_feed = self.send("skus", feed)
-        return skus
+        return self.work.stage(skus, "skus")
+
+    def sku_feed(self, skus: DataFrame) -> DataFrame:
+        return payloads.sku_payload(skus, self.now, self.options.only_missing_skus)
 
     def bulk(self, changes: DataFrame, skus: DataFrame) -> None:
-        queue = self.store.read("bulk_queue")
+        queue = self.commit.read("bulk_queue")
         to_send = in_active_branches(qt.rollup_quantities(changes), self.inputs.active)
         to_send = self.work.stage(to_send, "quantities")
         held = retry.hold_back_bulk(
@@ -209,8 +218,7 @@ class SyncRun:
         tagged = units.sku_max_tags(ready, self.inputs.remote_items)
         ranges = units.tag_ranges(sent, tagged, self.inputs.sku_master)
         ranges = self.work.stage(ranges, "tag_ranges")
-        feed = payloads.unit_payload(units.allocate_tags(ranges), self.now)
-        self.result.unit_feed = self.send("units", feed)
+        self.send("units", payloads.unit_payload(units.allocate_tags(ranges), self.now))
 
     def quantity_state(self, changes: DataFrame) -> None:
         """Events sent are remembered; the snapshot becomes the current one."""
@@ -219,12 +227,12 @@ class SyncRun:
         ).withColumns({"prev_qty": F.col("qty"), "cached_at": self.now})
         self.commit.append("qty_event_state", hashed)
         snapshot = snapshot_fingerprints(self.inputs.qty_snapshot, self.now)
-        state = self.store.read("qty_snapshot_state")
+        state = self.commit.read("qty_snapshot_state")
         self.commit.overwrite("qty_snapshot_state", upsert(state, snapshot, SKU_KEYS))
 
     def assets(self, changes: DataFrame, changed: DataFrame, skus: DataFrame) -> None:
         active = self.inputs.active
-        queue = self.store.read("asset_queue")
+        queue = self.commit.read("asset_queue")
         held = retry.hold_back_assets(
             changes, changed, skus, active, queue, self.run_id, self.now
         )
@@ -235,17 +243,19 @@ class SyncRun:
         )
         remaining = self.work.stage(remaining, "assets_to_send")
         self.commit.overwrite("asset_queue", settled)
-        prior = self.store.read("prior_attributes")
+        prior = self.commit.read("prior_attributes")
         feed = payloads.asset_payload(
             remaining, changed, active, sk.resolved(skus, is_bulk=False), prior, self.now
         )
-        self.result.asset_feed = self.send("assets", feed)
+        self.send("assets", feed)
         sent = keep_matching(changed, remaining, ASSET_KEYS, unique=True)
         prints = ch.fingerprint(sent, ASSET_KEYS, exclude_columns=["synced_at"])
         self.commit.overwrite(
             "asset_state",
             upsert(
-                self.store.read("asset_state"), prints.withColumn("cached_at", self.now), ASSET_KEYS
+                self.commit.read("asset_state"),
+                prints.withColumn("cached_at", self.now),
+                ASSET_KEYS,
             ),
         )
         # After the feed, which still shows the serial numbers of the run before.

@@ -206,7 +206,7 @@ def rollup_quantities(t: Standins) -> DataFrame:
 @query
 def rollup_net(t: Standins) -> DataFrame:
     """Sum of rises and falls per SKU and branch."""
-    return qt.rollup_quantities(t.deltas, net=True)
+    return qt.rollup_quantities(qt.quantity_delta(t.qty_events), net=True)
 
 
 # --- SKUs ---------------------------------------------------------------------
@@ -505,7 +505,7 @@ def export_roundtrip(t: Standins) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", k.stamp(F.col("o_orderdate")).alias("added")
     )
     write_feed(orders, root, "orders", RUN_ID)
-    return feeds.read_json_feed(t.spark, root, orders.schema, RUN_ID, "orders")
+    return feeds.read_json_feed(t.spark, root, orders.schema.toDDL(), RUN_ID, "orders")
 
 
 @query
@@ -638,6 +638,8 @@ def seeded_store(t: Standins, root: str) -> StateStore:
 @query
 def sync_run(t: Standins) -> DataFrame:
     """A whole run: every record of the SKU, unit and asset feeds it sent."""
+    t.write_tables("assets", "qty_events", "sku_master", "customer_sites")
+    t.write_tables("assets_before", "qty_snapshot", "remote_skus", "remote_items")
     store = seeded_store(t, t.work.path("state"))
     run_id = f"{RUN_ID}-{uuid4().hex}"
     result = run_sync(
@@ -646,18 +648,18 @@ def sync_run(t: Standins) -> DataFrame:
     )
     none = F.lit(None).cast("string")
     return (
-        result.sku_feed.select(
+        result.feeds["skus"].select(
             F.lit("skus").alias("feed"), "HQLocationID", F.lit(0).cast("long").alias("HQSKUID"),
             F.col("SKUListType").alias("name"), none.alias("serial"), none.alias("prev_serial"),
         )
         .unionByName(
-            result.unit_feed.select(
+            result.feeds["units"].select(
                 F.lit("units").alias("feed"), "HQLocationID", "HQSKUID",
                 F.col("TagID").alias("name"), none.alias("serial"), none.alias("prev_serial"),
             )
         )
         .unionByName(
-            result.asset_feed.select(
+            result.feeds["assets"].select(
                 F.lit("assets").alias("feed"), "HQLocationID", "HQSKUID",
                 F.col("TagID").alias("name"), F.col("SerialNumber").alias("serial"),
                 F.col("PrevSerial").alias("prev_serial"),

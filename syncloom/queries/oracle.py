@@ -359,7 +359,7 @@ BODIES = {
         WHERE ({EVENT_KEY}) NOT IN (SELECT ({EVENT_KEY}) FROM event_state)""",
     "rollup_quantities": "SELECT * FROM rollup",
     "rollup_net": f"""
-        SELECT {KEY}, CAST(sum(qty - prev_qty) AS BIGINT) AS qty, 'RC' AS status FROM deltas
+        SELECT {KEY}, CAST(sum(qty - prev_qty) AS BIGINT) AS qty, 'RC' AS status FROM lagged
         GROUP BY {KEY} HAVING sum(qty - prev_qty) > 0""",
     "sku_derivation": "SELECT * FROM asset_skus",
     "sku_derivation_bulk": "SELECT * FROM bulk_skus",

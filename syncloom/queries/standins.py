@@ -26,7 +26,7 @@ from syncloom.operators.quantity import (
 )
 from syncloom.operators.skus import resolve_skus, skus_of_assets, skus_of_quantities
 from syncloom.schemas import ASSET_KEYS, DEFAULT_COMPANY, SKU_KEYS
-from syncloom.session import Workspace
+from syncloom.session import Workspace, together
 
 CUTOFF = "2000-01-01 00:00:00"
 EVENTS_FROM = "2024-01-10 00:00:00"
@@ -48,14 +48,22 @@ class Standins:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-
-    @cached_property
-    def work(self) -> Workspace:
-        return Workspace(self.spark)
+        self.work = Workspace(spark)
+        self.written: set[str] = set()
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         return self.work.stage(df, name)
 
+    def write_tables(self, *names: str) -> None:
+        """Write stand-ins as tables, so that a run reads columns as it would of a source."""
+        missing = [n for n in names if n not in self.written]
+        if missing:
+            tables = together(
+                *[lambda n=n: self.stage(getattr(self, n), f"table_{n}") for n in missing]
+            )
+            self.__dict__.update(zip(missing, tables))
+            self.written.update(missing)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -300,7 +308,8 @@ class Standins:
 
     @cached_property
     def changes(self) -> DataFrame:
-        feed = active_change_feed(self.diff, self.assets, self.active)
+        self.write_tables("assets")
+        feed = self.stage(active_change_feed(self.diff, self.assets, self.active), "feed")
         return self.stage(replay_into_changes(feed, self.asset_queue), "changes")
 
     @cached_property
@@ -321,6 +330,8 @@ class Standins:
 
     @cached_property
     def listed(self) -> DataFrame:
+        self.write_tables("assets", "qty_events", "sku_master")
+        together(lambda: self.changes, lambda: self.sent_quantities)
         return self.stage(self.asset_skus.unionByName(self.bulk_skus), "listed")
 
     @cached_property

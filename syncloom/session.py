@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,6 +45,21 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def together(*actions: Callable) -> list:
+    """Run independent Spark actions side by side, so that none leaves the cluster idle."""
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(len(actions)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+        return [action.result() for action in started]
+
+
+def no_rows(spark: SparkSession, ddl: str) -> DataFrame:
+    """An empty table, which the planner knows to be empty."""
+    fields = T.StructType.fromDDL(ddl).fields
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(1).where(F.lit(False)).select(*columns)
+
+
 class Workspace:
     """Tables that one run writes once and reads several times.
 

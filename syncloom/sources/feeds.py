@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from syncloom.schemas import DEFAULT_COMPANY
+from syncloom.session import no_rows
 
 
 class MissingFeed(ValueError):
@@ -21,7 +22,7 @@ def feed_path(root: str, op: str, session_id: str) -> str:
 def read_json_feed(
     spark: SparkSession,
     root: str,
-    schema: T.StructType | str,
+    ddl: str,
     session_id: str,
     op: str,
     required: bool = True,
@@ -35,7 +36,7 @@ def read_json_feed(
     one array or object per file. ``strict`` fails on a value that does not fit
     its column, which would otherwise turn into NULL.
     """
-    reader = spark.read.schema(schema).options(
+    reader = spark.read.schema(ddl).options(
         multiLine=documents,
         encoding=encoding,
         lineSep="\n",
@@ -49,7 +50,7 @@ def read_json_feed(
         feed = None
     if required and (feed is None or feed.isEmpty()):
         raise MissingFeed(f"no rows for feed {op} of session {session_id}")
-    return spark.createDataFrame([], schema) if feed is None else feed
+    return no_rows(spark, ddl) if feed is None else feed
 
 
 def shred(df: DataFrame, column: str, ddl: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncloom.schemas import STATE, conform
+from syncloom.session import no_rows, together
 
 MANIFEST = "run_id string, table string, position int, path string, version bigint"
 
@@ -27,7 +28,7 @@ class StateStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], MANIFEST)
+            return no_rows(self.spark, MANIFEST)
 
     def _latest(self) -> tuple[int, dict[str, list[str]]]:
         """The newest version and the folders of each table: a handful of rows."""
@@ -43,12 +44,15 @@ class StateStore:
     def published(self, run_id: str) -> bool:
         return not self._manifests().where(F.col("run_id") == run_id).isEmpty()
 
-    def read(self, table: str) -> DataFrame:
+    def _read(self, table: str, folders: dict[str, list[str]]) -> DataFrame:
         ddl = self.tables[table]
-        folders = self._latest()[1].get(table)
-        if not folders:
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(*folders)
+        if not folders.get(table):
+            return no_rows(self.spark, ddl)
+        return self.spark.read.schema(ddl).parquet(*folders[table])
+
+    def read(self, table: str) -> DataFrame:
+        """A table as last published."""
+        return self._read(table, self._latest()[1])
 
     def begin(self, run_id: str) -> "Commit":
         return Commit(self, run_id)
@@ -60,29 +64,43 @@ class Commit:
     def __init__(self, store: StateStore, run_id: str):
         self.store = store
         self.run_id = run_id
-        self.version, self.folders = store._latest()
+        self.version, self.before = store._latest()
+        self.folders = dict(self.before)
+        self.writes: dict[str, DataFrame] = {}
 
-    def _write(self, table: str, df: DataFrame) -> str:
+    def read(self, table: str) -> DataFrame:
+        """A table as it was when the run began."""
+        return self.store._read(table, self.before)
+
+    def _add(self, table: str, df: DataFrame, kept: list[str]) -> None:
         path = f"{self.store.root}/{table}/{self.version + 1:09d}-{self.run_id}"
-        conform(df, self.store.tables[table]).write.mode("overwrite").parquet(path)
-        return path
+        self.writes[path] = conform(df, self.store.tables[table])
+        self.folders[table] = [*kept, path]
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         """The table is these rows."""
-        self.folders[table] = [self._write(table, df)]
+        self._add(table, df, [])
 
     def append(self, table: str, df: DataFrame) -> None:
         """The table has these rows too; what it held is not rewritten."""
-        self.folders[table] = [*self.folders.get(table, []), self._write(table, df)]
+        self._add(table, df, self.before.get(table, []))
 
     def publish(self) -> None:
+        """Write the tables, all at once, and then the manifest."""
+        spark = self.store.spark
+        together(
+            *[
+                lambda df=df, path=path: df.write.mode("overwrite").parquet(path)
+                for path, df in self.writes.items()
+            ]
+        )
         rows = [
-            (self.run_id, table, position, path, self.version + 1)
+            (self.run_id, table, position, path)
             for table, paths in self.folders.items()
             for position, path in enumerate(paths)
         ]
-        manifest = self.store.spark.createDataFrame(rows, MANIFEST).drop("version").coalesce(1)
+        manifest = spark.createDataFrame(rows, MANIFEST.removesuffix(", version bigint"))
         # Fails when another run has published this version meanwhile.
-        manifest.write.mode("error").json(
+        manifest.coalesce(1).write.mode("error").json(
             f"{self.store.root}/_manifests/version={self.version + 1}"
         )

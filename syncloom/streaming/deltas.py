@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from syncloom.operators.joins import exclude, keep_matching
 from syncloom.operators.quantity import quantity_delta
+from syncloom.session import no_rows
 
 
 def dedupe_events(batch: DataFrame, seen: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
@@ -56,7 +57,7 @@ class DeltaStream:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema.toDDL())
 
     def events(self) -> DataFrame:
         return self._table("events", self.schema.fields)
