@@ -32,12 +32,14 @@ def keep_matching(
     left: DataFrame, right: DataFrame, keys: Keys, unique: bool = False
 ) -> DataFrame:
     """Rows of the left side whose key occurs on the right; never multiplies rows."""
-    return left.join(_right_keys(right, keys, unique), list(keys), "left_semi")
+    joined = left.join(_right_keys(right, keys, unique), list(keys), "left_semi")
+    return joined.select(*left.columns)
 
 
 def exclude(left: DataFrame, right: DataFrame, keys: Keys, unique: bool = False) -> DataFrame:
     """Rows of the left side whose key does not occur on the right."""
-    return left.join(_right_keys(right, keys, unique), list(keys), "left_anti")
+    joined = left.join(_right_keys(right, keys, unique), list(keys), "left_anti")
+    return joined.select(*left.columns)
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

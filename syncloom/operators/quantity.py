@@ -27,7 +27,7 @@ def quantity_delta(
 ) -> DataFrame:
     """Add the quantity of the event before as ``prev_qty``; 0 for the first event of a key."""
     return previous_value(
-        events, list(keys), list(order), qty, F.lit(0), "prev_qty", hot_rows, span
+        events, list(keys), list(order), qty, 0, "prev_qty", hot_rows, span
     )
 
 

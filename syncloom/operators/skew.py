@@ -62,7 +62,7 @@ def previous_value(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
-    default: Column | int,
+    default: int,
     name: str,
     hot_rows: int = HOT_ROWS,
     span: int = SLICE_SPAN,
@@ -86,7 +86,8 @@ def previous_value(
     window = Window.partitionBy(*keys, _SLICE).orderBy(_REAL, *order)
     # The value before may be NULL; the flag before is NULL only where no row comes before.
     before = {name: F.lag(value, 1).over(window), _CARRY: F.lag(_REAL, 1).over(window)}
-    filled = F.when(F.col(_CARRY).isNull(), default).otherwise(F.col(name))
+    first = F.lit(default).cast(df.schema[value].dataType)
+    filled = F.when(F.col(_CARRY).isNull(), first).otherwise(F.col(name))
     return (
         led.withColumns(before)
         .where(_REAL)

@@ -31,8 +31,11 @@ def expand_units(
     )
     first = F.col("_chunk") * chunk + 1
     last = F.least(F.col("_chunk") * chunk + chunk, units)
+    # A fixed number of partitions: chunks are tiny before they expand, and would be
+    # coalesced into few tasks by their size.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     split = (
-        huge.repartition(*df.columns, "_chunk")
+        huge.repartition(tasks, *df.columns, "_chunk")
         .withColumn(name, F.explode(F.sequence(first, last)))
         .drop("_chunk")
     )

@@ -152,9 +152,9 @@ def from_source(df: DataFrame, table: str) -> DataFrame:
         column = F.col(f"`{field.name}`")
         named = known.get(field.name)
         name, data_type = named.split(" ", 1) if named else (field.name, None)
+        if isinstance(field.dataType, T.StringType):
+            column = F.rtrim(column)
         if data_type:
             column = column.cast(data_type)
-        if data_type == "string" or isinstance(field.dataType, T.StringType):
-            column = F.rtrim(column)
         columns.append(column.alias(name))
     return df.select(*columns)
