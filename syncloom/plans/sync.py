@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncloom.operators import changes as ch, payloads, quantity as qt, retry, skus as sk, units
-from syncloom.operators.joins import in_active_branches, keep_matching
+from syncloom.operators.joins import exclude, in_active_branches, keep_matching
 from syncloom.operators.matching import match_sites
 from syncloom.operators.skew import latest
-from syncloom.operators.upserts import advance_watermark, upsert
+from syncloom.operators.upserts import advance_watermark
 from syncloom.plans.rebuild import snapshot_fingerprints
 from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, SKU_KEYS
 from syncloom.session import Workspace, together
@@ -212,7 +212,7 @@ class SyncRun:
         # With dedupe_queue a quantity can be unresolved without being held again.
         sendable = keep_matching(to_send, ready, SKU_KEYS, unique=True)
         sent = self.work.stage(retry.send_list(sendable, replayed, held), "send_list")
-        self.commit.overwrite(
+        self.keep_queue(
             "bulk_queue", retry.mark_sent(queue, sent, SKU_KEYS, self.run_id, self.now)
         )
         tagged = units.sku_max_tags(ready, self.inputs.remote_items)
@@ -220,6 +220,12 @@ class SyncRun:
         ranges = self.work.stage(ranges, "tag_ranges")
         self.send("units", payloads.unit_payload(units.allocate_tags(ranges), self.now))
 
+    def keep_queue(self, name: str, queue: DataFrame) -> None:
+        """What waits stays in the queue, what was sent is set aside."""
+        settled = self.work.stage(queue, name)
+        self.commit.overwrite(name, retry.unsent(settled))
+        self.commit.append(f"{name}_sent", settled.where(F.col("sent_at").isNotNull()))
+
     def quantity_state(self, changes: DataFrame) -> None:
         """Events sent are remembered; the snapshot becomes the current one."""
         hashed = ch.fingerprint(
@@ -228,7 +234,8 @@ class SyncRun:
         self.commit.append("qty_event_state", hashed)
         snapshot = snapshot_fingerprints(self.inputs.qty_snapshot, self.now)
         state = self.commit.read("qty_snapshot_state")
-        self.commit.overwrite("qty_snapshot_state", upsert(state, snapshot, SKU_KEYS))
+        changed = exclude(snapshot, state, [*SKU_KEYS, "hash"], unique=True)
+        self.commit.change("qty_snapshot_state", changed)
 
     def assets(self, changes: DataFrame, changed: DataFrame, skus: DataFrame) -> None:
         active = self.inputs.active
@@ -242,7 +249,7 @@ class SyncRun:
             changes, queue, held, skus, self.run_id, self.now
         )
         remaining = self.work.stage(remaining, "assets_to_send")
-        self.commit.overwrite("asset_queue", settled)
+        self.keep_queue("asset_queue", settled)
         prior = self.commit.read("prior_attributes")
         feed = payloads.asset_payload(
             remaining, changed, active, sk.resolved(skus, is_bulk=False), prior, self.now
@@ -250,17 +257,9 @@ class SyncRun:
         self.send("assets", feed)
         sent = keep_matching(changed, remaining, ASSET_KEYS, unique=True)
         prints = ch.fingerprint(sent, ASSET_KEYS, exclude_columns=["synced_at"])
-        self.commit.overwrite(
-            "asset_state",
-            upsert(
-                self.commit.read("asset_state"),
-                prints.withColumn("cached_at", self.now),
-                ASSET_KEYS,
-            ),
-        )
+        self.commit.change("asset_state", prints.withColumn("cached_at", self.now))
         # After the feed, which still shows the serial numbers of the run before.
-        now_prior = payloads.prior_attributes(sent, active)
-        self.commit.overwrite("prior_attributes", upsert(prior, now_prior, ASSET_KEYS))
+        self.commit.change("prior_attributes", payloads.prior_attributes(sent, active))
 
 
 def run_sync(

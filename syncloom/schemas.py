@@ -129,6 +129,16 @@ STATE = {
     ),
 }
 
+# Queue rows that have been sent are set aside, so that a run reads those that wait.
+STATE["bulk_queue_sent"] = STATE["bulk_queue"]
+STATE["asset_queue_sent"] = STATE["asset_queue"]
+
+STATE_KEYS = {
+    "asset_state": ASSET_KEYS,
+    "prior_attributes": ASSET_KEYS,
+    "qty_snapshot_state": SKU_KEYS,
+}
+
 
 def schema(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)

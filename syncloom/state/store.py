@@ -3,52 +3,85 @@
 A run writes new folders and never touches the ones a reader may be using. The
 manifest of the run, written last, names the folders of every table; a run that
 fails before that leaves the state as it was and may simply start over.
+
+A table with a key takes changed rows as a folder of their own, so a run writes
+what changed and not the whole table; a later folder's row of a key counts.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncloom.schemas import STATE, conform
+from syncloom.operators.skew import latest
+from syncloom.operators.upserts import upsert
+from syncloom.schemas import STATE, STATE_KEYS, conform
 from syncloom.session import no_rows, together
 
-MANIFEST = "run_id string, table string, position int, path string, version bigint"
+MANIFEST = "table string, position int, path string"
+# A table of more folders than this is rewritten as one.
+MAX_FOLDERS = 16
+
+_POSITION = "_position"
 
 
 class StateStore:
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        tables: dict[str, str] | None = None,
+        keys: dict[str, list[str]] | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = STATE if tables is None else tables
+        self.keys = STATE_KEYS if keys is None else keys
 
-    def _manifests(self) -> DataFrame:
+    def _published(self) -> dict[int, tuple[str, str]]:
+        """Run and manifest file of each version, from the names of the files alone."""
         try:
-            return self.spark.read.schema(MANIFEST).json(f"{self.root}/_manifests")
+            files = self.spark.read.schema(MANIFEST).json(f"{self.root}/_manifests").inputFiles()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return no_rows(self.spark, MANIFEST)
+            return {}
+        named = [(re.search(r"/version=(\d+)/run_id=([^/]+)/", unquote(f)), f) for f in files]
+        return {int(found[1]): (unquote(found[2]), file) for found, file in named if found}
 
     def _latest(self) -> tuple[int, dict[str, list[str]]]:
         """The newest version and the folders of each table: a handful of rows."""
-        manifests = self._manifests()
-        newest = manifests.where(F.col("version") == manifests.agg(F.max("version")).scalar())
+        published = self._published()
+        if not published:
+            return 0, {}
+        version = max(published)
         folders: dict[str, list[str]] = {}
-        version = 0
-        for row in newest.orderBy("table", "position").collect():
+        manifest = self.spark.read.schema(MANIFEST).json(unquote(published[version][1]))
+        for row in sorted(manifest.collect(), key=lambda row: row["position"]):
             folders.setdefault(row["table"], []).append(row["path"])
-            version = row["version"]
         return version, folders
 
     def published(self, run_id: str) -> bool:
-        return not self._manifests().where(F.col("run_id") == run_id).isEmpty()
+        return run_id in {run for run, _ in self._published().values()}
 
     def _read(self, table: str, folders: dict[str, list[str]]) -> DataFrame:
         ddl = self.tables[table]
-        if not folders.get(table):
+        paths = folders.get(table)
+        if not paths:
             return no_rows(self.spark, ddl)
-        return self.spark.read.schema(ddl).parquet(*folders[table])
+        reader = self.spark.read.schema(ddl)
+        if table not in self.keys or len(paths) == 1:
+            return reader.parquet(*paths)
+        changes = None
+        for position, path in enumerate(paths[1:]):
+            rows = reader.parquet(path).withColumn(_POSITION, F.lit(position))
+            changes = rows if changes is None else changes.unionByName(rows)
+        keys = self.keys[table]
+        newest = changes if len(paths) == 2 else latest(changes, keys, [_POSITION])
+        return upsert(reader.parquet(paths[0]), newest, keys)
 
     def read(self, table: str) -> DataFrame:
         """A table as last published."""
@@ -82,12 +115,23 @@ class Commit:
         self._add(table, df, [])
 
     def append(self, table: str, df: DataFrame) -> None:
-        """The table has these rows too; what it held is not rewritten."""
-        self._add(table, df, self.before.get(table, []))
+        """The table has these rows too; what it held is rewritten only once in a while."""
+        kept = self.before.get(table, [])
+        if len(kept) < MAX_FOLDERS:
+            self._add(table, df, kept)
+        else:
+            self._add(table, self.read(table).unionByName(conform(df, self.store.tables[table])), [])
+
+    def change(self, table: str, df: DataFrame) -> None:
+        """The table has these rows in place of those it held under their keys."""
+        kept = self.before.get(table, [])
+        if len(kept) < MAX_FOLDERS:
+            self._add(table, df, kept)
+        else:
+            self._add(table, upsert(self.read(table), df, self.store.keys[table]), [])
 
     def publish(self) -> None:
         """Write the tables, all at once, and then the manifest."""
-        spark = self.store.spark
         together(
             *[
                 lambda df=df, path=path: df.write.mode("overwrite").parquet(path)
@@ -99,8 +143,8 @@ class Commit:
             for table, paths in self.folders.items()
             for position, path in enumerate(paths)
         ]
-        manifest = spark.createDataFrame(rows, MANIFEST.removesuffix(", version bigint"))
+        manifest = self.store.spark.createDataFrame(rows, f"run_id string, {MANIFEST}")
         # Fails when another run has published this version meanwhile.
-        manifest.coalesce(1).write.mode("error").json(
+        manifest.coalesce(1).write.partitionBy("run_id").mode("error").json(
             f"{self.store.root}/_manifests/version={self.version + 1}"
         )

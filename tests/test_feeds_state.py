@@ -140,6 +140,23 @@ def test_state_is_published_together_and_old_versions_stay_readable(spark, tmp_p
     assert values(second.read("kept")) == [(1, "a")]
 
 
+def test_changed_rows_replace_those_of_their_key(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path), TABLES, keys={"kept": ["id"]})
+    expected = {}
+    # More runs than folders are kept, so that the table is rewritten once.
+    for run in range(20):
+        rows = [(run % 4, f"v{run}"), (10 + run, "new")]
+        commit = store.begin(f"run {run}:00")
+        commit.change("kept", table(spark, *rows))
+        commit.append("log", spark.range(run, run + 1))
+        commit.publish()
+        expected.update(rows)
+    assert values(store.read("kept")) == sorted(expected.items(), key=repr)
+    assert values(store.read("log")) == sorted([(n,) for n in range(20)], key=repr)
+    assert len(store._latest()[1]["kept"]) < 17
+    assert store.published("run 3:00") and not store.published("run 20:00")
+
+
 def test_a_run_that_fails_leaves_the_state_and_may_start_over(spark, tmp_path):
     store = StateStore(spark, str(tmp_path), TABLES)
     broken = store.begin("r1")
