@@ -24,10 +24,14 @@ def quantity_delta(
     qty: str = "qty",
     hot_rows: int = HOT_ROWS,
     span: int = SLICE_SPAN,
+    first: str | None = None,
 ) -> DataFrame:
-    """Add the quantity of the event before as ``prev_qty``; 0 for the first event of a key."""
+    """Add the quantity of the event before as ``prev_qty``; 0 for the first event of a key.
+
+    ``first`` names a column to add that marks these first events.
+    """
     return previous_value(
-        events, list(keys), list(order), qty, 0, "prev_qty", hot_rows, span
+        events, list(keys), list(order), qty, 0, "prev_qty", hot_rows, span, first
     )
 
 
@@ -35,11 +39,16 @@ def fill_from_snapshot(
     deltas: DataFrame,
     snapshot: DataFrame,
     keys: Sequence[str] = tuple(SKU_KEYS),
+    first: str | None = None,
 ) -> DataFrame:
-    """Where the quantity before is 0, take it from the snapshot if that has the key."""
+    """Where the quantity before is 0, take it from the snapshot if that has the key.
+
+    A quantity that truly was 0 is replaced too, unless ``first`` names the column
+    that marks the events no other comes before: then only these are filled.
+    """
     known = snapshot.select(*keys, F.col("qty").alias("_snapshot"), F.lit(True).alias("_known"))
     joined = deltas.join(known, list(keys), "left")
-    use = (F.col("prev_qty") == 0) & F.col("_known")
+    use = (F.col(first) if first else F.col("prev_qty") == 0) & F.col("_known")
     filled = F.when(use, F.col("_snapshot")).otherwise(F.col("prev_qty"))
     return joined.withColumn("prev_qty", filled).drop("_snapshot", "_known")
 

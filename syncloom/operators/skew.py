@@ -66,11 +66,13 @@ def previous_value(
     name: str,
     hot_rows: int = HOT_ROWS,
     span: int = SLICE_SPAN,
+    first: str | None = None,
 ) -> DataFrame:
     """The value of the row before, per key; the default only where no row comes before.
 
     The first order column is a whole number, unique per key or nearly so; the
-    others break ties. Rows whose key has a NULL are never split.
+    others break ties. Rows whose key has a NULL are never split. ``first`` names
+    a column to add that is true for the rows that none comes before.
     """
     hot = hot_keys(df, keys, hot_rows)
     last = F.max_by(F.struct(F.col(value)), F.struct(*order)).alias("_last")
@@ -86,14 +88,12 @@ def previous_value(
     window = Window.partitionBy(*keys, _SLICE).orderBy(_REAL, *order)
     # The value before may be NULL; the flag before is NULL only where no row comes before.
     before = {name: F.lag(value, 1).over(window), _CARRY: F.lag(_REAL, 1).over(window)}
-    first = F.lit(default).cast(df.schema[value].dataType)
-    filled = F.when(F.col(_CARRY).isNull(), first).otherwise(F.col(name))
-    return (
-        led.withColumns(before)
-        .where(_REAL)
-        .withColumn(name, filled)
-        .drop(_SLICE, _REAL, _CARRY)
-    )
+    alone = F.col(_CARRY).isNull()
+    start = F.lit(default).cast(df.schema[value].dataType)
+    added = {name: F.when(alone, start).otherwise(F.col(name))}
+    if first:
+        added[first] = alone
+    return led.withColumns(before).where(_REAL).withColumns(added).drop(_SLICE, _REAL, _CARRY)
 
 
 def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

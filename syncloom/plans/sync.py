@@ -15,7 +15,7 @@ from syncloom.operators.upserts import advance_watermark
 from syncloom.plans.rebuild import snapshot_fingerprints
 from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, SKU_KEYS
 from syncloom.session import Workspace, together
-from syncloom.sinks.feeds import write_feed
+from syncloom.sinks.feeds import as_json, nest_json, nested_ddl, write_feed
 from syncloom.sources.feeds import read_json_feed
 from syncloom.sources.scans import forced_scan, interval_bounds, interval_scan
 from syncloom.state.store import StateStore
@@ -49,6 +49,8 @@ class Options:
     only_missing_skus: bool = False
     only_changed_sites: bool = False
     dedupe_queue: bool = False
+    fill_first_only: bool = False
+    nest_skus: bool = False
     site_mode: str = "union"
 
 
@@ -98,7 +100,7 @@ class SyncRun:
         )
         skus = self.sku_list(asset_changes, changed_assets, quantity_changes)
         together(
-            lambda: self.send("skus", self.sku_feed(skus)),
+            lambda: self.sku_feed(skus),
             lambda: self.bulk(quantity_changes, skus),
             lambda: self.assets(asset_changes, changed_assets, skus),
         )
@@ -116,13 +118,17 @@ class SyncRun:
         rows = interval_bounds(control, self.now).collect()
         return control, {row["source"]: (row["start"], row["end"]) for row in rows}
 
-    def send(self, name: str, feed: DataFrame) -> None:
+    def send(self, name: str, feed: DataFrame, nest_by: str | None = None) -> None:
         """Write a feed. Its rows come from staged tables: the test for none is cheap."""
-        path = write_feed(feed, self.out, name, self.run_id)
+        ddl, lines = feed.schema.toDDL(), as_json(feed)
+        if nest_by:
+            shape = ([nest_by], [c for c in feed.columns if c != nest_by], "items")
+            ddl = nested_ddl(feed, *shape)
+            lines = nest_json(feed, *shape).select(F.col("doc").alias("value"))
+        self.result.paths[name] = write_feed(lines, self.out, name, self.run_id, encoded=True)
         self.result.feeds[name] = read_json_feed(
-            self.spark, self.out, feed.schema.toDDL(), self.run_id, name, required=False
+            self.spark, self.out, ddl, self.run_id, name, required=False
         )
-        self.result.paths[name] = path
 
     def customer_sites(self) -> None:
         sites = self.inputs.customer_sites
@@ -169,9 +175,13 @@ class SyncRun:
         )
         history = qt.touched_history(events.select(*EVENT_KEYS, "qty"), due, SKU_KEYS)
         # Outside the interval no event is due, which spares most rows the join.
-        within = interval_scan(qt.quantity_delta(history), "synced_at", start, end)
+        first = "is_first" if self.options.fill_first_only else None
+        within = interval_scan(
+            qt.quantity_delta(history, first=first), "synced_at", start, end
+        )
         deltas = keep_matching(within, due, EVENT_KEYS)
-        filled = qt.fill_from_snapshot(deltas, self.commit.read("qty_snapshot_state"))
+        snapshot = self.commit.read("qty_snapshot_state")
+        filled = qt.fill_from_snapshot(deltas, snapshot, first=first)
         risen = qt.risen_quantities(filled, self.inputs.sku_master, self.inputs.active)
         risen = self.work.stage(risen, "risen_quantities")
         return self.work.stage(qt.mark_known_events(risen, state), "quantity_changes")
@@ -194,8 +204,9 @@ class SyncRun:
         skus = sk.resolve_skus(flagged, self.inputs.remote_skus_after)
         return self.work.stage(skus, "skus")
 
-    def sku_feed(self, skus: DataFrame) -> DataFrame:
-        return payloads.sku_payload(skus, self.now, self.options.only_missing_skus)
+    def sku_feed(self, skus: DataFrame) -> None:
+        feed = payloads.sku_payload(skus, self.now, self.options.only_missing_skus)
+        self.send("skus", feed, nest_by="HQLocationID" if self.options.nest_skus else None)
 
     def bulk(self, changes: DataFrame, skus: DataFrame) -> None:
         queue = self.commit.read("bulk_queue")

@@ -23,7 +23,7 @@ from syncloom.operators.matching import match_sites, matched_pairs
 from syncloom.plans import rebuild
 from syncloom.plans.sync import SOURCES, Inputs, Options, run_sync
 from syncloom.queries.standins import CUTOFF, EVENTS_FROM, EVENTS_TO, Standins, ntz
-from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, MASTER_KEYS, SKU_KEYS
+from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, FEEDS, MASTER_KEYS, SKU_KEYS
 from syncloom.sinks.feeds import nest_json, write_feed
 from syncloom.sources import feeds, scans
 from syncloom.state.store import StateStore
@@ -172,6 +172,13 @@ def snapshot_fallback(t: Standins) -> DataFrame:
     return _delta_columns(t.deltas)
 
 
+@query
+def snapshot_fallback_first(t: Standins) -> DataFrame:
+    """The same, for the first event of each key alone."""
+    deltas = qt.quantity_delta(t.qty_events, first="is_first")
+    return _delta_columns(qt.fill_from_snapshot(deltas, t.qty_snapshot, first="is_first"))
+
+
 @query
 def lookup_default(t: Standins) -> DataFrame:
     """Events with the cached quantity, 0 by default, and a flag."""
@@ -508,6 +515,23 @@ def export_roundtrip(t: Standins) -> DataFrame:
     return feeds.read_json_feed(t.spark, root, orders.schema.toDDL(), RUN_ID, "orders")
 
 
+@query
+def feed_remote_skus(t: Standins) -> DataFrame:
+    """The remote SKU list landed as a feed, read, and brought under our names."""
+    landing = t.work.path("landing")
+    day = ntz(RUN_TS)
+    sent = t.remote_skus.select(
+        F.col("sku_id").alias("ID"),
+        day.alias("DateAdded"),
+        day.alias("LastUpdated"),
+        F.col("location_id").alias("HQLocationID"),
+        F.col("upc").alias("UPC"),
+        F.col("product_id").alias("ProductID"),
+    )
+    write_feed(sent, landing, "skus", RUN_ID)
+    return feeds.remote_skus(feeds.read_json_feed(t.spark, landing, FEEDS["skus"], RUN_ID, "skus"))
+
+
 @query
 def customer_snapshot(t: Standins) -> DataFrame:
     """Customers fingerprinted, stored and read back."""

@@ -350,6 +350,11 @@ BODIES = {
           (SELECT ({KEY}) FROM qty_events
            WHERE synced_at BETWEEN TIMESTAMP '2024-01-20' AND TIMESTAMP '2024-01-21')""",
     "snapshot_fallback": f"SELECT {EVENT_KEY}, qty, prev_qty, {_RISE} FROM deltas",
+    "snapshot_fallback_first": f"""
+        SELECT {EVENT_KEY}, qty, prev_qty, {_RISE} FROM (
+            SELECT {EVENT_KEY}, l.qty, CASE WHEN l.number = 1 THEN s.qty ELSE l.prev_qty END AS prev_qty
+            FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY seq) AS number
+                  FROM lagged) l JOIN qty_snapshot s USING ({KEY}))""",
     "lookup_default": f"""
         SELECT {EVENT_KEY}, e.qty, coalesce(s.qty, 0) AS cached_qty, s.qty IS NOT NULL AS known
         FROM qty_events e LEFT JOIN event_state s USING ({EVENT_KEY})""",
@@ -445,6 +450,7 @@ BODIES = {
     "export_roundtrip": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS added FROM orders""",
+    "feed_remote_skus": "SELECT location_id, upc, product_id, sku_id FROM remote_skus",
     "customer_snapshot": "SELECT c_custkey, "
     + _hash(
         c_custkey=_text("c_custkey"), c_name="c_name", c_nationkey=_text("c_nationkey"),

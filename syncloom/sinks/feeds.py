@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from syncloom.operators.units import expand_units
 from syncloom.sources.feeds import feed_path
@@ -43,6 +43,12 @@ def nest_json(
     return nested.select(*parent, "part", F.to_json(F.struct(*parent, name)).alias("doc"))
 
 
+def nested_ddl(df: DataFrame, parent: Sequence[str], children: Sequence[str], name: str) -> str:
+    """The schema of the documents that ``nest_json`` makes of a table."""
+    items = T.ArrayType(T.StructType([df.schema[c] for c in children]))
+    return T.StructType([*[df.schema[c] for c in parent], T.StructField(name, items)]).toDDL()
+
+
 def as_json(df: DataFrame) -> DataFrame:
     """One JSON object per row, without the properties that are NULL."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))

@@ -29,6 +29,14 @@ def test_fallback_replaces_zero_only_where_the_snapshot_has_the_key(spark):
     assert values(filled, "branch", "seq", "prev_qty") == [("b", 1, 7), ("b", 2, 5), ("c", 1, 0)]
 
 
+def test_a_true_zero_stays_when_only_first_events_are_filled(spark):
+    events = log(spark, ("b", 1, 0), ("b", 2, 3))
+    snapshot = frame(spark, [("01", "b", 1, 5, 7)], f"{KEY}, qty decimal(6,0)")
+    deltas = qt.quantity_delta(events, first="is_first")
+    assert values(qt.fill_from_snapshot(deltas, snapshot, first="is_first"), "seq", "prev_qty") == [(1, 7), (2, 0)]
+    assert values(qt.fill_from_snapshot(deltas, snapshot), "seq", "prev_qty") == [(1, 7), (2, 7)]
+
+
 def changes(spark, events, state=None, active=("b",)):
     master = frame(
         spark, [("01", 1, 5, "Y"), ("01", 2, 5, "N")],

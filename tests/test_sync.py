@@ -2,9 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, frame, values
+from syncloom.plans.inputs import load_inputs
 from syncloom.plans.rebuild import rebuild
 from syncloom.plans.sync import Inputs, Options, run_sync
 from syncloom.schemas import SOURCE_COLUMNS
+from syncloom.sinks.feeds import write_feed
+from syncloom.sources.feeds import MissingFeed
 from syncloom.state.store import StateStore
 
 
@@ -176,3 +179,38 @@ def test_only_missing_skus_and_only_changed_sites(case):
     assert result.feeds["customer_sites"].isEmpty()
     always = run_sync(case.spark, inputs, case.store, at("2024-02-03"), "r3", case.out)
     assert values(always.feeds["customer_sites"], "CJID", "HQLocationID") == [(1, 100)]
+
+
+def test_inputs_from_source_tables_and_landed_feeds(case, spark, tmp_path):
+    def names(table):
+        return list(SOURCE_COLUMNS[table])
+
+    ours = case.inputs()
+    sources = {}
+    for name in ("assets", "qty_events", "qty_snapshot", "sku_master"):
+        sources[name] = getattr(ours, name).toDF(*names(name))
+    landing = f"{tmp_path}/landing"
+    sku_ddl = "ID bigint, HQLocationID bigint, UPC string, ProductID string"
+    skus = spark.createDataFrame(FIRST_SKUS, sku_ddl)
+    write_feed(spark.createDataFrame([(1, "b1 "), (2, "b2")], "ID bigint, PC string"), landing, "branches", "s1")
+    write_feed(skus, landing, "skus", "s1")
+    items = spark.createDataFrame([(1, 71, "C_00b1_3")], "HQLocationID bigint, HQSKUID bigint, AssetID string")
+    write_feed(items, landing, "items", "s1")
+    with pytest.raises(MissingFeed):
+        load_inputs(spark, sources, landing, "s1")
+    write_feed(skus, landing, "skus_refreshed", "s1")
+    sent = case.run("r1", "2024-02-01", load_inputs(spark, sources, landing, "s1"))
+    assert sent["assets"] == [(70, "a1", "s1")]
+    assert sent["units"] == [(71, f"C_00b1_{n}") for n in range(4, 9)]
+
+
+def test_nested_sku_feed_and_first_only_fallback(case):
+    result = run_sync(
+        case.spark, case.inputs(), case.store, at("2024-02-01"), "r1", case.out,
+        Options(nest_skus=True, fill_first_only=True),
+    )
+    rows = result.feeds["skus"].selectExpr("HQLocationID", "inline(items)")
+    assert values(rows, "HQLocationID", "SKUListType") == [
+        (1, "009-0005"), (1, "009-0006"), (2, "009-0006"), (2, "009-0007")
+    ]
+    assert result.feeds["skus"].count() == 2
