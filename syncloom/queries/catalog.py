@@ -471,8 +471,9 @@ def prior_attributes(t: Standins) -> DataFrame:
 def asset_payload(t: Standins) -> DataFrame:
     """Changed assets as they are sent."""
     ready = sk.resolved(t.resolved, is_bulk=False)
+    sendable = t.stage(_settled(t)[0], "sendable")
     return payloads.asset_payload(
-        _settled(t)[0], t.assets, t.active, ready, _prior(t), ntz(RUN_TS)
+        sendable, t.assets, t.active, ready, _prior(t), ntz(RUN_TS)
     )
 
 

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # A run has some hundreds of generated stages; keep them compiled for the next run.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
