@@ -17,7 +17,7 @@ SITE_RULES = (
 
 
 def site_columns(address2: str = "address2") -> dict:
-    """The columns of a site as the remote side wants them."""
+    """The columns of a site under the remote side's names, which are fixed values."""
     text = {
         "CompanyCode": "company",
         "AccountNumber": "account",

@@ -1,4 +1,4 @@
-"""Rows of the feeds that go out."""
+"""Rows of the feeds that go out. Their column names are fixed values that receivers rely on."""
 
 from __future__ import annotations
 

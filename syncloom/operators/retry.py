@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncloom.functions.keys import product_id, upc
+from syncloom.functions.keys import number_key, product_id, upc
 from syncloom.operators.joins import exclude, in_active_branches, keep_matching
 from syncloom.operators.skus import resolved, unresolved
 from syncloom.schemas import ASSET_KEYS, REASON_SKU_MISSING, SKU_KEYS, STATE, conform
@@ -125,8 +125,8 @@ def settle_assets(
     numeric = resolved(skus).select(*SKU_KEYS)
     waiting = unsent(queue).withColumns(
         {
-            "category": F.col("category").try_cast("decimal(3,0)"),
-            "class_code": F.col("class_code").try_cast("decimal(4,0)"),
+            "category": number_key(F.col("category"), 3),
+            "class_code": number_key(F.col("class_code"), 4),
         }
     )
     asked = keep_matching(waiting, remaining, ASSET_KEYS, unique=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from syncloom.functions.keys import product_id, sku_label, upc
+from syncloom.functions.keys import number_key, product_id, sku_label, upc
 from syncloom.operators.joins import enrich, exclude, keep_matching, with_branch_id
 from syncloom.schemas import ACTION_ADD, ACTION_IDLE, ASSET_KEYS, MASTER_KEYS, SKU_KEYS
 
@@ -63,8 +63,8 @@ def skus_of_queued_assets(
     keys = _queued(queue, include_sent).select(
         "company",
         "branch",
-        F.col("category").try_cast("decimal(3,0)").alias("category"),
-        F.col("class_code").try_cast("decimal(4,0)").alias("class_code"),
+        number_key(F.col("category"), 3).alias("category"),
+        number_key(F.col("class_code"), 4).alias("class_code"),
     )
     return _derive(exclude(keys, listed, SKU_KEYS), sku_master, active, bulk=False)
 

@@ -12,13 +12,13 @@ MASTER_KEYS = ["company", "category", "class_code"]
 
 DEFAULT_COMPANY = "01"
 
-# Fixed values that receivers of the feeds rely on.
+# Codes that receivers of the feeds rely on.
 ACTION_IDLE, ACTION_ADD, ACTION_UPDATE, ACTION_DELETE = 0, 1, 2, 3
 REASON_UNKNOWN, REASON_SKU_MISSING = 0, 1
 STATUS_RECEIVE = "RC"
 NEW, UPD, DEL = "NEW", "UPD", "DEL"
 
-# Source column names of the ERP tables and the names used in this library.
+# Column names of the source tables, with the names and types used here.
 SOURCE_COLUMNS = {
     "assets": {
         "EMCMP": "company string",
@@ -82,7 +82,7 @@ SOURCE_COLUMNS = {
     },
 }
 
-# Fields of the JSON feeds that come in.
+# Fields of the JSON feeds that come in.
 FEEDS = {
     "branches": "ID bigint, PC string",
     "skus": (

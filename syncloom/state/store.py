@@ -22,8 +22,10 @@ from syncloom.schemas import STATE, STATE_KEYS, conform
 from syncloom.session import no_rows, together
 
 MANIFEST = "table string, position int, path string"
-# A table of more folders than this is rewritten as one.
-MAX_FOLDERS = 16
+# Tables of more folders than these are rewritten as one: those that merge changed rows
+# when read, and those that only grow, which are as large as a log.
+MAX_CHANGES = 32
+MAX_APPENDS = 1000
 
 _POSITION = "_position"
 
@@ -117,15 +119,16 @@ class Commit:
     def append(self, table: str, df: DataFrame) -> None:
         """The table has these rows too; what it held is rewritten only once in a while."""
         kept = self.before.get(table, [])
-        if len(kept) < MAX_FOLDERS:
+        if len(kept) < MAX_APPENDS:
             self._add(table, df, kept)
         else:
-            self._add(table, self.read(table).unionByName(conform(df, self.store.tables[table])), [])
+            rows = conform(df, self.store.tables[table])
+            self._add(table, self.read(table).unionByName(rows), [])
 
     def change(self, table: str, df: DataFrame) -> None:
         """The table has these rows in place of those it held under their keys."""
         kept = self.before.get(table, [])
-        if len(kept) < MAX_FOLDERS:
+        if len(kept) < MAX_CHANGES:
             self._add(table, df, kept)
         else:
             self._add(table, upsert(self.read(table), df, self.store.keys[table]), [])

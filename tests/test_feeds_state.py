@@ -12,6 +12,7 @@ from syncloom.schemas import FEEDS
 from syncloom.session import Workspace, shared_dir
 from syncloom.sinks.feeds import nest_json, write_feed
 from syncloom.sources import feeds
+from syncloom.state import store as state_store
 from syncloom.state.store import StateStore
 
 
@@ -140,11 +141,13 @@ def test_state_is_published_together_and_old_versions_stay_readable(spark, tmp_p
     assert values(second.read("kept")) == [(1, "a")]
 
 
-def test_changed_rows_replace_those_of_their_key(spark, tmp_path):
+def test_changed_rows_replace_those_of_their_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_store, "MAX_CHANGES", 5)
+    monkeypatch.setattr(state_store, "MAX_APPENDS", 7)
     store = StateStore(spark, str(tmp_path), TABLES, keys={"kept": ["id"]})
     expected = {}
     # More runs than folders are kept, so that the table is rewritten once.
-    for run in range(20):
+    for run in range(13):
         rows = [(run % 4, f"v{run}"), (10 + run, "new")]
         commit = store.begin(f"run {run}:00")
         commit.change("kept", table(spark, *rows))
@@ -152,8 +155,9 @@ def test_changed_rows_replace_those_of_their_key(spark, tmp_path):
         commit.publish()
         expected.update(rows)
     assert values(store.read("kept")) == sorted(expected.items(), key=repr)
-    assert values(store.read("log")) == sorted([(n,) for n in range(20)], key=repr)
-    assert len(store._latest()[1]["kept"]) < 17
+    assert values(store.read("log")) == sorted([(n,) for n in range(13)], key=repr)
+    folders = store._latest()[1]
+    assert len(folders["kept"]) <= 5 and len(folders["log"]) <= 7
     assert store.published("run 3:00") and not store.published("run 20:00")
 
 
