@@ -69,9 +69,10 @@ class Workspace:
     planner true sizes, so that it broadcasts a side only when that side is small.
     """
 
-    def __init__(self, spark: SparkSession, run_id: str | None = None):
+    def __init__(self, spark: SparkSession, name: str = "run"):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{run_id or uuid.uuid4().hex}"
+        # A folder of its own, also for a run that starts over while the first may linger.
+        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
