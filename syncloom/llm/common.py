@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 #: White space of the word rules: space, tab, line feed, vertical tab, form feed, return.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
+#: A written table is broadcast when it has at most so many bytes, and joined by a shuffle beyond.
+BROADCAST_BYTES = 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -78,6 +80,21 @@ def packed(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.struct(*map(named, df.columns)).alias(name))
 
 
+def row_key(key: Column, text: Column) -> Column:
+    """16 bytes that stand for a row's id and text. Rows that agree in both share all results."""
+    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (key, text)]
+    return F.unhex(F.md5(F.concat_ws("\x01", *parts)))
+
+
+def small(df: DataFrame, columns: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The written table with a broadcast hint if its rows are shown to fit the limit."""
+    width = F.lit(64)
+    for c in columns:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def white_words(text: Column) -> Column:
     """The runs of other characters than white space; none for null."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE))

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from syncloom.llm.common import Scratch, ascii_lower, fresh, named, packed
+from syncloom.llm.common import (
+    Scratch,
+    ascii_lower,
+    fresh,
+    named,
+    packed,
+    row_key,
+    small,
+)
 
 #: Words are runs of a-z, 0-9 and all characters beyond ASCII, after A-Z became lower case.
 BREAK_RUN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -12,8 +20,6 @@ BREAKS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
 WINDOW = 13
 #: So many of a window's rarest words are looked up.
 DEPTH = 3
-#: The term table is broadcast when it has at most so many bytes, and joined by a shuffle beyond.
-BROADCAST_BYTES = 32 << 20
 
 
 def terms(text: Column) -> Column:
@@ -24,19 +30,6 @@ def terms(text: Column) -> Column:
     )
 
 
-def row_key(key: Column, text: Column) -> Column:
-    """16 bytes that stand for a row's id and text. Rows that agree in both share all results."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (key, text)]
-    return F.unhex(F.md5(F.concat_ws("\x01", *parts)))
-
-
-def small(df: DataFrame, columns: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The written table with a broadcast hint if its rows are shown to fit the limit."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(64))
-    size = df.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df
-
-
 def item_words(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """(item_key, item_id, words): one row per id and text; items without id or words are left out."""
     found = items.select(

@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncloom.llm import decontamination, mixing, quality_rules, sharding
-from syncloom.llm.common import count_white_words
+import corpus_pipeline
+from syncloom.llm import (
+    decontamination,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    quality_model,
+    quality_rules,
+    sharding,
+    token_blocks,
+)
+from syncloom.llm.common import Scratch, count_white_words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 N_SHARDS = 40
 MIX_CYCLE = (5.0, 2.0, 1.0)
 MIX_TOTAL, MIX_EPOCHS = 1.5, 2.0
+VOCABULARY, END_ID = "byte_bpe_50k.json", 2
+GOOD_SCORE = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +52,38 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = f"{Scratch(spark, 'tokens').root}/segments"
+    token_blocks.write_tokens(docs, path, public_tokenizers.path(VOCABULARY), END_ID)
+    return token_blocks.read_documents(spark, path)
+
+
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    learnt = ~quality_model.held_out(F.col("doc_id"))
+    trusted = labels.where(learnt & (F.col("quality") == 1)).select("doc_id")
+    rejected = labels.where(learnt & (F.col("quality") == 0)).select("doc_id")
+    model = quality_model.fit(docs.where(learnt), trusted, rejected)
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        quality_model.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"),
+    )
+
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = jaccard_join.similar(docs)
+    return found.select(
+        "doc_id", "similar.n_shingles", F.col("similar.component").alias("component_id")
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -79,9 +123,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("quality")[n].alias(n) for n in names])
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.line_bitmaps(docs)
+    return found.select(
+        "doc_id",
+        "lines.n_lines",
+        "lines.n_dropped",
+        F.sha2(F.encode(line_dedup.kept_text(found), "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op3_token_blocks": op3_token_blocks,
+    "op4_quality_model": op4_quality_model,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
+    "pipeline": pipeline,
 }

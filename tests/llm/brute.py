@@ -128,3 +128,21 @@ def targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def windows_of(text: str | None) -> set[tuple]:
+    words = TERM.findall((text or "").translate(LOWER))
+    return {tuple(words[i : i + 13]) for i in range(max(len(words) - 12, 1) if words else 0)}
+
+
+def hits_of(text: str | None, items: list[tuple[str, set[tuple]]]) -> tuple:
+    words = TERM.findall((text or "").translate(LOWER))
+    hit, seen = set(), set()
+    for item, windows in items:
+        for window in windows:
+            n = len(window)
+            for i in range(len(words) - n + 1):
+                if tuple(words[i : i + n]) == window:
+                    hit.update(range(i, i + n))
+                    seen.add(item)
+    return len(words), len(hit), sorted(seen), bool(hit) and 20 * len(hit) >= len(words)
