@@ -8,16 +8,16 @@ from syncloom.llm.common import Scratch
 
 
 def _jump(parents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, parent) with every parent replaced by the root of its tree."""
+    """(node, parent) with every parent replaced by the root of its tree, three levels at a time."""
     while True:
-        step = scratch.write(
+        up = (
             parents.alias("n")
             .join(parents.alias("p"), F.col("n.parent") == F.col("p.node"), "left")
-            .select(
-                "n.node",
-                F.coalesce("p.parent", "n.parent").alias("parent"),
-                (F.col("p.parent") < F.col("n.parent")).alias("moved"),
-            ),
+            .join(parents.alias("q"), F.col("p.parent") == F.col("q.node"), "left")
+        )
+        top = F.coalesce("q.parent", "p.parent", "n.parent")
+        step = scratch.write(
+            up.select("n.node", top.alias("parent"), (top < F.col("n.parent")).alias("moved")),
             "jump",
         )
         parents = step.select("node", "parent")

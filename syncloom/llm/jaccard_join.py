@@ -9,8 +9,9 @@ result is the component of each document.
 2. In that order a class shows its first (1 - t) n + 1 shingles: two classes that link have one of
    them in common. Shingles are dealt out in ranges; those of one class alone go no further.
 3. Classes that a shingle brings together are a tile, cut by size bands: linked sizes lie in one
-   band or in two next to each other. Each class carries a bitmap of its hashes. Bits that only one
-   side has stand for different shingles, which bounds the overlap from above.
+   band or in two next to each other. Each class carries bitmaps of its hashes, a small one in the
+   tiles and a larger one for the pairs that come out of them. Bits that only one side has stand
+   for different shingles, which bounds the overlap from above.
 4. First only neighbours by size in a tile are paired, which joins nearly all of a group of copies
    by as many pairs as it has rows. Tiles whose classes are one component by then need no more
    pairs. In the others, classes of different components are compared, in blocks.
@@ -38,23 +39,9 @@ SHINGLE, PERCENT = 5, 80
 FREQUENT = 1 << 16
 #: A tile with more classes is compared block by block.
 BLOCK = 2048
-#: Partners of a class that the first exact round takes; later rounds double it.
-FIRST_PARTNERS = 2
+#: Partners of a class that the first exact round takes; later rounds take four times as many.
+FIRST_PARTNERS = 16
 
-_MIX = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 for i in range(64)], dtype=np.uint64)
-
-
-class _Hashes(dict):
-    """Hashes of words that have come up; emptied at 300,000."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -66,20 +53,26 @@ def _finish(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: An odd multiplier for each place of a shingle; unrelated ones, so that no swap of words cancels.
+_MIX = _finish(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def shingle_set(text: bytes | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the shingles; bytes lower and split as the contract's words."""
     words = text.lower().split() if text else []
     n = len(words)
     if not n:
         return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=n)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=n)
     size = min(n, width)
     total = np.full(n - size + 1, size, dtype=np.uint64)
     for i in range(size):
         total += hashes[i : n - size + 1 + i] * _MIX[i]
-        total ^= total >> np.uint64(29)
-        total *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique(_finish(total))
+    found = _finish(total)
+    found.sort()
+    new = np.ones(len(found), dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found if new.all() else found[new]
 
 
 def set_key(shingles: np.ndarray) -> bytes:
@@ -129,29 +122,24 @@ def index_length(n: int, percent: int) -> int:
     return n - -(-2 * percent * n // (100 + percent)) + 1
 
 
-def bitmap_bits(n: int) -> int:
-    """A power of two of about four bits for each shingle."""
-    return min(1 << 15, max(64, 1 << (4 * n - 1).bit_length()))
+def bitmap_bits(n: int, each: int = 4) -> int:
+    """A power of two of `each` bits or more for each shingle, 32,768 at most."""
+    return min(1 << 15, max(64, 1 << (each * n - 1).bit_length()))
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = bitmap_bits(len(shingles))
+def bitmap(shingles: np.ndarray, bits: int = 0) -> np.ndarray:
+    bits = bits or bitmap_bits(len(shingles))
     flags = np.zeros(bits, dtype=np.uint8)
     flags[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").view(np.uint64)
 
 
-def band(n, percent: int):
-    """Sizes that can link lie in one band or in neighbours."""
-    return np.floor(np.log(n) / math.log(100 / percent) + 1e-9).astype(np.int64)
-
-
 def _profile(
     batches: Iterator[pa.RecordBatch], width: int, percent: int, frequent: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
     """For the row that stands for each class: its bitmap and its first shingles."""
     for batch in batches:
-        ids, bitmaps, prefixes, kept = [], [], [], []
+        ids, bitmaps, marks, prefixes, kept = [], [], [], [], []
         for node, key, text in zip(
             batch.column("node").to_pylist(), batch.column("key").to_pylist(), _texts(batch), strict=True
         ):
@@ -166,12 +154,14 @@ def _profile(
             ids.append(node)
             kept.append(len(shingles))
             bitmaps.append(bitmap(shingles).tobytes())
+            marks.append(bitmap(shingles, bitmap_bits(len(shingles), 1)).tobytes())
             prefixes.append(first.view(np.int64))
         yield pa.RecordBatch.from_pydict(
             {
                 "node": pa.array(ids, pa.int64()),
                 "n": pa.array(kept, pa.int32()),
                 "bits": pa.array(bitmaps, pa.binary()),
+                "mark": pa.array(marks, pa.binary()),
                 "prefix": pa.array(prefixes, pa.list_(pa.int64())),
             }
         )
@@ -251,10 +241,9 @@ def _bound_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
     """Of pairs (a, b) with sizes and bitmaps, those that may link, with their bound."""
     for batch in batches:
         na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
-        bound = np.zeros(len(na), dtype=np.int64)
-        for i, (x, y) in enumerate(zip(_words(batch.column("bits_a")), _words(batch.column("bits_b")), strict=True)):
-            size = min(len(x), len(y))
-            bound[i] = overlap_bound(_fold(x, size), _fold(y, size), na[i], nb[i])
+        bits = _words(batch.column("bits_a")) + _words(batch.column("bits_b"))
+        i = np.arange(len(na))
+        bound = _folded_bounds(bits, i, i + len(na), np.concatenate([na, nb]))
         mask = pa.array(bound >= needed(na, nb, percent))
         yield pa.RecordBatch.from_pydict(
             {
@@ -265,66 +254,101 @@ def _bound_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
         )
 
 
-def _tile_pairs(tile: dict[str, np.ndarray], bits: list[np.ndarray], percent: int):
-    """Pairs of a tile that may link and whose components differ; visitors meet no visitors."""
-    n = tile["n"].astype(np.int64)
-    order = np.argsort(n, kind="stable")
-    n, node, component = n[order], tile["node"][order], tile["component"][order]
-    home, block = tile["home"][order], tile["block"][order]
-    place = tile["place"][order]
-    size = min(len(bits[i]) for i in order)
-    folded = np.stack([_fold(bits[i], size) for i in order])
-    split = len(np.unique(block)) > 1
-    index = np.array([index_length(int(x), percent) for x in n])
-    for i in range(len(n) - 1):
-        last = np.searchsorted(n, n[i] * 100 // percent, side="right")
-        if place[i] >= index[i]:
-            continue  # as the smaller one it needs to be met by its index part only
-        j = np.arange(i + 1, last)
-        ok = (component[j] != component[i]) & (home[j] | home[i])
-        if split:
-            ok &= block[j] != block[i]
-        j = j[ok]
-        if len(j):
-            bound = overlap_bound(folded[i], folded[j], n[i], n[j])
-            good = bound >= needed(n[i], n[j], percent)
-            for k, x in zip(j[good], bound[good], strict=True):
-                a, b = sorted((int(node[i]), int(node[k])))
-                yield a, b, int(x * 1000 // (n[i] + n[k] - x))
+def _folded_bounds(bits: list[np.ndarray], i, j, n) -> np.ndarray:
+    """Overlap bounds of the pairs (i, j) of rows, in pieces of a few megabytes."""
+    lengths = np.array([len(b) for b in bits])
+    size = np.minimum(lengths[i], lengths[j])
+    bound = np.zeros(len(i), dtype=np.int64)
+    for s in np.unique(size):
+        pairs = np.flatnonzero(size == s)
+        used = np.unique(np.concatenate([i[pairs], j[pairs]]))
+        table = np.stack([_fold(bits[r], s) for r in used])
+        step = max(1, (1 << 19) // int(s))
+        for start in range(0, len(pairs), step):
+            part = pairs[start : start + step]
+            x, y = np.searchsorted(used, i[part]), np.searchsorted(used, j[part])
+            bound[part] = overlap_bound(table[x], table[y], n[i[part]], n[j[part]])
+    return bound
+
+
+def _tile_pairs(rows: pa.Table, percent: int) -> pa.RecordBatch | None:
+    """Pairs of whole tiles that may link and whose components differ.
+
+    Rows are sorted by tile and size. Row r meets row r + d for d = 1, 2, ... as long as that row
+    is of its tile and not too large; both only end once, so the rows that go on get fewer. Visitors
+    meet no visitors, and rows of a tile of two blocks meet the other block only.
+    """
+    column = lambda name: rows.column(name).to_numpy()
+    tiles = np.stack([column(c).astype(np.int64) for c in ("shingle", "band", "left", "right")])
+    number = np.cumsum(np.concatenate([[0], np.any(tiles[:, 1:] != tiles[:, :-1], axis=0)]))
+    n, node, component = column("n").astype(np.int64), column("node"), column("component")
+    home, block = column("home").astype(bool), column("block")
+    split = column("left") != column("right")
+    # As the smaller one of a pair a row needs to be met by its index part only.
+    index = n - -(-2 * percent * n // (100 + percent)) + 1
+    shows = column("place") < index
+    bits = _words(rows.column("mark").combine_chunks())
+    found: set[tuple[int, int, int]] = set()
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def flush():
+        if not waiting:
+            return
+        i, j = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        waiting.clear()
+        low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        _, once = np.unique(np.stack([low, high]), axis=1, return_index=True)
+        i, j, low, high = i[once], j[once], low[once], high[once]
+        bound = _folded_bounds(bits, i, j, n)
+        good = bound >= needed(n[i], n[j], percent)
+        share = bound[good] * 1000 // (n[i][good] + n[j][good] - bound[good])
+        found.update(zip(low[good].tolist(), high[good].tolist(), share.tolist(), strict=True))
+
+    active, d, pending = np.flatnonzero(shows), 1, 0
+    while len(active):
+        active = active[active + d < len(n)]
+        other = active + d
+        goes_on = (number[active] == number[other]) & (100 * n[active] >= percent * n[other])
+        active, other = active[goes_on], other[goes_on]
+        meet = (component[active] != component[other]) & (home[active] | home[other])
+        meet &= ~split[active] | (block[active] != block[other])
+        if meet.any():
+            waiting.append((active[meet], other[meet]))
+            pending += int(meet.sum())
+            if pending > 500_000:
+                flush()
+                pending = 0
+        d += 1
+    flush()
+    if not found:
+        return None
+    a, b, bound = (list(x) for x in zip(*sorted(found), strict=True))
+    return pa.RecordBatch.from_pydict(
+        {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "bound": pa.array(bound, pa.int32())}
+    )
 
 
 def _compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Tiles come one after the other; one is held at a time, of two blocks at most."""
-    names = ("node", "n", "place", "component", "home", "block")
-    held: list[tuple] = []
-    current = None
-
-    def finish():
-        tile = {k: np.concatenate([h[0][k] for h in held]) for k in names}
-        bits = [w for h in held for w in h[1]]
-        pairs = set(_tile_pairs(tile, bits, percent))
-        if pairs:
-            a, b, bound = (list(x) for x in zip(*sorted(pairs), strict=True))
-            yield pa.RecordBatch.from_pydict(
-                {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "bound": pa.array(bound, pa.int32())}
-            )
-
+    """Whole tiles at a time; what is held is a batch and one tile, of two blocks at most."""
+    tile = ("shingle", "band", "left", "right")
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        tiles = np.stack([batch.column(c).to_numpy() for c in ("shingle", "band", "left", "right")])
-        change = np.flatnonzero(np.any(tiles[:, 1:] != tiles[:, :-1], axis=0)) + 1
-        for start, end in zip([0, *change], [*change, batch.num_rows], strict=True):
-            key = tuple(tiles[:, start].tolist())
-            if key != current and held:
-                yield from finish()
-                held = []
-            current = key
-            part = batch.slice(start, end - start)
-            columns = {k: part.column(k).to_numpy(zero_copy_only=False) for k in names}
-            held.append((columns, _words(part.column("bits"))))
-    if held:
-        yield from finish()
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in tile])
+        last = keys[:, -1]
+        # The last tile may go on in the next batch.
+        start = int(np.argmax(np.all(keys == last[:, None], axis=0)))
+        before = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in tile] if held else None
+        if start or (before is not None and before != last.tolist()):
+            done = [*held, batch.slice(0, start)]
+            if (pairs := _tile_pairs(pa.Table.from_batches(done), percent)) is not None:
+                yield pairs
+            held = [batch.slice(start)]
+        else:
+            held.append(batch)
+    if held and (pairs := _tile_pairs(pa.Table.from_batches(held), percent)) is not None:
+        yield pairs
 
 
 def _exact(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -466,26 +490,36 @@ class _Join:
             {"own": own, "block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")}
         )
         # At home in its band, a visitor in the next; a large tile is met by pairs of blocks.
-        banded = rows.withColumn("band", F.explode(F.array("own", F.col("own") + 1)))
+        index = F.col("n") - F.ceil(F.col("n") * (2 * percent) / F.lit(100 + percent)) + 1
         others = F.sequence(F.lit(0), F.col("blocks") - 1)
+        tile = ["shingle", "band", "left", "right"]
         dealt = (
-            banded.withColumn("other", F.explode(others))
+            rows.withColumn("band", F.explode(F.array("own", F.col("own") + 1)))
+            .withColumn("home", F.col("band") == F.col("own"))
+            # A visitor is the smaller one of its pairs, so its index part will do.
+            .where(F.col("home") | (F.col("place") < index))
+            .withColumn("other", F.explode(others))
             .withColumns(
-                {
-                    "left": F.least("block", "other"),
-                    "right": F.greatest("block", "other"),
-                    "home": F.col("band") == F.col("own"),
-                }
+                {"left": F.least("block", "other"), "right": F.greatest("block", "other")}
             )
-            .select("shingle", "band", "left", "right", "node", "n", "place", "component", "home", "block")
+            .select(*tile, "node", "n", "place", "component", "home", "block")
         )
-        with_bits = dealt.join(profiles.select("node", "bits"), "node")
-        tile = ["shingle", "band", "left", "right"]
+        # Only tiles that hold two components go on, and only their rows get bitmaps.
+        mixed = (
+            dealt.groupBy(*tile)
+            .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+            .where(F.col("_low") < F.col("_high"))
+            .select(*tile)
+        )
+        dealt = self.scratch.write(dealt.join(mixed, tile, "left_semi"), "dealt")
+        marks = self.scratch.write(profiles.select("node", "mark"), "marks")
         return (
-            with_bits.repartition(*tile)
-            .sortWithinPartitions(*tile)
-            .select(*tile, "node", "n", "place", "component", "home", "block", "bits")
+            dealt.join(small(marks, ["mark"]), "node")
+            .repartition(*tile)
+            .sortWithinPartitions(*tile, "n", "node")
+            .select(*tile, "node", "n", "place", "component", "home", "block", "mark")
             .mapInArrow(lambda x: _compare_tiles(x, percent), "a long, b long, bound int")
+            .select("a", "b")
             .distinct()
         )
 
@@ -514,8 +548,9 @@ class _Join:
         sets = self.sets_for(near, classes)
         linked = write(self.verify(near, sets), "linked")
         labels = write(components(linked, self.scratch), "components")
-        pairs = write(self.cross_pairs(tiles, profiles, labels), "pairs")
-        pairs = write(pairs.join(near, ["a", "b"], "left_anti"), "untested")
+        crossing = write(self.cross_pairs(tiles, profiles, labels), "crossing")
+        fresh_pairs = crossing.join(near, ["a", "b"], "left_anti")
+        pairs = write(self.bound(fresh_pairs, profiles), "untested")
         partners = FIRST_PARTNERS
         while not pairs.isEmpty():
             chosen = write(self.best(pairs, partners), "chosen")
@@ -524,7 +559,7 @@ class _Join:
             labels = write(components(linked, self.scratch), "components")
             rest = pairs.join(chosen, ["a", "b"], "left_anti")
             pairs = write(self.apart(rest, labels), "untested")
-            partners *= 2
+            partners *= 4
         return labels
 
 
@@ -560,7 +595,7 @@ def similar(
     profiles = join.of_class(
         classes,
         lambda b: _profile(b, width, percent, frequent),
-        "node long, n int, bits binary, prefix array<long>",
+        "node long, n int, bits binary, mark binary, prefix array<long>",
         "profiles",
     )
     labels = join.links(classes, profiles)

@@ -29,16 +29,18 @@ def line_key(line: Column) -> Column:
 
 
 def line_rows(docs: DataFrame, key: str, text: str, least_chars: int) -> DataFrame:
-    """(hash, doc_id, doc_key, position, n_lines): the lines whose key is long enough."""
-    lines = F.split(F.coalesce(named(text), F.lit("")), "\n")
-    cut = docs.select(
+    """(hash, doc_id, doc_key, position): the lines whose key is long enough."""
+    # Keys first: what stands beside an explode is computed for every line.
+    keyed = docs.select(
         named(key).alias("doc_id"),
         row_key(named(key), named(text)).alias("doc_key"),
-        F.size(lines).alias("n_lines"),
-        F.posexplode(lines).alias("position", "line"),
+        F.split(F.coalesce(named(text), F.lit("")), "\n").alias("lines"),
+    )
+    cut = keyed.select(
+        "doc_id", "doc_key", F.posexplode("lines").alias("position", "line")
     ).withColumn("line", line_key(F.col("line")))
     return cut.where(F.char_length("line") >= least_chars).select(
-        F.unhex(F.md5("line")).alias("hash"), "doc_id", "doc_key", "position", "n_lines"
+        F.unhex(F.md5("line")).alias("hash"), "doc_id", "doc_key", "position"
     )
 
 

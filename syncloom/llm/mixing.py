@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from syncloom.llm.common import Scratch, count_white_words, fresh, leading, named, packed, seeded
+from syncloom.llm.common import (
+    Scratch,
+    count_white_words,
+    fresh,
+    leading,
+    named,
+    packed,
+    running_offsets,
+    seeded,
+)
 
 #: Hex digits of the seeded digest that make a bucket: 65,536 buckets for each source.
 BUCKET_DIGITS = 4
@@ -111,9 +120,7 @@ def mix(
     sums = rows.groupBy(named(source).alias("source"), named(bucket).alias("bucket")).agg(
         F.sum(named(n)).alias("words")
     )
-    order = Window.partitionBy("source").orderBy("bucket")
-    upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    running = sums.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
+    running = running_offsets(sums, ["source"], "bucket", "words", "before", span=256)
     joined = running.alias("r").join(
         plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))
     )
@@ -144,7 +151,8 @@ def mix(
     placed = rows.join(packed(steps, side), named(source).eqNullSafe(step["source"]), "left")
     at_cut = F.coalesce(named(bucket) == step["cut"], F.lit(False))
     apart = placed.where(~at_cut).withColumn(
-        extra, F.coalesce((named(bucket) < step["cut"]).cast("int"), F.lit(0))
+        extra,
+        F.coalesce(((named(bucket) < step["cut"]) & (step["fraction"] > 0)).cast("int"), F.lit(0)),
     )
     everything = F.xxhash64(*map(named, own))
     in_order = Window.partitionBy(named(source)).orderBy(named(digest), named(n), named(tie))
@@ -153,7 +161,7 @@ def mix(
         F.sum(named(n)).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     middle = 2 * (step["cut_before"] + words_before) + named(n)
-    ending = ending.withColumn(extra, (middle <= 2 * step["fraction"]).cast("int")).drop(tie)
+    ending = ending.withColumn(extra, ((middle <= 2 * step["fraction"]) & (step["fraction"] > 0)).cast("int")).drop(tie)
 
     both = apart.unionByName(ending)
     copies = F.coalesce(step["whole"] + named(extra), F.lit(0))

@@ -10,10 +10,12 @@ import corpus_pipeline
 from syncloom.llm import (
     decontamination,
     jaccard_join,
+    licenses,
     line_dedup,
     mixing,
     quality_model,
     quality_rules,
+    quotes,
     sharding,
     token_blocks,
 )
@@ -52,6 +54,17 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = licenses.known_texts(spark)
+    found = licenses.scan(docs, known, unit="line")
+    return found.select(
+        "doc_id",
+        "licenses.n_matches",
+        F.array_join(F.col("licenses.licenses"), ",").alias("licenses"),
+    )
+
+
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -113,6 +126,21 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = table(spark, sf_dir, "conversations")
+    found = quotes.link_quotes(messages)
+    return found.select(
+        "conv_id",
+        "turn",
+        "role",
+        "reply.reply_to",
+        "reply.thread",
+        "reply.n_quoted",
+        "reply.deepest",
+        "reply.body",
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules.judge(docs)
@@ -140,11 +168,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_license_scan": op2_license_scan,
     "op3_token_blocks": op3_token_blocks,
     "op4_quality_model": op4_quality_model,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
+    "op8_quotes": op8_quotes,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
     "pipeline": pipeline,
