@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from syncloom.functions.keys import branch_code
@@ -45,10 +47,16 @@ def _comparable(df: DataFrame, keys) -> DataFrame:
     return df.withColumn("account", F.col("account").cast("string")) if "account" in keys else df
 
 
+def _rule_columns(remote: DataFrame) -> DataFrame:
+    """The remote list with the columns that rules ask for, each combination once."""
+    coded = remote.withColumn("branch", branch_code(F.col("branch_name")))
+    names = dict.fromkeys(k for keys in SITE_RULES for k in keys)
+    return coded.select(*names, "location_id").distinct()
+
+
 def _locations(remote: DataFrame, keys) -> DataFrame:
     """Distinct keys and locations: remote sites that share a location do not multiply rows."""
-    coded = remote.withColumn("branch", branch_code(F.col("branch_name")))
-    return coded.select(*keys, "location_id").distinct()
+    return remote.select(*keys, "location_id").distinct()
 
 
 def _by_rule(sites: DataFrame, remote: DataFrame, keys) -> DataFrame:
@@ -58,15 +66,24 @@ def _by_rule(sites: DataFrame, remote: DataFrame, keys) -> DataFrame:
 
 def matched_pairs(sites: DataFrame, remote: DataFrame) -> DataFrame:
     """Ids of all sites and locations that any of the rules brings together."""
+    remote = _rule_columns(remote)
     found = [_by_rule(sites, remote, keys).select("site_id", "location_id") for keys in SITE_RULES]
     return union_rules(*found)
 
 
 def match_sites(
-    sites: DataFrame, remote: DataFrame, mode: str = "union", address2: str = "address2"
+    sites: DataFrame,
+    remote: DataFrame,
+    mode: str = "first_rule",
+    address2: str = "address2",
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Match sites to remote locations and map them to the remote columns.
 
+    Equal rows of a site count once. ``stage`` may write the shrunken remote list,
+    which every rule reads. ``union`` grows with the sites times the locations of a
+    branch, so it is asked for by name.
+
     ``union`` gives every pair that any rule finds, once. A pair that agrees in
     company and branch, or in these and the job, also agrees in branch, so the
     first and the last rule find them all; what the first finds is left out where
@@ -74,14 +91,16 @@ def match_sites(
     ``first_rule`` gives each site the pairs of the strictest rule that finds any.
     """
     columns = site_columns(address2)
+    sites = sites.distinct()
+    if mode not in ("union", "first_rule"):
+        raise ValueError(f"unknown mode {mode}")
+    remote = stage(_rule_columns(remote))
     if mode == "union":
         by_branch = _locations(remote, ["branch"])
         by_id = _by_rule(sites, remote, SITE_RULES[0])
         only_by_id = exclude(by_id, by_branch, ["branch", "location_id"], unique=True)
         in_branch = sites.join(by_branch, "branch")
         return project_map(in_branch, columns).unionByName(project_map(only_by_id, columns))
-    if mode != "first_rule":
-        raise ValueError(f"unknown mode {mode}")
     left, result = sites, None
     for rule, keys in enumerate(SITE_RULES, start=1):
         pairs = project_map(_by_rule(left, remote, keys), {**columns, "rule": F.lit(rule)})

@@ -9,6 +9,16 @@ from syncloom.operators.joins import in_active_branches, keep_matching, with_bra
 from syncloom.schemas import ASSET_KEYS, SKU_KEYS, ACTION_ADD
 
 
+# The columns of the asset feed that name a document of its nested form. Any number of assets may
+# be of one SKU, so their ids are grouped by all but the last two characters.
+ASSET_DOCUMENT = ("HQLocationID", "HQSKUID", "AssetGroup")
+
+
+def with_group(feed: DataFrame) -> DataFrame:
+    """The asset feed with the group that its nested documents hold together."""
+    return feed.withColumn("AssetGroup", F.expr("left(AssetID, greatest(length(AssetID) - 2, 0))"))
+
+
 def prior_attributes(assets: DataFrame, active: DataFrame) -> DataFrame:
     """Trimmed serial numbers of assets in use whose home branch is active."""
     in_use = assets.where(F.col("status") == "A")

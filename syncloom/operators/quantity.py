@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from syncloom.functions.keys import increase
 from syncloom.operators.joins import exclude, in_active_branches, keep_matching
-from syncloom.operators.skew import HOT_ROWS, SLICE_SPAN, previous_value
+from syncloom.operators.skew import HOT_ROWS, SLICE_SPAN, latest, previous_value
 from syncloom.schemas import EVENT_KEYS, MASTER_KEYS, NEW, SKU_KEYS, STATUS_RECEIVE, UPD
 
+# What comes before an event: number, then time.
+ORDER = ("seq", "synced_at")
+
 
 def touched_history(history: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The whole history of the keys that were touched, and no other."""
@@ -35,6 +38,42 @@ def quantity_delta(
     )
 
 
+def last_quantities(
+    events: DataFrame, keys: Sequence[str] = tuple(SKU_KEYS), order: Sequence[str] = ORDER
+) -> DataFrame:
+    """The last event of each key: its order columns and its quantity."""
+    return latest(events.select(*keys, *order, "qty"), list(keys), list(order))
+
+
+def late_keys(
+    due: DataFrame,
+    last: DataFrame,
+    keys: Sequence[str] = tuple(SKU_KEYS),
+    order: Sequence[str] = ORDER,
+) -> DataFrame:
+    """Keys with an event that comes before one that is known already."""
+    known = last.select(*keys, F.struct(*order).alias("_known"))
+    late = due.join(known, list(keys)).where(F.struct(*order) < F.col("_known"))
+    return late.select(*keys).distinct()
+
+
+def delta_since(
+    due: DataFrame,
+    last: DataFrame,
+    keys: Sequence[str] = tuple(SKU_KEYS),
+    order: Sequence[str] = ORDER,
+    first: str | None = None,
+) -> DataFrame:
+    """Add the quantity before to new events, from the last event of their key before them.
+
+    None of the new events may come before that last one.
+    """
+    mark = "_new"
+    before = keep_matching(last, due, list(keys)).withColumn(mark, F.lit(False))
+    rows = due.withColumn(mark, F.lit(True)).unionByName(before, allowMissingColumns=True)
+    return quantity_delta(rows, keys, order, first=first).where(mark).drop(mark)
+
+
 def fill_from_snapshot(
     deltas: DataFrame,
     snapshot: DataFrame,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncloom.functions.keys import number_key, product_id, upc
+from syncloom.functions.keys import product_id, upc
 from syncloom.operators.joins import exclude, in_active_branches, keep_matching
 from syncloom.operators.skus import resolved, unresolved
 from syncloom.schemas import ASSET_KEYS, REASON_SKU_MISSING, SKU_KEYS, STATE, conform
@@ -40,18 +40,31 @@ def hold_back_bulk(
     queue: DataFrame,
     run_id: str,
     run_ts: Column,
-    dedupe_queue: bool = False,
 ) -> DataFrame:
     """Queue entries for quantities whose SKU has no remote id yet.
 
-    With ``dedupe_queue`` a SKU that already waits is not queued again.
+    Quantities are what came on top, so a SKU that already waits gets an entry for the addition.
     """
     held = unresolved(in_active_branches(to_send, active), skus.where("is_bulk"))
-    if dedupe_queue:
-        held = exclude(held, unsent(queue), SKU_KEYS)
     return _entries(held, "bulk_queue", run_id, run_ts)
 
 
+def merge_held(queue: DataFrame, held: DataFrame) -> DataFrame:
+    """The queue with the held rows, where each of their SKUs and statuses waits as one entry.
+
+    That entry has the sum of what waited and what was added, and the run and time of the oldest.
+    """
+    keys = [*SKU_KEYS, "status"]
+    touched = held.select(*keys).distinct()
+    waiting = keep_matching(unsent(queue), touched, keys, unique=True).unionByName(held)
+    oldest = F.min(F.struct("detected_at", "run_id", "reason"))
+    merged = waiting.groupBy(*keys).agg(F.sum("qty").alias("qty"), oldest.alias("_oldest"))
+    entries = merged.withColumn("sent_at", F.lit(None)).select("*", "_oldest.*").drop("_oldest")
+    others = exclude(unsent(queue), touched, keys, unique=True)
+    sent = queue.where(F.col("sent_at").isNotNull())
+    return others.unionByName(sent).unionByName(conform(entries, STATE["bulk_queue"]))
+
+
 def replay_quantities(queue: DataFrame, skus: DataFrame) -> DataFrame:
     """Sum of the waiting quantities per SKU and status, for the SKUs given."""
     # Summed first, so that a SKU with very many waiting rows shrinks before the shuffle.
@@ -90,6 +103,16 @@ def asset_positions(changes: DataFrame, assets: DataFrame, active: DataFrame) ->
     return in_active_branches(changed, active).select("asset_id", *SKU_KEYS)
 
 
+ENTRY_KEYS = [*ASSET_KEYS, "branch", "category", "class_code"]
+
+
+def _padded(positions: DataFrame) -> DataFrame:
+    """SKU keys as the asset queue writes them."""
+    return positions.withColumns(
+        {"category": upc(F.col("category")), "class_code": product_id(F.col("class_code"))}
+    )
+
+
 def hold_back_assets(
     changes: DataFrame,
     assets: DataFrame,
@@ -99,41 +122,42 @@ def hold_back_assets(
     run_id: str,
     run_ts: Column,
 ) -> DataFrame:
-    """Queue entries for changed assets whose SKU has no remote id, unless they already wait."""
-    positions = asset_positions(changes, assets, active)
-    missing = unresolved(positions, skus.where(~F.col("is_bulk")))
-    fresh = exclude(missing, unsent(queue), ASSET_KEYS)
-    padded = fresh.withColumns(
-        {"category": upc(F.col("category")), "class_code": product_id(F.col("class_code"))}
-    )
-    return _entries(padded, "asset_queue", run_id, run_ts)
+    """Queue entries for changed assets whose SKU has no remote id.
+
+    An asset that waits with its current branch and SKU is not queued again; one that has moved
+    since gets an entry for where it is now.
+    """
+    missing = unresolved(asset_positions(changes, assets, active), skus.where(~F.col("is_bulk")))
+    fresh = exclude(_padded(missing), unsent(queue), ENTRY_KEYS)
+    return _entries(fresh, "asset_queue", run_id, run_ts)
 
 
 def settle_assets(
     changes: DataFrame,
+    assets: DataFrame,
     queue: DataFrame,
-    held: DataFrame,
     skus: DataFrame,
+    active: DataFrame,
     run_id: str,
     run_ts: Column,
 ) -> tuple[DataFrame, DataFrame]:
-    """The changes that can be sent, and the queue with what now resolves marked as sent.
+    """The changes that can be sent, and the queue after them.
 
-    ``queue`` already has the held rows.
+    ``queue`` already has the held rows. What counts is where an asset is now: it is sent when its
+    current branch is active and its current SKU, not a bulk one, has a remote id, just as the
+    payload takes it. All its entries are then marked as sent. Of an asset that still waits, the
+    entries for where it no longer is are closed, and the one for where it is stays.
     """
-    remaining = exclude(changes, held, ASSET_KEYS, unique=True)
-    numeric = resolved(skus).select(*SKU_KEYS)
-    waiting = unsent(queue).withColumns(
-        {
-            "category": number_key(F.col("category"), 3),
-            "class_code": number_key(F.col("class_code"), 4),
-        }
-    )
-    asked = keep_matching(waiting, remaining, ASSET_KEYS, unique=True)
-    arrived = keep_matching(asked, numeric, SKU_KEYS, unique=True)
-    entry = [*ASSET_KEYS, "branch", "category", "class_code"]
-    as_queued = arrived.withColumns(
-        {"category": upc(F.col("category")), "class_code": product_id(F.col("class_code"))}
+    positions = asset_positions(changes, assets, active)
+    ready = keep_matching(positions, resolved(skus, is_bulk=False), SKU_KEYS, unique=True)
+    waits = exclude(positions, ready, ASSET_KEYS, unique=True)
+    entries = unsent(queue).select(*ENTRY_KEYS).distinct()
+    arrived = keep_matching(entries, ready, ASSET_KEYS, unique=True)
+    moved = exclude(
+        keep_matching(entries, waits, ASSET_KEYS, unique=True),
+        _padded(waits),
+        ENTRY_KEYS,
+        unique=True,
     )
-    settled = mark_sent(queue, as_queued, entry, run_id, run_ts)
-    return exclude(remaining, unsent(settled), ASSET_KEYS), settled
+    settled = mark_sent(queue, arrived.unionByName(moved), ENTRY_KEYS, run_id, run_ts)
+    return keep_matching(changes, ready, ASSET_KEYS, unique=True), settled

@@ -11,10 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from syncloom.session import Workspace
+
 # A key with fewer rows than this never needs splitting.
 HOT_ROWS = 1_000_000
-# No more keys than this can be hot, which bounds what is broadcast.
-MAX_HOT_KEYS = 100_000
+# The written list of hot keys is broadcast when it has at most so many rows; beyond that the
+# planner joins it by its size.
+BROADCAST_KEYS = 100_000
 # Width of a slice in units of the order column: with unique order numbers no
 # slice holds more rows than this.
 SLICE_SPAN = 1 << 20
@@ -26,11 +29,16 @@ _CARRY = "_carry"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows."""
+    """Keys with more than ``hot_rows`` rows, a NULL in them included."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = (F.col("_n") > hot_rows) & (F.col("_n") * MAX_HOT_KEYS > total)
-    return counts.where(hot).select(*keys, F.lit(True).alias(_HOT))
+    return counts.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+
+
+def _join_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """The rows with the mark of their key; NULL equals NULL."""
+    side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], _HOT)
+    same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    return df.join(side, same, how).drop(*[f"_h_{k}" for k in keys])
 
 
 def _slice_number(order: str, span: int) -> Column:
@@ -42,8 +50,7 @@ def _with_carries(df, carries, hot, keys, order, span):
 
     Slices count along the order for hot keys and are 0 for all others.
     """
-    # At most MAX_HOT_KEYS rows, so the broadcast is bounded however large df is.
-    marked = df.join(F.broadcast(hot), list(keys), "left")
+    marked = _join_hot(df, hot, keys, "left")
     number = F.when(F.col(_HOT), _slice_number(order, span)).otherwise(F.lit(0).cast("long"))
     rows = marked.withColumns({_SLICE: number, _REAL: F.lit(True)}).drop(_HOT)
     led = rows.unionByName(carries.withColumn(_REAL, F.lit(False)), allowMissingColumns=True)
@@ -53,7 +60,7 @@ def _with_carries(df, carries, hot, keys, order, span):
 
 def _hot_slices(df, hot, keys, order, span):
     """The rows of hot keys by slice."""
-    hot_rows = df.join(F.broadcast(hot), list(keys)).drop(_HOT)
+    hot_rows = _join_hot(df, hot, keys, "inner").drop(_HOT)
     return hot_rows.withColumn(_SLICE, _slice_number(order, span)).groupBy(*keys, _SLICE)
 
 
@@ -71,10 +78,14 @@ def previous_value(
     """The value of the row before, per key; the default only where no row comes before.
 
     The first order column is a whole number, unique per key or nearly so; the
-    others break ties. Rows whose key has a NULL are never split. ``first`` names
-    a column to add that is true for the rows that none comes before.
+    others break ties. NULLs in a key are equal, and such a key is split like any
+    other. ``first`` names a column to add that is true for the rows that none
+    comes before.
     """
-    hot = hot_keys(df, keys, hot_rows)
+    # Written, so that its size is known.
+    hot = Workspace(df.sparkSession, "hot").stage(hot_keys(df, keys, hot_rows), "keys")
+    if hot.count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     last = F.max_by(F.struct(F.col(value)), F.struct(*order)).alias("_last")
     ends = _hot_slices(df, hot, keys, order[0], span).agg(last)
     # One row per slice of a hot key.

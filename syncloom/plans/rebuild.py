@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from syncloom.operators.changes import fingerprint
 from syncloom.operators.payloads import prior_attributes
-from syncloom.operators.quantity import fill_from_snapshot, quantity_delta
+from syncloom.operators.quantity import fill_from_snapshot, last_quantities, quantity_delta
 from syncloom.operators.skew import latest
 from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, SKU_KEYS
 from syncloom.state.store import StateStore
@@ -42,13 +42,27 @@ def rebuild(
     snapshot: DataFrame | None = None,
 ) -> None:
     """Replace the asset state, the quantity state, or both, by what the sources hold."""
-    if store.published(run_id):
-        return
     commit = store.begin(run_id)
+    if commit.done:
+        return
     if assets is not None:
         commit.overwrite("asset_state", asset_fingerprints(assets, run_ts))
         commit.overwrite("prior_attributes", prior_attributes(assets, active))
     if events is not None:
         commit.overwrite("qty_event_state", event_fingerprints(events, snapshot, run_ts))
+        commit.overwrite("last_qty", last_quantities(events))
         commit.overwrite("qty_snapshot_state", snapshot_fingerprints(snapshot, run_ts))
     commit.publish()
+
+
+def expire_events(store: StateStore, run_id: str, before: Column) -> None:
+    """Forget events sent before a time, which the source no longer holds either.
+
+    A step of its own, as it rewrites the event state.
+    """
+    commit = store.begin(run_id)
+    if commit.done:
+        return
+    state = commit.read("qty_event_state")
+    commit.overwrite("qty_event_state", state.where(F.col("synced_at") >= before))
+    commit.publish()

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -51,7 +52,10 @@ class Options:
     dedupe_queue: bool = False
     fill_first_only: bool = False
     nest_skus: bool = False
-    site_mode: str = "union"
+    nest_assets: bool = False
+    site_mode: str = "first_rule"
+    # Events sent longer ago than this before the interval no longer count as known.
+    event_days: int | None = None
 
 
 @dataclass
@@ -89,9 +93,9 @@ class SyncRun:
 
     def run(self) -> Result:
         """All stages; the state and the watermark are published last, in one step."""
-        if self.store.published(self.run_id):
-            return Result(skipped=True)
         self.commit = self.store.begin(self.run_id)
+        if self.commit.done:
+            return Result(skipped=True)
         control, bounds = self.intervals()
         (asset_changes, changed_assets), quantity_changes, _ = together(
             lambda: self.asset_changes(*bounds["assets"]),
@@ -118,11 +122,11 @@ class SyncRun:
         rows = interval_bounds(control, self.now).collect()
         return control, {row["source"]: (row["start"], row["end"]) for row in rows}
 
-    def send(self, name: str, feed: DataFrame, nest_by: str | None = None) -> None:
-        """Write a feed. Its rows come from staged tables: the test for none is cheap."""
+    def send(self, name: str, feed: DataFrame, nest_by: Sequence[str] = ()) -> None:
+        """Write a feed, flat or as one document for each value of the columns it nests by."""
         ddl, lines = feed.schema.toDDL(), as_json(feed)
         if nest_by:
-            shape = ([nest_by], [c for c in feed.columns if c != nest_by], "items")
+            shape = (list(nest_by), [c for c in feed.columns if c not in nest_by], "items")
             ddl = nested_ddl(feed, *shape)
             lines = nest_json(feed, *shape).select(F.col("doc").alias("value"))
         self.result.paths[name] = write_feed(lines, self.out, name, self.run_id, encoded=True)
@@ -139,7 +143,12 @@ class SyncRun:
         if self.options.only_changed_sites:
             changed = ch.snapshot_diff(prints, state, ["site_id"])
             sites = keep_matching(sites, changed, ["site_id"], unique=True)
-        feed = match_sites(sites, self.inputs.remote_sites, self.options.site_mode)
+        feed = match_sites(
+            sites,
+            self.inputs.remote_sites,
+            self.options.site_mode,
+            stage=lambda df: self.work.stage(df, "locations"),
+        ).drop("rule")
         self.send("customer_sites", feed)
         self.commit.overwrite("customer_site_state", prints.withColumn("cached_at", self.now))
 
@@ -168,24 +177,49 @@ class SyncRun:
         return changes, self.work.stage(latest(rows, ASSET_KEYS, ["synced_at"]), "changed_assets")
 
     def quantity_changes(self, start, end) -> DataFrame:
-        events, state = self.inputs.qty_events, self.commit.read("qty_event_state")
-        found = interval_scan(events.select(*EVENT_KEYS, "qty"), "synced_at", start, end)
-        due = self.work.stage(
-            qt.unseen_events(found, state, start, end).select(*EVENT_KEYS), "events_due"
-        )
-        history = qt.touched_history(events.select(*EVENT_KEYS, "qty"), due, SKU_KEYS)
-        # Outside the interval no event is due, which spares most rows the join.
+        """Rises of the interval's events, over the last quantity of each SKU before them.
+
+        Only the interval of the log is read. The log as a whole is looked into for SKUs with an
+        event that comes before one already taken in, and by the first run of a store, which has
+        no last quantities yet.
+        """
+        events = self.inputs.qty_events.select(*EVENT_KEYS, "qty")
+        state = self.known_events(start)
+        found = interval_scan(events, "synced_at", start, end)
+        due = self.work.stage(qt.unseen_events(found, state, start, end), "events_due")
         first = "is_first" if self.options.fill_first_only else None
-        within = interval_scan(
-            qt.quantity_delta(history, first=first), "synced_at", start, end
-        )
-        deltas = keep_matching(within, due, EVENT_KEYS)
+        last = self.commit.read("last_qty")
+        if "last_qty" not in self.commit.before:
+            earlier = qt.last_quantities(events.where(F.col("synced_at") < start))
+            last = self.work.stage(earlier, "last_quantities")
+        late = self.work.stage(qt.late_keys(due, last), "late_skus")
+        on_time = exclude(due, late, SKU_KEYS, unique=True)
+        deltas = qt.delta_since(on_time, last, first=first)
+        if not late.isEmpty():
+            history = keep_matching(events, late, SKU_KEYS, unique=True)
+            whole = qt.quantity_delta(history.distinct(), first=first)
+            deltas = deltas.unionByName(keep_matching(whole, due, EVENT_KEYS))
+        self.keep_last(due, last)
         snapshot = self.commit.read("qty_snapshot_state")
         filled = qt.fill_from_snapshot(deltas, snapshot, first=first)
         risen = qt.risen_quantities(filled, self.inputs.sku_master, self.inputs.active)
         risen = self.work.stage(risen, "risen_quantities")
         return self.work.stage(qt.mark_known_events(risen, state), "quantity_changes")
 
+    def known_events(self, start) -> DataFrame:
+        """Events of earlier runs, as far back as the run is told to look."""
+        state = self.commit.read("qty_event_state")
+        if self.options.event_days is None:
+            return state
+        return state.where(F.col("synced_at") >= start - timedelta(days=self.options.event_days))
+
+    def keep_last(self, due: DataFrame, last: DataFrame) -> None:
+        """Last quantities move on to the interval's events; the first run writes them all."""
+        if "last_qty" in self.commit.before:
+            last = keep_matching(last, due, SKU_KEYS)
+        newest = qt.last_quantities(due.select(*last.columns).unionByName(last))
+        self.commit.change("last_qty", newest)
+
     def sku_list(
         self, asset_changes: DataFrame, changed_assets: DataFrame, quantity_changes: DataFrame
     ) -> DataFrame:
@@ -206,23 +240,24 @@ class SyncRun:
 
     def sku_feed(self, skus: DataFrame) -> None:
         feed = payloads.sku_payload(skus, self.now, self.options.only_missing_skus)
-        self.send("skus", feed, nest_by="HQLocationID" if self.options.nest_skus else None)
+        # A location's SKUs of a category are bounded: their class has four digits.
+        self.send("skus", feed, ("HQLocationID", "UPC") if self.options.nest_skus else ())
 
     def bulk(self, changes: DataFrame, skus: DataFrame) -> None:
         queue = self.commit.read("bulk_queue")
         to_send = in_active_branches(qt.rollup_quantities(changes), self.inputs.active)
         to_send = self.work.stage(to_send, "quantities")
         held = retry.hold_back_bulk(
-            to_send, skus, self.inputs.active, queue, self.run_id, self.now,
-            self.options.dedupe_queue,
+            to_send, skus, self.inputs.active, queue, self.run_id, self.now
         )
         held = self.work.stage(held, "bulk_held")
-        queue, _ = retry.append_capture(queue, held)
+        if self.options.dedupe_queue:
+            queue = retry.merge_held(queue, held)
+        else:
+            queue, _ = retry.append_capture(queue, held)
         ready = sk.resolved(skus, is_bulk=True)
         replayed = retry.replay_quantities(queue, ready)
-        # With dedupe_queue a quantity can be unresolved without being held again.
-        sendable = keep_matching(to_send, ready, SKU_KEYS, unique=True)
-        sent = self.work.stage(retry.send_list(sendable, replayed, held), "send_list")
+        sent = self.work.stage(retry.send_list(to_send, replayed, held), "send_list")
         self.keep_queue(
             "bulk_queue", retry.mark_sent(queue, sent, SKU_KEYS, self.run_id, self.now)
         )
@@ -257,7 +292,7 @@ class SyncRun:
         held = self.work.stage(held, "asset_held")
         queue, _ = retry.append_capture(queue, held)
         remaining, settled = retry.settle_assets(
-            changes, queue, held, skus, self.run_id, self.now
+            changes, changed, queue, skus, active, self.run_id, self.now
         )
         remaining = self.work.stage(remaining, "assets_to_send")
         self.keep_queue("asset_queue", settled)
@@ -265,7 +300,8 @@ class SyncRun:
         feed = payloads.asset_payload(
             remaining, changed, active, sk.resolved(skus, is_bulk=False), prior, self.now
         )
-        self.send("assets", feed)
+        nest_by = payloads.ASSET_DOCUMENT if self.options.nest_assets else ()
+        self.send("assets", payloads.with_group(feed) if nest_by else feed, nest_by)
         sent = keep_matching(changed, remaining, ASSET_KEYS, unique=True)
         prints = ch.fingerprint(sent, ASSET_KEYS, exclude_columns=["synced_at"])
         self.commit.change("asset_state", prints.withColumn("cached_at", self.now))

@@ -38,7 +38,7 @@ FORCED_BRANCH = 7
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Whole numbers of any type as bigint, so that results compare by value."""
+    """Whole numbers of any type as bigint, so that equal values are equal."""
     whole = (T.DecimalType, T.IntegerType, T.ShortType)
     return df.select(
         *[
@@ -308,6 +308,12 @@ def hold_back_bulk(t: Standins) -> DataFrame:
     return _held_bulk(t)
 
 
+@query
+def hold_back_bulk_dedupe(t: Standins) -> DataFrame:
+    """The queue when what is held goes into the entry that waits."""
+    return retry.merge_held(t.bulk_queue, t.stage(_held_bulk(t), "held_bulk"))
+
+
 def _held_assets(t: Standins) -> DataFrame:
     return retry.hold_back_assets(
         t.changes, t.assets, t.resolved, t.active, t.asset_queue, RUN_ID, ntz(RUN_TS)
@@ -365,7 +371,9 @@ def replay_mark_sent(t: Standins) -> DataFrame:
 def _settled(t: Standins):
     held = t.stage(_held_assets(t), "held_assets")
     queue, _ = retry.append_capture(t.asset_queue, held)
-    return retry.settle_assets(t.changes, queue, held, t.resolved, RUN_ID, ntz(RUN_TS))
+    return retry.settle_assets(
+        t.changes, t.assets, queue, t.resolved, t.active, RUN_ID, ntz(RUN_TS)
+    )
 
 
 @query
@@ -441,7 +449,7 @@ def allocate_tags(t: Standins) -> DataFrame:
 @query
 def match_customer_sites(t: Standins) -> DataFrame:
     """Customer sites matched to remote locations by any rule."""
-    return match_sites(t.customer_sites, t.remote_sites)
+    return match_sites(t.customer_sites, t.remote_sites, mode="union")
 
 
 @query
@@ -453,8 +461,7 @@ def union_site_rules(t: Standins) -> DataFrame:
 @query
 def match_sites_first_rule(t: Standins) -> DataFrame:
     """Customer sites matched by the strictest rule that finds a location."""
-    matched = match_sites(t.customer_sites, t.remote_sites, mode="first_rule")
-    return matched.select("CJID", "HQLocationID", "CompanyCode", "JobNumber", "rule")
+    return match_sites(t.customer_sites, t.remote_sites, mode="first_rule")
 
 
 def _prior(t: Standins) -> DataFrame:
@@ -477,6 +484,14 @@ def asset_payload(t: Standins) -> DataFrame:
     )
 
 
+@query
+def asset_payload_nested(t: Standins) -> DataFrame:
+    """Changed assets as documents of a location, a SKU and a group of ids."""
+    feed = payloads.with_group(asset_payload(t)).drop("DateAdded", "LastUpdated", "LastNotification")
+    parent = list(payloads.ASSET_DOCUMENT)
+    return nest_json(feed, parent, [c for c in feed.columns if c not in parent], "items")
+
+
 @query
 def sku_payload(t: Standins) -> DataFrame:
     """The SKU list as it is sent."""
@@ -499,10 +514,10 @@ def json_shred_events(t: Standins) -> DataFrame:
 
 @query
 def json_nest_orders(t: Standins) -> DataFrame:
-    """One document per customer with its orders."""
-    orders = t.table("orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
-    children = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
-    return nest_json(orders, ["o_custkey"], children, "orders").select("o_custkey", "doc")
+    """One document per customer and order status with its orders."""
+    orders = t.table("orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_orderpriority")
+    parent, children = ["o_custkey", "o_orderstatus"], ["o_orderkey", "o_orderpriority"]
+    return nest_json(orders, parent, children, "orders")
 
 
 @query
@@ -510,10 +525,16 @@ def export_roundtrip(t: Standins) -> DataFrame:
     """Orders written as a gzip feed and read back."""
     root = t.work.path("feeds")
     orders = t.table("orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", k.stamp(F.col("o_orderdate")).alias("added")
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_orderpriority",
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        k.stamp(F.col("o_orderdate")).alias("added"),
     )
     write_feed(orders, root, "orders", RUN_ID)
-    return feeds.read_json_feed(t.spark, root, orders.schema.toDDL(), RUN_ID, "orders")
+    found = feeds.read_json_feed(t.spark, root, orders.schema.toDDL(), RUN_ID, "orders")
+    return found.withColumn("price", F.col("price").cast("string"))
 
 
 @query
@@ -589,7 +610,7 @@ def advance_watermark(t: Standins) -> DataFrame:
 
 @query
 def rebuild_assets(t: Standins) -> DataFrame:
-    """The asset state rebuilt: hashes and the serial numbers to compare with."""
+    """The asset state rebuilt: hashes, and the serial numbers of before."""
     prints = rebuild.asset_fingerprints(t.assets, ntz(RUN_TS)).drop("cached_at")
     prior = payloads.prior_attributes(t.assets, t.active)
     return prints.join(prior, ASSET_KEYS, "left")
@@ -660,34 +681,76 @@ def seeded_store(t: Standins, root: str) -> StateStore:
     return store
 
 
-@query
-def sync_run(t: Standins) -> DataFrame:
-    """A whole run: every record of the SKU, unit and asset feeds it sent."""
-    t.write_tables("assets", "qty_events", "sku_master", "customer_sites")
-    t.write_tables("assets_before", "qty_snapshot", "remote_skus", "remote_items")
+def _whole_run(t: Standins):
+    """A run over the stand-ins, and the store after it."""
+    t.write_tables("sku_master", "qty_snapshot", "remote_skus")
     store = seeded_store(t, t.work.path("state"))
     run_id = f"{RUN_ID}-{uuid4().hex}"
     result = run_sync(
         t.spark, sync_inputs(t), store, datetime.fromisoformat(RUN_TS), run_id,
         t.work.path("feeds"), Options(),
     )
-    none = F.lit(None).cast("string")
-    return (
-        result.feeds["skus"].select(
-            F.lit("skus").alias("feed"), "HQLocationID", F.lit(0).cast("long").alias("HQSKUID"),
-            F.col("SKUListType").alias("name"), none.alias("serial"), none.alias("prev_serial"),
-        )
-        .unionByName(
-            result.feeds["units"].select(
-                F.lit("units").alias("feed"), "HQLocationID", "HQSKUID",
-                F.col("TagID").alias("name"), none.alias("serial"), none.alias("prev_serial"),
-            )
-        )
-        .unionByName(
-            result.feeds["assets"].select(
-                F.lit("assets").alias("feed"), "HQLocationID", "HQSKUID",
-                F.col("TagID").alias("name"), F.col("SerialNumber").alias("serial"),
-                F.col("PrevSerial").alias("prev_serial"),
-            )
+    return result, store
+
+
+@query
+def sync_run(t: Standins) -> DataFrame:
+    """A whole run: every record of the SKU, unit and asset feeds it sent."""
+    result, _ = _whole_run(t)
+    texts = (
+        "TagID AssetID SerialNumber PrevSerial UPC ProductID SKUListType Description"
+    ).split()
+    numbers = ["HQLocationID", "HQSKUID", "IsConsumable", "IsActive"]
+    found = None
+    for name in ("skus", "units", "assets"):
+        feed = result.feeds[name]
+        have = set(feed.columns)
+        times = [c for c in ("DateAdded", "LastUpdated", "LastNotification") if c in have]
+        quantity = next((c for c in ("QuantityOnHand", "Quantity") if c in have), None)
+        columns = [
+            F.lit(name).alias("feed"),
+            F.concat(
+                *[F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSS") for c in times]
+            ).alias("stamps"),
+            *[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in texts],
+            *[(F.col(c) if c in have else F.lit(None)).cast("long").alias(c) for c in numbers],
+            (F.col(quantity) if quantity else F.lit(None)).cast("long").alias("quantity"),
+        ]
+        rows = feed.select(*columns)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def sync_run_state(t: Standins) -> DataFrame:
+    """What the state and queue tables hold after a whole run, as keys and values."""
+    _, store = _whole_run(t)
+    sku = [F.col(c).cast("string") for c in SKU_KEYS]
+    asset = [F.col(c) for c in ASSET_KEYS]
+    qty = F.col("qty").cast("long").cast("string")
+    shown = {
+        "asset_state": (asset, [F.col("hash")]),
+        "prior_attributes": (asset, [F.col("serial")]),
+        "qty_event_state": ([*sku, F.col("seq").cast("string")], [qty]),
+        "last_qty": (sku, [F.col("seq").cast("string"), qty]),
+        "qty_snapshot_state": (sku, [qty]),
+        "bulk_queue": ([*sku, F.col("status")], [qty]),
+        "asset_queue": (asset, [F.col("branch"), F.col("category"), F.col("class_code")]),
+        "control": ([F.col("source")], [F.date_format("start_ts", "yyyy-MM-dd HH:mm:ss")]),
+    }
+    found = None
+    for name, (keys, kept) in shown.items():
+        rows = store.read(name).select(
+            F.lit(name).alias("name"),
+            F.concat_ws("/", *keys).alias("key"),
+            F.concat_ws("/", *kept).alias("value"),
         )
-    )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def sync_run_sites(t: Standins) -> DataFrame:
+    """The customer site feed of a whole run."""
+    result, _ = _whole_run(t)
+    return result.feeds["customer_sites"]

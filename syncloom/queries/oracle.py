@@ -42,11 +42,13 @@ SNAPSHOT_HASH = _hash(
 KEY = "company, branch, category, class_code"
 EVENT_KEY = f"{KEY}, event, seq, synced_at"
 ASSET_KEY = "company, asset_id"
+ENTRY = "company, asset_id, branch, category, class_code"
+KEY_NOW = "company, current_branch, category, class_code"
 
 # Stand-in tables; a definition may use the ones before it.
 CTES = {
     "assets": """
-        SELECT '01' AS company, 'A' || o_orderkey AS asset_id,
+        SELECT CASE WHEN o_custkey % 4 = 0 THEN '02' ELSE '01' END AS company, 'A' || o_orderkey AS asset_id,
                1 + o_custkey % 25 AS category, 1 + o_orderkey % 50 AS class_code,
                right('0000' || (o_custkey % 25), 4) AS home_branch,
                right('0000' || (o_orderkey % 25), 4) AS current_branch,
@@ -63,16 +65,20 @@ CTES = {
     "active": """
         SELECT CAST(100 + n_nationkey AS BIGINT) AS id, '01' AS company,
                right('0000' || n_nationkey, 4) AS branch
-        FROM nation WHERE n_regionkey < 3""",
+        FROM nation WHERE n_regionkey < 3
+        UNION ALL
+        SELECT CAST(200 + n_nationkey AS BIGINT), '02', right('0000' || n_nationkey, 4)
+        FROM nation WHERE n_regionkey > 1""",
     "sku_master": """
-        SELECT '01' AS company, category, class_code, description,
+        SELECT c.company, category, class_code, description,
                CASE WHEN (category + class_code) % 2 = 0 THEN 'Y' ELSE 'N' END AS bulk,
                'P' || category || 'X' || class_code AS item
         FROM (SELECT CAST(substr(p_brand, 7) AS BIGINT) AS category,
                      CAST(p_size AS BIGINT) AS class_code, min(p_name) AS description
-              FROM part GROUP BY 1, 2)""",
+              FROM part GROUP BY 1, 2)
+        JOIN (VALUES ('01'), ('02')) c(company) ON c.company = '01' OR class_code % 3 <> 0""",
     "qty_events": """
-        SELECT '01' AS company, right('0000' || (user_id % 25), 4) AS branch,
+        SELECT CASE WHEN user_id % 4 = 0 THEN '02' ELSE '01' END AS company, right('0000' || (user_id % 25), 4) AS branch,
                1 + (user_id // 25) % 25 AS category,
                CAST(CASE event_type WHEN 'click' THEN 5 WHEN 'view' THEN 10
                     WHEN 'purchase' THEN 15 WHEN 'signup' THEN 20 ELSE 25 END AS BIGINT)
@@ -115,8 +121,11 @@ CTES = {
         FROM prints p LEFT JOIN prints_before b USING ({ASSET_KEY})
         WHERE b.hash IS NULL OR b.hash <> p.hash""",
     "asset_queue": """
-        SELECT 'r0' AS run_id, company, asset_id, current_branch AS branch,
-               right('000' || category, 3) AS category, right('0000' || class_code, 4) AS class_code,
+        SELECT 'r0' AS run_id, company, asset_id,
+               CASE WHEN category % 3 = 0 THEN home_branch ELSE current_branch END AS branch,
+               right('000' || category, 3) AS category,
+               right('0000' || (class_code + CASE WHEN category % 5 = 0 THEN 1 ELSE 0 END), 4)
+                   AS class_code,
                CAST(1 AS BIGINT) AS reason, synced_at AS detected_at,
                CASE WHEN status = 'I' THEN synced_at END AS sent_at
         FROM assets WHERE priority IN ('2-HIGH', '3-MEDIUM')""",
@@ -130,7 +139,7 @@ CTES = {
         WHERE sent_at IS NULL
           AND ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM feed)""",
     "bulk_queue": """
-        SELECT 'r' || l_linenumber AS run_id, '01' AS company,
+        SELECT 'r' || l_linenumber AS run_id, CASE WHEN l_suppkey % 4 = 0 THEN '02' ELSE '01' END AS company,
                right('0000' || (l_suppkey % 25), 4) AS branch,
                1 + l_partkey % 25 AS category, 1 + l_partkey % 50 AS class_code,
                CAST(l_quantity AS BIGINT) AS qty,
@@ -158,9 +167,10 @@ CTES = {
         UNION SELECT {KEY} FROM qty_events WHERE event <> 'ER'""",
     "remote_skus": """
         SELECT CASE WHEN class_code = 20 THEN 0
-               ELSE (100 + CAST(branch AS BIGINT)) * 10000000 + category * 10000 + class_code
+               ELSE (CASE WHEN company = '02' THEN 200 ELSE 100 END + CAST(branch AS BIGINT)) * 10000000
+                    + category * 10000 + class_code
                END AS sku_id,
-               100 + CAST(branch AS BIGINT) AS location_id,
+               CASE WHEN company = '02' THEN 200 ELSE 100 END + CAST(branch AS BIGINT) AS location_id,
                right('000' || category, 3) AS upc, right('0000' || class_code, 4) AS product_id
         FROM remote_keys""",
     "resolved": """
@@ -172,6 +182,11 @@ CTES = {
                {RUN_TS} AS detected_at, CAST(NULL AS TIMESTAMP) AS sent_at
         FROM rollup
         WHERE ({KEY}) NOT IN (SELECT ({KEY}) FROM resolved WHERE is_bulk AND sku_id <> 0)""",
+    "waiting_bulk": f"""
+        SELECT run_id, {KEY}, status, qty, detected_at FROM bulk_queue
+        WHERE sent_at IS NULL AND ({KEY}, status) IN (SELECT ({KEY}, status) FROM held_bulk)
+        UNION ALL
+        SELECT run_id, {KEY}, status, qty, detected_at FROM held_bulk""",
     "replayed": f"""
         SELECT {KEY}, status, CAST(sum(qty) AS BIGINT) AS qty FROM bulk_queue
         WHERE sent_at IS NULL
@@ -182,32 +197,33 @@ CTES = {
             SELECT {KEY}, qty, status, CAST(0 AS BIGINT) AS source_rank FROM rollup
             UNION ALL SELECT {KEY}, qty, status, 1 FROM replayed)
         WHERE ({KEY}) NOT IN (SELECT ({KEY}) FROM held_bulk)""",
-    "held_assets": f"""
-        SELECT 'run-1' AS run_id, company, asset_id, current_branch AS branch,
-               right('000' || category, 3) AS category, right('0000' || class_code, 4) AS class_code,
-               CAST(1 AS BIGINT) AS reason, {RUN_TS} AS detected_at,
-               CAST(NULL AS TIMESTAMP) AS sent_at
+    "positions": f"""
+        SELECT company, asset_id, current_branch AS branch, category, class_code,
+               ({KEY_NOW}) IN (SELECT ({KEY}) FROM resolved WHERE NOT is_bulk AND sku_id <> 0) AS ready
         FROM assets
         WHERE ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM changes)
-          AND current_branch IN (SELECT branch FROM active)
-          AND (company, current_branch, category, class_code) NOT IN
-              (SELECT ({KEY}) FROM resolved WHERE NOT is_bulk AND sku_id <> 0)
-          AND ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM asset_queue WHERE sent_at IS NULL)""",
+          AND (company, current_branch) IN (SELECT (company, branch) FROM active)""",
+    "places": f"""
+        SELECT {ASSET_KEY}, branch, right('000' || category, 3) AS category,
+               right('0000' || class_code, 4) AS class_code, ready
+        FROM positions""",
+    "held_assets": f"""
+        SELECT 'run-1' AS run_id, {ENTRY}, CAST(1 AS BIGINT) AS reason, {RUN_TS} AS detected_at,
+               CAST(NULL AS TIMESTAMP) AS sent_at
+        FROM places
+        WHERE NOT ready
+          AND ({ENTRY}) NOT IN (SELECT ({ENTRY}) FROM asset_queue WHERE sent_at IS NULL)""",
     "queue_now": "SELECT * FROM asset_queue UNION ALL SELECT * FROM held_assets",
-    "not_held": f"""
-        SELECT * FROM changes WHERE ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM held_assets)""",
     "settled": f"""
-        SELECT CASE WHEN done THEN 'run-1' ELSE run_id END AS run_id, company, asset_id, branch,
-               category, class_code, reason, detected_at,
+        SELECT CASE WHEN done THEN 'run-1' ELSE run_id END AS run_id, {ENTRY}, reason, detected_at,
                CASE WHEN done THEN {RUN_TS} ELSE sent_at END AS sent_at
         FROM (SELECT *, sent_at IS NULL
-                     AND ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM not_held)
-                     AND (company, branch, CAST(category AS BIGINT), CAST(class_code AS BIGINT)) IN
-                         (SELECT ({KEY}) FROM resolved WHERE sku_id <> 0) AS done
+                     AND ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM places)
+                     AND ({ENTRY}) NOT IN (SELECT ({ENTRY}) FROM places WHERE NOT ready) AS done
               FROM queue_now)""",
     "sendable": f"""
-        SELECT * FROM not_held
-        WHERE ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM settled WHERE sent_at IS NULL)""",
+        SELECT * FROM changes
+        WHERE ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM positions WHERE ready)""",
     "prior": """
         SELECT company, asset_id, trim(serial) AS serial FROM assets_before
         WHERE status = 'A' AND (company, home_branch) IN (SELECT (company, branch) FROM active)""",
@@ -215,7 +231,7 @@ CTES = {
         SELECT location_id, location_id * 10000000 + category * 10000 + class_code AS sku_id,
                CASE qty WHEN 0 THEN 'nounderscore' WHEN 1 THEN stem WHEN 2 THEN stem || 'x'
                ELSE stem || qty END AS asset_id
-        FROM (SELECT *, 100 + CAST(branch AS BIGINT) AS location_id,
+        FROM (SELECT *, CASE WHEN company = '02' THEN 200 ELSE 100 END + CAST(branch AS BIGINT) AS location_id,
                      'P' || category || 'X' || class_code || '_' || branch || '_' AS stem
               FROM qty_events)""",
     "tags": """
@@ -251,11 +267,11 @@ CTES = {
                TIMESTAMP '2024-01-20' AS "end"
         FROM control""",
     "sites": """
-        SELECT c_custkey AS site_id, right('0000' || c_nationkey, 4) AS branch, c_custkey AS k,
+        SELECT c_custkey AS site_id, CASE WHEN c_custkey % 4 = 0 THEN '02' ELSE '01' END AS company, right('0000' || c_nationkey, 4) AS branch, c_custkey AS k,
                c_name, c_mktsegment
         FROM customer""",
     "remote_sites": """
-        SELECT s_suppkey * 3 AS site_id, CAST(1000 + s_nationkey * 10 + s_suppkey % 3 AS BIGINT)
+        SELECT s_suppkey * 3 AS site_id, CASE WHEN s_suppkey % 4 = 0 THEN '02' ELSE '01' END AS company, CAST(1000 + s_nationkey * 10 + s_suppkey % 3 AS BIGINT)
                AS location_id, CAST(s_suppkey AS VARCHAR) AS account, 'J' || s_suppkey AS job,
                'BUILDING' AS job_location, right('0000' || s_nationkey, 4) AS branch
         FROM supplier""",
@@ -298,7 +314,7 @@ def _sku_payload(where: str) -> str:
 
 
 _MATCHED = """
-        SELECT s.site_id AS "CJID", r.location_id AS "HQLocationID", '01' AS "CompanyCode",
+        SELECT s.site_id AS "CJID", r.location_id AS "HQLocationID", s.company AS "CompanyCode",
                CAST(k AS VARCHAR) AS "AccountNumber", 'J' || k AS "JobNumber",
                c_mktsegment AS "JobLocation", 'contact ' || k AS "ContactName", c_name AS "Name",
                k || ' Main St' AS "Address1", 'Unit ' || k AS "Address2",
@@ -307,6 +323,12 @@ _MATCHED = """
                CAST(k % 97 AS VARCHAR) AS "SalesRep", 'PO' || k AS "PONumber"
         FROM sites s JOIN remote_sites r ON """
 
+_BY_ANY_RULE = f"""
+        {_MATCHED} r.site_id = s.site_id
+        UNION {_MATCHED} r.branch = s.branch AND r.account = CAST(k AS VARCHAR)
+          AND r.job = 'J' || k AND r.job_location = c_mktsegment
+        UNION {_MATCHED} r.branch = s.branch"""
+
 _QUEUED_BULK = """
         SELECT * FROM master_skus
         WHERE is_bulk AND ({key}) IN (SELECT ({key}) FROM bulk_queue WHERE qty > 0 {unsent})
@@ -330,7 +352,7 @@ BODIES = {
     "forced_scan_orders": f"""
         SELECT {ASSET_KEY}, home_branch, current_branch, synced_at FROM assets
         WHERE (home_branch = '0007' OR current_branch = '0007')
-          AND '0007' IN (SELECT branch FROM active)
+          AND (company, '0007') IN (SELECT (company, branch) FROM active)
           AND NOT (synced_at BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2002-01-01')""",
     "snapshot_diff_orders": "SELECT * FROM diff",
     "snapshot_diff_deletes": f"""
@@ -392,6 +414,22 @@ BODIES = {
         SELECT run_id, {KEY}, qty, status FROM bulk_queue
         WHERE ({KEY}) NOT IN (SELECT ({KEY}) FROM resolved WHERE sku_id <> 0)""",
     "hold_back_bulk": "SELECT * FROM held_bulk",
+    "hold_back_bulk_dedupe": f"""
+        SELECT coalesce(q.run_id, oldest.run_id) AS run_id,
+               {KEY}, status, q.qty, q.reason, q.detected_at, q.sent_at
+        FROM (
+            SELECT run_id, {KEY}, status, qty, CAST(1 AS BIGINT) AS reason, detected_at, sent_at
+            FROM bulk_queue
+            WHERE sent_at IS NOT NULL
+               OR ({KEY}, status) NOT IN (SELECT ({KEY}, status) FROM held_bulk)
+            UNION ALL
+            SELECT NULL, {KEY}, status, CAST(sum(qty) AS BIGINT), CAST(1 AS BIGINT),
+                   min(detected_at), NULL
+            FROM waiting_bulk GROUP BY {KEY}, status) q
+        LEFT JOIN (
+            SELECT {KEY}, status, min(struct_pack(t := detected_at, r := run_id)).r AS run_id
+            FROM waiting_bulk GROUP BY {KEY}, status) oldest
+          USING ({KEY}, status)""",
     "hold_back_assets": "SELECT * FROM held_assets",
     "append_capture_queue": "SELECT * FROM queue_now WHERE sent_at IS NULL",
     "append_capture_rows": "SELECT * FROM held_assets",
@@ -413,42 +451,56 @@ BODIES = {
               FROM lineitem GROUP BY l_partkey) GROUP BY l_partkey""",
     "tag_ranges": f"SELECT {KEY}, source_rank, units, after_tag, sku_id FROM ranges",
     "allocate_tags": "SELECT * FROM unit_tags",
-    "match_customer_sites": f"""
-        {_MATCHED} r.site_id = s.site_id
-        UNION {_MATCHED} r.branch = s.branch AND r.account = CAST(k AS VARCHAR)
-          AND r.job = 'J' || k AND r.job_location = c_mktsegment
-        UNION {_MATCHED} r.branch = s.branch""",
+    "match_customer_sites": _BY_ANY_RULE,
     "union_site_rules": """
         SELECT s.site_id, r.location_id FROM sites s JOIN remote_sites r ON r.site_id = s.site_id
         UNION
         SELECT s.site_id, r.location_id FROM sites s JOIN remote_sites r ON r.branch = s.branch""",
-    "match_sites_first_rule": """
+    "match_sites_first_rule": f"""
         WITH pairs AS (
             SELECT DISTINCT s.site_id, r.location_id, CASE
                    WHEN r.site_id = s.site_id THEN 1
                    WHEN r.account = CAST(k AS VARCHAR) AND r.job = 'J' || k
-                        AND r.job_location = c_mktsegment AND r.branch = s.branch THEN 2
-                   ELSE 3 END AS rule
+                        AND r.job_location = c_mktsegment AND r.branch = s.branch
+                        AND r.company = s.company THEN 2
+                   WHEN r.company = s.company AND r.branch = s.branch THEN 3
+                   ELSE 4 END AS rule
             FROM sites s JOIN remote_sites r ON r.site_id = s.site_id OR r.branch = s.branch)
-        SELECT site_id AS "CJID", location_id AS "HQLocationID", '01' AS "CompanyCode",
-               'J' || site_id AS "JobNumber", CAST(rule AS BIGINT) AS rule
-        FROM pairs p
+        SELECT m.*, CAST(rule AS BIGINT) AS rule
+        FROM pairs p JOIN ({_BY_ANY_RULE}) m
+          ON m."CJID" = p.site_id AND m."HQLocationID" = p.location_id
         WHERE rule = (SELECT min(q.rule) FROM pairs q WHERE q.site_id = p.site_id)""",
     "prior_attributes": "SELECT * FROM prior",
     "asset_payload": f"""
         SELECT {RUN_TS} AS "DateAdded", {RUN_TS} AS "LastUpdated", {RUN_TS} AS "LastNotification",
                * FROM ({_ASSET_FEED})""",
+    "asset_payload_nested": f"""
+        SELECT "HQLocationID", "HQSKUID", "AssetGroup",
+               '{{"HQLocationID":' || "HQLocationID" || ',"HQSKUID":' || "HQSKUID"
+               || ',"AssetGroup":"' || "AssetGroup" || '","items":['
+               || string_agg(item, ',' ORDER BY "TagID") || ']}}' AS doc
+        FROM (SELECT *, left("AssetID", greatest(length("AssetID") - 2, 0)) AS "AssetGroup",
+                     CASE WHEN "PrevSerial" IS NULL
+                     THEN CAST(to_json({{'TagID': "TagID", 'AssetID': "AssetID",
+                                         'SerialNumber': "SerialNumber"}}) AS VARCHAR)
+                     ELSE CAST(to_json({{'TagID': "TagID", 'AssetID': "AssetID",
+                                         'SerialNumber': "SerialNumber",
+                                         'PrevSerial': "PrevSerial"}}) AS VARCHAR) END AS item
+              FROM ({_ASSET_FEED}))
+        GROUP BY "HQLocationID", "HQSKUID", "AssetGroup" """,
     "sku_payload": _sku_payload("true"),
     "sku_payload_missing": _sku_payload("missing"),
     "json_shred_events": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     "json_nest_orders": """
-        SELECT o_custkey, CAST(to_json({'o_custkey': o_custkey, 'orders': list(
-                   {'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus,
-                    'o_orderpriority': o_orderpriority} ORDER BY o_orderkey)}) AS VARCHAR) AS doc
-        FROM orders GROUP BY o_custkey""",
+        SELECT o_custkey, o_orderstatus,
+               CAST(to_json({'o_custkey': o_custkey, 'o_orderstatus': o_orderstatus, 'orders': list(
+                   {'o_orderkey': o_orderkey, 'o_orderpriority': o_orderpriority}
+                   ORDER BY o_orderkey)}) AS VARCHAR) AS doc
+        FROM orders GROUP BY o_custkey, o_orderstatus""",
     "export_roundtrip": """
-        SELECT o_orderkey, o_custkey, o_orderstatus,
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+               CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS added FROM orders""",
     "feed_remote_skus": "SELECT location_id, upc, product_id, sku_id FROM remote_skus",
     "customer_snapshot": "SELECT c_custkey, "
@@ -459,9 +511,10 @@ BODIES = {
     + " AS hash FROM customer",
     "distinct_keys": f"SELECT DISTINCT {KEY} FROM bulk_queue",
     "dimension_joins": """
-        SELECT s.site_id, a.id AS location_id, s.branch,
-               count(*) OVER (PARTITION BY s.branch) AS sites
-        FROM sites s JOIN active a USING (branch)""",
+        SELECT s.site_id, a.id AS location_id, s.branch, n.sites
+        FROM sites s JOIN active a USING (company, branch)
+        JOIN (SELECT branch, count(*) AS sites FROM sites
+              WHERE branch IN (SELECT branch FROM active) GROUP BY branch) n ON n.branch = s.branch""",
     "upsert_state": f"""
         SELECT * FROM prints WHERE ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM changes)
         UNION ALL
@@ -508,16 +561,66 @@ RUN_CTES = {
             OR ({KEY}) IN (SELECT ({KEY}) FROM bulk_queue WHERE sent_at IS NULL AND qty > 0))""",
 }
 
+_STAMP = "'2024-02-01 00:00:00.000'"
+_NONE = "CAST(NULL AS VARCHAR)"
+_NO_NUMBER = "CAST(NULL AS BIGINT)"
+
 SYNC_RUN = f"""
-        SELECT 'skus' AS feed, pc_id AS "HQLocationID", CAST(0 AS BIGINT) AS "HQSKUID",
-               label AS name, CAST(NULL AS VARCHAR) AS serial, CAST(NULL AS VARCHAR) AS prev_serial
-        FROM listed
+        SELECT 'skus' AS feed, "DateAdded" || "LastUpdated" || "LastNotification" AS stamps,
+               "HQLocationID", {_NO_NUMBER} AS "HQSKUID", {_NONE} AS "TagID", {_NONE} AS "AssetID",
+               {_NONE} AS "SerialNumber", {_NONE} AS "PrevSerial", "UPC", "ProductID",
+               "SKUListType", "Description", "IsConsumable", "IsActive", "QuantityOnHand" AS quantity
+        FROM ({_sku_payload("true")})
         UNION ALL
-        SELECT 'units', location_id, sku_id, tag, NULL, NULL FROM unit_tags
+        SELECT 'units', {_STAMP}, location_id, sku_id, tag, tag, NULL, NULL, NULL, NULL, NULL, NULL,
+               NULL, 1, 1
+        FROM unit_tags
         UNION ALL
-        SELECT 'assets', "HQLocationID", "HQSKUID", "TagID", "SerialNumber", "PrevSerial"
+        SELECT 'assets', {_STAMP} || {_STAMP} || {_STAMP}, "HQLocationID", "HQSKUID", "TagID",
+               "AssetID", "SerialNumber", "PrevSerial", NULL, NULL, NULL, NULL, NULL, NULL, NULL
         FROM ({_ASSET_FEED})"""
 
+_SKU_TEXT = "company || '/' || branch || '/' || category || '/' || class_code"
+
+SYNC_RUN_STATE = f"""
+        SELECT 'asset_state' AS name, company || '/' || asset_id AS key, hash AS value
+        FROM (SELECT * FROM prints WHERE ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM sendable)
+              UNION ALL
+              SELECT * FROM prints_before
+              WHERE ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM sendable))
+        UNION ALL
+        SELECT 'prior_attributes', company || '/' || asset_id, serial
+        FROM (SELECT company, asset_id, trim(serial) AS serial FROM assets
+              WHERE status = 'A' AND ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM sendable)
+                AND (company, home_branch) IN (SELECT (company, branch) FROM active)
+              UNION ALL
+              SELECT * FROM prior WHERE ({ASSET_KEY}) NOT IN (
+                  SELECT ({ASSET_KEY}) FROM assets
+                  WHERE status = 'A' AND ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM sendable)
+                    AND (company, home_branch) IN (SELECT (company, branch) FROM active)))
+        UNION ALL
+        SELECT 'qty_event_state', {_SKU_TEXT} || '/' || seq, CAST(qty AS VARCHAR)
+        FROM quantity_changes
+        UNION ALL
+        SELECT 'last_qty', {_SKU_TEXT}, max(seq) || '/' || max_by(qty, seq)
+        FROM qty_events GROUP BY {KEY}
+        UNION ALL
+        SELECT 'qty_snapshot_state', {_SKU_TEXT}, CAST(qty AS VARCHAR) FROM qty_snapshot
+        UNION ALL
+        SELECT 'bulk_queue', {_SKU_TEXT} || '/' || status, CAST(qty AS VARCHAR)
+        FROM (SELECT {KEY}, status, qty FROM bulk_queue WHERE sent_at IS NULL
+                AND ({KEY}) NOT IN (SELECT ({KEY}) FROM send_list)
+              UNION ALL SELECT {KEY}, status, qty FROM held_bulk)
+        UNION ALL
+        SELECT 'asset_queue', company || '/' || asset_id, branch || '/' || category || '/' || class_code
+        FROM settled WHERE sent_at IS NULL
+        UNION ALL
+        SELECT 'control', source, '2024-02-01 00:00:00'
+        FROM (VALUES ('assets'), ('qty_events')) t(source)"""
+
+SYNC_RUN_SITES = f"""
+        SELECT * EXCLUDE (rule) FROM ({BODIES["match_sites_first_rule"]})"""
+
 
 def _needed(sql: str, ctes: dict[str, str]) -> list[str]:
     """The stand-ins a statement uses, in definition order."""
@@ -542,5 +645,9 @@ def _unnest_with(body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    whole_run = statement(SYNC_RUN, **RUN_CTES)
-    return {name: statement(body) for name, body in BODIES.items()} | {"sync_run": whole_run}
+    runs = {
+        "sync_run": SYNC_RUN, "sync_run_state": SYNC_RUN_STATE, "sync_run_sites": SYNC_RUN_SITES
+    }
+    return {name: statement(body) for name, body in BODIES.items()} | {
+        name: statement(body, **RUN_CTES) for name, body in runs.items()
+    }

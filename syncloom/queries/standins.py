@@ -1,6 +1,8 @@
 """Source, state and remote tables, derived from the test tables.
 
-Each stand-in covers its whole table. The check SQL derives the same ones in
+Each stand-in derives from a whole table; those that stand for what was, is active or waits
+(`assets_before`, `active`, `event_state`, `remote_skus`, `asset_queue`) take the part of it that a
+condition names, which is what they stand for. The check SQL derives the same ones in
 ``oracle.py``.
 """
 
@@ -32,9 +34,22 @@ CUTOFF = "2000-01-01 00:00:00"
 EVENTS_FROM = "2024-01-10 00:00:00"
 EVENTS_TO = "2024-01-20 00:00:00"
 
+SECOND_COMPANY = "02"
+
+PROJECTIONS = {"assets", "assets_before", "qty_events", "customer_sites", "remote_items"}
+
 EVENT_CLASSES = {"click": 5, "view": 10, "purchase": 15, "signup": 20, "error": 25}
 
 
+def company_of(number: Column) -> Column:
+    """Two companies, whose branches have the same codes."""
+    return F.when(number % 4 == 0, SECOND_COMPANY).otherwise(DEFAULT_COMPANY)
+
+
+def location_base(company: Column) -> Column:
+    return F.when(company == SECOND_COMPANY, 200).otherwise(100)
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -56,7 +71,8 @@ class Standins:
 
     def write_tables(self, *names: str) -> None:
         """Write stand-ins as tables, so that a run reads columns as it would of a source."""
-        missing = [n for n in names if n not in self.written]
+        # Mere projections of a test table are read from it each time; nothing is gained by a copy.
+        missing = [n for n in names if n not in self.written and n not in PROJECTIONS]
         if missing:
             tables = together(
                 *[lambda n=n: self.stage(getattr(self, n), f"table_{n}") for n in missing]
@@ -72,7 +88,7 @@ class Standins:
         """Orders as serialized assets."""
         order, customer = F.col("o_orderkey"), F.col("o_custkey")
         return self.table("orders").select(
-            F.lit(DEFAULT_COMPANY).alias("company"),
+            company_of(customer).alias("company"),
             F.concat(F.lit("A"), order.cast("string")).alias("asset_id"),
             (1 + customer % 25).cast("decimal(3,0)").alias("category"),
             (1 + order % 50).cast("decimal(4,0)").alias("class_code"),
@@ -98,11 +114,17 @@ class Standins:
 
     @cached_property
     def active(self) -> DataFrame:
-        """Nations of three regions as active branches."""
-        return self.table("nation").where(F.col("n_regionkey") < 3).select(
-            (100 + F.col("n_nationkey")).cast("long").alias("id"),
-            F.lit(DEFAULT_COMPANY).alias("company"),
-            pad(F.col("n_nationkey"), 4).alias("branch"),
+        """Nations of three regions as active branches of one company, and of three of the other."""
+        nation, region = F.col("n_nationkey"), F.col("n_regionkey")
+        each = self.table("nation").select(
+            "*",
+            F.explode(F.array(F.lit(DEFAULT_COMPANY), F.lit(SECOND_COMPANY))).alias("company"),
+        )
+        open_ = F.when(F.col("company") == SECOND_COMPANY, region > 1).otherwise(region < 3)
+        return each.where(open_).select(
+            (location_base(F.col("company")) + nation).cast("long").alias("id"),
+            "company",
+            pad(nation, 4).alias("branch"),
         )
 
     @cached_property
@@ -115,10 +137,13 @@ class Standins:
         )
         category, class_code = F.col("category"), F.col("class_code")
         even = (category + class_code) % 2 == 0
-        return keys.groupBy("category", "class_code").agg(
-            F.min("p_name").alias("description")
-        ).select(
-            F.lit(DEFAULT_COMPANY).alias("company"),
+        described = keys.groupBy("category", "class_code").agg(F.min("p_name").alias("description"))
+        # The second company has some of them only.
+        some = F.when(class_code % 3 == 0, F.array(F.lit(DEFAULT_COMPANY))).otherwise(
+            F.array(F.lit(DEFAULT_COMPANY), F.lit(SECOND_COMPANY))
+        )
+        return described.withColumn("company", F.explode(some)).select(
+            "company",
             "category",
             "class_code",
             "description",
@@ -140,7 +165,7 @@ class Standins:
         for kind, code in EVENT_CLASSES.items():
             class_code = F.when(F.col("event_type") == kind, code).otherwise(class_code)
         return self.table("events").select(
-            F.lit(DEFAULT_COMPANY).alias("company"),
+            company_of(user).alias("company"),
             pad(user % 25, 4).alias("branch"),
             (1 + F.floor(user / 25) % 25).cast("decimal(3,0)").alias("category"),
             class_code.cast("decimal(4,0)").alias("class_code"),
@@ -175,7 +200,7 @@ class Standins:
         return mark_known_events(self.stage(risen, "risen"), self.event_state)
 
     def _remote(self, keys: DataFrame) -> DataFrame:
-        location = 100 + F.col("branch").cast("long")
+        location = location_base(F.col("company")) + F.col("branch").cast("long")
         category, class_code = F.col("category"), F.col("class_code")
         number = location * 10_000_000 + category.cast("long") * 10_000 + class_code.cast("long")
         return keys.select(*SKU_KEYS).distinct().select(
@@ -204,7 +229,7 @@ class Standins:
             .when(qty == 2, F.concat(stem, F.lit("x")))
             .otherwise(F.concat(stem, qty.cast("string")))
         )
-        location = 100 + branch.cast("long")
+        location = location_base(F.col("company")) + branch.cast("long")
         category, class_code = F.col("category").cast("long"), F.col("class_code").cast("long")
         return self.qty_events.select(
             location.alias("location_id"),
@@ -218,7 +243,7 @@ class Standins:
         part, supplier = F.col("l_partkey"), F.col("l_suppkey")
         return self.table("lineitem").select(
             F.concat(F.lit("r"), F.col("l_linenumber").cast("string")).alias("run_id"),
-            F.lit(DEFAULT_COMPANY).alias("company"),
+            company_of(supplier).alias("company"),
             pad(supplier % 25, 4).alias("branch"),
             (1 + part % 25).cast("decimal(3,0)").alias("category"),
             (1 + part % 50).cast("decimal(4,0)").alias("class_code"),
@@ -231,15 +256,21 @@ class Standins:
 
     @cached_property
     def asset_queue(self) -> DataFrame:
-        """Assets of two priorities as held back; inactive ones have been sent."""
+        """Assets of two priorities as held back; inactive ones have been sent.
+
+        Some have moved since, and some were of another class.
+        """
         waiting = self.assets.where(F.col("priority").isin("2-HIGH", "3-MEDIUM"))
+        category = F.col("category").cast("int")
+        then = F.when(category % 3 == 0, F.col("home_branch")).otherwise(F.col("current_branch"))
+        other = F.when(category % 5 == 0, 1).otherwise(0)
         return waiting.select(
             F.lit("r0").alias("run_id"),
             "company",
             "asset_id",
-            F.col("current_branch").alias("branch"),
+            then.alias("branch"),
             upc(F.col("category")).alias("category"),
-            product_id(F.col("class_code")).alias("class_code"),
+            product_id((F.col("class_code") + other).cast("decimal(4,0)")).alias("class_code"),
             F.lit(1).alias("reason"),
             F.col("synced_at").alias("detected_at"),
             F.when(F.col("status") == "I", F.col("synced_at")).alias("sent_at"),
@@ -251,7 +282,7 @@ class Standins:
         text = key.cast("string")
         return self.table("customer").select(
             key.alias("site_id"),
-            F.lit(DEFAULT_COMPANY).alias("company"),
+            company_of(key).alias("company"),
             key.cast("decimal(7,0)").alias("account"),
             F.concat(F.lit("J"), text).alias("job"),
             pad(F.col("c_nationkey"), 4).alias("branch"),
@@ -278,7 +309,7 @@ class Standins:
         return self.table("supplier").select(
             (key * 3).alias("site_id"),
             (1000 + nation * 10 + key % 3).cast("long").alias("location_id"),
-            F.lit(DEFAULT_COMPANY).alias("company"),
+            company_of(key).alias("company"),
             text.alias("account"),
             F.concat(F.lit("J"), text).alias("job"),
             F.lit("BUILDING").alias("job_location"),

@@ -13,8 +13,8 @@ MASTER_KEYS = ["company", "category", "class_code"]
 DEFAULT_COMPANY = "01"
 
 # Codes that receivers of the feeds rely on.
-ACTION_IDLE, ACTION_ADD, ACTION_UPDATE, ACTION_DELETE = 0, 1, 2, 3
-REASON_UNKNOWN, REASON_SKU_MISSING = 0, 1
+ACTION_IDLE, ACTION_ADD = 0, 1
+REASON_SKU_MISSING = 1
 STATUS_RECEIVE = "RC"
 NEW, UPD, DEL = "NEW", "UPD", "DEL"
 
@@ -112,6 +112,10 @@ STATE = {
         "company string, branch string, category decimal(3,0), class_code decimal(4,0), "
         "qty decimal(6,0), hash string, cached_at timestamp_ntz"
     ),
+    "last_qty": (
+        "company string, branch string, category decimal(3,0), class_code decimal(4,0), "
+        "seq bigint, synced_at timestamp_ntz, qty decimal(6,0)"
+    ),
     "prior_attributes": "company string, asset_id string, serial string",
     "bulk_queue": (
         "run_id string, company string, branch string, category decimal(3,0), "
@@ -137,6 +141,7 @@ STATE_KEYS = {
     "asset_state": ASSET_KEYS,
     "prior_attributes": ASSET_KEYS,
     "qty_snapshot_state": SKU_KEYS,
+    "last_qty": SKU_KEYS,
 }
 
 

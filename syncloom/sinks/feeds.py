@@ -6,41 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from syncloom.operators.units import expand_units
 from syncloom.sources.feeds import feed_path
 
-# A nested document holds about this many children; a larger parent becomes several documents.
-MAX_CHILDREN = 10_000
-
 
 def nest_json(
-    df: DataFrame,
-    parent: Sequence[str],
-    children: Sequence[str],
-    name: str,
-    max_children: int = MAX_CHILDREN,
+    df: DataFrame, parent: Sequence[str], children: Sequence[str], name: str
 ) -> DataFrame:
     """One document per parent with its rows as a sorted array of objects.
 
-    A parent of more rows than ``max_children`` becomes several documents of
-    about that size, numbered by ``part``. Rows go to parts by their hash, and
-    equal rows by their copy number too, so that no part outgrows the others.
+    The parent's columns name whose rows make a document. Where a parent can have any number of
+    rows, the caller adds a column to it within which they are bounded; it then stands in the
+    document as well. A parent of NULL is a parent too.
     """
-    counted = df.groupBy(*parent, *children).agg(F.count(F.lit(1)).alias("_copies"))
-    sizes = counted.groupBy(*[F.col(c).alias(f"_of_{c}") for c in parent]).agg(
-        F.sum("_copies").alias("_rows")
-    )
-    # A parent of NULL is a parent too.
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in parent]
-    parts = F.ceil(F.col("_rows") / max_children)
-    rows = expand_units(counted.join(sizes, same), "_copies", "_copy")
-    numbered = rows.withColumn(
-        "part", F.pmod(F.xxhash64(*children, "_copy"), parts).cast("int")
-    )
     items = F.array_sort(F.collect_list(F.struct(*children))).alias(name)
-    # Parts of one parent lie apart even where the rows already lie together by parent.
-    nested = numbered.repartition(*parent, "part").groupBy(*parent, "part").agg(items)
-    return nested.select(*parent, "part", F.to_json(F.struct(*parent, name)).alias("doc"))
+    nested = df.groupBy(*parent).agg(items)
+    return nested.select(*parent, F.to_json(F.struct(*parent, name)).alias("doc"))
 
 
 def nested_ddl(df: DataFrame, parent: Sequence[str], children: Sequence[str], name: str) -> str:
@@ -57,13 +37,12 @@ def as_json(df: DataFrame) -> DataFrame:
 def write_feed(
     df: DataFrame, root: str, op: str, session_id: str, encoded: bool = False
 ) -> str | None:
-    """Write a feed of a session and return its path; nothing is written when it is empty.
+    """Write a feed of a session and return its path, or None when it has no rows.
 
-    A run that starts over replaces what it wrote before.
+    The folder is replaced in any case, so a run that starts over leaves no rows of before. The
+    rows are computed once: whether there are any is read from what was written.
     """
-    if df.isEmpty():
-        return None
     path = feed_path(root, op, session_id)
     lines = df if encoded else as_json(df)
     lines.write.mode("overwrite").option("compression", "gzip").text(path)
-    return path
+    return None if df.sparkSession.read.text(path).isEmpty() else path

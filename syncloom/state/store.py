@@ -5,15 +5,15 @@ manifest of the run, written last, names the folders of every table; a run that
 fails before that leaves the state as it was and may simply start over.
 
 A table with a key takes changed rows as a folder of their own, so a run writes
-what changed and not the whole table; a later folder's row of a key counts.
+what changed and not the whole table; a later folder's row of a key counts. A
+table is put back into one folder by ``compact``, which is called by itself.
 """
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
+from typing import NamedTuple
+from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncloom.operators.skew import latest
@@ -22,14 +22,32 @@ from syncloom.schemas import STATE, STATE_KEYS, conform
 from syncloom.session import no_rows, together
 
 MANIFEST = "table string, position int, path string"
-# Tables of more folders than these are rewritten as one: those that merge changed rows
-# when read, and those that only grow, which are as large as a log.
-MAX_CHANGES = 32
-MAX_APPENDS = 1000
 
 _POSITION = "_position"
 
 
+class StateConflict(RuntimeError):
+    """Another run has published since this one began."""
+
+
+class Version(NamedTuple):
+    number: int
+    base: int
+    run_id: str
+    path: str
+
+
+class History(NamedTuple):
+    """What one listing of the manifests shows."""
+
+    highest: int
+    published: tuple[Version, ...]
+
+    @property
+    def newest(self) -> int:
+        return self.published[-1].number if self.published else 0
+
+
 class StateStore:
     def __init__(
         self,
@@ -43,31 +61,39 @@ class StateStore:
         self.tables = STATE if tables is None else tables
         self.keys = STATE_KEYS if keys is None else keys
 
-    def _published(self) -> dict[int, tuple[str, str]]:
-        """Run and manifest file of each version, from the names of the files alone."""
-        try:
-            files = self.spark.read.schema(MANIFEST).json(f"{self.root}/_manifests").inputFiles()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        named = [(re.search(r"/version=(\d+)/run_id=([^/]+)/", unquote(f)), f) for f in files]
-        return {int(found[1]): (unquote(found[2]), file) for found, file in named if found}
-
-    def _latest(self) -> tuple[int, dict[str, list[str]]]:
-        """The newest version and the folders of each table: a handful of rows."""
-        published = self._published()
-        if not published:
-            return 0, {}
-        version = max(published)
+    def _history(self) -> History:
+        """The versions, from one listing of the manifest folders by name.
+
+        A folder without the mark that its write came to an end is what a run left that failed;
+        its number is not used again. A version counts when the one it was made from is the
+        newest that counts before it.
+        """
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifests")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = []
+        for folder in files.listStatus(path) if files.exists(path) else ():
+            number, base, run_id = folder.getPath().getName().split("-", 2)
+            place = folder.getPath().toString()
+            found.append(Version(int(number), int(base), unquote(run_id), place))
+        counted: list[Version] = []
+        for version in sorted(found):
+            newest = counted[-1].number if counted else 0
+            done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{version.path}/_SUCCESS")
+            if version.base == newest and files.exists(done):
+                counted.append(version)
+        return History(max((v.number for v in found), default=0), tuple(counted))
+
+    def _folders(self, history: History) -> dict[str, list[str]]:
+        """The folders of each table in the newest version: a handful of rows."""
         folders: dict[str, list[str]] = {}
-        manifest = self.spark.read.schema(MANIFEST).json(unquote(published[version][1]))
-        for row in sorted(manifest.collect(), key=lambda row: row["position"]):
-            folders.setdefault(row["table"], []).append(row["path"])
-        return version, folders
+        if history.published:
+            manifest = self.spark.read.schema(MANIFEST).json(history.published[-1].path)
+            for row in sorted(manifest.collect(), key=lambda row: row["position"]):
+                folders.setdefault(row["table"], []).append(row["path"])
+        return folders
 
     def published(self, run_id: str) -> bool:
-        return run_id in {run for run, _ in self._published().values()}
+        return run_id in {v.run_id for v in self._history().published}
 
     def _read(self, table: str, folders: dict[str, list[str]]) -> DataFrame:
         ddl = self.tables[table]
@@ -87,11 +113,21 @@ class StateStore:
 
     def read(self, table: str) -> DataFrame:
         """A table as last published."""
-        return self._read(table, self._latest()[1])
+        return self._read(table, self._folders(self._history()))
 
     def begin(self, run_id: str) -> "Commit":
         return Commit(self, run_id)
 
+    def compact(self, table: str, run_id: str) -> None:
+        """Put a table of many folders back into one, as a version of its own.
+
+        The table is read and written whole, so this is called now and then and not by a run.
+        """
+        commit = self.begin(run_id)
+        if len(commit.before.get(table, [])) > 1:
+            commit.overwrite(table, commit.read(table))
+            commit.publish()
+
 
 class Commit:
     """The tables one run writes; they become the state when it publishes."""
@@ -99,7 +135,10 @@ class Commit:
     def __init__(self, store: StateStore, run_id: str):
         self.store = store
         self.run_id = run_id
-        self.version, self.before = store._latest()
+        self.history = store._history()
+        self.done = run_id in {v.run_id for v in self.history.published}
+        self.version = self.history.highest + 1
+        self.before = store._folders(self.history)
         self.folders = dict(self.before)
         self.writes: dict[str, DataFrame] = {}
 
@@ -108,7 +147,7 @@ class Commit:
         return self.store._read(table, self.before)
 
     def _add(self, table: str, df: DataFrame, kept: list[str]) -> None:
-        path = f"{self.store.root}/{table}/{self.version + 1:09d}-{self.run_id}"
+        path = f"{self.store.root}/{table}/{self.version:09d}-{quote(self.run_id, safe='')}"
         self.writes[path] = conform(df, self.store.tables[table])
         self.folders[table] = [*kept, path]
 
@@ -117,21 +156,12 @@ class Commit:
         self._add(table, df, [])
 
     def append(self, table: str, df: DataFrame) -> None:
-        """The table has these rows too; what it held is rewritten only once in a while."""
-        kept = self.before.get(table, [])
-        if len(kept) < MAX_APPENDS:
-            self._add(table, df, kept)
-        else:
-            rows = conform(df, self.store.tables[table])
-            self._add(table, self.read(table).unionByName(rows), [])
+        """The table has these rows too."""
+        self._add(table, df, self.before.get(table, []))
 
     def change(self, table: str, df: DataFrame) -> None:
         """The table has these rows in place of those it held under their keys."""
-        kept = self.before.get(table, [])
-        if len(kept) < MAX_CHANGES:
-            self._add(table, df, kept)
-        else:
-            self._add(table, upsert(self.read(table), df, self.store.keys[table]), [])
+        self._add(table, df, self.before.get(table, []))
 
     def publish(self) -> None:
         """Write the tables, all at once, and then the manifest."""
@@ -141,13 +171,15 @@ class Commit:
                 for path, df in self.writes.items()
             ]
         )
+        now = self.store._history()
+        if now.newest != self.history.newest:
+            raise StateConflict(f"version {now.newest} was published since this run began")
         rows = [
-            (self.run_id, table, position, path)
+            (table, position, path)
             for table, paths in self.folders.items()
             for position, path in enumerate(paths)
         ]
-        manifest = self.store.spark.createDataFrame(rows, f"run_id string, {MANIFEST}")
-        # Fails when another run has published this version meanwhile.
-        manifest.coalesce(1).write.partitionBy("run_id").mode("error").json(
-            f"{self.store.root}/_manifests/version={self.version + 1}"
-        )
+        manifest = self.store.spark.createDataFrame(rows, MANIFEST)
+        name = f"{self.version:09d}-{self.history.newest:09d}-{quote(self.run_id, safe='')}"
+        # Fails where a run that began at the same time has got this far under this id.
+        manifest.coalesce(1).write.mode("error").json(f"{self.store.root}/_manifests/{name}")

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from syncloom.operators.joins import exclude, keep_matching
-from syncloom.operators.quantity import quantity_delta
+from syncloom.operators.quantity import (
+    delta_since,
+    last_quantities,
+    late_keys,
+    quantity_delta,
+)
 from syncloom.session import no_rows
 
 
@@ -29,7 +34,12 @@ class DeltaStream:
     """Quantity deltas of an event log that arrives as files.
 
     New events are added to an event table, a folder per micro-batch, and their
-    deltas to another one. A batch that is tried again replaces its own folders.
+    deltas to another one. A third one holds the last event of each key after the
+    batch: the next batch takes the quantities before from it, and reads the event
+    table for keys only that have an event out of order. The delta of an event that
+    was written before such a late one came is not written again. A batch that is
+    tried again replaces its own folders; of the third table only the newest folder
+    is needed.
     """
 
     def __init__(
@@ -68,15 +78,32 @@ class DeltaStream:
             "epoch"
         )
 
+    def last(self, epoch: int) -> DataFrame:
+        """The last event of each key, as it was after a micro-batch."""
+        fields = [self.schema[c] for c in [*self.keys, *self.order, "qty"]]
+        if epoch < 0:
+            return no_rows(self.spark, T.StructType(fields).toDDL())
+        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/last/epoch={epoch}")
+
     def process(self, batch: DataFrame, epoch: int) -> None:
         seen = self.events().where(F.col("epoch") < epoch)
         fresh = dedupe_events(batch, seen, self.event_keys, self.ts_col)
         fresh.write.mode("overwrite").parquet(f"{self.root}/events/epoch={epoch}")
-        known = self.events().where(F.col("epoch") <= epoch)
-        arrived = known.where(F.col("epoch") == epoch)
-        history = keep_matching(known, arrived, self.keys)
-        deltas = quantity_delta(history, self.keys, self.order).where(F.col("epoch") == epoch)
-        deltas.drop("epoch").write.mode("overwrite").parquet(f"{self.root}/deltas/epoch={epoch}")
+        arrived = self.events().where(F.col("epoch") == epoch).drop("epoch")
+        last = self.last(epoch - 1)
+        late = late_keys(arrived, last, self.keys, self.order)
+        on_time = exclude(arrived, late, self.keys, unique=True)
+        deltas = delta_since(on_time, last, self.keys, self.order)
+        if not late.isEmpty():
+            known = self.events().where(F.col("epoch") <= epoch)
+            history = keep_matching(known, late, self.keys, unique=True)
+            whole = quantity_delta(history, self.keys, self.order)
+            deltas = deltas.unionByName(whole.where(F.col("epoch") == epoch).drop("epoch"))
+        deltas.write.mode("overwrite").parquet(f"{self.root}/deltas/epoch={epoch}")
+        newest = last_quantities(
+            arrived.select(*last.columns).unionByName(last), self.keys, self.order
+        )
+        newest.write.mode("overwrite").parquet(f"{self.root}/last/epoch={epoch}")
 
     def start(self, stream: DataFrame) -> StreamingQuery:
         """Take in all that is there, then stop; called again it goes on from there."""

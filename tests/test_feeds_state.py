@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import at, frame, values
@@ -12,8 +11,7 @@ from syncloom.schemas import FEEDS
 from syncloom.session import Workspace, shared_dir
 from syncloom.sinks.feeds import nest_json, write_feed
 from syncloom.sources import feeds
-from syncloom.state import store as state_store
-from syncloom.state.store import StateStore
+from syncloom.state.store import StateConflict, StateStore
 
 
 def land(root, op, session, name, text, encoding="utf-8"):
@@ -92,25 +90,32 @@ def test_feed_goes_out_as_gzip_lines_and_comes_back(spark, tmp_path):
     assert values(feeds.read_json_feed(spark, str(tmp_path), ddl, "r1", "units")) == values(table)
 
 
-def test_an_empty_feed_is_not_written(spark, tmp_path):
+def test_an_empty_feed_has_no_rows(spark, tmp_path):
+    ddl = "id bigint"
     assert write_feed(spark.range(0), str(tmp_path), "units", "r1") is None
-    assert not os.listdir(tmp_path)
+    assert feeds.read_json_feed(spark, str(tmp_path), ddl, "r1", "units", required=False).isEmpty()
+
+
+def test_an_empty_feed_replaces_one_with_rows(spark, tmp_path):
+    ddl = "id bigint"
+    assert write_feed(spark.range(1), str(tmp_path), "units", "r1")
+    assert write_feed(spark.range(0), str(tmp_path), "units", "r1") is None
+    assert feeds.read_json_feed(spark, str(tmp_path), ddl, "r1", "units", required=False).isEmpty()
 
 
 def test_nested_documents_keep_every_row(spark):
-    rows = [("p", i, "x") for i in range(95)] + [("p", 1, "copy")] * 40 + [("q", 1, "y"), (None, 5, "z")]
-    table = spark.createDataFrame(rows, "parent string, id int, name string")
+    rows = [("p", i % 3, i, "x") for i in range(95)] + [("p", 1, 1, "copy")] * 40
+    rows += [("q", 1, 1, "y"), (None, 5, 5, "z"), ("q", None, 7, "w")]
+    table = spark.createDataFrame(rows, "parent string, kind int, id int, name string")
     whole = nest_json(table, ["parent"], ["id", "name"], "items")
     assert whole.count() == 3
-    first = json.loads(whole.where("parent = 'q'").first()["doc"])
-    assert first == {"parent": "q", "items": [{"id": 1, "name": "y"}]}
-    split = nest_json(table, ["parent"], ["id", "name"], "items", max_children=20)
+    first = json.loads(whole.where("parent is null").first()["doc"])
+    assert first == {"items": [{"id": 5, "name": "z"}]}
+    split = nest_json(table, ["parent", "kind"], ["id", "name"], "items")
     docs = [json.loads(r["doc"]) for r in split.collect()]
-    assert sorted((d.get("parent"), i["id"], i["name"]) for d in docs for i in d["items"] if "parent" in d) == sorted(
-        r for r in rows if r[0]
-    )
-    sizes = [len(d["items"]) for d in docs if d.get("parent") == "p"]
-    assert len(sizes) > 1 and max(sizes) < 60
+    assert len(docs) == 6 and {(d.get("parent"), d.get("kind")) for d in docs} == {r[:2] for r in rows}
+    found = [(d.get("parent"), d.get("kind"), i["id"], i["name"]) for d in docs for i in d["items"]]
+    assert sorted(found, key=repr) == sorted(rows, key=repr)
 
 
 TABLES = {"kept": "id bigint, v string", "log": "id bigint"}
@@ -141,24 +146,40 @@ def test_state_is_published_together_and_old_versions_stay_readable(spark, tmp_p
     assert values(second.read("kept")) == [(1, "a")]
 
 
-def test_changed_rows_replace_those_of_their_key(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(state_store, "MAX_CHANGES", 5)
-    monkeypatch.setattr(state_store, "MAX_APPENDS", 7)
+def test_changed_rows_replace_those_of_their_key(spark, tmp_path):
     store = StateStore(spark, str(tmp_path), TABLES, keys={"kept": ["id"]})
     expected = {}
-    # More runs than folders are kept, so that the table is rewritten once.
-    for run in range(13):
+    for run in range(7):
         rows = [(run % 4, f"v{run}"), (10 + run, "new")]
         commit = store.begin(f"run {run}:00")
         commit.change("kept", table(spark, *rows))
         commit.append("log", spark.range(run, run + 1))
         commit.publish()
         expected.update(rows)
+    folders = store._folders(store._history())
+    assert len(folders["kept"]) == len(folders["log"]) == 7
+    store.compact("kept", "tidy 1")
+    store.compact("log", "tidy 2")
+    store.compact("log", "tidy 3")  # nothing to do
+    folders = store._folders(store._history())
+    assert len(folders["kept"]) == len(folders["log"]) == 1
     assert values(store.read("kept")) == sorted(expected.items(), key=repr)
-    assert values(store.read("log")) == sorted([(n,) for n in range(13)], key=repr)
-    folders = store._latest()[1]
-    assert len(folders["kept"]) <= 5 and len(folders["log"]) <= 7
-    assert store.published("run 3:00") and not store.published("run 20:00")
+    assert values(store.read("log")) == sorted([(n,) for n in range(7)], key=repr)
+    assert store.published("run 3:00") and store.published("tidy 1")
+    assert not store.published("run 20:00") and not store.published("tidy 3")
+
+
+def test_what_a_crash_left_does_not_stand_in_the_way(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path), TABLES)
+    first = store.begin("r1")
+    first.overwrite("kept", table(spark, (1, "a")))
+    first.publish()
+    os.makedirs(tmp_path / "_manifests" / "000000002-000000001-r2" / "_temporary" / "0")
+    assert values(store.read("kept")) == [(1, "a")] and not store.published("r2")
+    again = store.begin("r2")
+    again.overwrite("kept", table(spark, (2, "b")))
+    again.publish()
+    assert values(store.read("kept")) == [(2, "b")] and store.published("r2")
 
 
 def test_a_run_that_fails_leaves_the_state_and_may_start_over(spark, tmp_path):
@@ -182,9 +203,14 @@ def test_two_runs_cannot_publish_the_same_version(spark, tmp_path):
     one.overwrite("kept", table(spark, (1, "a")))
     two.overwrite("kept", table(spark, (1, "b")))
     one.publish()
-    with pytest.raises(AnalysisException):
+    with pytest.raises(StateConflict):
         two.publish()
     assert values(store.read("kept")) == [(1, "a")]
+    # Even a writer that looked before the other was done does not count: its base is not the newest.
+    late = tmp_path / "_manifests" / "000000009-000000000-r2"
+    os.makedirs(late)
+    (late / "_SUCCESS").touch()
+    assert values(store.read("kept")) == [(1, "a")] and not store.published("r2")
 
 
 def test_staged_tables_lie_in_the_shared_folder(spark):

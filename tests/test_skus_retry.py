@@ -109,8 +109,12 @@ def test_bulk_without_id_waits_and_with_id_goes_out_with_what_waited(spark):
     assert values(held, "run_id", "branch", "class_code", "qty", "sent_at") == [
         ("r1", "b2", 6, 4, None), ("r1", "b2", 7, 3, None)
     ]
-    fresh = retry.hold_back_bulk(sending, known, active(spark), queue, "r1", now(), dedupe_queue=True)
-    assert values(fresh, "branch", "class_code") == [("b2", 7)]
+    merged = retry.merge_held(queue, held)
+    # What b2 was to get is one entry now: 1 that waited and 4 on top.
+    assert values(retry.unsent(merged), "run_id", "branch", "class_code", "qty") == [
+        ("r0", "b1", 6, 1.5), ("r0", "b1", 6, 2.5), ("r0", "b2", 6, 5), ("r1", "b2", 7, 3)
+    ]
+    assert values(merged.where("sent_at is not null"), "branch", "qty") == [("b1", 9)]
     after, _ = retry.append_capture(queue, held)
     replayed = retry.replay_quantities(after, sk.resolved(known, is_bulk=True))
     assert values(replayed, "branch", "qty") == [("b1", 4)]
@@ -139,7 +143,7 @@ def test_assets_wait_once_and_settle_when_their_sku_arrives(spark):
     # a1 and a2 resolve, a3 waits already, a4 waited once but was sent.
     assert values(held, "asset_id", "branch", "category", "class_code") == [("a4", "b2", "009", "0006")]
     after, _ = retry.append_capture(queue, held)
-    remaining, settled = retry.settle_assets(changed, after, held, known, "r1", now())
+    remaining, settled = retry.settle_assets(changed, everything, after, known, active(spark), "r1", now())
     assert values(remaining, "asset_id") == [("a1",), ("a2",)]
     assert values(settled, "asset_id", "run_id", "sent_at") == [
         ("a1", "r1", NOW), ("a3", "r0", None), ("a4", "r0", EARLIER), ("a4", "r1", None)
@@ -152,12 +156,41 @@ def test_every_change_is_sent_or_waits_but_never_both(spark):
     known = skus(spark, ("b1", 5, 70, False))
     held = retry.hold_back_assets(changed, assets(spark), known, active(spark), queue, "r1", now())
     after, _ = retry.append_capture(queue, held)
-    remaining, settled = retry.settle_assets(changed, after, held, known, "r1", now())
+    remaining, settled = retry.settle_assets(
+        changed, assets(spark), after, known, active(spark), "r1", now()
+    )
     sent = {r[0] for r in values(remaining, "asset_id")}
     waiting = {r[0] for r in values(retry.unsent(settled), "asset_id")}
     assert sent | waiting == {"a1", "a2", "a3", "a4"} and not sent & waiting
 
 
+def test_assets_settle_by_where_they_are_now(spark):
+    """a1 waited at b2 and is at b1 now, which resolves; a3 waited at b1 and is at b2, which does not."""
+    everything = assets(spark)
+    changed = asset_changes(spark, "a1", "a3")
+    queue = asset_queue(spark, ("a1", "b2", None), ("a3", "b1", None))
+    known = skus(spark, ("b1", 5, 70, False))
+    held = retry.hold_back_assets(changed, everything, known, active(spark), queue, "r1", now())
+    assert values(held, "asset_id", "branch") == [("a3", "b2")]
+    after, _ = retry.append_capture(queue, held)
+    remaining, settled = retry.settle_assets(changed, everything, after, known, active(spark), "r1", now())
+    assert values(remaining, "asset_id") == [("a1",)]
+    assert values(settled, "asset_id", "branch", "run_id", "sent_at") == [
+        ("a1", "b2", "r1", NOW), ("a3", "b1", "r1", NOW), ("a3", "b2", "r1", None)
+    ]
+
+
+def test_an_asset_whose_sku_turned_bulk_goes_on_waiting(spark):
+    changed = asset_changes(spark, "a1")
+    queue = asset_queue(spark, ("a1", "b1", None))
+    known = skus(spark, ("b1", 5, 70, True))
+    held = retry.hold_back_assets(changed, assets(spark), known, active(spark), queue, "r1", now())
+    after, _ = retry.append_capture(queue, held)
+    remaining, settled = retry.settle_assets(changed, assets(spark), after, known, active(spark), "r1", now())
+    assert values(remaining, "asset_id") == []
+    assert values(retry.unsent(settled), "asset_id", "branch") == [("a1", "b1")]
+
+
 def test_payload_shows_serial_numbers_now_and_before(spark):
     prior = prior_attributes(assets(spark), active(spark))
     assert values(prior) == [("01", "a1", "s1"), ("01", "a3", "s3"), ("01", "a4", "s4"), ("01", "a5", "s5")]

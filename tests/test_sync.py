@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import at, frame, values
 from syncloom.plans.inputs import load_inputs
-from syncloom.plans.rebuild import rebuild
-from syncloom.plans.sync import Inputs, Options, run_sync
+from syncloom.plans.rebuild import expire_events, rebuild
+from syncloom.plans.sync import Inputs, Options, SyncRun, run_sync
 from syncloom.schemas import SOURCE_COLUMNS
 from syncloom.sinks.feeds import write_feed
 from syncloom.sources.feeds import MissingFeed
@@ -209,8 +209,103 @@ def test_nested_sku_feed_and_first_only_fallback(case):
         case.spark, case.inputs(), case.store, at("2024-02-01"), "r1", case.out,
         Options(nest_skus=True, fill_first_only=True),
     )
-    rows = result.feeds["skus"].selectExpr("HQLocationID", "inline(items)")
+    rows = result.feeds["skus"].selectExpr("HQLocationID", "UPC", "inline(items)")
     assert values(rows, "HQLocationID", "SKUListType") == [
         (1, "009-0005"), (1, "009-0006"), (2, "009-0006"), (2, "009-0007")
     ]
     assert result.feeds["skus"].count() == 2
+
+
+def test_nested_asset_feed(case):
+    result = run_sync(
+        case.spark, case.inputs(), case.store, at("2024-02-01"), "r1", case.out, Options(nest_assets=True)
+    )
+    rows = result.feeds["assets"].selectExpr("HQLocationID", "HQSKUID", "AssetGroup", "inline(items)")
+    assert values(rows, "HQLocationID", "HQSKUID", "AssetGroup", "TagID") == [(1, 70, "", "a1")]
+
+
+def test_late_and_new_events_take_the_right_quantity_before(case):
+    """The second run reads its interval; an event that comes before known ones looks into the log."""
+    skus = FIRST_SKUS + [(80, 2, "009", "0006")]
+    case.run("r1", "2024-02-01", case.inputs(skus=skus))
+    assert values(case.store.read("last_qty"), "branch", "seq", "qty") == [("b1", 4, 3), ("b2", 3, 4)]
+    late = (2, at("2024-02-01 12:00"), "EV", "01", "b2", 9, 6, 1)
+    event = (5, at("2024-02-01 13:00"), "EV", "01", "b1", 9, 6, 7)
+    second = case.run("r2", "2024-02-02", case.inputs(events=EVENTS + [late, event], skus=skus))
+    # 3 to 7 at b1; nothing to 1 at b2, whose snapshot says 4: no rise.
+    assert second["units"] == [(71, f"C_00b1_{n}") for n in range(1, 5)]
+    assert values(case.store.read("last_qty"), "branch", "seq", "qty") == [("b1", 5, 7), ("b2", 3, 4)]
+
+
+def test_a_run_scans_the_interval_of_the_log_alone(case, tmp_path):
+    case.run("r1", "2024-02-01", case.inputs())
+    inputs = case.inputs()
+    inputs.qty_events.write.parquet(f"{tmp_path}/log")
+    inputs.qty_events = case.spark.read.parquet(f"{tmp_path}/log")
+    run = SyncRun(case.spark, inputs, case.store, at("2024-02-02"), "r2", case.out)
+    run.commit = case.store.begin("r2")
+    _, bounds = run.intervals()
+    run.work.stage, staged = recorder(run.work.stage)
+    run.quantity_changes(*bounds["qty_events"])
+    plans = [p for p in staged if "/log" in p]
+    assert plans and all("GreaterThanOrEqual(synced_at" in p for p in plans)
+
+
+def recorder(stage):
+    plans = []
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    return recorded, plans
+
+
+def test_moved_assets_are_sent_or_wait_over_three_runs(case):
+    """a2 waits at b2 and moves to b1, where its SKU is known; then to b2 again."""
+    case.run("r1", "2024-02-01", case.inputs())
+    assert case.waiting("asset_queue", "asset_id", "branch") == [("a2", "b2")]
+    moved = [ASSETS[1][:2] + (at("2024-02-01 12:00"),) + ASSETS[1][3:6] + ("b1",) + ASSETS[1][7:]]
+    skus = FIRST_SKUS + [(82, 1, "009", "0007")]
+    second = case.run("r2", "2024-02-02", case.inputs(assets=ASSETS[:1] + moved, skus=skus))
+    assert second["assets"] == [(82, "a2", "s2")]
+    assert case.waiting("asset_queue") == []
+    back = [ASSETS[1][:2] + (at("2024-02-02 12:00"),) + ASSETS[1][3:]]
+    third = case.run("r3", "2024-02-03", case.inputs(assets=ASSETS[:1] + back, skus=skus))
+    assert third["assets"] == []
+    assert case.waiting("asset_queue", "asset_id", "branch") == [("a2", "b2")]
+
+
+def test_an_asset_that_moves_to_an_unknown_sku_goes_on_waiting(case):
+    """The SKU of where it waited arrives, but the asset is elsewhere by then."""
+    case.run("r1", "2024-02-01", case.inputs())
+    moved = [ASSETS[1][:2] + (at("2024-02-01 12:00"),) + ASSETS[1][3:6] + ("b1",) + ASSETS[1][7:]]
+    there = FIRST_SKUS + [(81, 2, "009", "0007")]
+    second = case.run("r2", "2024-02-02", case.inputs(assets=ASSETS[:1] + moved, skus=there))
+    assert second["assets"] == []
+    assert case.waiting("asset_queue", "asset_id", "branch") == [("a2", "b1")]
+    assert values(case.store.read("asset_state"), "asset_id") == [("a1",)]
+    both = there + [(82, 1, "009", "0007")]
+    third = case.run("r3", "2024-02-03", case.inputs(assets=ASSETS[:1] + moved, skus=both))
+    assert third["assets"] == [(82, "a2", "s2")]
+    assert case.waiting("asset_queue") == []
+
+
+def test_a_quantity_on_top_of_one_that_waits_is_not_lost(case):
+    case.run("r1", "2024-02-01", case.inputs(), dedupe_queue=True)
+    assert case.waiting("bulk_queue", "branch", "qty") == [("b2", 4)]
+    more = (5, at("2024-02-01 12:00"), "EV", "01", "b2", 9, 6, 6)
+    case.run("r2", "2024-02-02", case.inputs(events=EVENTS + [more]), dedupe_queue=True)
+    assert case.waiting("bulk_queue", "branch", "qty") == [("b2", 6)]
+    skus = FIRST_SKUS + [(80, 2, "009", "0006")]
+    third = case.run("r3", "2024-02-03", case.inputs(events=EVENTS + [more], skus=skus), dedupe_queue=True)
+    assert third["units"] == [(80, f"C_00b2_{n}") for n in range(1, 7)]
+
+
+def test_old_events_expire(case):
+    case.run("r1", "2024-02-01", case.inputs())
+    before = F.lit(at("2024-01-06")).cast("timestamp_ntz")
+    expire_events(case.store, "tidy", before)
+    assert values(case.store.read("qty_event_state"), "seq") == [(2,), (3,)]
+    again = case.run("r2", "2024-02-02", case.inputs(), event_days=10)
+    assert again["units"] == []

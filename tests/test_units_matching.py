@@ -112,7 +112,9 @@ def brute_force(sites, remote):
 def test_union_of_rules(spark):
     sites, remote = lists(spark)
     expected = sorted(brute_force(sites, remote))
-    assert values(match_sites(sites, remote), "CJID", "HQLocationID") == expected
+    assert values(match_sites(sites, remote, mode="union"), "CJID", "HQLocationID") == expected
+    twice = match_sites(sites.union(sites), remote, mode="union")
+    assert values(twice, "CJID", "HQLocationID") == expected
     assert values(matched_pairs(sites, remote)) == expected
 
 
