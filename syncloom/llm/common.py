@@ -108,8 +108,9 @@ def count_white_words(text: Column) -> Column:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower case for A to Z alone."""
-    return F.translate(text, UPPER, LOWER)
+    """Lower case for A to Z alone. Where all characters are ASCII, plain lower case does the same."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def seeded(seed: int, *keys: Column) -> Column:

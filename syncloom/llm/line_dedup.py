@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -12,9 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncloom.llm.common import (
-    WHITE,
     Scratch,
-    ascii_lower,
     fresh,
     named,
     packed,
@@ -24,24 +23,51 @@ from syncloom.llm.common import (
 )
 
 
-def line_key(line: Column) -> Column:
-    return ascii_lower(F.btrim(line, F.lit(WHITE)))
+def _hash_lines(batches: Iterator[pa.RecordBatch], least_chars: int) -> Iterator[pa.RecordBatch]:
+    """For each line whose key is long enough: its hash, its document and its position.
+
+    Bytes strip and lower just the ASCII characters that the key rule names.
+    """
+    for batch in batches:
+        hashes, rows, places = [], [], []
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for row, text in enumerate(texts):
+            for place, line in enumerate((text or b"").split(b"\n")):
+                key = line.strip().lower()
+                if len(key) < least_chars or (least_chars > 1 and len(key.decode()) < least_chars):
+                    continue
+                hashes.append(hashlib.md5(key).digest())
+                rows.append(row)
+                places.append(place)
+        picks = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(hashes, pa.binary()),
+                batch.column("doc_id").take(picks),
+                batch.column("doc_key").take(picks),
+                pa.array(places, pa.int32()),
+            ],
+            ["hash", "doc_id", "doc_key", "position"],
+        )
 
 
 def line_rows(docs: DataFrame, key: str, text: str, least_chars: int) -> DataFrame:
     """(hash, doc_id, doc_key, position): the lines whose key is long enough."""
-    # Keys first: what stands beside an explode is computed for every line.
+    use_package(docs.sparkSession)
     keyed = docs.select(
         named(key).alias("doc_id"),
         row_key(named(key), named(text)).alias("doc_key"),
-        F.split(F.coalesce(named(text), F.lit("")), "\n").alias("lines"),
+        named(text).cast("string").alias("text"),
     )
-    cut = keyed.select(
-        "doc_id", "doc_key", F.posexplode("lines").alias("position", "line")
-    ).withColumn("line", line_key(F.col("line")))
-    return cut.where(F.char_length("line") >= least_chars).select(
-        F.unhex(F.md5("line")).alias("hash"), "doc_id", "doc_key", "position"
+    schema = T.StructType(
+        [
+            T.StructField("hash", T.BinaryType()),
+            T.StructField("doc_id", keyed.schema["doc_id"].dataType),
+            T.StructField("doc_key", T.BinaryType()),
+            T.StructField("position", T.IntegerType()),
+        ]
     )
+    return keyed.mapInArrow(lambda batches: _hash_lines(batches, least_chars), schema)
 
 
 def _changes(column: pa.Array, before) -> np.ndarray:
@@ -212,7 +238,8 @@ def line_bitmaps(
     replaced; others pass through.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    lines = line_rows(docs, key, text, least_chars)
+    # Hashes and places only; the text is read again where lines go.
+    lines = scratch.write(line_rows(docs, key, text, least_chars), "lines")
     gone = small(scratch.write(frequent_lines(lines, least_docs), "frequent"), ["hash"])
     hits = lines.join(gone, "hash")
     if keep_first:

@@ -143,6 +143,12 @@ def judge(
 
 
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that the rules keep, with the columns they came with."""
-    (out,) = fresh(df, "_quality")
-    return judge(df, text, rules, out).where(named(out)["kept"]).drop(out)
+    """The rows that the rules keep, with the columns they came with.
+
+    The guard, a number that is not deterministic to the planner, keeps the condition above the
+    projections. Pushed below them, it would work out a row's word list anew for each of its words.
+    """
+    out, guard = fresh(df, "_quality", "_guard")
+    judged = judge(df, text, rules, out).withColumn(guard, F.monotonically_increasing_id())
+    good = named(out)["kept"] & (named(guard) >= 0)
+    return judged.where(good).drop(out, guard)
