@@ -9,12 +9,12 @@ result is the component of each document.
 2. In that order a class shows its first (1 - t) n + 1 shingles: two classes that link have one of
    them in common. Shingles are dealt out in ranges; those of one class alone go no further.
 3. Classes that a shingle brings together are a tile, cut by size bands: linked sizes lie in one
-   band or in two next to each other. Each class carries bitmaps of its hashes, a small one in the
-   tiles and a larger one for the pairs that come out of them. Bits that only one side has stand
-   for different shingles, which bounds the overlap from above.
-4. First only neighbours by size in a tile are paired, which joins nearly all of a group of copies
-   by as many pairs as it has rows. Tiles whose classes are one component by then need no more
-   pairs. In the others, classes of different components are compared, in blocks.
+   band or in two next to each other. Each class carries a bitmap of its hashes. Bits that only one
+   side has stand for different shingles, which bounds the overlap from above.
+4. First, for a few rounds, each class is paired with a few neighbours in a seeded order of its
+   tiles, which joins nearly all of a group of copies by some pairs for each row. Tiles whose classes
+   are one component by then need no more pairs. In the others, classes of different components
+   are compared, in blocks.
 5. Pairs that the bound lets pass are intersected exactly, the most similar partners of each class
    first, until no untested pair joins two components. So a group of copies is never expanded
    into all its pairs, and no link that changes a component is left out.
@@ -41,6 +41,9 @@ FREQUENT = 1 << 16
 BLOCK = 2048
 #: Partners of a class that the first exact round takes; later rounds take four times as many.
 FIRST_PARTNERS = 16
+#: Rounds that pair classes with a few neighbours before all that is left apart is compared, how
+#: many neighbours of a class are looked at, and how many of these, the best by bound, are tested.
+TURNS, NEAR, TESTED = 4, 8, 3
 
 
 
@@ -122,13 +125,13 @@ def index_length(n: int, percent: int) -> int:
     return n - -(-2 * percent * n // (100 + percent)) + 1
 
 
-def bitmap_bits(n: int, each: int = 4) -> int:
-    """A power of two of `each` bits or more for each shingle, 32,768 at most."""
-    return min(1 << 15, max(64, 1 << (each * n - 1).bit_length()))
+def bitmap_bits(n: int) -> int:
+    """A power of two of four bits or more for each shingle, 32,768 at most."""
+    return min(1 << 15, max(64, 1 << (4 * n - 1).bit_length()))
 
 
-def bitmap(shingles: np.ndarray, bits: int = 0) -> np.ndarray:
-    bits = bits or bitmap_bits(len(shingles))
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    bits = bitmap_bits(len(shingles))
     flags = np.zeros(bits, dtype=np.uint8)
     flags[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").view(np.uint64)
@@ -139,7 +142,7 @@ def _profile(
 ) -> Iterator[pa.RecordBatch]:
     """For the row that stands for each class: its bitmap and its first shingles."""
     for batch in batches:
-        ids, bitmaps, marks, prefixes, kept = [], [], [], [], []
+        ids, bitmaps, prefixes, kept = [], [], [], []
         for node, key, text in zip(
             batch.column("node").to_pylist(), batch.column("key").to_pylist(), _texts(batch), strict=True
         ):
@@ -154,66 +157,65 @@ def _profile(
             ids.append(node)
             kept.append(len(shingles))
             bitmaps.append(bitmap(shingles).tobytes())
-            marks.append(bitmap(shingles, bitmap_bits(len(shingles), 1)).tobytes())
             prefixes.append(first.view(np.int64))
         yield pa.RecordBatch.from_pydict(
             {
                 "node": pa.array(ids, pa.int64()),
                 "n": pa.array(kept, pa.int32()),
                 "bits": pa.array(bitmaps, pa.binary()),
-                "mark": pa.array(marks, pa.binary()),
                 "prefix": pa.array(prefixes, pa.list_(pa.int64())),
             }
         )
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, int]]:
+    """Sorted batches, each with the last row before it, whether a row is of the shingle of the row
+    above, and the number of rows that were there before."""
+    above: pa.RecordBatch | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([above, batch] if above is not None else [batch])
+        shingles = rows.column("shingle").to_numpy()
+        same = np.concatenate([[False], shingles[1:] == shingles[:-1]])
+        yield rows, same, int(above is not None)
+        above = batch.slice(batch.num_rows - 1)
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by shingle, size and node: those whose shingle has another node.
+    """Of rows sorted by shingle: those whose shingle another row has.
 
-    `before` is the node above in the same run. A partition's first and last run may go on next
-    door and stay; columns stay as they are.
+    The first and the last run of a partition may go on next door, and stay.
     """
-    held: pa.RecordBatch | None = None  # the last row of the batch before
-    held_before = None
+    held: tuple[pa.Table, bool] | None = None  # the last row, and whether it stays for sure
     first = True
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        tokens = batch.column("shingle").to_numpy()
-        nodes = batch.column("node").to_numpy()
-        same = np.zeros(n, dtype=bool)  # as the row above
-        same[1:] = tokens[1:] == tokens[:-1]
-        before = np.empty(n, dtype=np.int64)
-        before[1:] = nodes[:-1]
-        if held is not None:
-            same[0] = held.column("shingle")[0].as_py() == int(tokens[0])
-            before[0] = held.column("node")[0].as_py()
-        follow = np.zeros(n, dtype=bool)
-        follow[:-1] = same[1:]
+    for rows, same, known in _runs(batches):
+        follow = np.concatenate([same[1:], [False]])
         keep = same | follow
         if first:
             keep[0] = True
-        if held is not None and (same[0] or held_before is not None or first_held):
-            yield _with_before(held, [held_before])
-        if n > 1:
-            mask = keep[:-1]
-            yield _with_before(
-                batch.slice(0, n - 1).filter(pa.array(mask)),
-                pa.array(before[:-1][mask], mask=~same[:-1][mask]),
-            )
-        held = batch.slice(n - 1, 1)
-        held_before = int(before[-1]) if same[-1] else None
-        first_held = first and n == 1
-        first = False
+            first = False
+        if held is not None and (held[1] or keep[0]):
+            yield from held[0].to_batches()
+        last = rows.num_rows - 1
+        yield from rows.slice(known, last - known).filter(pa.array(keep[known:last])).to_batches()
+        sure = bool(keep[last]) if last >= known else False
+        held = (rows.slice(last), sure)
     if held is not None:
-        yield _with_before(held, [held_before])
+        yield from held[0].to_batches()
 
 
-def _with_before(batch: pa.RecordBatch, before) -> pa.RecordBatch:
-    columns = {name: batch.column(name) for name in ("shingle", "node", "n", "place")}
-    column = before if isinstance(before, pa.Array) else pa.array(before, pa.int64())
-    return pa.RecordBatch.from_pydict({**columns, "before": column.cast(pa.int64())})
+def _neighbours(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by shingle: (node, other) for rows next to each other whose sizes can link
+    and whose components differ."""
+    for rows, same, _ in _runs(batches):
+        n = rows.column("n").to_numpy().astype(np.int64)
+        node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+        fits = 100 * np.minimum(n[1:], n[:-1]) >= percent * np.maximum(n[1:], n[:-1])
+        at = np.flatnonzero(same[1:] & fits & (component[1:] != component[:-1])) + 1
+        yield pa.RecordBatch.from_pydict(
+            {"node": pa.array(node[at], pa.int64()), "other": pa.array(node[at - 1], pa.int64())}
+        )
 
 
 def _words(column: pa.Array) -> list[np.ndarray]:
@@ -287,7 +289,7 @@ def _tile_pairs(rows: pa.Table, percent: int) -> pa.RecordBatch | None:
     # As the smaller one of a pair a row needs to be met by its index part only.
     index = n - -(-2 * percent * n // (100 + percent)) + 1
     shows = column("place") < index
-    bits = _words(rows.column("mark").combine_chunks())
+    bits = _words(rows.column("bits").combine_chunks())
     found: set[tuple[int, int, int]] = set()
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -428,20 +430,36 @@ class _Join:
         return self.scratch.write(made.dropDuplicates(["node"]) if self.repeated else made, name)
 
     def tiles(self, profiles: DataFrame) -> DataFrame:
-        """(shingle, node, n, place, before): first shingles that more than one class has."""
+        """(shingle, node, n, place): first shingles that more than one class has."""
         shown = profiles.select("node", "n", F.posexplode("prefix").alias("place", "shingle"))
         ranged = (
             shown.select("shingle", "node", "n", "place")
-            .repartitionByRange("shingle", "n", "node")
-            .sortWithinPartitions("shingle", "n", "node")
+            .repartitionByRange("shingle", "node")
+            .sortWithinPartitions("shingle", "node")
         )
         return self.scratch.write(
-            ranged.mapInArrow(
-                _repeated, "shingle long, node long, n int, place int, before long"
-            ),
-            "tiles",
+            ranged.mapInArrow(_repeated, "shingle long, node long, n int, place int"), "tiles"
         )
 
+    def marked(self, tiles: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows of tiles with their components."""
+        return tiles.join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node")
+        )
+
+    def near_pairs(self, tiles: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+        """A few pairs for each class with others next to it in its tiles, in a seeded order."""
+        percent = self.percent
+        order = F.xxhash64("shingle", "node", F.lit(turn)).alias("order")
+        rows = self.marked(tiles, labels).select("shingle", order, "node", "n", "component")
+        ranged = rows.repartitionByRange("shingle", "order").sortWithinPartitions("shingle", "order")
+        found = ranged.mapInArrow(lambda b: _neighbours(b, percent), "node long, other long")
+        drawn = Window.partitionBy("node").orderBy(F.xxhash64("node", "other"), "other")
+        some = found.distinct().withColumn("_r", F.row_number().over(drawn)).where(F.col("_r") <= NEAR)
+        return some.select(
+            F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+        ).distinct()
+
     def bound(self, pairs: DataFrame, profiles: DataFrame) -> DataFrame:
         percent = self.percent
         sides = pairs.join(
@@ -471,9 +489,7 @@ class _Join:
     def cross_pairs(self, tiles: DataFrame, profiles: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs of different components that share a tile and that the bitmaps let pass."""
         percent = self.percent
-        marked = tiles.join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
+        marked = self.marked(tiles, labels)
         open_ = (
             marked.groupBy("shingle")
             .agg(
@@ -512,14 +528,12 @@ class _Join:
             .select(*tile)
         )
         dealt = self.scratch.write(dealt.join(mixed, tile, "left_semi"), "dealt")
-        marks = self.scratch.write(profiles.select("node", "mark"), "marks")
         return (
-            dealt.join(small(marks, ["mark"]), "node")
+            dealt.join(profiles.select("node", "bits"), "node")
             .repartition(*tile)
             .sortWithinPartitions(*tile, "n", "node")
-            .select(*tile, "node", "n", "place", "component", "home", "block", "mark")
+            .select(*tile, "node", "n", "place", "component", "home", "block", "bits")
             .mapInArrow(lambda x: _compare_tiles(x, percent), "a long, b long, bound int")
-            .select("a", "b")
             .distinct()
         )
 
@@ -541,16 +555,22 @@ class _Join:
         """(node, component) of the classes that link with another."""
         write = self.scratch.write
         tiles = self.tiles(profiles)
-        close = tiles.where("before is not null").select(
-            F.least("before", "node").alias("a"), F.greatest("before", "node").alias("b")
-        )
-        near = write(self.best(self.bound(close.distinct(), profiles), 1), "near")
-        sets = self.sets_for(near, classes)
-        linked = write(self.verify(near, sets), "linked")
-        labels = write(components(linked, self.scratch), "components")
+        labels = profiles.select("node", F.col("node").alias("component")).where("false")
+        linked = tested = profiles.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
+        for turn in range(TURNS):
+            found = write(self.bound(self.near_pairs(tiles, labels, turn), profiles), "near")
+            # Each class tests its best pairs, whichever side of them it is.
+            sides = found.select("a", "b", "bound", F.explode(F.array("a", "b")).alias("side"))
+            order = Window.partitionBy("side").orderBy(F.desc("bound"), "a", "b")
+            best = sides.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= TESTED)
+            chosen = write(best.select("a", "b").distinct(), "chosen")
+            if chosen.isEmpty():
+                break
+            linked = linked.union(write(self.verify(chosen, self.sets_for(chosen, classes)), "linked"))
+            tested = tested.union(chosen)
+            labels = write(components(linked, self.scratch), "components")
         crossing = write(self.cross_pairs(tiles, profiles, labels), "crossing")
-        fresh_pairs = crossing.join(near, ["a", "b"], "left_anti")
-        pairs = write(self.bound(fresh_pairs, profiles), "untested")
+        pairs = write(crossing.join(tested, ["a", "b"], "left_anti"), "untested")
         partners = FIRST_PARTNERS
         while not pairs.isEmpty():
             chosen = write(self.best(pairs, partners), "chosen")
@@ -595,7 +615,7 @@ def similar(
     profiles = join.of_class(
         classes,
         lambda b: _profile(b, width, percent, frequent),
-        "node long, n int, bits binary, mark binary, prefix array<long>",
+        "node long, n int, bits binary, prefix array<long>",
         "profiles",
     )
     labels = join.links(classes, profiles)
