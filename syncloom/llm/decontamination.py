@@ -123,7 +123,8 @@ def alignments(index: DataFrame, rarest: DataFrame, slop: int = 0) -> DataFrame:
             F.floor(F.col("shift") / slop) * slop,
             F.floor((F.col("shift") + slop // 2) / slop) * slop - slop // 2,
         )
-        met = met.withColumn("shift", F.explode(F.array_distinct(cells)).cast("int"))
+        cells = F.array_distinct(cells).cast("array<int>")
+        met = met.withColumn("shift", F.explode(cells))
         counted = met.groupBy("doc_key", "item_key", "shift").agg(
             F.count_distinct("place").alias("hits")
         )
