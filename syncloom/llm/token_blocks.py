@@ -27,7 +27,7 @@ PERCENTILE = 90
 SEGMENT_IDS = 1 << 17
 MAGIC = b"PFB1"
 #: Pieces of text whose ids a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 
 # --- the file format ---------------------------------------------------------------------------
