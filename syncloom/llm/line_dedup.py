@@ -273,5 +273,6 @@ def line_bitmaps(
 def kept_text(docs: DataFrame, text: str = "text", out: str = "lines") -> Column:
     """The text without its dropped lines; texts that lose none never leave the JVM."""
     changed = named(out)["n_dropped"] > 0
-    cut = apply_keep(F.when(changed, named(text)), F.when(changed, named(out)["keep"]))
-    return F.when(changed, cut).otherwise(F.coalesce(named(text), F.lit("")))
+    body = F.coalesce(named(text), F.lit(""))
+    cut = apply_keep(F.when(changed, body), F.when(changed, named(out)["keep"]))
+    return F.when(changed, cut).otherwise(body)
