@@ -105,12 +105,8 @@ def measures(df: DataFrame, text: str = "text", out: str = "quality") -> DataFra
         "repeat_word_ratio": _ratio(m["n_repeat_words"], m["n_words"]),
     }
     kept = [c for c in counted.columns if c not in (words, lines, bits, keys, spots, out)]
-    return counted.select(
-        *map(named, kept),
-        m.withField("n_words", m["n_words"]).alias(out)
-        if not ratios
-        else reduce(lambda s, r: s.withField(r, ratios[r]), ratios, m).alias(out),
-    )
+    full_struct = reduce(lambda s, name: s.withField(name, ratios[name]), ratios, m)
+    return counted.select(*map(named, kept), full_struct.alias(out))
 
 
 def passes(measured: Column, rules: tuple[Rule, ...] = RULES) -> Column:
