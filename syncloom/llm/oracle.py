@@ -292,6 +292,96 @@ def linked(messages: str, p: str) -> Steps:
     }
 
 
+def trie(messages: str, p: str) -> Steps:
+    role, text = "coalesce(role, '')", "coalesce(text, '')"
+    return {
+        f"{p}_turns": f"""
+            SELECT conv_id, turn, CAST(len({_words("text")}) AS BIGINT) AS words,
+                   md5(CAST(length({role}) AS VARCHAR) || ':' || {role} || {text}) AS tid
+            FROM {messages} WHERE conv_id IS NOT NULL""",
+        f"{p}_ordered": f"""
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tid) - 1 AS pos
+            FROM {p}_turns""",
+        f"{p}_ids": f"SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS text FROM {p}_turns",
+        **checksums(f"{p}_ids", f"{p}_summed"),
+        f"{p}_convs": f"""
+            SELECT conv_id AS c, conv_id - conv_id % 20 AS base, text_crc32 % 4 AS h FROM {p}_summed""",
+        f"{p}_had": f"""
+            SELECT c, h, least(h, (SELECT count(*) FROM {p}_ordered o WHERE o.conv_id = base)) AS got
+            FROM {p}_convs""",
+        f"{p}_rebuilt": f"""
+            SELECT c, pos, tid, words FROM {p}_convs JOIN {p}_ordered ON conv_id = base AND pos < h
+            UNION ALL
+            SELECT c, pos - h + got, tid, words FROM {p}_had JOIN {p}_ordered ON conv_id = c AND pos >= h""",
+        f"{p}_paths": f"""
+            SELECT c, pos + 1 AS d, words, md5(string_agg(tid, '') OVER (PARTITION BY c ORDER BY pos)) AS k
+            FROM {p}_rebuilt
+            UNION ALL
+            SELECT c, 0, 0, '' FROM {p}_convs""",
+        f"{p}_nodes": f"""
+            SELECT d, k, min(c) AS least, count(*) AS n, min(words) AS words
+            FROM {p}_paths GROUP BY d, k""",
+        f"{p}_parents": f"""
+            SELECT n.*, u.k AS up FROM {p}_nodes n
+            LEFT JOIN {p}_paths u ON u.c = n.least AND u.d = n.d - 1""",
+        f"{p}_children": f"""
+            SELECT d - 1 AS d, up AS k, count(*) AS children FROM {p}_parents WHERE d > 0 GROUP BY ALL""",
+        f"{p}_sums": f"""
+            SELECT a.d, a.k, sum((n.n - 1) * n.words) AS saved,
+                   count(*) FILTER (coalesce(children, 0) = 0) AS leaves
+            FROM {p}_nodes n LEFT JOIN {p}_children USING (d, k)
+            JOIN {p}_paths a ON a.c = n.least AND a.d <= n.d
+            GROUP BY a.d, a.k""",
+        f"{p}_ends": f"""
+            SELECT d, k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS sha
+            FROM (SELECT c, max(d) AS d, max_by(k, d) AS k FROM {p}_paths GROUP BY c) GROUP BY d, k""",
+        p: f"""
+            SELECT n.least AS conv_id, n.d AS depth, u.least AS parent_conv_id, n.n AS n_convs,
+                   coalesce(children, 0) AS n_children, leaves AS n_leaves,
+                   CAST(saved AS BIGINT) AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+            FROM {p}_parents n JOIN {p}_sums USING (d, k) LEFT JOIN {p}_children USING (d, k)
+            LEFT JOIN {p}_ends USING (d, k)
+            LEFT JOIN {p}_nodes u ON u.d = n.d - 1 AND u.k = n.up""",
+    }
+
+
+def filled(docs: str, p: str) -> Steps:
+    token = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+
+    def draw(group: int) -> str:
+        return f"CAST('0x' || substr(h, {8 * group + 1}, 8) AS BIGINT)"
+
+    def joined(first: str, last: str) -> str:
+        return f"array_to_string(t[{first}:{last}], '')"
+
+    return {
+        f"{p}_tokens": f"""
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{token}') AS t,
+                   sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM {docs}""",
+        f"{p}_cuts": f"""
+            SELECT *, {draw(0)} % (len(t) + 1) AS x, {draw(1)} % (len(t) + 1) AS y,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                             OR contains(text, '<M>') OR {draw(2)} % 100 >= 50 THEN 'plain'
+                        WHEN {draw(3)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM {p}_tokens""",
+        f"{p}_parts": f"""
+            SELECT *, {joined("1", "least(x, y)")} AS prefix,
+                   {joined("least(x, y) + 1", "greatest(x, y)")} AS middle,
+                   {joined("greatest(x, y) + 1", "len(t)")} AS suffix
+            FROM {p}_cuts""",
+        p: f"""
+            SELECT doc_id, CAST(len(t) AS BIGINT) AS n, form,
+                   CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+                   CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+                   sha256(CASE form WHEN 'plain' THEN text
+                          WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                          ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+                   sha256(text) AS restored_sha256
+            FROM {p}_parts""",
+    }
+
+
 def statement(steps: Steps, select: str) -> str:
     recursive = any(name.startswith("RECURSIVE ") for name in steps)
     body = ",\n".join(
@@ -344,6 +434,8 @@ ORACLE: dict[str, str] = {
         " kept, n_lines, n_stop_words FROM good",
     ),
     "op10_line_dedup": statement(lines("documents", "found"), "SELECT * FROM found"),
+    "op12_prefix_trie": statement(trie("conversations", "nodes"), "SELECT * FROM nodes"),
+    "op13_fill_in_middle": statement(filled("documents", "cut"), "SELECT * FROM cut"),
     "pipeline": pipeline(40),
 }
 

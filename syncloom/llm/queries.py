@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from syncloom.llm import (
     decontamination,
+    fill_middle,
     jaccard_join,
     licenses,
     line_dedup,
     mixing,
+    prefix_trie,
     quality_model,
     quality_rules,
     quotes,
@@ -28,6 +30,8 @@ MIX_CYCLE = (5.0, 2.0, 1.0)
 MIX_TOTAL, MIX_EPOCHS = 1.5, 2.0
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 GOOD_SCORE = 0.3
+#: Conversations of a run of OPENING_SPAN ids begin like its first one, for OPENING_MOST - 1 turns at most.
+OPENING_SPAN, OPENING_MOST = 20, 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -162,6 +166,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    conversations = prefix_trie.conversations_of(ordered)
+    c = F.col("conversation")
+    openings = conversations.select(
+        c,
+        (c - c % OPENING_SPAN).alias("base"),
+        (F.crc32(F.encode(c.cast("string"), "UTF-8")) % OPENING_MOST).alias("taken"),
+    )
+    turns = prefix_trie.with_openings(ordered, openings, OPENING_MOST - 1)
+    nodes, ends = prefix_trie.prefix_trie(conversations, turns)
+    found = nodes.join(prefix_trie.ends_digests(ends), ["a", "b"], "left")
+    return found.select(
+        F.col("least").alias("conv_id"),
+        "depth",
+        F.col("parent").alias("parent_conv_id"),
+        F.col("n").alias("n_convs"),
+        F.col("children").alias("n_children"),
+        F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_middle.fill_in_middle(docs).select("doc_id", "fim.*")
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(again, "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -177,5 +220,7 @@ QUERIES: dict[str, Query] = {
     "op8_quotes": op8_quotes,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }

@@ -146,3 +146,45 @@ def hits_of(text: str | None, items: list[tuple[str, set[tuple]]]) -> tuple:
                     hit.update(range(i, i + n))
                     seen.add(item)
     return len(words), len(hit), sorted(seen), bool(hit) and 20 * len(hit) >= len(words)
+
+
+TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_in_middle(key, text: str | None) -> tuple:
+    text = text or ""
+    digest = hashlib.sha256(f"42:{'' if key is None else key}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    tokens = TOKEN.findall(text)
+    n = len(tokens)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    x, y = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(t) for t in (tokens[:x], tokens[x:y], tokens[y:]))
+    if h[3] % 100 < 80:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def trie(conversations: dict) -> set[tuple]:
+    """Of lists of (role, text) by conversation: the nodes, with sums over whole subtrees."""
+    paths = {c: [tuple(turns[:d]) for d in range(len(turns) + 1)] for c, turns in conversations.items()}
+    members: dict[tuple, list] = defaultdict(list)
+    for c, nodes in paths.items():
+        for node in nodes:
+            members[node].append(c)
+    children = Counter(node[:-1] for node in members if node)
+    saved, leaves = Counter(), Counter()
+    for node, held in members.items():
+        worth = (len(held) - 1) * len(WORD.findall(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += worth
+            leaves[node[:d]] += not children[node]
+    found = set()
+    for node, held in members.items():
+        ends = ",".join(str(c) for c in sorted(held) if len(conversations[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        found.add(
+            (min(held), len(node), parent, len(held), children[node], leaves[node], saved[node], sha(ends))
+        )
+    return found
