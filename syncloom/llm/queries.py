@@ -14,6 +14,7 @@ from syncloom.llm import (
     licenses,
     line_dedup,
     mixing,
+    personal_data,
     prefix_trie,
     quality_model,
     quality_rules,
@@ -166,6 +167,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = personal_data.fit(docs)
+    found = personal_data.find_personal_data(docs, net).select("doc_id", "personal")
+
+    def listed(spans):
+        cell = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        return F.array_join(F.transform(spans, cell), ",")
+
+    split = found.select("doc_id", "personal", F.filter("personal", lambda s: s["rule"]).alias("base"))
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+        for k in personal_data.KINDS
+    ]
+    return split.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.encode(listed(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+        listed(F.col("personal")).alias("spans"),
+    )
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
     conversations = prefix_trie.conversations_of(ordered)
@@ -220,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "op8_quotes": op8_quotes,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_personal_data": op11_personal_data,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,

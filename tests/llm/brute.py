@@ -188,3 +188,31 @@ def trie(conversations: dict) -> set[tuple]:
             (min(held), len(node), parent, len(held), children[node], leaves[node], saved[node], sha(ends))
         )
     return found
+
+
+PERSONAL = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def personal(text: str | None) -> list[tuple[str, int, int]]:
+    """The rules' spans, by the patterns as they are stated."""
+
+    def holds(kind: str, found: str) -> bool:
+        digits = [int(c) for c in found if c in "0123456789"]
+        if kind == "ip":
+            return all(int(part) <= 255 for part in found.split("."))
+        if kind == "card":
+            doubled = [2 * d if i % 2 else d for i, d in enumerate(reversed(digits))]
+            return 13 <= len(digits) <= 19 and sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+        return kind == "email" or 9 <= len(digits) <= 15
+
+    return [
+        (kind, *m.span())
+        for kind, pattern in PERSONAL.items()
+        for m in pattern.finditer(text or "")
+        if holds(kind, m.group())
+    ]
