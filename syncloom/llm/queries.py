@@ -177,13 +177,12 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, cell), ",")
 
     split = found.select("doc_id", "personal", F.filter("personal", lambda s: s["rule"]).alias("base"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-        for k in personal_data.KINDS
-    ]
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return split.select(
         "doc_id",
-        *counts,
+        *map(count, personal_data.KINDS),
         F.sha2(F.encode(listed(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
         listed(F.col("personal")).alias("spans"),
     )

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from syncloom.llm import personal_data as pd_
+from syncloom.llm import personal_data as pd_, queries
 from syncloom.llm.personal_data import KINDS
 from tests.llm import brute
 
@@ -147,6 +147,21 @@ def test_spark_gives_what_python_gives(spark, docs, texts, net):
         assert (pd_.without_spans(r.text or "", spans) == (r.text or "")) == (not spans)
 
 
+def test_query_gives_the_rules_spans(spark, monkeypatch):
+    monkeypatch.setattr(queries.personal_data, "fit", lambda docs: None)
+    sf_dir = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    found = queries.op11_personal_data(spark, sf_dir).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        spans = brute.personal(rows[r.doc_id])
+        counts = [sum(s[0] == k for s in spans) for k in KINDS]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert (r.base_sha256, r.spans) == (brute.sha(listed), listed)
+    assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in found) > 0
+
+
 def test_nulls_and_nothing(nulls, empty, spark):
     found = pd_.find_personal_data(nulls, None)
     assert found.count() == nulls.count() and all(r.personal == [] for r in found.collect())
