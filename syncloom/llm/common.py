@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+import zipfile
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -42,21 +45,51 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.count, self.count_of = 0, {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
+        self.count_of[name] = self.count
         path = f"{self.root}/{self.count:03d}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @contextmanager
+    def held(self, df: DataFrame, name: str) -> Iterator[DataFrame]:
+        """A written table that is deleted when what was made of it has been written itself."""
+        table = self.write(df, name)
+        try:
+            yield table
+        finally:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{self.count_of[name]:03d}-{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def use_package(spark: SparkSession) -> None:
-    """Let Python workers that share this machine's file system import this package."""
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if PACKAGE_ROOT not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
+    """Send this package to the Python workers, once for each Spark application.
+
+    It goes as an archive through the shared folder, so workers on other machines find it too.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_corpus_package", False):
+        return
+    package = os.path.join(PACKAGE_ROOT, __name__.partition(".")[0])
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(n for n in names if not n.endswith((".pyc", ".pyo"))):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, PACKAGE_ROOT))
+    path = f"{shared_root(spark)}/package-{uuid.uuid4().hex}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(target)
+    try:
+        out.write(bytearray(body.getvalue()))
+    finally:
+        out.close()
+    context.addPyFile(files.makeQualified(target).toString())
+    context._corpus_package = True
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

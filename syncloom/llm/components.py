@@ -64,3 +64,24 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels
+
+
+def grown(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Labels (node, component) after further links (a, b), of which only the roots are looked at.
+
+    A node that has no label yet is its own root. A component's name stays its smallest node.
+    """
+
+    def rooted(column: str) -> DataFrame:
+        return labels.select(F.col("node").alias(column), F.col("component").alias(f"_{column}"))
+
+    ends = links.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left").select(
+        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")
+    )
+    merged = scratch.write(components(ends, scratch), "merged")
+    moved = merged.select(F.col("node").alias("component"), F.col("component").alias("_new"))
+    kept = labels.join(moved, "component", "left").select(
+        "node", F.coalesce("_new", "component").alias("component")
+    )
+    added = merged.join(labels, "node", "left_anti").select("node", "component")
+    return scratch.write(kept.unionByName(added), "components")

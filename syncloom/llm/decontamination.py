@@ -223,14 +223,20 @@ def contamination(
     depth: int = DEPTH,
     percent: int = 5,
     out: str = "contamination",
+    slop: int = 0,
 ) -> DataFrame:
-    """The documents with a struct: n_words, n_hit, items, contaminated.
+    """The documents with a struct: n_words, n_hit, items, near, contaminated.
 
     A word is hit when it stands in an occurrence of a window of `width` words of an item; a
     shorter item is one window. A document is contaminated when words are hit, and at least
     `percent` percent of them. `items` are the ids of the items found, sorted as strings.
 
-    Null and empty texts have no words and are never contaminated. A null id is an id; rows that
+    With `slop`, `near` has the ids of items that stand nearby: the rarest words of a window line up
+    to within so many words, whether they stand there word for word or with words put in, left out
+    or moved. Such items contaminate nothing by themselves. Without `slop` there are none.
+
+    The index has postings of the words that are looked up, the rarest ones of all windows, for the
+    whole training text; other words could bring in no candidate. Null and empty texts have no words and are never contaminated. A null id is an id; rows that
     repeat id and text get equal results. Items without an id or without words are left out, and
     items that share an id count once. Empty tables on either side are fine. A column called `out`
     is replaced; others pass through.
@@ -256,6 +262,12 @@ def contamination(
     per_doc = hits.join(ids, "item_key").groupBy("doc_key").agg(
         covered(spans).alias("n_hit"), F.sort_array(F.collect_set("item_id")).alias("items")
     )
+    if slop:
+        close = alignments(index, rarest, slop).join(ids, "item_key")
+        close = close.groupBy("doc_key").agg(F.sort_array(F.collect_set("item_id")).alias("near"))
+        per_doc = per_doc.join(close, "doc_key", "full")
+    else:
+        per_doc = per_doc.withColumn("near", F.lit(None).cast("array<string>"))
     per_doc = scratch.write(per_doc, "found")
 
     own = [c for c in docs.columns if c.lower() != out.lower()]
@@ -277,6 +289,7 @@ def contamination(
             named(size).alias("n_words"),
             n_hit.alias("n_hit"),
             F.coalesce(hit["items"], F.array().cast("array<string>")).alias("items"),
+            F.coalesce(hit["near"], F.array().cast("array<string>")).alias("near"),
             ((n_hit > 0) & (100 * n_hit >= percent * named(size))).alias("contaminated"),
         ).alias(out),
     )

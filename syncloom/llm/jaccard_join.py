@@ -9,8 +9,9 @@ result is the component of each document.
 2. In that order a class shows its first (1 - t) n + 1 shingles: two classes that link have one of
    them in common. Shingles are dealt out in ranges; those of one class alone go no further.
 3. Classes that a shingle brings together are a tile, cut by size bands: linked sizes lie in one
-   band or in two next to each other. Each class carries a bitmap of its hashes. Bits that only one
-   side has stand for different shingles, which bounds the overlap from above.
+   band or in two next to each other. Each class carries a bitmap of its hashes, folded to a short
+   signature; pairs that this lets pass are looked at with the whole bitmap. Bits that only one side
+   has stand for different shingles, which bounds the overlap from above.
 4. First, for a few rounds, each class is paired with a few neighbours in a seeded order of its
    tiles, which joins nearly all of a group of copies by some pairs for each row. Tiles whose classes
    are one component by then need no more pairs. In the others, classes of different components
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from syncloom.llm.common import Scratch, fresh, named, packed, row_key, small, use_package
-from syncloom.llm.components import components
+from syncloom.llm.components import grown
 
 SHINGLE, PERCENT = 5, 80
 #: Length of the list of frequent shingles: 512 KB in each task, whatever the corpus.
@@ -43,8 +44,7 @@ BLOCK = 2048
 FIRST_PARTNERS = 16
 #: Rounds that pair classes with a few neighbours before all that is left apart is compared, how
 #: many neighbours of a class are looked at, and how many of these, the best by bound, are tested.
-TURNS, NEAR, TESTED = 4, 8, 3
-
+TURNS, NEAR, TESTED = 4, 8, 2
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -120,11 +120,6 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def index_length(n: int, percent: int) -> int:
-    """The same for a partner that is not smaller: the overlap is 2t / (1 + t) of n at least."""
-    return n - -(-2 * percent * n // (100 + percent)) + 1
-
-
 def bitmap_bits(n: int) -> int:
     """A power of two of four bits or more for each shingle, 32,768 at most."""
     return min(1 << 15, max(64, 1 << (4 * n - 1).bit_length()))
@@ -137,12 +132,17 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(flags, bitorder="little").view(np.uint64)
 
 
+def signature(words: np.ndarray, n: int) -> np.ndarray:
+    """The bitmap folded to one or two bits for each shingle: enough to tell most pairs apart."""
+    return _fold(words, min(len(words), max(1, (1 << max(n - 1, 1).bit_length()) // 64)))
+
+
 def _profile(
     batches: Iterator[pa.RecordBatch], width: int, percent: int, frequent: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """For the row that stands for each class: its bitmap and its first shingles."""
+    """For the row that stands for each class: its bitmap, its signature and its first shingles."""
     for batch in batches:
-        ids, bitmaps, prefixes, kept = [], [], [], []
+        ids, bitmaps, signs, prefixes, kept = [], [], [], [], []
         for node, key, text in zip(
             batch.column("node").to_pylist(), batch.column("key").to_pylist(), _texts(batch), strict=True
         ):
@@ -156,13 +156,16 @@ def _profile(
             first = rare[:length] if len(rare) >= length else np.concatenate([rare, shingles[common]])[:length]
             ids.append(node)
             kept.append(len(shingles))
-            bitmaps.append(bitmap(shingles).tobytes())
+            words = bitmap(shingles)
+            bitmaps.append(words.tobytes())
+            signs.append(signature(words, len(shingles)).tobytes())
             prefixes.append(first.view(np.int64))
         yield pa.RecordBatch.from_pydict(
             {
                 "node": pa.array(ids, pa.int64()),
                 "n": pa.array(kept, pa.int32()),
                 "bits": pa.array(bitmaps, pa.binary()),
+                "sign": pa.array(signs, pa.binary()),
                 "prefix": pa.array(prefixes, pa.list_(pa.int64())),
             }
         )
@@ -330,7 +333,7 @@ def _tile_pairs(rows: pa.Table, percent: int) -> pa.RecordBatch | None:
     )
 
 
-def _compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _tiles_in_turn(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Whole tiles at a time; what is held is a batch and one tile, of two blocks at most."""
     tile = ("shingle", "band", "left", "right")
     held: list[pa.RecordBatch] = []
@@ -419,7 +422,7 @@ class _Join:
             grouped.select(F.monotonically_increasing_id().alias("node"), "key", "row"), "classes"
         )
 
-    def of_class(self, classes: DataFrame, work, schema: str, name: str) -> DataFrame:
+    def of_class(self, classes: DataFrame, work, schema: str) -> DataFrame:
         """What the worker makes of the text that stands for each class."""
         chosen = small(packed(classes, "_class"), ["_class"])
         texts = self.texts.join(chosen, F.col("row") == F.col("_class.row")).select(
@@ -427,7 +430,7 @@ class _Join:
         )
         made = texts.mapInArrow(work, schema)
         # Rows that agree in key and text stand for their class together.
-        return self.scratch.write(made.dropDuplicates(["node"]) if self.repeated else made, name)
+        return made.dropDuplicates(["node"]) if self.repeated else made
 
     def tiles(self, profiles: DataFrame) -> DataFrame:
         """(shingle, node, n, place): first shingles that more than one class has."""
@@ -460,12 +463,16 @@ class _Join:
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
         ).distinct()
 
-    def bound(self, pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+    def screened(self, pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+        """Pairs that short signatures let pass, and of these the ones that full bitmaps do."""
+        return self.bound(self.bound(pairs, profiles, "sign").select("a", "b"), profiles, "bits")
+
+    def bound(self, pairs: DataFrame, profiles: DataFrame, bits: str) -> DataFrame:
         percent = self.percent
         sides = pairs.join(
-            profiles.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a")), "a"
+            profiles.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(bits).alias("bits_a")), "a"
         ).join(
-            profiles.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b")), "b"
+            profiles.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(bits).alias("bits_b")), "b"
         )
         return sides.where(
             (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
@@ -478,16 +485,17 @@ class _Join:
         ).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
         return both.mapInArrow(lambda x: _exact(x, percent), "a long, b long")
 
-    def sets_for(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """Pairs that link, by the sets of their classes; these are not kept."""
         width = self.width
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         asked = self.scratch.write(classes.join(nodes, "node", "left_semi"), "asked")
-        return self.of_class(
-            asked, lambda b: _sets(b, width), "node long, shingles binary", "sets"
-        )
+        sets = self.of_class(asked, lambda b: _sets(b, width), "node long, shingles binary")
+        with self.scratch.held(sets, "sets") as written:
+            return self.scratch.write(self.verify(pairs, written), "linked")
 
     def cross_pairs(self, tiles: DataFrame, profiles: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of different components that share a tile and that the bitmaps let pass."""
+        """Pairs of different components that share a tile and that the signatures let pass."""
         percent = self.percent
         marked = self.marked(tiles, labels)
         open_ = (
@@ -520,7 +528,7 @@ class _Join:
             )
             .select(*tile, "node", "n", "place", "component", "home", "block")
         )
-        # Only tiles that hold two components go on, and only their rows get bitmaps.
+        # Only tiles that hold two components go on, and only their rows get signatures.
         mixed = (
             dealt.groupBy(*tile)
             .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
@@ -529,11 +537,11 @@ class _Join:
         )
         dealt = self.scratch.write(dealt.join(mixed, tile, "left_semi"), "dealt")
         return (
-            dealt.join(profiles.select("node", "bits"), "node")
+            dealt.join(profiles.select("node", F.col("sign").alias("bits")), "node")
             .repartition(*tile)
             .sortWithinPartitions(*tile, "n", "node")
             .select(*tile, "node", "n", "place", "component", "home", "block", "bits")
-            .mapInArrow(lambda x: _compare_tiles(x, percent), "a long, b long, bound int")
+            .mapInArrow(lambda x: _tiles_in_turn(x, percent), "a long, b long, bound int")
             .distinct()
         )
 
@@ -556,9 +564,9 @@ class _Join:
         write = self.scratch.write
         tiles = self.tiles(profiles)
         labels = profiles.select("node", F.col("node").alias("component")).where("false")
-        linked = tested = profiles.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
+        tested = profiles.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
         for turn in range(TURNS):
-            found = write(self.bound(self.near_pairs(tiles, labels, turn), profiles), "near")
+            found = write(self.screened(self.near_pairs(tiles, labels, turn), profiles), "near")
             # Each class tests its best pairs, whichever side of them it is.
             sides = found.select("a", "b", "bound", F.explode(F.array("a", "b")).alias("side"))
             order = Window.partitionBy("side").orderBy(F.desc("bound"), "a", "b")
@@ -566,17 +574,15 @@ class _Join:
             chosen = write(best.select("a", "b").distinct(), "chosen")
             if chosen.isEmpty():
                 break
-            linked = linked.union(write(self.verify(chosen, self.sets_for(chosen, classes)), "linked"))
+            labels = grown(labels, self.verified(chosen, classes), self.scratch)
             tested = tested.union(chosen)
-            labels = write(components(linked, self.scratch), "components")
         crossing = write(self.cross_pairs(tiles, profiles, labels), "crossing")
-        pairs = write(crossing.join(tested, ["a", "b"], "left_anti"), "untested")
+        untested = crossing.join(tested, ["a", "b"], "left_anti").select("a", "b")
+        pairs = write(self.bound(untested, profiles, "bits"), "untested")
         partners = FIRST_PARTNERS
         while not pairs.isEmpty():
             chosen = write(self.best(pairs, partners), "chosen")
-            found = write(self.verify(chosen, self.sets_for(chosen, classes)), "linked")
-            linked = linked.union(found)
-            labels = write(components(linked, self.scratch), "components")
+            labels = grown(labels, self.verified(chosen, classes), self.scratch)
             rest = pairs.join(chosen, ["a", "b"], "left_anti")
             pairs = write(self.apart(rest, labels), "untested")
             partners *= 4
@@ -612,12 +618,12 @@ def similar(
     join = _Join(spark, keyed, width, percent)
     members, frequent = join.survey()
     classes = join.classes(members)
-    profiles = join.of_class(
+    made = join.of_class(
         classes,
         lambda b: _profile(b, width, percent, frequent),
-        "node long, n int, bits binary, prefix array<long>",
-        "profiles",
+        "node long, n int, bits binary, sign binary, prefix array<long>",
     )
+    profiles = join.scratch.write(made, "profiles")
     labels = join.links(classes, profiles)
     labelled = classes.join(labels, "node", "left").select(
         "key", F.coalesce("component", "node").alias("component")

@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncloom.llm.common import Scratch, ascii_lower, fresh, named, packed, row_key, small
 
-#: Lines that name a holder and a year say nothing about the terms.
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
-PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Lines that say who holds a copyright since when say nothing about the terms: the word or sign at
+#: their start, and then a sign, a year, a holder's place in brackets, or "by"; lines of a name alone
+#: after the word; and the reservation of rights. For texts in lower case.
+COPYRIGHT_LINE = (
+    r"(?m)^[ \t#*/;-]*(?:(?:copyright|\(c\)|©)[ \t:,]*)+(?:(?:19|20)[0-9]{2}|[<\[{]|by[ \t])[^\n]*$|"
+    r"^[ \t#*/;-]*copyright[ \t:,]*(?:\(c\)|©)[^\n]*$|"
+    r"^[ \t#*/;-]*(?:©|\(c\)[ \t])[^\n]*$|"
+    r"^[ \t#*/;-]*copyright[ \t]+[^ \t\n]+(?:[ \t]+[^ \t\n]+)?[ \t]*$|"
+    r"^[ \t#*/;-]*all rights reserved[.]?[ \t]*$"
+)
+#: A text without any of these has no such line.
+COPYRIGHT_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
+#: Whatever is neither a letter nor a digit, typographic quotes and dashes among it.
+PUNCTUATION = r"[^\p{L}\p{N}]+"
 
-#: Spellings that count as equal, after lower case and with single spaces.
+#: Spellings that count as equal: a pattern of words that have a blank on either side,
+#: and what stands for them.
 SPELLINGS = (
-    ("licence", "license"),
-    ("licences", "licenses"),
-    ("licenced", "licensed"),
-    ("licencing", "licensing"),
-    ("sub license", "sublicense"),
-    ("sub licence", "sublicense"),
-    ("non commercial", "noncommercial"),
-    ("organisation", "organization"),
-    ("merchantibility", "merchantability"),
-    ("favour", "favor"),
-    ("honour", "honor"),
-    ("per cent", "percent"),
-    ("while", "whilst"),
-    ("v2", "version 2"),
-    ("v3", "version 3"),
+    (" licenc(e|es|ed|ing) ", " licens$1 "),
+    (" organisation([a-z]*) ", " organization$1 "),
+    (" merchantibility ", " merchantability "),
+    (" (fav|hon)our([a-z]*) ", " $1or$2 "),
+    (" while ", " whilst "),
+    (" per  cent ", " percent "),
+    (" non  commercial ", " noncommercial "),
+    (" sub  (license[sd]?|licensing) ", " sub$1 "),
+    (" v([23]) ", " version  $1 "),
 )
+#: A text without any of these needs no second look for spellings.
+SPELLED = "licenc|organisation|merchantibility|favour|honour|while|per cent|non commercial|sub licens|v2|v3"
 
-#: License ids and texts, short notices and short licenses in full.
+#: License ids and short notices.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -56,65 +66,108 @@ KNOWN = (
         " ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
 )
+#: Licenses in full, a file each, as they are published; the file's name is the license's id.
+FULL_TEXTS = Path(__file__).parent / "license_texts"
+#: What a unit of a text is: the whole, paragraphs between blank lines, lines.
+UNITS = ("document", "paragraph", "line")
 
 
 def canonical(text: Column) -> Column:
     """The text without case, punctuation, copyright lines and variant spellings."""
-    plain = F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
-    spaced = F.concat(F.lit(" "), F.regexp_replace(plain, PUNCTUATION, " "), F.lit(" "))
+    low = ascii_lower(F.coalesce(text, F.lit("")))
+    signed = F.lit(False)
+    for sign in COPYRIGHT_SIGNS:
+        signed = signed | low.contains(sign)
+    plain = F.when(signed, F.regexp_replace(low, COPYRIGHT_LINE, "")).otherwise(low)
+    words = F.btrim(F.regexp_replace(plain, PUNCTUATION, " "))
+    return F.when(words.rlike(SPELLED), _spelled(words)).otherwise(words)
+
+
+def _spelled(words: Column) -> Column:
+    # With two blanks between words, neighbours do not share the one that a pattern takes.
+    apart = F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
     for variant, usual in SPELLINGS:
-        spaced = F.replace(spaced, F.lit(f" {variant} "), F.lit(f" {usual} "))
-    return F.btrim(F.regexp_replace(spaced, " +", " "))
+        apart = F.regexp_replace(apart, variant, usual)
+    return F.btrim(F.regexp_replace(apart, " +", " "))
 
 
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_texts(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(license, digest), each once."""
-    rows = spark.createDataFrame(list(known), "license string, text string")
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """The published texts, and those that begin with a title also without it."""
+    found = []
+    for file in sorted(FULL_TEXTS.glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        title, _, rest = text.partition("\n\n")
+        found.append((file.stem, text))
+        if len(title.split()) < 10:
+            found.append((file.stem, rest))
+    return tuple(found)
+
+
+def known_texts(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """(license, digest), each once; the notices above and the full texts unless others are given."""
+    texts = KNOWN + full_texts() if known is None else known
+    rows = spark.createDataFrame(list(texts), "license string, text string")
     return rows.select("license", digest(F.col("text")).alias("digest")).distinct()
 
 
+def units_of(text: Column, unit: str) -> Column:
+    """The pieces of a text whose whole is looked up."""
+    body = F.coalesce(text, F.lit(""))
+    if unit == "document":
+        return F.array(body)
+    return F.split(body, r"\n(?:[ \t\r]*\n)+" if unit == "paragraph" else "\n")
+
+
 def scan(
     docs: DataFrame,
     known: DataFrame,
-    unit: str = "document",
+    unit: str | tuple[str, ...] = "document",
     key: str = "doc_id",
     text: str = "text",
     out: str = "licenses",
 ) -> DataFrame:
     """The documents with a struct: licenses (sorted, each once) and n_matches.
 
-    The entire text of a unit, a document or each of its lines, has to be a known text; texts that
-    are empty in canonical form match nothing. `known` has (license, digest); a text that stands
-    for two licenses counts as a match of both.
+    The entire text of a unit, a document, each of its paragraphs or each of its lines, has to be a
+    known text; of several units all are looked up, and a piece that is whole in more than one way,
+    such as a document of one line, counts once. Texts that are empty in canonical form match
+    nothing. `known` has (license, digest); a text that stands for two licenses counts as a match
+    of both.
 
-    Null texts match nothing; null keys and rows that repeat are scanned like others, by their own
-    text. Empty tables on either side are fine. A column called `out` is replaced.
+    Null texts match nothing, texts of any length are read whole; null keys and rows that repeat are
+    scanned like others, by their own text. Empty tables on either side are fine. A column called
+    `out` is replaced.
     """
-    if unit not in ("document", "line"):
+    wanted = (unit,) if isinstance(unit, str) else tuple(unit)
+    if not wanted or set(wanted) - set(UNITS):
         raise ValueError(f"unknown unit {unit}")
     scratch = Scratch(docs.sparkSession, "licenses")
-    body = F.coalesce(named(text), F.lit(""))
-    units = F.array(body) if unit == "document" else F.split(body, "\n")
-    # Units of the same text share a row, so that repeated documents cost one lookup.
-    keyed = docs.select(row_key(named(key), named(text)).alias("row"), units.alias("units"))
-    pieces = keyed.select("row", F.posexplode("units").alias("place", "piece"))
-    hashed = pieces.select("row", "place", canonical(F.col("piece")).alias("canon")).where(
-        F.col("canon") != ""
-    )
+    # Units of the same text share a row, so that repeated documents count alike.
+    keyed = docs.select(row_key(named(key), named(text)).alias("row"), named(text).cast("string").alias("text"))
     names = small(scratch.write(known.where("license is not null"), "known"), ["license", "digest"])
-    hits = hashed.select("row", "place", F.sha2("canon", 256).alias("digest")).join(names, "digest")
-    found = (
-        hits.select("row", "place", "license")
-        .distinct()
-        .groupBy("row")
-        .agg(
-            F.sort_array(F.collect_set("license")).alias("licenses"),
-            F.count(F.lit(1)).alias("n_matches"),
+    hits = None
+    for at, one in enumerate(u for u in UNITS if u in wanted):
+        cut = keyed.select("row", units_of(F.col("text"), one).alias("pieces"))
+        if at:  # what is of one piece was looked up as a larger unit
+            cut = cut.where(F.size("pieces") > 1)
+        pieces = cut.select("row", F.posexplode("pieces").alias("place", "piece"))
+        hashed = pieces.select("row", "place", canonical(F.col("piece")).alias("canon"))
+        found = (
+            hashed.where("canon <> ''")
+            .select("row", "place", F.sha2("canon", 256).alias("digest"))
+            .join(names, "digest")
+            .select("row", F.lit(at).alias("unit"), "place", "license")
+            .distinct()
         )
+        hits = found if hits is None else hits.unionByName(found)
+    if len(wanted) > 1:
+        hits = _once(scratch.write(hits, "hits"))
+    found = hits.groupBy("row").agg(
+        F.sort_array(F.collect_set("license")).alias("licenses"), F.count(F.lit(1)).alias("n_matches")
     )
     own = [c for c in docs.columns if c.lower() != out.lower()]
     row, side = fresh(docs, "_row", "_side")
@@ -130,3 +183,11 @@ def scan(
             F.coalesce(hit["n_matches"], F.lit(0).cast("long")).alias("n_matches"),
         ).alias(out),
     )
+
+
+def _once(hits: DataFrame) -> DataFrame:
+    """Per row and license, the matches of the unit that has the most: what several units find of a
+    license is the same places, seen in larger pieces and in smaller ones."""
+    counted = hits.groupBy("row", "license", "unit").agg(F.count(F.lit(1)).alias("n"))
+    most = counted.groupBy("row", "license").agg(F.max("n").alias("n"))
+    return most.select("row", "license", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("place"))

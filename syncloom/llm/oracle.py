@@ -7,9 +7,9 @@ of which is the result, so that the pipeline's SQL is the same steps one after t
 from __future__ import annotations
 
 from syncloom.llm.common import LOWER, UPPER
-from syncloom.llm.licenses import COPYRIGHT_LINE, KNOWN, PUNCTUATION, SPELLINGS
+from syncloom.llm.licenses import COPYRIGHT_LINE, KNOWN, PUNCTUATION, SPELLINGS, full_texts
 from syncloom.llm.quality_rules import STOP_WORDS
-from syncloom.llm.quotes import MARKS
+from syncloom.llm.quotes import MARKS, PUNCTUATION as MARKS_BETWEEN, SENTENCE
 
 Steps = dict[str, str]
 
@@ -231,63 +231,116 @@ def lines(docs: str, p: str) -> Steps:
 
 def licensed(docs: str, p: str) -> Steps:
     def canonical(text: str) -> str:
-        plain = f"regexp_replace({_lower(text)}, '{COPYRIGHT_LINE}', chr(10), 'g')"
-        found = f"' ' || regexp_replace({plain}, '{PUNCTUATION}', ' ', 'g') || ' '"
+        plain = f"regexp_replace({_lower(text)}, '{COPYRIGHT_LINE}', '', 'g')"
+        found = f"trim(regexp_replace({plain}, '{PUNCTUATION}', ' ', 'g'))"
+        found = f"' ' || replace({found}, ' ', '  ') || ' '"
         for variant, usual in SPELLINGS:
-            found = f"replace({found}, ' {variant} ', ' {usual} ')"
+            found = f"regexp_replace({found}, '{variant}', '{usual.replace('$', chr(92))}', 'g')"
         return f"trim(regexp_replace({found}, ' +', ' ', 'g'))"
 
-    known = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in KNOWN)
+    every = KNOWN + full_texts()
+    known = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in every)
+    blank = r"\n(?:[ \t\r]*\n)+"
     return {
         f"{p}_known": f"""
             SELECT DISTINCT id, {canonical("body")} AS canon FROM (VALUES {known}) v(id, body)""",
+        f"{p}_units": f"""
+            SELECT doc_id, 0 AS unit, [coalesce(text, '')] AS l FROM {docs}
+            UNION ALL SELECT doc_id, 1, regexp_split_to_array(coalesce(text, ''), '{blank}') FROM {docs}
+            UNION ALL SELECT doc_id, 2, string_split(coalesce(text, ''), chr(10)) FROM {docs}""",
         f"{p}_pieces": f"""
-            SELECT doc_id, i, {canonical("l[i]")} AS canon
-            FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
-                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM {docs}))""",
+            SELECT doc_id, unit, i, {canonical("l[i]")} AS canon
+            FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM {p}_units WHERE unit = 0 OR len(l) > 1)""",
         f"{p}_hits": f"""
-            SELECT doc_id, count(*) AS n_matches,
-                   array_to_string(list_sort(list_distinct(list(id))), ',') AS licenses
-            FROM {p}_pieces JOIN {p}_known USING (canon) WHERE canon <> '' GROUP BY doc_id""",
+            SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_matches, array_to_string(list_sort(list(id)), ',') AS licenses
+            FROM (SELECT doc_id, id, max(n) AS n FROM (
+                      SELECT doc_id, unit, id, count(*) AS n FROM {p}_pieces JOIN {p}_known USING (canon)
+                      WHERE canon <> '' GROUP BY ALL) GROUP BY doc_id, id)
+            GROUP BY doc_id""",
         p: f"""
             SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses
             FROM {docs} LEFT JOIN {p}_hits USING (doc_id)""",
     }
 
 
+def mail(messages: str, p: str) -> Steps:
+    wrapped = r"""regexp_replace(coalesce(text, ''), '(\S+ \S+) (\S+) ', '\1' || chr(10) || '\2 ', 'g')"""
+
+    def quoted(column: str, marks: str) -> str:
+        return f"'{marks}' || replace({column}, chr(10), chr(10) || '{marks}')"
+
+    def above(turn: str) -> str:
+        return f"CASE WHEN {turn} > 0 THEN {turn} - 1 - (conv_id % 2) * CAST({turn} > 1 AS BIGINT) END"
+
+    return {
+        f"{p}_said": f"""
+            SELECT conv_id, turn, min({wrapped}) AS said FROM {messages}
+            WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn""",
+        f"{p}_up1": f"""
+            SELECT m.*, {above("m.turn").replace("conv_id", "m.conv_id")} AS p1 FROM {messages} m""",
+        f"{p}_up2": f"""
+            SELECT m.*, s.said AS s1, {above("p1").replace("conv_id", "m.conv_id")} AS p2
+            FROM {p}_up1 m LEFT JOIN {p}_said s ON s.conv_id = m.conv_id AND s.turn = p1""",
+        f"{p}_up3": f"""
+            SELECT m.*, s.said AS s2, {above("p2").replace("conv_id", "m.conv_id")} AS p3
+            FROM {p}_up2 m LEFT JOIN {p}_said s ON s.conv_id = m.conv_id AND s.turn = p2""",
+        p: f"""
+            SELECT m.conv_id, m.turn, role, concat_ws(chr(10), {quoted("s.said", "> > > ")},
+                   {quoted("s2", ">> ")}, CASE WHEN m.turn % 4 <> 0 THEN {quoted("s1", "> ")} END,
+                   coalesce(text, '')) AS text
+            FROM {p}_up3 m LEFT JOIN {p}_said s ON s.conv_id = m.conv_id AND s.turn = p3""",
+    }
+
+
 def linked(messages: str, p: str) -> Steps:
+    depth = f"length(regexp_replace(regexp_extract(line, '{MARKS}'), '[^>]', '', 'g'))"
     return {
         f"{p}_lines": f"""
-            SELECT conv_id, turn, l[i] AS line, i,
-                   length(regexp_replace(regexp_extract(l[i], '{MARKS}'), '[^>]', '', 'g')) AS depth
-            FROM (SELECT conv_id, turn, l, unnest(range(1, len(l) + 1)) AS i FROM (
-                  SELECT *, string_split(coalesce(text, ''), chr(10)) AS l FROM {messages}))""",
-        f"{p}_normal": f"""
-            SELECT DISTINCT conv_id, turn, depth, trim(regexp_replace(
-                   {_lower(f"regexp_replace(line, '{MARKS}', '')")}, '{PUNCTUATION}', ' ', 'g')) AS x
-            FROM {p}_lines""",
+            SELECT conv_id, turn, i, line, {depth} AS depth, trim(regexp_replace(line, '{MARKS}', '')) AS bare
+            FROM (SELECT conv_id, turn, l[i] AS line, i FROM (
+                  SELECT conv_id, turn, l, unnest(range(1, len(l) + 1)) AS i FROM (
+                  SELECT *, string_split(coalesce(text, ''), chr(10)) AS l FROM {messages})))""",
+        f"{p}_starts": f"""
+            SELECT *, CASE WHEN depth = lag(depth) OVER w AND bare <> '' AND lag(bare) OVER w <> ''
+                           THEN 0 ELSE 1 END AS new
+            FROM {p}_lines WINDOW w AS (PARTITION BY conv_id, turn ORDER BY i)""",
+        f"{p}_runs": f"""
+            SELECT conv_id, turn, depth, run, string_agg(bare, ' ' ORDER BY i) AS body
+            FROM (SELECT *, sum(new) OVER (PARTITION BY conv_id, turn ORDER BY i) AS run FROM {p}_starts)
+            GROUP BY ALL""",
+        f"{p}_passages": f"""
+            SELECT DISTINCT conv_id, turn, depth, x FROM (
+                SELECT conv_id, turn, depth, trim(regexp_replace({_lower("s")}, '{MARKS_BETWEEN}', ' ', 'g')) AS x
+                FROM (SELECT conv_id, turn, depth,
+                             unnest(regexp_split_to_array(body, '{SENTENCE}')) AS s FROM {p}_runs
+                      UNION ALL SELECT conv_id, turn, depth, bare FROM {p}_lines))
+            WHERE x <> ''""",
+        f"{p}_links": f"""
+            SELECT q.conv_id, q.turn, q.depth, q.x, max(o.turn) AS source
+            FROM {p}_passages q JOIN {p}_passages o
+              ON o.conv_id = q.conv_id AND o.x = q.x AND o.depth = q.depth - 1 AND o.turn < q.turn
+            GROUP BY ALL""",
         f"{p}_votes": f"""
-            SELECT q.conv_id, q.turn, o.turn AS source, count(*) AS votes
-            FROM {p}_normal q JOIN {p}_normal o USING (conv_id, x)
-            WHERE x <> '' AND q.depth = 1 AND o.depth = 0 AND o.turn < q.turn GROUP BY ALL""",
+            SELECT conv_id, turn, depth, source, count(*) AS votes FROM {p}_links GROUP BY ALL""",
         f"{p}_replies": f"""
-            SELECT conv_id, turn, max_by(source, {{'v': votes, 's': source}}) AS reply_to
+            SELECT conv_id, turn, max_by(source, {{'d': -depth, 'v': votes, 's': source}}) AS reply_to
             FROM {p}_votes GROUP BY conv_id, turn""",
         f"RECURSIVE {p}_up": f"""
-            SELECT conv_id, turn, reply_to AS top FROM {p}_replies
+            SELECT conv_id, turn, reply_to AS top, 1 AS far FROM {p}_replies
             UNION
-            SELECT u.conv_id, u.turn, r.reply_to
+            SELECT u.conv_id, u.turn, r.reply_to, far + 1
             FROM {p}_up u JOIN {p}_replies r ON r.conv_id = u.conv_id AND r.turn = u.top""",
         f"{p}_own": f"""
             SELECT conv_id, turn, count(*) FILTER (depth > 0) AS n_quoted, max(depth) AS deepest,
                    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (depth = 0), '') AS body
             FROM {p}_lines GROUP BY conv_id, turn""",
         p: f"""
-            SELECT m.conv_id, m.turn, role, reply_to, coalesce(t.thread, m.turn) AS thread, n_quoted,
-                   CAST(deepest AS BIGINT) AS deepest, body
+            SELECT m.conv_id, m.turn, role, reply_to, coalesce(t.thread, m.turn) AS thread,
+                   CAST(coalesce(t.far, 0) AS BIGINT) AS depth, n_quoted,
+                   CAST(deepest AS BIGINT) AS deepest, sha256(body) AS body_sha256
             FROM {messages} m JOIN {p}_own USING (conv_id, turn)
             LEFT JOIN {p}_replies USING (conv_id, turn)
-            LEFT JOIN (SELECT conv_id, turn, min(top) AS thread FROM {p}_up GROUP BY 1, 2) t
+            LEFT JOIN (SELECT conv_id, turn, min(top) AS thread, max(far) AS far FROM {p}_up GROUP BY 1, 2) t
               USING (conv_id, turn)""",
     }
 
@@ -416,7 +469,9 @@ ORACLE: dict[str, str] = {
         " FROM cuts",
     ),
     "op2_license_scan": statement(licensed("documents", "found"), "SELECT * FROM found"),
-    "op8_quotes": statement(linked("conversations", "found"), "SELECT * FROM found"),
+    "op8_quotes": statement(
+        {**mail("conversations", "mail"), **linked("mail", "found")}, "SELECT * FROM found"
+    ),
     "op5_ngram_jaccard_join": statement(
         similar("documents", "alike"), "SELECT doc_id, n_shingles, component_id FROM alike"
     ),

@@ -2,24 +2,33 @@
 
 Trusted positives and unlabelled text train a linear model: the risk of positives counts at the
 class prior, and the risk of negatives is what the unlabelled risk leaves after the positives'
-share, held at zero or above. The prior is estimated from scores alone. Documents known to be bad,
-where there are some, only calibrate the scores: a slope and a shift of the log odds.
+share, held at zero or above. The prior is estimated from scores alone, and so is the shift that
+makes the scores of all unlabelled rows sum up to it.
+
+Features are written once. A bounded sample says where the descent begins; then sums over all
+unlabelled rows, one row for each task, give the risk and its slopes, the spread of the features, the
+prior and the shift. Documents known to be bad play no part, unless they are given to calibrate with.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncloom.llm.common import named, seeded, use_package
+from syncloom.llm.common import Scratch, named, seeded, use_package
 
-#: At most so many texts of either kind train the model; a larger sample is not better by much.
+#: At most so many texts that are labelled train the model, and so many others say where it begins.
 SAMPLE = 8_000
+#: Steps over all unlabelled rows.
+PASSES = 5
+#: Bins of log odds between -30 and 30.
+BINS = 600
 #: Cells that word shapes are hashed into.
 SHAPE_CELLS = 256
 FOLDS = 5
@@ -78,16 +87,6 @@ def features(text: bytes | None) -> np.ndarray:
     return out
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
-
-
-def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [features(t).tobytes() for t in _texts(batch)]
-        yield pa.RecordBatch.from_pydict({"x": pa.array(rows, pa.binary())})
-
-
 # --- learning ----------------------------------------------------------------------------------
 
 
@@ -159,6 +158,15 @@ def _halves(x: np.ndarray) -> list[np.ndarray]:
     return [x[~side], x[side]]
 
 
+def halves_weights(positive, unlabelled, mean, scale, steps: int, seed: int) -> list[np.ndarray]:
+    """Weights from either half of the rows, with equal weight for both kinds; empty without rows."""
+    one = lambda x: np.hstack([(x - mean) / scale, np.ones((len(x), 1))]).astype(np.float64)
+    pairs = zip(_halves(positive), _halves(unlabelled), strict=True)
+    return [
+        _descend(one(p), one(u), 0.5, steps, 0.01, 1e-2, seed) for p, u in pairs if len(p) and len(u)
+    ]
+
+
 def train(
     positive: np.ndarray, unlabelled: np.ndarray, steps: int = 3000, seed: int = 7
 ) -> Model:
@@ -214,10 +222,30 @@ def held_out(key: Column, folds: int = FOLDS) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
+def featurised(docs: DataFrame, text: str = "text", out: str = "features") -> DataFrame:
+    """The rows with the features of their text as bytes, the text itself left out."""
+    use_package(docs.sparkSession)
+    own = [c for c in docs.columns if c.lower() not in (out.lower(), text.lower())]
+    return docs.select(*map(named, own), F.arrow_udf(_features_of, "binary")(named(text)).alias(out))
+
+
+def _features_of(text: pa.Array) -> pa.Array:
+    return pa.array([features(t).tobytes() for t in text.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    rows = [v for v in column.to_pylist() if v is not None]
+    return np.frombuffer(b"".join(rows), dtype=np.float32).reshape(len(rows), 16 + SHAPE_CELLS)
+
+
 def training_rows(
-    docs: DataFrame, keys: DataFrame, sample: int, seed: int, key: str, text: str
+    rows: DataFrame, keys: DataFrame, sample: int, seed: int, key: str, column: str = "features"
 ) -> np.ndarray:
-    """Feature rows of at most `sample` of the texts whose key is among the keys."""
+    """Features of at most `sample` of the keys, all rows of a key, up to twice the sample.
+
+    Keys are drawn by a seeded digest, and where rows have to be left out, those with the largest
+    digests are; so the partitions play no part.
+    """
     chosen = (
         keys.where(named(key).isNotNull())
         .select(named(key).alias("_k"))
@@ -225,10 +253,129 @@ def training_rows(
         .orderBy(seeded(seed, F.col("_k")), "_k")
         .limit(sample)
     )
-    texts = docs.join(F.broadcast(chosen), named(key) == F.col("_k")).select(named(text).alias("text"))
-    rows = texts.mapInArrow(_featurise, "x binary").limit(2 * sample).collect()
-    found = [np.frombuffer(r[0], dtype=np.float32) for r in rows]
-    return np.stack(sorted(found, key=lambda r: r.tobytes())) if found else np.empty((0, 16 + SHAPE_CELLS), np.float32)
+    found = rows.join(F.broadcast(chosen), named(key) == F.col("_k")).select(named(column).alias("x"))
+    drawn = found.orderBy(F.md5("x"), "x").limit(2 * sample).collect()
+    if not drawn:
+        return np.empty((0, 16 + SHAPE_CELLS), np.float32)
+    return np.stack(sorted((np.frombuffer(r[0], np.float32) for r in drawn), key=lambda r: r.tobytes()))
+
+
+def summed(rows: DataFrame, work: Callable[[np.ndarray], np.ndarray], width: int, column: str = "features") -> np.ndarray:
+    """The sum over all rows of what the work makes of blocks of features: vectors of this width.
+
+    Tasks add up their own rows, a few tasks add up these, and the driver has what is left: as many
+    vectors as a square root of the tasks.
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                total += work(_matrix(batch.column("x").slice(start, 4096)))
+        yield pa.RecordBatch.from_pydict({"v": pa.array([total.tobytes()], pa.binary())})
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            for value in batch.column("v").to_pylist():
+                total += np.frombuffer(value)
+        yield pa.RecordBatch.from_pydict({"v": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.select(named(column).alias("x")).mapInArrow(partial, "v binary")
+    few = max(1, math.isqrt(max(1, rows.rdd.getNumPartitions())))
+    vectors = parts.repartition(few).mapInArrow(again, "v binary").collect()
+    return np.sum(sorted((np.frombuffer(r[0]) for r in vectors), key=lambda v: v.tobytes()), axis=0)
+
+
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.hstack([(x - mean) / scale, np.ones((len(x), 1))]).astype(np.float64)
+
+
+def risk_sums(x: np.ndarray, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Of unlabelled rows: the risk of taking them for positives, its slope, its curve, by weight."""
+    z_rows = _standard(x, mean, scale)
+    z = z_rows @ w
+    p = _sigmoid(z)
+    return np.concatenate([[np.logaddexp(0, z).sum()], p @ z_rows, (p * (1 - p)) @ z_rows**2])
+
+
+def _moments(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)])
+
+
+def fit_features(
+    rows: DataFrame,
+    trusted: DataFrame,
+    rejected: DataFrame | None = None,
+    key: str = "doc_id",
+    sample: int = SAMPLE,
+    passes: int = PASSES,
+    seed: int = 7,
+) -> Model:
+    """The model of `fit`, from a written table of keys and features."""
+    positive = training_rows(rows, trusted, sample, seed, key)
+    start = training_rows(rows, rows.select(named(key)), sample, seed + 1, key)
+    model = train(positive, start, seed=seed)
+    if len(positive) < 8 or len(start) < 8:
+        return model
+    width = 16 + SHAPE_CELLS
+    count, *sums = summed(rows, _moments, 1 + 2 * width)
+    mean = np.array(sums[:width]) / count
+    scale = np.sqrt(np.maximum(np.array(sums[width:]) / count - mean**2, 0)) + 1e-2
+    prior = model.prior
+    either = halves_weights(positive, start, mean, scale, 1000, seed)
+    if len(either) == 2:
+        scored = [_standard(x, mean, scale) @ w for x, w in zip(_halves(positive), either[::-1], strict=True)]
+        held = np.concatenate(scored)
+        cuts = np.quantile(held, np.linspace(0.02, 0.5, 49))
+
+        def above(x: np.ndarray) -> np.ndarray:
+            """Rows at or above each cut, each scored by the half that it is not of."""
+            z = np.concatenate([_standard(h, mean, scale) @ w for h, w in zip(_halves(x), either[::-1], strict=True)])
+            return len(z) - np.searchsorted(np.sort(z), cuts, side="left")
+
+        shares = summed(rows, above, len(cuts)) / count
+        ratios = shares / np.maximum([(held >= c).mean() for c in cuts], 1e-9)
+        prior = float(np.clip(np.quantile(ratios, 0.25), 0.05, 0.98))
+    p_rows = _standard(positive, mean, scale)
+    # The same weights over the spread of all rows.
+    w = np.append(model.weights[:-1] * scale / model.scale, model.weights[-1] + model.weights[:-1] @ ((mean - model.mean) / model.scale))
+    best = (np.inf, w)
+    for step in range(passes + 1):
+        found = summed(rows, lambda x, w=w: risk_sums(x, w, mean, scale), 1 + 2 * (width + 1)) / count
+        zp = p_rows @ w
+        sp = _sigmoid(zp)
+        part = found[0] - prior * np.logaddexp(0, zp).mean()
+        risk = prior * np.logaddexp(0, -zp).mean() + max(part, 0.0)
+        if risk < best[0]:
+            best = (risk, w)
+        if step == passes:
+            break
+        slope_part = found[1 : width + 2] - prior * p_rows.T @ sp / len(p_rows)
+        slope_plus = -prior * p_rows.T @ (1 - sp) / len(p_rows)
+        slope = slope_plus + slope_part if part >= 0 else -slope_part
+        curve = found[width + 2 :] + prior * (p_rows**2).T @ (sp * (1 - sp)) / len(p_rows) + 1e-2
+        w = w - 0.2 * np.clip((slope + 1e-3 * w) / curve, -1, 1)
+    model = Model(best[1], mean, scale, prior)
+    edges = np.linspace(-30, 30, BINS + 1)
+    bins = summed(rows, lambda x: np.histogram(model.log_odds(x), edges)[0].astype(float), BINS)
+    model = replace(model, shift=prior_shift(bins, edges, prior))
+    if rejected is None:
+        return model
+    return calibrate(model, positive, training_rows(rows, rejected, sample, seed, key))
+
+
+def prior_shift(bins: np.ndarray, edges: np.ndarray, prior: float) -> float:
+    """What to add to log odds so that their scores have the prior as their mean."""
+    middles, low, high = (edges[1:] + edges[:-1]) / 2, -30.0, 30.0
+    for _ in range(60):
+        shift = (low + high) / 2
+        if (bins * _sigmoid(middles + shift)).sum() < prior * bins.sum():
+            low = shift
+        else:
+            high = shift
+    return round(shift, 9)
 
 
 def fit(
@@ -242,17 +389,30 @@ def fit(
 ) -> Model:
     """A model from the documents whose keys are trusted, against all documents given.
 
-    Rejected keys, if any, calibrate the scores. All are samples of at most `sample` keys, drawn by a seeded digest of the key; a key that
-    repeats brings all its rows, up to twice the sample. Trusted keys without a document, and null
-    keys, are left out.
+    Trusted keys are cut to `sample`, drawn by a seeded digest of the key; a key that repeats brings
+    all its rows, up to twice the sample. As many unlabelled rows say where the descent begins; the
+    descent itself, the spread, the prior and the shift of the scores are sums over all documents.
+    Trusted keys without a document, and null keys among them, are left out. Rejected keys are an
+    option that departs from positives and unlabelled text alone: they calibrate the scores.
+
+    Null and empty texts are rows without features. With hardly any rows of a kind, an empty table
+    among them, every score is one half.
     """
-    use_package(docs.sparkSession)
-    positive = training_rows(docs, trusted, sample, seed, key, text)
-    unlabelled = training_rows(docs, docs.select(named(key)), sample, seed + 1, key, text)
-    model = train(positive, unlabelled, seed=seed)
-    if rejected is None:
-        return model
-    return calibrate(model, positive, training_rows(docs, rejected, sample, seed, key, text))
+    rows = Scratch(docs.sparkSession, "quality").write(
+        featurised(docs.select(named(key), named(text)), text), "features"
+    )
+    return fit_features(rows, trusted, rejected, key, sample, seed=seed)
+
+
+def score_features(rows: DataFrame, model: Model, column: str = "features", out: str = "score") -> DataFrame:
+    """The rows with the score of their features in place of these."""
+    use_package(rows.sparkSession)
+
+    def scored(x: pa.Array) -> pa.Array:
+        return pa.array(model.scores(_matrix(x)), pa.float64())
+
+    own = [c for c in rows.columns if c.lower() not in (out.lower(), column.lower())]
+    return rows.select(*map(named, own), F.arrow_udf(scored, "double")(named(column)).alias(out))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
@@ -263,15 +423,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     """
     use_package(docs.sparkSession)
 
-    def scored(batches: Iterator) -> Iterator:
-        for texts in batches:
-            rows = [features(t.encode() if t is not None else None) for t in texts]
-            x = np.stack(rows) if rows else np.empty((0, 16 + SHAPE_CELLS), np.float32)
-            yield pd.Series(model.scores(x))
-
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
+    def scored(texts: pa.Array) -> pa.Array:
+        found = [features(t) for t in texts.cast(pa.binary()).to_pylist()]
+        x = np.stack(found) if found else np.empty((0, 16 + SHAPE_CELLS), np.float32)
+        return pa.array(model.scores(x), pa.float64())
 
-    udf = pandas_udf(scored, "double", F.PandasUDFType.SCALAR_ITER)
     own = [c for c in docs.columns if c.lower() != out.lower()]
-    return docs.select(*map(named, own), udf(named(text)).alias(out))
+    return docs.select(*map(named, own), F.arrow_udf(scored, "double")(named(text)).alias(out))

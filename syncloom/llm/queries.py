@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -62,7 +63,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = licenses.known_texts(spark)
-    found = licenses.scan(docs, known, unit="line")
+    found = licenses.scan(docs, known, unit=licenses.UNITS)
     return found.select(
         "doc_id",
         "licenses.n_matches",
@@ -75,20 +76,19 @@ def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = f"{Scratch(spark, 'tokens').root}/segments"
-    token_blocks.write_tokens(docs, path, public_tokenizers.path(VOCABULARY), END_ID)
+    token_blocks.write_tokens(docs, path, partial(public_tokenizers.path, VOCABULARY), END_ID)
     return token_blocks.read_documents(spark, path)
 
 
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels")
-    learnt = ~quality_model.held_out(F.col("doc_id"))
-    trusted = labels.where(learnt & (F.col("quality") == 1)).select("doc_id")
-    rejected = labels.where(learnt & (F.col("quality") == 0)).select("doc_id")
-    model = quality_model.fit(docs.where(learnt), trusted, rejected)
-    return quality_model.score(docs, model).select(
+    rows = Scratch(spark, "quality").write(quality_model.featurised(docs), "features")
+    held_out = quality_model.held_out(F.col("doc_id"))
+    trusted = table(spark, sf_dir, "labels").where(~held_out & (F.col("quality") == 1))
+    model = quality_model.fit_features(rows.where(~held_out), trusted.select("doc_id"))
+    return quality_model.score_features(rows, model).select(
         "doc_id",
-        quality_model.held_out(F.col("doc_id")).alias("held_out"),
+        held_out.alias("held_out"),
         "score",
         (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"),
     )
@@ -131,8 +131,36 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quoting(messages: DataFrame) -> DataFrame:
+    """The conversations as a mailing list would have them: from its second turn on, a message quotes
+    one of the two before it above its own words, with what that one quoted, three deep.
+
+    Messages whose turn is a multiple of four leave out the words they reply to and keep the deeper
+    quotes. Texts are wrapped anew where they are quoted.
+    """
+    text = F.coalesce("text", F.lit(""))
+    # A blank at a third of all places becomes the end of a line.
+    wrapped = F.regexp_replace(text, r"(\S+ \S+) (\S+) ", "$1\n$2 ")
+    quoted = lambda c, marks: F.concat(F.lit(marks), F.replace(c, F.lit("\n"), F.lit("\n" + marks)))
+    base = messages.where("conv_id is not null and turn is not null")
+    said = base.groupBy("conv_id", "turn").agg(F.min(wrapped).alias("said"))
+    above = F.when(F.col("turn") > 0, F.col("turn") - 1 - (F.col("conv_id") % 2) * (F.col("turn") > 1).cast("long"))
+    chain = messages.withColumn("_p1", above)
+    for k in (1, 2, 3):
+        turn = F.col(f"_p{k}")
+        other = said.select(
+            F.col("conv_id").alias(f"_c{k}"), F.col("turn").alias(f"_t{k}"), F.col("said").alias(f"_s{k}")
+        )
+        chain = chain.join(
+            other, (F.col("conv_id") == F.col(f"_c{k}")) & (turn == F.col(f"_t{k}")), "left"
+        ).withColumn(f"_p{k + 1}", F.when(turn > 0, turn - 1 - (F.col("conv_id") % 2) * (turn > 1).cast("long")))
+    first = F.when(F.col("turn") % 4 != 0, quoted(F.col("_s1"), "> "))
+    parts = [quoted(F.col("_s3"), "> > > "), quoted(F.col("_s2"), ">> "), first, text]
+    return chain.select("conv_id", "turn", "role", F.concat_ws("\n", *parts).alias("text"))
+
+
 def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = table(spark, sf_dir, "conversations")
+    messages = Scratch(spark, "mail").write(quoting(table(spark, sf_dir, "conversations")), "messages")
     found = quotes.link_quotes(messages)
     return found.select(
         "conv_id",
@@ -140,9 +168,10 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "role",
         "reply.reply_to",
         "reply.thread",
+        "reply.depth",
         "reply.n_quoted",
         "reply.deepest",
-        "reply.body",
+        F.sha2(F.encode("reply.body", "UTF-8"), 256).alias("body_sha256"),
     )
 
 

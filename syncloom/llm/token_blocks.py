@@ -8,14 +8,16 @@ Parquet table: Spark's commit makes a lost task harmless, and any store that Spa
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,8 +28,9 @@ PERCENTILE = 90
 #: A segment ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 17
 MAGIC = b"PFB1"
-#: Pieces of text whose ids a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Pieces of text whose ids a worker remembers, and as many from before, of which those that come up
+#: again are taken over.
+REMEMBERED = 600_000
 
 
 # --- the file format ---------------------------------------------------------------------------
@@ -41,8 +44,8 @@ def bit_lengths(values: np.ndarray) -> np.ndarray:
 def encode_segment(ids: np.ndarray) -> bytes:
     """Header, per block: minimum, width, starts of its packed bits and exceptions; then those.
 
-    Bits are packed in planes: 32 bytes for bit 0 of all 256 differences, then for bit 1, and so
-    on. A last block is filled up with its minimum. Ids are unsigned, of 32 bits at most.
+    Differences are packed bit by bit, the lowest first, one after the other. A last block is filled up
+    with its minimum. Ids are unsigned, of 32 bits at most.
     """
     ids = np.asarray(ids, dtype=np.uint32)
     n, blocks = len(ids), -(-len(ids) // BLOCK)
@@ -55,8 +58,7 @@ def encode_segment(ids: np.ndarray) -> bytes:
     grid = grid - lows[:, None]
     at = BLOCK * PERCENTILE // 100
     widths = bit_lengths(np.partition(grid, at, axis=1)[:, at]) if blocks else np.empty(0, np.uint8)
-    planes = BLOCK // 8
-    packed_starts = np.concatenate([[0], np.cumsum(widths.astype(np.int64) * planes)])
+    packed_starts = np.concatenate([[0], np.cumsum(widths.astype(np.int64) * (BLOCK // 8))])
     out = np.zeros(int(packed_starts[-1]), dtype=np.uint8)
     high = grid >> np.minimum(widths, 31)[:, None].astype(np.uint32)
     high[widths == 32] = 0
@@ -64,15 +66,12 @@ def encode_segment(ids: np.ndarray) -> bytes:
         chosen = np.flatnonzero(widths == width)
         if not width:
             continue
-        part = grid[chosen]
-        bits = np.stack(
-            [
-                np.packbits(((part >> np.uint32(b)) & 1).astype(np.uint8), axis=1, bitorder="little")
-                for b in range(int(width))
-            ],
-            axis=1,
-        ).reshape(len(chosen), -1)
-        out[packed_starts[chosen][:, None] + np.arange(bits.shape[1])] = bits
+        # The bits of each difference, the lowest ones first, one difference after the other.
+        wide = "<u2" if width <= 16 else "<u4"
+        part = (grid[chosen] & np.uint32((1 << int(width)) - 1)).astype(wide).view(np.uint8)
+        bits = np.unpackbits(part.reshape(len(chosen), BLOCK, -1), axis=2, bitorder="little")
+        packed = np.packbits(bits[:, :, : int(width)].reshape(len(chosen), -1), axis=1, bitorder="little")
+        out[packed_starts[chosen][:, None] + np.arange(packed.shape[1])] = packed
     rows, columns = np.nonzero(high)
     exception_starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=blocks))])
     return b"".join(
@@ -102,7 +101,8 @@ class Segment:
         self.widths = self._take(np.uint8, self.blocks)
         self.packed_starts = self._take("<u4", self.blocks + 1).astype(np.int64)
         self.exception_starts = self._take("<u4", self.blocks + 1).astype(np.int64)
-        self.packed = self._take(np.uint8, int(self.packed_starts[-1]))
+        # A few bytes more, so that the last difference may be read like others.
+        self.packed = np.concatenate([self._take(np.uint8, int(self.packed_starts[-1])), np.zeros(8, np.uint8)])
         self.places = self._take(np.uint8, int(self.exception_starts[-1]))
         self.high = self._take("<u4", int(self.exception_starts[-1]))
 
@@ -119,19 +119,23 @@ class Segment:
         for width in np.unique(widths):
             if not width:
                 continue
-            chosen = np.flatnonzero(widths == width)
-            span = np.arange(int(width) * (BLOCK // 8))
-            raw = self.packed[self.packed_starts[wanted[chosen]][:, None] + span]
-            planes = raw.reshape(len(chosen), int(width), BLOCK // 8)
-            part = np.zeros((len(chosen), BLOCK), dtype=np.uint32)
-            for b in range(int(width)):
-                bits = np.unpackbits(planes[:, b], axis=1, bitorder="little")
-                part |= bits.astype(np.uint32) << np.uint32(b)
-            grid[chosen] = part
+            chosen, size = np.flatnonzero(widths == width), int(width)
+            bits = np.arange(BLOCK) * size
+            # A difference lies in so many bytes from its first one on; what is beyond the block is cut off.
+            count = -(-(7 + size) // 8)
+            first, shift = bits >> 3, bits & 7
+            raw = self.packed[self.packed_starts[wanted[chosen]][:, None] + np.arange(size * (BLOCK // 8) + count)]
+            kind = np.uint32 if count <= 4 else np.uint64
+            part = raw[:, first].astype(kind)
+            for k in range(1, count):
+                part |= raw[:, first + k].astype(kind) << kind(8 * k)
+            part >>= shift.astype(kind)
+            grid[chosen] = part & kind((1 << size) - 1)
         firsts, ends = self.exception_starts[wanted], self.exception_starts[wanted + 1]
-        for row in np.flatnonzero(ends > firsts):
-            span = slice(firsts[row], ends[row])
-            grid[row, self.places[span]] |= self.high[span] << np.uint32(widths[row])
+        held = ends - firsts
+        rows = np.repeat(np.arange(len(wanted)), held)
+        spots = np.arange(len(rows)) + np.repeat(firsts - (np.cumsum(held) - held), held)
+        grid[rows, self.places[spots]] |= self.high[spots] << widths[rows].astype(np.uint32)
         grid += self.lows[wanted][:, None]
         ids = grid.reshape(-1)
         return ids[: self.n] if blocks is None else ids
@@ -140,19 +144,53 @@ class Segment:
 # --- tokens ------------------------------------------------------------------------------------
 
 _CUT = re.compile(r"(?<=\S)(?= )")
+_FEEDS = re.compile(r"(\n+)")
+#: Letters of two ranges that are all letters to every library, then ASCII marks but the apostrophe.
+_WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class _Slots(dict):
     """Numbers pieces of text as they come up."""
 
-    def __init__(self, encoder: PieceEncoder, before: str):
-        self.encoder, self.before = encoder, before
+    def __init__(self, encoder: PieceEncoder, before: str, older: dict[str, int]):
+        self.encoder, self.before, self.older = encoder, before, older
 
     def __missing__(self, piece: str) -> int:
-        slot = self[piece] = self.encoder.add(self.before + piece, piece)
+        slot = self.encoder.add(self.before, piece, self.older.get(piece))
+        if "\n" not in piece:  # two words and the end of a line seldom come again
+            self[piece] = slot
         return slot
 
 
+class _Grown:
+    """An array that others are added to; it doubles when it is full."""
+
+    def __init__(self, first: list, kind):
+        self.held = np.array(first, dtype=kind)
+        self.size = len(first)
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.held):
+            self.held = np.resize(self.held, max(size, 2 * len(self.held)))
+        self.held[self.size : size] = values
+        self.size = size
+
+
+def cuts_known(path: str) -> bool:
+    """Whether the vocabulary's own cuts are those of byte-level BPE: letters, digits, marks and
+    white space apart, a space with what follows it."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    first = described.get("pre_tokenizer") or {}
+    return (
+        first.get("type") == "ByteLevel"
+        and first.get("use_regex", True)
+        and not first.get("add_prefix_space")
+        and described.get("normalizer") is None
+    )
+
+
 class PieceEncoder:
     """Encodes texts piece by piece and remembers the ids of pieces.
 
@@ -160,6 +198,12 @@ class PieceEncoder:
     than white space, so texts are cut there and the ids of the pieces put together again. A cut
     at any space is tried first; where a piece turns out to end in white space, the text is cut
     again by the rule.
+
+    Where the vocabulary cuts as byte-level BPE mostly does, line feeds between other characters
+    stand by themselves, the last of a run apart from those before, and marks at the end of a word
+    apart from its letters. So a new piece with either is put together from smaller ones.
+
+    Texts are cut, and their distinct pieces found, by Arrow; Python sees each piece of a batch once.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -167,70 +211,158 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        self.cuts_known = cuts_known(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.heads, self.rest = {}, {}
+        self.begins = self.sizes = self.flat = _Grown([], np.int64)
         self.clear()
 
     def clear(self) -> None:
-        self.heads, self.rest = _Slots(self, ""), _Slots(self, " ")
-        self.waiting: list[str] = []
-        self.odd = [False]
-        self.begins, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
-        self.flat = np.array([self.end_id], dtype=np.uint32)
+        """Start anew, with what is known so far as the older generation."""
+        self.heads, self.rest = _Slots(self, "", dict(self.heads)), _Slots(self, " ", dict(self.rest))
+        self.older = (self.begins.held, self.sizes.held, self.flat.held)
+        self.feeds: dict[tuple[int, bool], int] = {}
+        self.waiting: list[str | tuple[int, ...] | list[int]] = []
+        self.count = 1  # the first slot is the end id
+        self.odd: list[int] = []  # of the pieces that wait
+        self.odd_flags = _Grown([False], bool)
+        self.begins, self.sizes = _Grown([0], np.int64), _Grown([1], np.int64)
+        self.flat = _Grown([self.end_id], np.uint32)
+
+    def _slot(self, entry: str | tuple[int, ...] | list[int]) -> int:
+        """A new slot for a text to encode, for slots to be put together, or for known ids."""
+        self.waiting.append(entry)
+        self.count += 1
+        return self.count - 1
+
+    def add(self, before: str, piece: str, older: int | None) -> int:
+        if older is not None:
+            begins, sizes, flat = self.older
+            slot = self._slot(flat[begins[older] : begins[older] + sizes[older]].tolist())
+        elif self.cuts_known and (cut := self._cut(before, piece)):
+            slot = self._slot(cut)
+        else:
+            slot = self._slot(before + piece)
+        if piece[-1:].isspace() or (not piece and before):
+            self.odd.append(slot)
+        return slot
 
-    def add(self, chunk: str, piece: str) -> int:
-        self.waiting.append(chunk)
-        self.odd.append(piece[-1:].isspace() or (not piece and chunk != piece))
-        return len(self.odd) - 1
+    def _cut(self, before: str, piece: str) -> tuple[int, ...] | None:
+        """The slots of smaller pieces that a piece is made of, if it can be cut."""
+        first = self.rest if before else self.heads
+        if found := _WORD_AND_MARKS.fullmatch(piece):
+            word, marks = found.groups()
+            return first[word], self.heads[marks]
+        if "\n" not in piece:
+            return None
+        parts = _FEEDS.split(piece)  # what stands between runs of line feeds, and these
+        words = parts[::2]
+        if not words[0] and before or any(w and (w[0].isspace() or w[-1].isspace()) for w in words):
+            return None
+        slots = [first[words[0]]] if words[0] else []
+        for feeds, word in zip(parts[1::2], words[1:], strict=True):
+            slots.append(self._feeds(len(feeds), not word))
+            if word:
+                slots.append(self.heads[word])
+        return tuple(slots)
+
+    def _feeds(self, n: int, last: bool) -> int:
+        """The slot of n line feeds, at the end of the text or before another character."""
+        if (n, last) not in self.feeds:
+            apart = n > 1 and not last
+            entry = (self._feeds(n - 1, True), self._feeds(1, True)) if apart else "\n" * n
+            self.feeds[n, last] = self._slot(entry)
+        return self.feeds[n, last]
 
     def _learn(self) -> None:
+        """Ids of the pieces that wait; what is put together comes after its pieces."""
         if not self.waiting:
             return
-        found = [
-            e.ids for e in self.tokenizer.encode_batch_fast(self.waiting, add_special_tokens=False)
-        ]
-        sizes = np.array([len(x) for x in found], dtype=np.int64)
-        begins = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        flat = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(sizes.sum()))
-        self.begins, self.sizes = np.append(self.begins, begins), np.append(self.sizes, sizes)
-        self.flat, self.waiting = np.append(self.flat, flat), []
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        entries, self.waiting = self.waiting, []
+        first = self.count - len(entries)
+        found = self.tokenizer.encode_batch_fast(
+            [e for e in entries if isinstance(e, str)], add_special_tokens=False
+        )
+        whole = iter(found)
+        parts: list[list[int]] = []
+        begins, sizes, flat = self.begins.held, self.sizes.held, self.flat.held
+        for entry in entries:
+            if isinstance(entry, str):
+                parts.append(next(whole).ids)
+                continue
+            if isinstance(entry, list):
+                parts.append(entry)
+                continue
+            joined: list[int] = []
+            for slot in entry:
+                if slot >= first:
+                    joined += parts[slot - first]
+                else:
+                    joined += flat[begins[slot] : begins[slot] + sizes[slot]].tolist()
+            parts.append(joined)
+        new = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.begins.add(self.flat.size + np.cumsum(new) - new)
+        self.sizes.add(new)
+        odd = np.zeros(len(parts), dtype=bool)
+        odd[np.array(self.odd, dtype=np.int64) - first] = True
+        self.odd_flags.add(odd)
+        self.odd = []
+        self.flat.add(np.fromiter(chain.from_iterable(parts), np.uint32, int(new.sum())))
+
+    def _by_the_rule(self, text: str) -> np.ndarray:
+        if any(map(text.__contains__, self.added)):
+            # What the vocabulary takes as a whole is cut out before all else.
+            return np.array([self._slot(text), 0])
+        first, *others = _CUT.split(text)
+        return np.array([self.heads[first], *(self.rest[o[1:]] for o in others), 0])
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the end id after each text, and the number of ids of each text."""
-        if len(self.odd) > REMEMBERED:
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        rows = len(column)
+        if not rows:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        if len(self.heads) + len(self.rest) > REMEMBERED:
             self.clear()
-        slots: list[int] = []
-        bounds = [0]
-        for text in texts:
-            pieces = text.split(" ") if text else [""]
-            slots.append(self.heads[pieces[0]])
-            slots.extend(map(self.rest.__getitem__, islice(pieces, 1, None)))
-            slots.append(0)
-            bounds.append(len(slots))
-        chosen = np.array(slots, dtype=np.int64)
-        odd = np.array(self.odd)[chosen]
+        cut = pc.split_pattern(column, " ")
+        offsets, pieces = cut.offsets.to_numpy().astype(np.int64), cut.values
+        # A place for each piece of a text, and one for the end id.
+        bounds = offsets + np.arange(rows + 1)
+        chosen = np.zeros(bounds[-1], dtype=np.int64)
+        is_rest = np.ones(len(pieces), dtype=bool)
+        is_rest[offsets[:-1]] = False
+        heads = pieces.take(pa.array(offsets[:-1])).to_pylist()
+        chosen[bounds[:-1]] = np.fromiter(map(self.heads.__getitem__, heads), np.int64, rows)
+        rest = pieces.filter(pa.array(is_rest)).dictionary_encode()
+        known = rest.dictionary.to_pylist()
+        slots = np.fromiter(map(self.rest.__getitem__, known), np.int64, len(known))
+        places = np.arange(len(pieces)) + np.repeat(np.arange(rows), np.diff(offsets))
+        chosen[places[is_rest]] = slots[rest.indices.to_numpy()]
+        self._learn()
         # A piece that ends in white space is fine at the end of its text only.
-        if (inner := np.flatnonzero(odd[:-1] & (chosen[1:] != 0))).size:
-            again = set((np.searchsorted(bounds, inner, side="right") - 1).tolist())
-            parts = [chosen[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        inner = np.flatnonzero(self.odd_flags.held[chosen[:-1]] & (chosen[1:] != 0))
+        again = set((np.searchsorted(bounds, inner, side="right") - 1).tolist())
+        for whole in self.added:
+            again.update(np.flatnonzero(pc.match_substring(column, whole).to_numpy(zero_copy_only=False)).tolist())
+        if again:
+            parts = np.split(chosen, bounds[1:-1])
             for k in again:
-                first, *others = _CUT.split(texts[k])
-                row = [self.heads[first], *(self.rest[o[1:]] for o in others), 0]
-                parts[k] = np.array(row, dtype=np.int64)
+                parts[k] = self._by_the_rule(column[k].as_py())
+            self._learn()
             chosen = np.concatenate(parts)
             bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        self._learn()
-        sizes = self.sizes[chosen]
+        sizes = self.sizes.held[chosen]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.begins[chosen] - (ends - sizes), sizes) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.asarray(bounds)]
-        return ids, np.diff(upto)
+        ids = self.flat.held[np.repeat(self.begins.held[chosen] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        return ids, np.diff(ends[bounds[1:] - 1], prepend=0)
 
 
 _encoders: dict[tuple[str, int], PieceEncoder] = {}
 
 
-def _encoder(path: str, end_id: int) -> PieceEncoder:
+def _encoder(path: str | Callable[[], str], end_id: int) -> PieceEncoder:
     """One for each worker process, so that it remembers from task to task."""
+    path = path if isinstance(path, str) else path()
     if (path, end_id) not in _encoders:
         _encoders[path, end_id] = PieceEncoder(path, end_id)
     return _encoders[path, end_id]
@@ -240,7 +372,7 @@ def _encoder(path: str, end_id: int) -> PieceEncoder:
 
 
 def _write_segments(
-    batches: Iterator[pa.RecordBatch], path: str, end_id: int, segment_ids: int, key_type: pa.DataType
+    batches: Iterator[pa.RecordBatch], path: str | Callable[[], str], end_id: int, segment_ids: int, key_type: pa.DataType
 ) -> Iterator[pa.RecordBatch]:
     encoder, part = _encoder(path, end_id), TaskContext.get().partitionId()
     number, written = 0, 0
@@ -267,9 +399,9 @@ def _write_segments(
         return row
 
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            rows = batch.slice(start, 256)
-            found, counts = encoder.encode(rows.column("text").to_pylist())
+        for start in range(0, batch.num_rows, 512):
+            rows = batch.slice(start, 512)
+            found, counts = encoder.encode(rows.column("text"))
             keys += rows.column("key").to_pylist()
             lengths.append(counts)
             ids.append(found)
@@ -282,7 +414,7 @@ def _write_segments(
 def write_tokens(
     docs: DataFrame,
     path: str,
-    tokenizer: str,
+    tokenizer: str | Callable[[], str],
     end_id: int,
     key: str = "doc_id",
     text: str = "text",
@@ -290,6 +422,9 @@ def write_tokens(
 ) -> None:
     """Write the ids of all texts to a table of segments at `path`, in ascending order of the key.
 
+    `tokenizer` is the path of a vocabulary file, or a function that gives it where it is called,
+    which is on the workers.
+
     Rows are dealt into ranges of the key (and text, for equal keys), so parts follow each other.
     Null and empty texts have the end id alone; null keys come first, repeated rows stay. An empty
     table gives a table without segments. Other columns are not read.

@@ -192,3 +192,42 @@ def test_index_and_proximity(spark):
     assert [(r.doc_key, r["shift"]) for r in exact.collect()] == [(1, 0)]
     near = decontamination.alignments(index, rarest, slop=4)
     assert {r.doc_key for r in near.collect()} == {1, 2}
+
+
+def nearby(docs: dict, items: dict, counts: Counter, slop: int, depth: int = 3, width: int = 13) -> dict:
+    """By document: items of which enough rarest words stand within a cell of so many words."""
+    found = defaultdict(set)
+    for name, words in items.items():
+        anchors, needed = set(), []
+        for first in range(max(1, len(words) - width + 1)):
+            places = range(first, min(first + width, len(words)))
+            if all(counts[words[p]] for p in places):
+                rare = sorted(places, key=lambda p: (counts[words[p]], words[p], p))[:depth]
+                anchors |= {(p, words[p]) for p in rare}
+                needed.append(len(rare))
+        for key, text in docs.items():
+            cells = defaultdict(set)
+            for at, word in enumerate(text):
+                for place in (p for p, w in anchors if w == word):
+                    shift = at - place
+                    cells[shift // slop * slop].add(place)
+                    cells[(shift + slop // 2) // slop * slop - slop // 2].add(place)
+            if needed and any(len(c) >= min(needed) for c in cells.values()):
+                found[key].add(name)
+    return found
+
+
+def test_items_that_stand_nearby(spark, docs, texts):
+    passage = prose(1001, 60).split(" ")
+    items = {"exact": passage[5:30], "gaps": [w for i, w in enumerate(passage[10:40]) if i % 7], "none": "zz yy xx".split()}
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id string, text string")
+    words = {k: brute.TERM.findall((t or "").translate(brute.LOWER)) for k, t in texts.items()}
+    items = {k: brute.TERM.findall(" ".join(w).translate(brute.LOWER)) for k, w in items.items()}
+    counts = Counter(w for t in words.values() for w in t)
+    expected = nearby(words, items, counts, 8)
+    rows = decontamination.contamination(docs, table, slop=8).select("doc_id", "contamination.*").collect()
+    assert {r.doc_id: set(r.near) for r in rows if r.near} == dict(expected)
+    assert any("gaps" in r.near and "gaps" not in r.items for r in rows)
+    assert all(set(r.items) <= set(r.near) for r in rows)
+    plain = decontamination.contamination(docs, table).select("contamination.near").collect()
+    assert all(r.near == [] for r in plain)

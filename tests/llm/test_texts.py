@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +56,42 @@ def test_spellings_and_copyright_lines(spark):
     assert found == "the sublicense is noncommercial"
 
 
+def wrapped(text, width):
+    """The text filled anew, but for the lines that name the holder."""
+    parts = text.split("\n\n")
+    return "\n\n".join(p if p.startswith("Copyright") else textwrap.fill(p, width) for p in parts)
+
+
+def test_published_texts_match_at_any_width(spark):
+    rows, names = [], []
+    for name, text in licenses.full_texts():
+        filled = text.replace("<year>", "2021").replace("<copyright holders>", "Jo Doe").replace("<copyright holder>", "Jo Doe")
+        for width in (40, 72, 100_000):
+            rows.append((len(names), wrapped(filled, width).replace('"', "\u201c").replace("'", "\u2019")))
+            names.append(name)
+    long = len(names)
+    rows += [(long, "word " * 100_000), (long + 1, rows[0][1] + " and more terms"), (long + 2, "prose\n\n" + rows[0][1].partition("\n\n")[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.scan(docs, licenses.known_texts(spark)).select("doc_id", "licenses.*").collect()
+    assert {r.doc_id: r.licenses for r in found} == {
+        **{i: [n] for i, n in enumerate(names)}, long: [], long + 1: [], long + 2: []
+    }
+
+
+def test_paragraphs(spark):
+    notice = "Released under the MIT License."
+    docs = spark.createDataFrame([(1, f"prose\n \n{notice}\n\nmore"), (2, f"prose\n{notice}"), (3, notice)], "doc_id long, text string")
+    count = lambda unit: {r.doc_id: r.licenses.n_matches for r in licenses.scan(docs, licenses.known_texts(spark), unit=unit).collect()}
+    assert count("paragraph") == {1: 1, 2: 0, 3: 1}
+    assert count(licenses.UNITS) == {1: 1, 2: 1, 3: 1}
+
+
+def test_neighbouring_spellings(spark):
+    rows = spark.createDataFrame([("licence licence sub-licence licences per cent per cent v2 V3",)], "text string")
+    found = rows.select(licenses.canonical(F.col("text"))).first()[0]
+    assert found == "license license sublicense licenses percent percent version 2 version 3"
+
+
 def test_licenses_of_nothing(spark, docs, nulls):
     known = licenses.known_texts(spark)
     assert licenses.scan(docs.where("false"), known).isEmpty()
@@ -124,6 +162,43 @@ def test_a_long_chain_of_replies(spark):
     assert {r.thread for r in found.select("reply.*").collect()} == {0}
 
 
+def test_wrapped_deep_and_hot_quotes(spark):
+    rows = [
+        (1, 0, "The river is high today. We should\nnot cross it before the\nevening comes."),
+        (1, 1, "> The river is high\n> today. We should not\n> cross it before the evening comes.\nAgreed."),
+        (1, 2, "> > The river is high today.\n> > We should not cross it\n> > before the evening comes."),
+        (1, 3, ">>> We should not cross it before the evening comes.\nStill?"),
+        (2, 0, "nothing to quote"),
+        (2, 1, "> > nobody said that\nhm"),
+    ]
+    rows += [(3, t, "> Me too\nMe too") for t in range(3000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(5)
+    for hot_rows, span in ((1 << 20, 1 << 20), (50, 100)):
+        found = quotes.link_quotes(table, hot_rows=hot_rows, span=span).select("conv_id", "turn", "reply.*").collect()
+        links = {(r.conv_id, r.turn): r.reply_to for r in found}
+        assert [links[1, t] for t in range(4)] == [None, 0, 1, 2]
+        assert links[2, 1] is None
+        assert all(links[3, t] == (t - 1 if t else None) for t in range(3000))
+        depth = {(r.conv_id, r.turn): (r.thread, r.depth) for r in found}
+        assert depth[1, 3] == (0, 3) and depth[3, 2999] == (0, 2999) and depth[2, 1] == (1, 0)
+
+
+def test_a_very_long_message_is_read_to_its_end(spark):
+    tail = "and here is the last word of it"
+    rows = [(1, 0, "filler words here\n" * 20_000 + tail), (1, 1, f"> {tail}\nyes"), (1, 2, "> filler words\n> here\nno")]
+    found = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string"))
+    assert {r.turn: r.reply.reply_to for r in found.collect()} == {0: None, 1: 0, 2: 0}
+
+
+def test_chats_without_quotes(spark):
+    rows = [(1, 0, "u", "one"), (1, 1, "a", "> one\ntwo"), (1, 2, "u", "three"), (1, 3, "a", "> two\nfour"), (1, None, "u", "x")]
+    found = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    lines = quotes.chat(found).orderBy("conversation", "thread", "depth", "turn").collect()
+    assert [(r.thread, r.turn, r.reply_to, r.role, r.content) for r in lines] == [
+        (0, 0, None, "u", "one"), (0, 1, 0, "a", "two"), (0, 3, 1, "a", "four"), (2, 2, None, "u", "three")
+    ]
+
+
 def test_quotes_of_nothing(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, text string")
     assert quotes.link_quotes(none).isEmpty()
