@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from syncloom.functions.keys import branch_code
-from syncloom.operators.joins import exclude, project_map, union_rules
+from syncloom.operators.joins import exclude, keep_matching, project_map, union_rules
 
 # The equality rules from strictest to loosest.
 SITE_RULES = (
@@ -71,6 +72,45 @@ def matched_pairs(sites: DataFrame, remote: DataFrame) -> DataFrame:
     return union_rules(*found)
 
 
+class Factorised(NamedTuple):
+    """All pairs that any rule finds, without the pairs: (site_id, group) and (group, location_id).
+
+    A pair is a site and a location of a group that the site is in. Sites of a branch share one
+    group, so rows grow with sites plus locations, not with their product.
+    """
+
+    members: DataFrame
+    locations: DataFrame
+
+
+def _group(kind: str, column: str) -> Column:
+    return F.concat(F.lit(f"{kind}:"), F.col(column).cast("string"))
+
+
+def factorise_sites(
+    sites: DataFrame, remote: DataFrame, stage: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> Factorised:
+    """The union of all rules as groups of a branch, and of a site id for what its branch lacks."""
+    remote = stage(_rule_columns(remote))
+    by_branch = _locations(remote, ["branch"])
+    by_id = _by_rule(sites.select("site_id", "branch").distinct(), remote.select("site_id", "location_id"), SITE_RULES[0])
+    alone = stage(exclude(by_id.distinct(), by_branch, ["branch", "location_id"], unique=True))
+    branches = keep_matching(sites.select("site_id", "branch").distinct(), by_branch, ["branch"])
+    members = branches.select("site_id", _group("branch", "branch").alias("group")).unionByName(
+        alone.select("site_id", _group("site", "site_id").alias("group")).distinct()
+    )
+    locations = by_branch.select(_group("branch", "branch").alias("group"), "location_id").unionByName(
+        alone.select(_group("site", "site_id").alias("group"), "location_id").distinct()
+    )
+    return Factorised(members.distinct(), locations)
+
+
+def expand_sites(found: Factorised, sites: DataFrame | None = None) -> DataFrame:
+    """The pairs (site_id, location_id), of all sites or of those given."""
+    members = found.members if sites is None else keep_matching(found.members, sites, ["site_id"])
+    return members.join(found.locations, "group").select("site_id", "location_id").distinct()
+
+
 def match_sites(
     sites: DataFrame,
     remote: DataFrame,

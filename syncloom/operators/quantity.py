@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from syncloom.functions.keys import increase
 from syncloom.operators.joins import exclude, in_active_branches, keep_matching
-from syncloom.operators.skew import HOT_ROWS, SLICE_SPAN, latest, previous_value
+from syncloom.operators.skew import HOT_ROWS, SLICE_ROWS, latest, previous_value
 from syncloom.schemas import EVENT_KEYS, MASTER_KEYS, NEW, SKU_KEYS, STATUS_RECEIVE, UPD
 
 # What comes before an event: number, then time.
@@ -26,7 +26,7 @@ def quantity_delta(
     order: Sequence[str] = ("seq", "synced_at"),
     qty: str = "qty",
     hot_rows: int = HOT_ROWS,
-    span: int = SLICE_SPAN,
+    span: int = SLICE_ROWS,
     first: str | None = None,
 ) -> DataFrame:
     """Add the quantity of the event before as ``prev_qty``; 0 for the first event of a key.
@@ -93,11 +93,15 @@ def fill_from_snapshot(
 
 
 def risen_quantities(
-    deltas: DataFrame, sku_master: DataFrame, active: DataFrame
+    deltas: DataFrame, sku_master: DataFrame, active: DataFrame, net: bool = False
 ) -> DataFrame:
-    """Rises of bulk quantities in active branches."""
-    qty = increase(F.col("qty"), F.col("prev_qty"))
-    risen = deltas.withColumn("qty_to_send", qty).where(F.col("qty_to_send") > 0)
+    """Rises of bulk quantities in active branches; with ``net`` falls too, as negative amounts."""
+    if net:
+        amount = (F.col("qty") - F.col("prev_qty")).cast(deltas.schema["qty"].dataType)
+        risen = deltas.withColumn("qty_to_send", amount).where(F.col("qty_to_send") != 0)
+    else:
+        qty = increase(F.col("qty"), F.col("prev_qty"))
+        risen = deltas.withColumn("qty_to_send", qty).where(F.col("qty_to_send") > 0)
     bulk = sku_master.where(F.col("bulk") == "Y")
     wanted = in_active_branches(keep_matching(risen, bulk, MASTER_KEYS, unique=True), active)
     return wanted.select(*EVENT_KEYS, "qty", "qty_to_send").distinct()
@@ -113,8 +117,18 @@ def mark_known_events(risen: DataFrame, event_state: DataFrame) -> DataFrame:
     return flagged.select(*risen.columns, change.alias("change_type"))
 
 
+def after_last(
+    due: DataFrame,
+    last: DataFrame,
+    keys: Sequence[str] = tuple(SKU_KEYS),
+    order: Sequence[str] = ORDER,
+) -> DataFrame:
+    """New events without those that are the last known ones of their keys themselves."""
+    return exclude(due, last, [*keys, *order], unique=True)
+
+
 def unseen_events(events: DataFrame, event_state: DataFrame, start=None, end=None) -> DataFrame:
-    """Events that an earlier, overlapping interval has not already sent.
+    """Events that an earlier, overlapping interval has not already sent, or taken in.
 
     An event's sync time is part of its key: with the interval of the events, only
     the state of that interval is read.

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from syncloom.functions.keys import product_id, upc
 from syncloom.operators.joins import exclude, in_active_branches, keep_matching
 from syncloom.operators.skus import resolved, unresolved
+from syncloom.operators.upserts import merge_aggregates
 from syncloom.schemas import ASSET_KEYS, REASON_SKU_MISSING, SKU_KEYS, STATE, conform
 
 
@@ -65,6 +66,20 @@ def merge_held(queue: DataFrame, held: DataFrame) -> DataFrame:
     return others.unionByName(sent).unionByName(conform(entries, STATE["bulk_queue"]))
 
 
+def waiting_sums_after(state: DataFrame, queued: DataFrame, sent: DataFrame) -> DataFrame:
+    """Kept sums of waiting quantities that queue rows change, by SKU and status: rows to upsert.
+
+    Rows just queued count for, rows just sent count against; `entries` is how many wait. A SKU with
+    no entries left keeps a row of zeros.
+    """
+    signed = queued.select(*SKU_KEYS, "status", "qty", F.lit(1).cast("long").alias("entries")).unionByName(
+        sent.select(*SKU_KEYS, "status", (-F.col("qty")).alias("qty"), F.lit(-1).cast("long").alias("entries"))
+    )
+    keys = [*SKU_KEYS, "status"]
+    partial = signed.groupBy(*keys).agg(F.sum("qty").alias("qty"), F.sum("entries").alias("entries"))
+    return merge_aggregates(state, partial, keys, {"qty": "sum", "entries": "sum"})
+
+
 def replay_quantities(queue: DataFrame, skus: DataFrame) -> DataFrame:
     """Sum of the waiting quantities per SKU and status, for the SKUs given."""
     # Summed first, so that a SKU with very many waiting rows shrinks before the shuffle.

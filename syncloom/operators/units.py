@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from syncloom.functions.keys import BRANCH_WIDTH, has_tag_number, pad, tag_number
+from syncloom.operators.upserts import merge_aggregates
 from syncloom.schemas import MASTER_KEYS, SKU_KEYS
 
 # A row of more units than this is first cut into rows of this many.
@@ -48,6 +49,14 @@ def max_tag(items: DataFrame, keys: Sequence[str], asset_id: str = "asset_id") -
     return tagged.groupBy(*keys).agg(F.max(tag_number(F.col(asset_id))).alias("max_tag"))
 
 
+def max_tags_after(state: DataFrame, changed: DataFrame, keys: Sequence[str], asset_id: str = "asset_id") -> DataFrame:
+    """Kept highest tag numbers that changed items raise, by key: rows to upsert.
+
+    Tag numbers are not used again, so the highest one ever seen counts, also of items that are gone.
+    """
+    return merge_aggregates(state, max_tag(changed, keys, asset_id), keys, {"max_tag": "max"})
+
+
 def sku_max_tags(skus: DataFrame, items: DataFrame) -> DataFrame:
     """The highest tag number per resolved SKU, 0 where the remote side has no tagged item."""
     highest = max_tag(items, ["location_id", "sku_id"])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from syncloom.operators import changes as ch, payloads, quantity as qt, retry, skus as sk, units
 from syncloom.operators.joins import exclude, in_active_branches, keep_matching
@@ -18,10 +18,11 @@ from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, SKU_KEYS
 from syncloom.session import Workspace, together
 from syncloom.sinks.feeds import as_json, nest_json, nested_ddl, write_feed
 from syncloom.sources.feeds import read_json_feed
-from syncloom.sources.scans import forced_scan, interval_bounds, interval_scan
+from syncloom.sources.scans import SYNC_DAY, forced_scan, interval_bounds, interval_scan
 from syncloom.state.store import StateStore
 
 SOURCES = ("assets", "qty_events")
+EVENT_DAYS = 60
 
 
 @dataclass
@@ -54,8 +55,13 @@ class Options:
     nest_skus: bool = False
     nest_assets: bool = False
     site_mode: str = "first_rule"
-    # Events sent longer ago than this before the interval no longer count as known.
-    event_days: int | None = None
+    # Events sent longer ago than this before the interval no longer count as known; the source
+    # itself forgets events after so many days. None looks back without end.
+    event_days: int | None = EVENT_DAYS
+    # Falls count against the rises of a SKU.
+    net: bool = False
+    # The end of each source's interval is the time of the latest row it delivered.
+    end_at_data: bool = False
 
 
 @dataclass
@@ -90,6 +96,7 @@ class SyncRun:
         self.options = options or Options()
         self.work = Workspace(spark, run_id)
         self.result = Result()
+        self.reached: dict[str, Observation] = {}
 
     def run(self) -> Result:
         """All stages; the state and the watermark are published last, in one step."""
@@ -109,7 +116,7 @@ class SyncRun:
             lambda: self.assets(asset_changes, changed_assets, skus),
         )
         self.quantity_state(quantity_changes)
-        self.commit.overwrite("control", advance_watermark(control, self.now))
+        self.commit.overwrite("control", advance_watermark(control, self.now, reached=self.ends()))
         self.commit.publish()
         return self.result
 
@@ -122,6 +129,19 @@ class SyncRun:
         rows = interval_bounds(control, self.now).collect()
         return control, {row["source"]: (row["start"], row["end"]) for row in rows}
 
+    def scan(self, source: DataFrame, name: str, start, end) -> DataFrame:
+        """The rows of an interval; on demand their latest time is noted as they are written."""
+        found = interval_scan(source, "synced_at", start, end, day=SYNC_DAY)
+        if self.options.end_at_data:
+            self.reached[name] = Observation(f"{name}-{self.run_id}")
+            found = found.observe(self.reached[name], F.max("synced_at").alias("reached"))
+        return found
+
+    def ends(self) -> dict[str, Column]:
+        """Where each source's data ends; sources without rows in their interval are left out."""
+        noted = {name: o.get["reached"] for name, o in self.reached.items()}
+        return {n: F.lit(t).cast("timestamp_ntz") for n, t in noted.items() if t is not None}
+
     def send(self, name: str, feed: DataFrame, nest_by: Sequence[str] = ()) -> None:
         """Write a feed, flat or as one document for each value of the columns it nests by."""
         ddl, lines = feed.schema.toDDL(), as_json(feed)
@@ -155,10 +175,11 @@ class SyncRun:
     def asset_changes(self, start, end) -> tuple[DataFrame, DataFrame]:
         """The changed assets' keys and types, and their source rows."""
         source, active = self.inputs.assets, self.inputs.active
-        chosen = interval_scan(source, "synced_at", start, end)
+        chosen = self.scan(source, "assets", start, end)
         if self.options.force_branch is not None:
+            already = interval_scan(source, "synced_at", start, end)
             chosen = chosen.unionByName(
-                forced_scan(source, active, self.options.force_branch, chosen, ASSET_KEYS)
+                forced_scan(source, active, self.options.force_branch, already, ASSET_KEYS)
             )
         # Hashed first: what is shuffled to find the latest row of an asset is narrow.
         hashed = ch.fingerprint(
@@ -181,17 +202,26 @@ class SyncRun:
 
         Only the interval of the log is read. The log as a whole is looked into for SKUs with an
         event that comes before one already taken in, and by the first run of a store, which has
-        no last quantities yet.
+        no last quantities yet. Events of the interval that the run before took in are known by their
+        keys, whether they rose or fell, as both ends of an interval belong to it; of intervals
+        further back those that rose are known, and the last one of each SKU.
         """
-        events = self.inputs.qty_events.select(*EVENT_KEYS, "qty")
+        log = self.inputs.qty_events
+        day = [SYNC_DAY] if SYNC_DAY in log.columns else []
+        rows = log.select(*EVENT_KEYS, "qty", *day)
         state = self.known_events(start)
-        found = interval_scan(events, "synced_at", start, end)
-        due = self.work.stage(qt.unseen_events(found, state, start, end), "events_due")
+        found = self.scan(rows, "qty_events", start, end).drop(*day)
+        found = self.work.stage(found, "events_found")
+        events = rows.drop(*day)
+        self.commit.overwrite("taken_events", found.select(*EVENT_KEYS).distinct())
+        unseen = qt.unseen_events(found, self.commit.read("taken_events"), start, end)
+        due = self.work.stage(qt.unseen_events(unseen, state, start, end), "events_due")
         first = "is_first" if self.options.fill_first_only else None
         last = self.commit.read("last_qty")
         if "last_qty" not in self.commit.before:
             earlier = qt.last_quantities(events.where(F.col("synced_at") < start))
             last = self.work.stage(earlier, "last_quantities")
+        due = qt.after_last(due, last)
         late = self.work.stage(qt.late_keys(due, last), "late_skus")
         on_time = exclude(due, late, SKU_KEYS, unique=True)
         deltas = qt.delta_since(on_time, last, first=first)
@@ -202,7 +232,9 @@ class SyncRun:
         self.keep_last(due, last)
         snapshot = self.commit.read("qty_snapshot_state")
         filled = qt.fill_from_snapshot(deltas, snapshot, first=first)
-        risen = qt.risen_quantities(filled, self.inputs.sku_master, self.inputs.active)
+        risen = qt.risen_quantities(
+            filled, self.inputs.sku_master, self.inputs.active, self.options.net
+        )
         risen = self.work.stage(risen, "risen_quantities")
         return self.work.stage(qt.mark_known_events(risen, state), "quantity_changes")
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from syncloom.functions import keys as k
 from syncloom.operators import (
     changes as ch,
+    digests,
     joins,
     payloads,
     quantity as qt,
@@ -19,15 +21,17 @@ from syncloom.operators import (
     units,
     upserts,
 )
-from syncloom.operators.matching import match_sites, matched_pairs
+from syncloom.operators.matching import factorise_sites, match_sites, matched_pairs
 from syncloom.plans import rebuild
 from syncloom.plans.sync import SOURCES, Inputs, Options, run_sync
 from syncloom.queries.standins import CUTOFF, EVENTS_FROM, EVENTS_TO, Standins, ntz
 from syncloom.schemas import ASSET_KEYS, EVENT_KEYS, FEEDS, MASTER_KEYS, SKU_KEYS
 from syncloom.sinks.feeds import nest_json, write_feed
 from syncloom.sources import feeds, scans
+from syncloom.session import no_rows
+from syncloom.state.buckets import BucketedTable
 from syncloom.state.store import StateStore
-from syncloom.streaming.deltas import DeltaStream, event_stream
+from syncloom.streaming.deltas import DeltaStream, append_stream, dedupe_within, event_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +39,8 @@ QUERIES: dict[str, Query] = {}
 RUN_TS = "2024-02-01 00:00:00"
 RUN_ID = "run-1"
 FORCED_BRANCH = 7
+#: Event numbers of a log that many others share.
+SPARSE = 1_000_003
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -91,6 +97,19 @@ def scan_by_source(t: Standins) -> DataFrame:
     return scans.scan_by_source(events, _bounds(t), ts_col="ts", source="event_type")
 
 
+@query
+def scan_by_source_partitioned(t: Standins) -> DataFrame:
+    """The same over a log that is partitioned by day."""
+    events = t.table("events").select("event_id", "ts", "event_type")
+    path = t.work.path("events_by_day")
+    scans.by_day(events, "ts").write.partitionBy(scans.SYNC_DAY).parquet(path)
+    bounds = t.stage(_bounds(t), "bounds")
+    found = scans.scan_by_source_partitioned(
+        t.spark.read.parquet(path), bounds, ts_col="ts", source="event_type"
+    )
+    return found.drop(scans.SYNC_DAY)
+
+
 @query
 def forced_scan_orders(t: Standins) -> DataFrame:
     """All assets of one branch that the interval scan has not selected."""
@@ -116,6 +135,14 @@ def snapshot_diff_deletes(t: Standins) -> DataFrame:
     )
 
 
+@query
+def snapshot_diff_buckets(t: Standins) -> DataFrame:
+    """The diff against a snapshot kept by bucket, reading the buckets whose digests differ."""
+    root = t.work.path("snapshot")
+    digests.write_snapshot(t.prints(t.assets_before), ASSET_KEYS, root, buckets=64)
+    return digests.snapshot_diff_buckets(t.prints(t.assets), root, ASSET_KEYS, buckets=64, group=8)
+
+
 @query
 def active_change_feed(t: Standins) -> DataFrame:
     """Changes of assets whose current branch is active."""
@@ -159,6 +186,13 @@ def quantity_delta_sliced(t: Standins) -> DataFrame:
     return _delta_columns(qt.quantity_delta(t.qty_events, hot_rows=10, span=500))
 
 
+@query
+def quantity_delta_sparse(t: Standins) -> DataFrame:
+    """The same over event numbers that lie far apart, hot keys in slices of equal depth."""
+    events = t.qty_events.withColumn("seq", F.col("seq") * SPARSE)
+    return _delta_columns(qt.quantity_delta(events, hot_rows=10, span=16))
+
+
 @query
 def semi_join_history(t: Standins) -> DataFrame:
     """Deltas over the whole history of the keys an interval touches."""
@@ -397,6 +431,34 @@ def max_tag(t: Standins) -> DataFrame:
     return units.max_tag(t.remote_items, ["location_id", "sku_id"])
 
 
+@query
+def max_tag_incremental(t: Standins) -> DataFrame:
+    """The highest tag numbers kept as state, after three runs that each saw a part of the items."""
+    keys = ["location_id", "sku_id"]
+    items = t.remote_items.withColumn("_part", F.pmod(F.xxhash64("asset_id"), F.lit(3)))
+    state = no_rows(t.spark, "location_id long, sku_id long, max_tag int")
+    for part in range(3):
+        changed = units.max_tags_after(state, items.where(F.col("_part") == part), keys)
+        state = t.stage(upserts.upsert(state, t.stage(changed, f"tags_{part}"), keys), f"max_tags_{part}")
+    return state
+
+
+@query
+def waiting_sums_incremental(t: Standins) -> DataFrame:
+    """Waiting quantities kept as sums, after all was queued in two runs and a part was sent."""
+    keys = [*SKU_KEYS, "status"]
+    sums = "company string, branch string, category decimal(3,0), class_code decimal(4,0), status string, qty decimal(18,2), entries long"
+    state, queue = no_rows(t.spark, sums), t.bulk_queue.withColumn("qty", F.col("qty").cast("decimal(18,2)"))
+    early = F.col("run_id") < "r4"
+    sent = queue.where(F.col("sent_at").isNotNull())
+    for run, (queued, gone) in enumerate(
+        [(queue.where(early), sent.where("false")), (queue.where(~early), sent)]
+    ):
+        changed = t.stage(retry.waiting_sums_after(state, queued, gone), f"sums_{run}")
+        state = t.stage(upserts.upsert(state, changed, keys), f"waiting_{run}")
+    return state.where(F.col("entries") > 0)
+
+
 @query
 def expand_units(t: Standins) -> DataFrame:
     """One row per unit of each part."""
@@ -458,6 +520,15 @@ def union_site_rules(t: Standins) -> DataFrame:
     return matched_pairs(t.customer_sites, t.remote_sites)
 
 
+@query
+def union_site_rules_factorised(t: Standins) -> DataFrame:
+    """The same pairs as groups: the sites of each, and its locations."""
+    found = factorise_sites(t.customer_sites, t.remote_sites, lambda df: t.stage(df, f"sites_{uuid4().hex}"))
+    members = found.members.select("group", F.lit("site").alias("side"), F.col("site_id").alias("id"))
+    locations = found.locations.select("group", F.lit("location").alias("side"), F.col("location_id").alias("id"))
+    return members.unionByName(locations)
+
+
 @query
 def match_sites_first_rule(t: Standins) -> DataFrame:
     """Customer sites matched by the strictest rule that finds a location."""
@@ -597,6 +668,16 @@ def upsert_state(t: Standins) -> DataFrame:
     return upserts.upsert(t.prints(t.assets_before), t.prints(changed), ASSET_KEYS)
 
 
+@query
+def upsert_bucketed(t: Standins) -> DataFrame:
+    """The same, merged by bucket into a state that lies in buckets of its key."""
+    ddl = "company string, asset_id string, hash string"
+    state = BucketedTable(t.spark, t.work.path("bucketed"), ddl, ASSET_KEYS, buckets=8)
+    before = state.write(t.prints(t.assets_before), 1)
+    changed = joins.keep_matching(t.assets, t.changes, ASSET_KEYS)
+    return state.upsert(before, t.prints(changed), 2)
+
+
 @query
 def advance_watermark(t: Standins) -> DataFrame:
     """The control table after a run, its ends where each source's data ends."""
@@ -645,6 +726,71 @@ def stream_delta(t: Standins) -> DataFrame:
     return job.deltas()
 
 
+def _arrivals(t: Standins, parts: list[DataFrame], name: str):
+    """Parts of a log that land in a folder one after the other."""
+    folder = t.work.path(name)
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        yield folder
+
+
+@query
+def stream_late_corrections(t: Standins) -> DataFrame:
+    """Deltas of a log whose events arrive out of order, corrected as late ones come."""
+    events = t.table("events").select(
+        "event_id", "ts", "user_id", "event_type", F.floor("value").cast("long").alias("qty")
+    )
+    keys = ["user_id", "event_type"]
+    job = DeltaStream(
+        t.spark, events.schema, t.work.path("corrected"), event_keys=[*keys, "event_id", "ts"],
+        keys=keys, order=["event_id"], ts_col="ts", corrections=True, fold=2,
+    )
+    turn = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for folder in _arrivals(t, [events.where(turn == n) for n in range(3)], "late_log"):
+        job.start(event_stream(t.spark, folder, events.schema)).awaitTermination()
+    return job.deltas()
+
+
+@query
+def stream_dedupe(t: Standins) -> DataFrame:
+    """Events of exports that overlap by a day, each once."""
+    events = t.table("events").select("event_id", "ts", "user_id", "event_type")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    length = (last - first) / 4
+    overlap = timedelta(days=1)
+    exports = [
+        events.where(F.col("ts").between(first + n * length - overlap, first + (n + 1) * length))
+        for n in range(4)
+    ]
+    root = t.work.path("deduped")
+    for folder in _arrivals(t, exports, "exports"):
+        stream = event_stream(t.spark, folder, events.schema)
+        append_stream(dedupe_within(stream, ["event_id"], "ts", "3 days"), root).awaitTermination()
+    return t.spark.read.schema(events.schema).parquet(f"{root}/rows")
+
+
+@query
+def feed_rejects(t: Standins) -> DataFrame:
+    """A landed feed with lines that are broken or do not fit: the good rows, and the rejects."""
+    number, kind = F.col("event_id").cast("string"), F.col("event_id") % 50
+    whole = lambda value: F.concat(F.lit('{"ID":'), value, F.lit(',"PC":"'), F.col("event_type"), F.lit('"}'))
+    line = (
+        F.when(kind == 7, whole(F.concat(F.lit('"x'), number, F.lit('"'))))
+        .when(kind == 11, F.concat(F.lit('{"ID":'), number))
+        .otherwise(whole(number))
+    )
+    landing = t.work.path("landing")
+    t.table("events").select(line.alias("value")).write.text(feeds.feed_path(landing, "branches", "s1"))
+    good, bad = feeds.read_with_rejects(
+        t.spark, landing, FEEDS["branches"], "s1", "branches", lambda df: t.stage(df, "parsed")
+    )
+    return good.select(
+        F.lit("good").alias("kind"), F.col("ID").cast("string").alias("content"), F.col("PC").alias("note")
+    ).unionByName(
+        bad.select(F.lit("bad").alias("kind"), F.col("raw").alias("content"), F.col("reason").alias("note"))
+    )
+
+
 def sync_inputs(t: Standins) -> Inputs:
     return Inputs(
         assets=t.assets,
@@ -688,7 +834,7 @@ def _whole_run(t: Standins):
     run_id = f"{RUN_ID}-{uuid4().hex}"
     result = run_sync(
         t.spark, sync_inputs(t), store, datetime.fromisoformat(RUN_TS), run_id,
-        t.work.path("feeds"), Options(),
+        t.work.path("feeds"), Options(end_at_data=True),
     )
     return result, store
 
@@ -736,7 +882,10 @@ def sync_run_state(t: Standins) -> DataFrame:
         "qty_snapshot_state": (sku, [qty]),
         "bulk_queue": ([*sku, F.col("status")], [qty]),
         "asset_queue": (asset, [F.col("branch"), F.col("category"), F.col("class_code")]),
-        "control": ([F.col("source")], [F.date_format("start_ts", "yyyy-MM-dd HH:mm:ss")]),
+        "control": (
+            [F.col("source")],
+            [F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("start_ts", "end_ts")],
+        ),
     }
     found = None
     for name, (keys, kept) in shown.items():
@@ -754,3 +903,58 @@ def sync_run_sites(t: Standins) -> DataFrame:
     """The customer site feed of a whole run."""
     result, _ = _whole_run(t)
     return result.feeds["customer_sites"]
+
+
+#: A log in which times are whole hours, so that many events lie at the very time of a run, and
+#: every seventh event is replicated three days late.
+FIRST_RUN_TS = "2024-01-15 00:00:00"
+
+
+@query
+def sync_run_second(t: Standins) -> DataFrame:
+    """Two runs: what each took for a rise, and what each left waiting.
+
+    The first one sees half of the events at its own time, the second one all; falls, late events
+    and the repeated end of the interval are in both. No SKU has a remote id, so what a run
+    would send waits in the queue, by run.
+    """
+    hour = F.date_trunc("hour", F.col("synced_at")).cast("timestamp_ntz")
+    late = F.when(F.col("seq") % 7 == 0, hour + F.expr("interval 3 days")).otherwise(hour)
+    log = t.qty_events.withColumn("synced_at", late).where(F.col("synced_at") <= ntz(RUN_TS))
+    log = t.stage(log, "hourly")
+    run_1 = ntz(FIRST_RUN_TS)
+    at, half = F.col("synced_at") == run_1, F.col("seq") % 2 == 0
+    seen = log.where((F.col("synced_at") < run_1) | (at & half))
+    t.write_tables("sku_master")
+    store = StateStore(t.spark, t.work.path("state"))
+    seed = store.begin("seed")
+    times = {c: ntz("1995-01-01") for c in ("start_ts", "prev_start_ts", "end_ts")}
+    seed.overwrite("control", t.spark.createDataFrame([(s,) for s in SOURCES], "source string").withColumns(times))
+    seed.publish()
+    for run, (events, ts) in enumerate([(seen, FIRST_RUN_TS), (log, RUN_TS)], start=1):
+        inputs = replace(
+            sync_inputs(t),
+            assets=t.assets.where("false"),
+            qty_events=events,
+            qty_snapshot=events.groupBy(*SKU_KEYS).agg(F.max("qty").alias("qty")),
+            remote_skus_before=t.remote_skus.where("false"),
+            remote_skus_after=t.remote_skus.where("false"),
+            customer_sites=None,
+            remote_sites=None,
+        )
+        run_sync(
+            t.spark, inputs, store, datetime.fromisoformat(ts), f"run-{run}", t.work.path("feeds"), Options()
+        )
+    sku = [F.col(c).cast("string") for c in SKU_KEYS]
+    qty = F.col("qty").cast("long").alias("qty")
+    of_run = lambda c: F.when(F.col(c) == run_1, 1).otherwise(2).alias("run")
+    risen = store.read("qty_event_state").select(
+        F.lit("rise").alias("what"), F.concat_ws("/", *sku, F.col("seq").cast("string")).alias("key"), of_run("cached_at"), qty
+    )
+    waiting = store.read("bulk_queue").select(
+        F.lit("waits").alias("what"), F.concat_ws("/", *sku).alias("key"), of_run("detected_at"), qty
+    )
+    last = store.read("last_qty").select(
+        F.lit("last").alias("what"), F.concat_ws("/", *sku, F.col("seq").cast("string")).alias("key"), F.lit(2).alias("run"), qty
+    )
+    return risen.unionByName(waiting).unionByName(last)

@@ -349,12 +349,16 @@ BODIES = {
     "scan_by_source": """
         SELECT event_id, ts, event_type FROM events JOIN bounds ON source = event_type
         WHERE ts BETWEEN start AND "end\"""",
+    "scan_by_source_partitioned": """
+        SELECT event_id, ts, event_type FROM events JOIN bounds ON source = event_type
+        WHERE ts BETWEEN start AND "end\"""",
     "forced_scan_orders": f"""
         SELECT {ASSET_KEY}, home_branch, current_branch, synced_at FROM assets
         WHERE (home_branch = '0007' OR current_branch = '0007')
           AND (company, '0007') IN (SELECT (company, branch) FROM active)
           AND NOT (synced_at BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2002-01-01')""",
     "snapshot_diff_orders": "SELECT * FROM diff",
+    "snapshot_diff_buckets": "SELECT * FROM diff",
     "snapshot_diff_deletes": f"""
         SELECT {ASSET_KEY}, CASE WHEN b.hash IS NULL THEN 'DEL' ELSE 'UPD' END AS change_type
         FROM prints p LEFT JOIN prints_before b USING ({ASSET_KEY})
@@ -367,6 +371,8 @@ BODIES = {
         FROM lineitem WHERE 'A' || l_orderkey IN (SELECT asset_id FROM diff)""",
     "quantity_delta_events": f"SELECT {EVENT_KEY}, qty, prev_qty, {_RISE} FROM lagged",
     "quantity_delta_sliced": f"SELECT {EVENT_KEY}, qty, prev_qty, {_RISE} FROM lagged",
+    "quantity_delta_sparse": f"""
+        SELECT {EVENT_KEY.replace("seq", "seq * 1000003 AS seq")}, qty, prev_qty, {_RISE} FROM lagged""",
     "semi_join_history": f"""
         SELECT {EVENT_KEY}, qty, prev_qty, {_RISE} FROM lagged WHERE ({KEY}) IN
           (SELECT ({KEY}) FROM qty_events
@@ -439,6 +445,10 @@ BODIES = {
     "settle_changes": "SELECT * FROM sendable",
     "settle_queue": "SELECT * FROM settled",
     "max_tag": "SELECT * FROM tags",
+    "max_tag_incremental": "SELECT * FROM tags",
+    "waiting_sums_incremental": f"""
+        SELECT {KEY}, status, CAST(sum(qty) AS BIGINT) AS qty, count(*) AS entries
+        FROM bulk_queue WHERE sent_at IS NULL GROUP BY {KEY}, status""",
     "expand_units": """
         SELECT p_partkey, unnest(range(1, CAST(p_size AS BIGINT))) AS unit_no FROM part""",
     "expand_units_totals": """
@@ -456,6 +466,16 @@ BODIES = {
         SELECT s.site_id, r.location_id FROM sites s JOIN remote_sites r ON r.site_id = s.site_id
         UNION
         SELECT s.site_id, r.location_id FROM sites s JOIN remote_sites r ON r.branch = s.branch""",
+    "union_site_rules_factorised": """
+        WITH here AS (SELECT DISTINCT branch, location_id FROM remote_sites),
+        alone AS (SELECT DISTINCT s.site_id, r.location_id FROM sites s
+                  JOIN remote_sites r ON r.site_id = s.site_id
+                  WHERE (s.branch, r.location_id) NOT IN (SELECT (branch, location_id) FROM here))
+        SELECT 'branch:' || branch AS "group", 'site' AS side, site_id AS id FROM sites
+        WHERE branch IN (SELECT branch FROM here)
+        UNION ALL SELECT DISTINCT 'site:' || site_id, 'site', site_id FROM alone
+        UNION ALL SELECT 'branch:' || branch, 'location', location_id FROM here
+        UNION ALL SELECT 'site:' || site_id, 'location', location_id FROM alone""",
     "match_sites_first_rule": f"""
         WITH pairs AS (
             SELECT DISTINCT s.site_id, r.location_id, CASE
@@ -519,6 +539,10 @@ BODIES = {
         SELECT * FROM prints WHERE ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM changes)
         UNION ALL
         SELECT * FROM prints_before WHERE ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM changes)""",
+    "upsert_bucketed": f"""
+        SELECT * FROM prints WHERE ({ASSET_KEY}) IN (SELECT ({ASSET_KEY}) FROM changes)
+        UNION ALL
+        SELECT * FROM prints_before WHERE ({ASSET_KEY}) NOT IN (SELECT ({ASSET_KEY}) FROM changes)""",
     "advance_watermark": """
         SELECT b.source, TIMESTAMP '2024-01-20' AS start_ts, TIMESTAMP '2024-01-20' AS prev_start_ts,
                coalesce(max(e.ts), TIMESTAMP '2024-01-20') AS end_ts
@@ -537,6 +561,19 @@ BODIES = {
                lag(CAST(floor(value) AS BIGINT), 1, 0)
                    OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS prev_qty
         FROM events""",
+    "stream_late_corrections": """
+        SELECT event_id, ts, user_id, event_type, CAST(floor(value) AS BIGINT) AS qty,
+               lag(CAST(floor(value) AS BIGINT), 1, 0)
+                   OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS prev_qty
+        FROM events""",
+    "stream_dedupe": "SELECT event_id, ts, user_id, event_type FROM events",
+    "feed_rejects": """
+        SELECT CASE WHEN event_id % 50 IN (7, 11) THEN 'bad' ELSE 'good' END AS kind,
+               CASE event_id % 50
+                    WHEN 7 THEN '{"ID":"x' || event_id || '","PC":"' || event_type || '"}'
+                    WHEN 11 THEN '{"ID":' || event_id ELSE CAST(event_id AS VARCHAR) END AS content,
+               CASE event_id % 50 WHEN 7 THEN 'ID' WHEN 11 THEN 'malformed' ELSE event_type END AS note
+        FROM events""",
 }
 
 
@@ -615,13 +652,45 @@ SYNC_RUN_STATE = f"""
         SELECT 'asset_queue', company || '/' || asset_id, branch || '/' || category || '/' || class_code
         FROM settled WHERE sent_at IS NULL
         UNION ALL
-        SELECT 'control', source, '2024-02-01 00:00:00'
-        FROM (VALUES ('assets'), ('qty_events')) t(source)"""
+        SELECT 'control', source, '2024-02-01 00:00:00/' || strftime(reached, '%Y-%m-%d %H:%M:%S')
+        FROM (SELECT 'assets' AS source, max(synced_at) AS reached FROM assets
+              UNION ALL SELECT 'qty_events', max(synced_at) FROM qty_events)"""
 
 SYNC_RUN_SITES = f"""
         SELECT * EXCLUDE (rule) FROM ({BODIES["match_sites_first_rule"]})"""
 
 
+# Times are whole hours, every seventh event comes three days late, and the first run sees the even
+# ones of those at its own time.
+SYNC_RUN_SECOND = f"""
+        WITH replicated AS (
+            SELECT * REPLACE (date_trunc('hour', synced_at)
+                              + CASE WHEN seq % 7 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END AS synced_at)
+            FROM qty_events),
+        log AS (SELECT * FROM replicated WHERE synced_at <= TIMESTAMP '2024-02-01'),
+        one AS (SELECT * FROM log WHERE synced_at < TIMESTAMP '2024-01-15'
+                OR (synced_at = TIMESTAMP '2024-01-15' AND seq % 2 = 0)),
+        snapshot AS (SELECT {KEY}, max(qty) AS known FROM one GROUP BY {KEY}),
+        first_run AS (
+            SELECT *, lag(qty, 1, 0) OVER (PARTITION BY {KEY} ORDER BY seq) AS prev_qty, 1 AS run FROM one),
+        second_run AS (
+            SELECT l.* REPLACE (CASE WHEN prev_qty = 0 THEN coalesce(known, 0) ELSE prev_qty END AS prev_qty)
+            FROM (SELECT *, lag(qty, 1, 0) OVER (PARTITION BY {KEY} ORDER BY seq) AS prev_qty, 2 AS run
+                  FROM log) l LEFT JOIN snapshot USING ({KEY})
+            WHERE synced_at >= TIMESTAMP '2024-01-15' AND seq NOT IN (SELECT seq FROM one)),
+        risen AS (
+            SELECT * FROM (SELECT * FROM first_run UNION ALL SELECT * FROM second_run)
+            WHERE qty > prev_qty
+              AND (company, category, class_code) IN
+                  (SELECT (company, category, class_code) FROM sku_master WHERE bulk = 'Y')
+              AND (company, branch) IN (SELECT (company, branch) FROM active))
+        SELECT 'rise' AS what, {_SKU_TEXT} || '/' || seq AS key, CAST(run AS BIGINT) AS run, qty FROM risen
+        UNION ALL
+        SELECT 'waits', {_SKU_TEXT}, run, CAST(sum(qty - prev_qty) AS BIGINT) FROM risen GROUP BY {KEY}, run
+        UNION ALL
+        SELECT 'last', {_SKU_TEXT} || '/' || max(seq), 2, max_by(qty, seq) FROM log GROUP BY {KEY}"""
+
+
 def _needed(sql: str, ctes: dict[str, str]) -> list[str]:
     """The stand-ins a statement uses, in definition order."""
     reach = {name for name in ctes if re.search(rf"\b{name}\b", sql)}
@@ -648,6 +717,7 @@ def oracle_sql() -> dict[str, str]:
     runs = {
         "sync_run": SYNC_RUN, "sync_run_state": SYNC_RUN_STATE, "sync_run_sites": SYNC_RUN_SITES
     }
-    return {name: statement(body) for name, body in BODIES.items()} | {
+    second = {"sync_run_second": statement(SYNC_RUN_SECOND)}
+    return second | {name: statement(body) for name, body in BODIES.items()} | {
         name: statement(body, **RUN_CTES) for name, body in runs.items()
     }

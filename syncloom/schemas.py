@@ -116,6 +116,10 @@ STATE = {
         "company string, branch string, category decimal(3,0), class_code decimal(4,0), "
         "seq bigint, synced_at timestamp_ntz, qty decimal(6,0)"
     ),
+    "taken_events": (
+        "company string, branch string, category decimal(3,0), class_code decimal(4,0), "
+        "event string, seq bigint, synced_at timestamp_ntz"
+    ),
     "prior_attributes": "company string, asset_id string, serial string",
     "bulk_queue": (
         "run_id string, company string, branch string, category decimal(3,0), "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -53,6 +53,55 @@ def read_json_feed(
     return no_rows(spark, ddl) if feed is None else feed
 
 
+#: Columns of a reject: the line as it came, the file it came in, and what is wrong with it.
+REJECTED = "raw string, file string, reason string"
+
+
+def read_with_rejects(
+    spark: SparkSession,
+    root: str,
+    ddl: str,
+    session_id: str,
+    op: str,
+    stage: Callable[[DataFrame], DataFrame],
+    encoding: str = "UTF-8",
+) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a feed of one object per line, and its rejects.
+
+    A line that is no JSON object, or has a value that does not fit its column, is kept as it came,
+    with its file and a reason: `malformed`, or the names of the columns. All other lines go on.
+    ``stage`` writes the parsed feed once, as both results are read from it. Blank lines are neither.
+    """
+    fields = T.StructType.fromDDL(ddl)
+    raw, file = "_raw", "_file"
+    schema = T.StructType([*fields, T.StructField(raw, T.StringType())])
+    reader = spark.read.schema(schema).options(
+        encoding=encoding, lineSep="\n", mode="PERMISSIVE", columnNameOfCorruptRecord=raw
+    )
+    try:
+        feed = reader.json(feed_path(root, op, session_id))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return no_rows(spark, ddl), no_rows(spark, REJECTED)
+    parsed = stage(feed.select(*fields.fieldNames(), raw, F.col("_metadata.file_path").alias(file)))
+    good = parsed.where(F.col(raw).isNull()).select(*fields.fieldNames())
+    bad = parsed.where(F.col(raw).isNotNull())
+    # As texts all values of an object fit; what is there and did not fit its column is to blame.
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    as_texts = F.from_json(F.col(raw), texts, {"mode": "PERMISSIVE"})
+    blamed = F.array_compact(
+        F.array(
+            *[
+                F.when(as_texts[f.name].isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f.name))
+                for f in fields
+            ]
+        )
+    )
+    reason = F.when(F.size(blamed) > 0, F.array_join(blamed, ", ")).otherwise(F.lit("malformed"))
+    return good, bad.select(F.col(raw).alias("raw"), F.col(file).alias("file"), reason.alias("reason"))
+
+
 def shred(df: DataFrame, column: str, ddl: str, keep: Sequence[str] = ()) -> DataFrame:
     """The objects of a JSON array column as rows; a single object counts as an array of one."""
     objects = F.from_json(F.col(column), T.ArrayType(T.StructType.fromDDL(ddl)))

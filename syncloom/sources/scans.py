@@ -10,11 +10,26 @@ from syncloom.functions.keys import BRANCH_WIDTH, pad
 from syncloom.operators.joins import exclude, in_active_branches
 
 
-def interval_scan(df: DataFrame, ts_col: str, start, end) -> DataFrame:
-    """Rows whose time lies in the interval, both ends included; the scan prunes by it."""
+#: The column that a source partitioned by the day of its sync time has.
+SYNC_DAY = "sync_day"
+
+
+def interval_scan(df: DataFrame, ts_col: str, start, end, day: str | None = None) -> DataFrame:
+    """Rows whose time lies in the interval, both ends included; the scan prunes by it.
+
+    Where the table has the column ``day``, only partitions of the interval's days are listed.
+    """
+    if day and day in df.columns:
+        first, last = (F.to_date(t if isinstance(t, Column) else F.lit(t)) for t in (start, end))
+        df = df.where(F.col(day).between(first, last))
     return df.where(F.col(ts_col).between(start, end))
 
 
+def by_day(df: DataFrame, ts_col: str, day: str = SYNC_DAY) -> DataFrame:
+    """The table with the day of its time, to be written partitioned by it."""
+    return df.withColumn(day, F.to_date(ts_col))
+
+
 def interval_bounds(control: DataFrame, run_ts: Column) -> DataFrame:
     """The interval each source is due for.
 
@@ -51,6 +66,33 @@ def scan_by_source(
     )
 
 
+def scan_by_source_partitioned(
+    events: DataFrame,
+    bounds: DataFrame,
+    ts_col: str = "synced_at",
+    source: str = "source",
+    day: str = SYNC_DAY,
+) -> DataFrame:
+    """Rows within the interval of their own source, of a table partitioned by day.
+
+    The bounds, a written table, become one row per source and day, so the join names the days that
+    any source is due for, and the scan reads these partitions alone: the planner prunes them when
+    the job runs, where it sees that the days are few enough to be broadcast.
+    """
+    start, end = F.col("start"), F.col("end")
+    days = bounds.where(start <= end).select(
+        F.col("source").alias(source),
+        start.alias("_start"),
+        end.alias("_end"),
+        F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias(day),
+    )
+    return (
+        events.join(days, [source, day])
+        .where(F.col(ts_col).between(F.col("_start"), F.col("_end")))
+        .drop("_start", "_end")
+    )
+
+
 def forced_scan(
     df: DataFrame,
     active: DataFrame,

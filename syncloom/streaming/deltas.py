@@ -15,6 +15,7 @@ from syncloom.operators.quantity import (
     late_keys,
     quantity_delta,
 )
+from syncloom.operators.skew import latest
 from syncloom.session import no_rows
 
 
@@ -30,16 +31,24 @@ def dedupe_events(batch: DataFrame, seen: DataFrame, keys: Sequence[str], ts_col
     return exclude(batch.dropDuplicates(list(keys)), seen.where(within), list(keys), unique=True)
 
 
+#: Micro-batches after which the last events of all keys are written anew as one table.
+FOLD = 64
+
+
 class DeltaStream:
     """Quantity deltas of an event log that arrives as files.
 
-    New events are added to an event table, a folder per micro-batch, and their
-    deltas to another one. A third one holds the last event of each key after the
-    batch: the next batch takes the quantities before from it, and reads the event
-    table for keys only that have an event out of order. The delta of an event that
-    was written before such a late one came is not written again. A batch that is
-    tried again replaces its own folders; of the third table only the newest folder
-    is needed.
+    New events are added to an event table, a folder per micro-batch, and their deltas to another
+    one. A third one holds, per micro-batch, the last events of the keys it touched; every FOLD
+    batches these are folded into one table, so a batch writes what changed and reads a bounded
+    number of folders. The next batch takes the quantities before from there, and reads the event
+    table for keys only that have an event out of order.
+
+    With ``corrections`` a late event also changes the delta of the event that follows it: that one
+    is taken back, by a row of sign -1, and given again with the new quantity before. Without, the
+    delta of an event that was written before such a late one came is not written again.
+
+    A batch that is tried again replaces its own folders.
     """
 
     def __init__(
@@ -51,6 +60,8 @@ class DeltaStream:
         keys: Sequence[str],
         order: Sequence[str],
         ts_col: str = "synced_at",
+        corrections: bool = False,
+        fold: int = FOLD,
     ):
         self.spark = spark
         self.schema = schema
@@ -59,6 +70,8 @@ class DeltaStream:
         self.keys = list(keys)
         self.order = list(order)
         self.ts_col = ts_col
+        self.corrections = corrections
+        self.fold = fold
 
     def _table(self, name: str, columns: Sequence[T.StructField]) -> DataFrame:
         schema = T.StructType([*columns, T.StructField("epoch", T.LongType())])
@@ -72,39 +85,84 @@ class DeltaStream:
     def events(self) -> DataFrame:
         return self._table("events", self.schema.fields)
 
-    def deltas(self) -> DataFrame:
-        qty = self.schema["qty"].dataType
-        return self._table("deltas", [*self.schema.fields, T.StructField("prev_qty", qty)]).drop(
-            "epoch"
-        )
+    def changes(self) -> DataFrame:
+        """All deltas written, with their sign and micro-batch: what receivers of changes read."""
+        fields = [
+            *self.schema.fields,
+            T.StructField("prev_qty", self.schema["qty"].dataType),
+            T.StructField("sign", T.IntegerType()),
+        ]
+        return self._table("deltas", fields)
 
-    def last(self, epoch: int) -> DataFrame:
-        """The last event of each key, as it was after a micro-batch."""
+    def deltas(self) -> DataFrame:
+        """The deltas that stand: the newest one of each event, once."""
+        given = self.changes().where("sign = 1")
+        again = self.changes().where("sign = -1").select(*self.event_keys).distinct()
+        corrected = latest(keep_matching(given, again, self.event_keys, unique=True), self.event_keys, ["epoch"])
+        rest = exclude(given, again, self.event_keys, unique=True)
+        return rest.unionByName(corrected).drop("sign", "epoch")
+
+    def last(self, epoch: int, of: DataFrame | None = None) -> DataFrame:
+        """The last event of each key, or of the keys of some rows, as it was after a micro-batch."""
         fields = [self.schema[c] for c in [*self.keys, *self.order, "qty"]]
-        if epoch < 0:
-            return no_rows(self.spark, T.StructType(fields).toDDL())
-        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/last/epoch={epoch}")
+        folded = epoch // self.fold * self.fold - 1  # the newest folded batch
+        known = self._table("last", fields).where(F.col("epoch").between(folded + 1, epoch))
+        if folded >= 0:
+            schema = T.StructType(fields)
+            base = self.spark.read.schema(schema).parquet(f"{self.root}/folded/epoch={folded}")
+            known = known.unionByName(base.withColumn("epoch", F.lit(folded).cast("long")))
+        if of is not None:  # cut down before rows of a key are brought together
+            known = keep_matching(known, of, self.keys)
+        return latest(known, self.keys, ["epoch"]).drop("epoch")
+
+    def _fold(self, epoch: int) -> None:
+        """Before the first batch after a full set: all last events as one table."""
+        if epoch and epoch % self.fold == 0:
+            path = f"{self.root}/folded/epoch={epoch - 1}"
+            before = self.last(epoch - 1)
+            before.write.mode("overwrite").parquet(path)
 
     def process(self, batch: DataFrame, epoch: int) -> None:
+        self._fold(epoch)
         seen = self.events().where(F.col("epoch") < epoch)
         fresh = dedupe_events(batch, seen, self.event_keys, self.ts_col)
         fresh.write.mode("overwrite").parquet(f"{self.root}/events/epoch={epoch}")
         arrived = self.events().where(F.col("epoch") == epoch).drop("epoch")
-        last = self.last(epoch - 1)
+        last = self.last(epoch - 1, arrived)
         late = late_keys(arrived, last, self.keys, self.order)
         on_time = exclude(arrived, late, self.keys, unique=True)
-        deltas = delta_since(on_time, last, self.keys, self.order)
+        deltas = delta_since(on_time, last, self.keys, self.order).withColumn("sign", F.lit(1))
         if not late.isEmpty():
             known = self.events().where(F.col("epoch") <= epoch)
             history = keep_matching(known, late, self.keys, unique=True)
             whole = quantity_delta(history, self.keys, self.order)
-            deltas = deltas.unionByName(whole.where(F.col("epoch") == epoch).drop("epoch"))
+            new = whole.where(F.col("epoch") == epoch).withColumn("sign", F.lit(1))
+            deltas = deltas.unionByName(new.drop("epoch"))
+            if self.corrections:
+                deltas = deltas.unionByName(self.corrected(history, whole, epoch))
         deltas.write.mode("overwrite").parquet(f"{self.root}/deltas/epoch={epoch}")
         newest = last_quantities(
             arrived.select(*last.columns).unionByName(last), self.keys, self.order
         )
         newest.write.mode("overwrite").parquet(f"{self.root}/last/epoch={epoch}")
 
+    def corrected(self, history: DataFrame, whole: DataFrame, epoch: int) -> DataFrame:
+        """Of events that were there before: the deltas that a late event before them changed, taken
+        back and given again."""
+        before = quantity_delta(history.where(F.col("epoch") < epoch), self.keys, self.order)
+        old = before.select(*self.event_keys, F.struct("prev_qty").alias("_old"))
+        both = whole.where(F.col("epoch") < epoch).join(old, self.event_keys)
+        moved = both.where(~F.col("prev_qty").eqNullSafe(F.col("_old.prev_qty")))
+        return moved.select(
+            *[c for c in self.schema.fieldNames()],
+            F.explode(
+                F.array(
+                    F.struct(F.col("_old.prev_qty").alias("prev_qty"), F.lit(-1).alias("sign")),
+                    F.struct(F.col("prev_qty"), F.lit(1).alias("sign")),
+                )
+            ).alias("_c"),
+        ).select(*self.schema.fieldNames(), "_c.*")
+
     def start(self, stream: DataFrame) -> StreamingQuery:
         """Take in all that is there, then stop; called again it goes on from there."""
         return (
@@ -115,6 +173,33 @@ class DeltaStream:
         )
 
 
+def dedupe_within(
+    stream: DataFrame, keys: Sequence[str], ts_col: str = "synced_at", delay: str = "1 hour"
+) -> DataFrame:
+    """The stream with each event once, as far as copies come within the delay of the first one.
+
+    What is kept of an event is its key, until the watermark, the latest time seen less the delay,
+    has passed it by the delay; so the state is what arrives within it, not the whole log. Events
+    that come later than that are not told apart from new ones of old times, and are left out: a
+    log whose events may be later needs a longer delay, or the batch run, which knows all keys.
+    """
+    time = "_event_time"
+    timed = stream.withColumn(time, F.col(ts_col).cast("timestamp")).withWatermark(time, delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop(time)
+
+
+def append_stream(stream: DataFrame, root: str) -> StreamingQuery:
+    """Take in all that is there, append it to a table of files, then stop."""
+    return (
+        stream.writeStream.format("parquet")
+        .option("path", f"{root.rstrip('/')}/rows")
+        .option("checkpointLocation", f"{root.rstrip('/')}/_progress")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def event_stream(
     spark: SparkSession,
     folder: str,

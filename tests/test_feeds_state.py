@@ -2,6 +2,7 @@ import glob
 import gzip
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,13 +157,11 @@ def test_changed_rows_replace_those_of_their_key(spark, tmp_path):
         commit.append("log", spark.range(run, run + 1))
         commit.publish()
         expected.update(rows)
-    folders = store._folders(store._history())
-    assert len(folders["kept"]) == len(folders["log"]) == 7
+    assert store.folders("kept") == store.folders("log") == 7
     store.compact("kept", "tidy 1")
     store.compact("log", "tidy 2")
     store.compact("log", "tidy 3")  # nothing to do
-    folders = store._folders(store._history())
-    assert len(folders["kept"]) == len(folders["log"]) == 1
+    assert store.folders("kept") == store.folders("log") == 1
     assert values(store.read("kept")) == sorted(expected.items(), key=repr)
     assert values(store.read("log")) == sorted([(n,) for n in range(7)], key=repr)
     assert store.published("run 3:00") and store.published("tidy 1")
@@ -174,7 +173,8 @@ def test_what_a_crash_left_does_not_stand_in_the_way(spark, tmp_path):
     first = store.begin("r1")
     first.overwrite("kept", table(spark, (1, "a")))
     first.publish()
-    os.makedirs(tmp_path / "_manifests" / "000000002-000000001-r2" / "_temporary" / "0")
+    (tmp_path / "_versions" / "_half-written").touch()
+    os.makedirs(tmp_path / "kept" / "000000002-r2-0" / "_temporary" / "0")
     assert values(store.read("kept")) == [(1, "a")] and not store.published("r2")
     again = store.begin("r2")
     again.overwrite("kept", table(spark, (2, "b")))
@@ -206,11 +206,49 @@ def test_two_runs_cannot_publish_the_same_version(spark, tmp_path):
     with pytest.raises(StateConflict):
         two.publish()
     assert values(store.read("kept")) == [(1, "a")]
-    # Even a writer that looked before the other was done does not count: its base is not the newest.
-    late = tmp_path / "_manifests" / "000000009-000000000-r2"
-    os.makedirs(late)
-    (late / "_SUCCESS").touch()
-    assert values(store.read("kept")) == [(1, "a")] and not store.published("r2")
+    assert not store.published("r2")
+
+
+@pytest.mark.parametrize("order", [("aa", "zz"), ("zz", "aa")])
+def test_of_two_runs_that_race_one_is_published(spark, tmp_path, order):
+    """Both have written their tables and looked at the versions before either creates the pointer."""
+    store = StateStore(spark, str(tmp_path), TABLES)
+    commits = {}
+    for name in ("aa", "zz"):
+        commits[name] = store.begin(name)
+        commits[name].overwrite("kept", table(spark, (1, name)))
+    first, second = order
+    commits[first].publish()
+    with pytest.raises(StateConflict):
+        commits[second].publish()
+    assert values(store.read("kept")) == [(1, first)]
+    assert store.published(first) and not store.published(second)
+    again = store.begin(second)
+    again.overwrite("kept", table(spark, (1, second)))
+    again.publish()
+    assert values(store.read("kept")) == [(1, second)] and store.published(first)
+
+
+def test_racing_threads_publish_one_pointer(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path), TABLES)
+    store._create_once("_versions/000000001.json", '{"runs": [], "folders": {}}')
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: store._create_once("_versions/000000002.json", f'"{i}"'), range(24)))
+    assert sum(made) == 1
+    assert [f for f in os.listdir(tmp_path / "_versions") if f[0] not in "._"] == ["000000001.json", "000000002.json"]
+
+
+def test_plan_of_many_changes_is_bounded(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path), TABLES, keys={"kept": ["id"]})
+    sizes = []
+    for run in range(14):
+        commit = store.begin(f"r{run}")
+        commit.change("kept", table(spark, (run % 5, f"v{run}")))
+        commit.publish()
+        plan = store.read("kept")._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan.splitlines()))
+    assert sizes[3] == sizes[-1]
+    assert values(store.read("kept")) == [(i, f"v{i + 10 if i < 4 else 9}") for i in range(5)]
 
 
 def test_staged_tables_lie_in_the_shared_folder(spark):

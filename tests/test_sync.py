@@ -8,6 +8,7 @@ from syncloom.plans.sync import Inputs, Options, SyncRun, run_sync
 from syncloom.schemas import SOURCE_COLUMNS
 from syncloom.sinks.feeds import write_feed
 from syncloom.sources.feeds import MissingFeed
+from syncloom.sources.scans import by_day
 from syncloom.state.store import StateStore
 
 
@@ -309,3 +310,70 @@ def test_old_events_expire(case):
     assert values(case.store.read("qty_event_state"), "seq") == [(2,), (3,)]
     again = case.run("r2", "2024-02-02", case.inputs(), event_days=10)
     assert again["units"] == []
+
+
+@pytest.mark.parametrize("snapshot", [True, False])
+def test_a_fall_at_the_time_of_a_run_sends_nothing_later(case, snapshot):
+    """A SKU at 10 falls to 3 at the very time of the second run; the third one reads that again."""
+    first = [(1, at("2024-01-05"), "EV", "01", "b1", 9, 6, 10)]
+    fall = (2, at("2024-02-02"), "EV", "01", "b1", 9, 6, 3)
+    later = (3, at("2024-02-02 12:00"), "EV", "01", "b1", 9, 6, 5)
+
+    def inputs(events):
+        found = case.inputs(events=events)
+        if not snapshot:
+            found.qty_snapshot = found.qty_snapshot.where("false")
+        return found
+
+    assert len(case.run("r1", "2024-02-01", inputs(first))["units"]) == 10
+    assert case.run("r2", "2024-02-02", inputs([*first, fall]))["units"] == []
+    assert values(case.store.read("taken_events"), "seq") == [(2,)]
+    assert case.run("r3", "2024-02-03", inputs([*first, fall]))["units"] == []
+    # The same interval once more, as an operator may ask for, and then a rise.
+    again = case.store.begin("again")
+    start = F.lit(at("2024-01-01")).cast("timestamp_ntz")
+    again.overwrite("control", case.store.read("control").select("source", *[start.alias(c) for c in ("start_ts", "prev_start_ts", "end_ts")]))
+    again.publish()
+    assert case.run("r4", "2024-02-04", inputs([*first, fall]))["units"] == []
+    assert len(case.run("r5", "2024-02-05", inputs([*first, fall, (*later[:1], at("2024-02-04 12:00"), *later[2:])]))["units"]) == 2
+
+
+def test_events_that_join_the_end_of_an_interval_later_are_taken(case):
+    first = [(1, at("2024-01-05"), "EV", "01", "b1", 9, 6, 2)]
+    edge = [(2, at("2024-02-01"), "EV", "01", "b1", 9, 6, 5), (3, at("2024-02-01"), "EV", "01", "b1", 9, 6, 9)]
+    assert len(case.run("r1", "2024-02-01", case.inputs(events=first + edge[:1]))["units"]) == 5
+    assert len(case.run("r2", "2024-02-02", case.inputs(events=first + edge))["units"]) == 4
+
+
+def test_falls_count_with_net(case):
+    sent = case.run("r1", "2024-02-01", case.inputs(), net=True)
+    # b1 went to 2, to 5 and back to 3.
+    assert len(sent["units"]) == 3
+
+
+def test_ends_of_the_data(case):
+    run_sync(case.spark, case.inputs(), case.store, at("2024-02-01"), "r1", case.out, Options(end_at_data=True))
+    assert values(case.store.read("control"), "source", "end_ts") == [
+        ("assets", at("2024-01-07")), ("qty_events", at("2024-01-07"))
+    ]
+    # Nothing new: the end is the run's own time.
+    run_sync(case.spark, case.inputs(), case.store, at("2024-02-02"), "r2", case.out, Options(end_at_data=True))
+    assert values(case.store.read("control"), "source", "end_ts") == [
+        ("assets", at("2024-02-02")), ("qty_events", at("2024-02-02"))
+    ]
+
+
+def test_a_log_partitioned_by_day_is_read_by_the_days_of_the_interval(case, tmp_path):
+    case.run("r1", "2024-02-01", case.inputs())
+    event = (5, at("2024-02-01 13:00"), "EV", "01", "b1", 9, 6, 7)
+    inputs = case.inputs(events=[*EVENTS, event])
+    by_day(inputs.qty_events, "synced_at").write.partitionBy("sync_day").parquet(f"{tmp_path}/log")
+    inputs.qty_events = case.spark.read.parquet(f"{tmp_path}/log")
+    run = SyncRun(case.spark, inputs, case.store, at("2024-02-02"), "r2", case.out)
+    run.commit = case.store.begin("r2")
+    _, bounds = run.intervals()
+    run.work.stage, staged = recorder(run.work.stage)
+    found = run.quantity_changes(*bounds["qty_events"])
+    assert values(found, "seq", "qty_to_send") == [(5, 4)]
+    plans = [p for p in staged if "/log" in p]
+    assert plans and all("PartitionFilters: [isnotnull(sync_day" in p for p in plans)
