@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from syncloom.llm import decontamination, jaccard_join, mixing, quality_rules, sharding
+from syncloom.llm import decontamination, jaccard_join, mixing, oracle, quality_rules, sharding
 from syncloom.llm.common import Scratch, count_white_words, fresh, named
 
 N_SHARDS = 40
@@ -16,14 +16,19 @@ MIX_TOTAL, MIX_EPOCHS = 1.5, 2.0
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts have no words and go. Rows that repeat are judged alike and all stay or
+    go; nulls in other columns and columns of any name pass through. No rows give no rows.
+    """
     return quality_rules.keep_good(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that similarity links, the one with the smallest id; documents without words stay.
 
-    Rows that repeat an id as well are told apart by nothing; the first of them by text stays.
+    Rows that repeat an id as well are told apart by nothing; the first of them by text stays. Null ids
+    link like others; null texts have no words and stay. No rows give no rows.
     """
     (out,) = fresh(docs, "_similar")
     found = jaccard_join.similar(docs, out=out)
@@ -31,13 +36,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark's passages do not contaminate."""
+    """Documents that the benchmark's passages do not contaminate.
+
+    Null texts have no words and stay; rows that repeat share their fate. Without benchmark items,
+    or without rows, all rows stay.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.drop_contaminated(docs, items)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them."""
+    """Documents as often as the mixture takes them.
+
+    A null source is a source of its own. Documents without words fall on a side of the cut like
+    others; a source without any words has nothing to give, and its rows go. Rows that share an id
+    are taken one by one. No rows give no rows.
+    """
     size = count_white_words(named("text"))
     sizes = mixing.source_sizes(docs, "source", size)
     weights = mixing.cyclic_weights(Scratch(spark, "mix").write(sizes, "sizes"), MIX_CYCLE)
@@ -49,7 +63,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their slot in it."""
+    """Documents with their shard and their slot in it.
+
+    Every row gets a place, copies and rows of null id, source or text among them; shards differ by one
+    row at most. No rows give no rows.
+    """
     return sharding.shard(docs, N_SHARDS)
 
 
@@ -61,8 +79,8 @@ STAGES = [
     ("sharding", shards),
 ]
 
-#: Exact similarity components are not expressed in SQL; tests hold the rows against brute force.
-ORACLE_SQL = None
+#: DuckDB SQL for the rows of run(), all stages one after the other.
+ORACLE_SQL = oracle.pipeline(N_SHARDS)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
