@@ -32,10 +32,10 @@ def advance_watermark(
     end = run_ts
     table = control
     if events is not None:
-        reached = events.groupBy(F.col(source).alias("source")).agg(
+        latest = events.groupBy(F.col(source).alias("source")).agg(
             F.max(ts_col).alias("_reached")
         )
-        table = control.join(reached, "source", "left")
+        table = control.join(latest, "source", "left")
         end = F.coalesce(F.col("_reached"), run_ts)
     for name, time in (reached or {}).items():
         end = F.when(F.col("source") == name, time).otherwise(end)
