@@ -44,7 +44,7 @@ BLOCK = 2048
 FIRST_PARTNERS = 16
 #: Rounds that pair classes with a few neighbours before all that is left apart is compared, how
 #: many neighbours of a class are looked at, and how many of these, the best by bound, are tested.
-TURNS, NEAR, TESTED = 4, 8, 2
+TURNS, NEAR, TESTED = 4, 8, 3
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -133,8 +133,9 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
 
 
 def signature(words: np.ndarray, n: int) -> np.ndarray:
-    """The bitmap folded to one or two bits for each shingle: enough to tell most pairs apart."""
-    return _fold(words, min(len(words), max(1, (1 << max(n - 1, 1).bit_length()) // 64)))
+    """A bitmap of up to 1,024 bits as it is, a longer one folded to one or two bits for each shingle:
+    enough to tell nearly all pairs apart. In a shorter one chance would let too many pass."""
+    return _fold(words, min(len(words), max(16, (1 << max(n - 1, 1).bit_length()) // 64)))
 
 
 def _profile(
