@@ -8,7 +8,7 @@ some depth stands one depth less deep in the message that is replied to; there i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from syncloom.llm.common import Scratch, ascii_lower, fresh, named, packed, small
 from syncloom.operators.skew import HOT_ROWS, SLICE_ROWS, last_known
@@ -32,7 +32,7 @@ def _lines(text: Column) -> Column:
 
 
 def passages(messages: DataFrame, conversation: str, turn: str, text: str) -> DataFrame:
-    """(conversation, turn, level, hash) of the sentences and lines that have words, each once.
+    """(conversation, turn, level, hash) of the sentences and lines that have words.
 
     Lines of the same depth are one run until a blank line or another depth comes.
     """
@@ -61,8 +61,7 @@ def passages(messages: DataFrame, conversation: str, turn: str, text: str) -> Da
     return (
         sentences.unionByName(lines).select("conversation", "turn", "level", plain.alias("_n"))
         .where(F.col("_n") != "")
-        .select("conversation", "turn", "level", F.md5("_n").alias("hash"))
-        .distinct()
+        .select("conversation", "turn", "level", F.unhex(F.md5("_n")).alias("hash"))
     )
 
 
@@ -112,23 +111,30 @@ def linked_passages(
     has it is carried along, so a passage that very many messages have or quote makes no pairs. Its
     rows are cut into slices of equal depth where they are more than a task should hold.
     """
-    has = found.select(
-        "conversation", F.col("level").alias("stands"), "hash", "turn", F.lit(1).alias("side"), F.col("turn").alias("has")
-    )
-    asks = found.where("level > 0").select(
-        "conversation",
-        (F.col("level") - 1).alias("stands"),
-        "hash",
-        "turn",
-        F.lit(0).alias("side"),
-        F.lit(None).cast(found.schema["turn"].dataType).alias("has"),
-    )
-    # Of what a message has, only what somebody quotes is of use.
-    quoted = asks.select("conversation", "stands", "hash").distinct()
-    same = [has[c].eqNullSafe(quoted[c]) for c in ("conversation", "stands", "hash")]
-    rows = has.join(quoted, same, "left_semi").unionByName(asks)
+    nothing = F.lit(None).cast(found.schema["turn"].dataType)
+    stands = F.struct(F.col("level").alias("stands"), F.lit(1).alias("side"), F.col("turn").alias("has"))
+    asked = F.struct((F.col("level") - 1).alias("stands"), F.lit(0).alias("side"), nothing.alias("has"))
+    # What a message has, and what it asks for, in one shuffle.
+    rows = found.select(
+        "conversation", "hash", "turn", F.explode(F.array_compact(F.array(stands, F.when(F.col("level") > 0, asked)))).alias("_p")
+    ).select("conversation", "hash", "turn", "_p.*")
     keys = ["conversation", "stands", "hash"]
-    known = last_known(rows, keys, ["turn", "side"], "has", "source", hot_rows, span)
+    large = found.groupBy("conversation").count().where(F.col("count") > hot_rows // 2)
+    if large.isEmpty():  # no passage of a conversation can have more rows than a task should hold
+        together = Window.partitionBy(*keys).orderBy("turn", "side")
+        before = together.rowsBetween(Window.unboundedPreceding, -1)
+        known = rows.withColumns(
+            {
+                "source": F.last("has", ignorenulls=True).over(before),
+                "_turn": F.lag("turn").over(together),
+                "_side": F.lag("side").over(together),
+            }
+        )
+        # Copies of a passage in a message ask once.
+        again = F.col("_turn").eqNullSafe(F.col("turn")) & F.col("_side").eqNullSafe(F.col("side"))
+        known = known.where(~again)
+    else:
+        known = last_known(rows.distinct(), keys, ["turn", "side"], "has", "source", hot_rows, span)
     return known.where("side = 0 and source is not null").select(
         "conversation", "turn", (F.col("stands") + 1).alias("level"), "source"
     )
