@@ -20,8 +20,8 @@ COPYRIGHT_LINE = (
 )
 #: A text without any of these has no such line.
 COPYRIGHT_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
-#: Whatever is neither a letter nor a digit, typographic quotes and dashes among it.
-PUNCTUATION = r"[^\p{L}\p{N}]+"
+#: ASCII marks, and the signs, typographic quotes, dashes and blanks of two further ranges.
+PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}-\x{BF}\x{D7}\x{F7}\x{2000}-\x{206F}]+"
 
 #: Spellings that count as equal: a pattern of words that have a blank on either side,
 #: and what stands for them.
@@ -75,17 +75,17 @@ FULL_TEXTS = Path(__file__).parent / "license_texts"
 UNITS = ("document", "paragraph", "line")
 
 
+def _let(value: Column, make) -> Column:
+    """What is made of a value that several places of the expression read: it is computed once."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def canonical(text: Column) -> Column:
     """The text without case, punctuation, copyright lines and variant spellings."""
     low = ascii_lower(F.coalesce(text, F.lit("")))
-    plain = F.when(_any_of(low, COPYRIGHT_SIGNS), F.regexp_replace(low, COPYRIGHT_LINE, "")).otherwise(low)
-    # In ASCII a plain class does the same in a fraction of the time.
-    ascii_only = F.octet_length(plain) == F.char_length(plain)
-    bare = F.when(ascii_only, F.regexp_replace(plain, "[^a-z0-9]+", " ")).otherwise(
-        F.regexp_replace(plain, PUNCTUATION, " ")
-    )
-    words = F.btrim(bare)
-    return F.when(_any_of(words, SPELLED), _spelled(words)).otherwise(words)
+    plain = _let(low, lambda x: F.when(_any_of(x, COPYRIGHT_SIGNS), F.regexp_replace(x, COPYRIGHT_LINE, "")).otherwise(x))
+    words = _let(plain, lambda x: F.btrim(F.regexp_replace(x, PUNCTUATION, " ")))
+    return _let(words, lambda x: F.when(_any_of(x, SPELLED), _spelled(x)).otherwise(x))
 
 
 def _any_of(text: Column, parts: tuple[str, ...]) -> Column:
