@@ -79,9 +79,13 @@ def _threads(replies: DataFrame, scratch: Scratch) -> DataFrame:
         replies.select("conversation", "turn", F.col("reply_to").alias("thread"), F.lit(1).cast("long").alias("depth")),
         "replies",
     )
-    while True:
-        up = chains.alias("c").join(
-            chains.alias("p"),
+    found, moving = [], chains
+    while not moving.isEmpty():
+        every = moving
+        for done in found:
+            every = every.unionByName(done)
+        up = moving.alias("c").join(
+            every.alias("p"),
             F.col("c.conversation").eqNullSafe(F.col("p.conversation"))
             & (F.col("c.thread") == F.col("p.turn")),
             "left",
@@ -96,9 +100,13 @@ def _threads(replies: DataFrame, scratch: Scratch) -> DataFrame:
             ),
             "threads",
         )
-        chains = step.drop("moved")
-        if step.where("moved").isEmpty():
-            return chains
+        # What has come to its first message takes no part in further rounds.
+        found.append(step.where("not moved").drop("moved"))
+        moving = step.where("moved").drop("moved")
+    threads = chains.where("false")
+    for done in found:
+        threads = threads.unionByName(done)
+    return threads
 
 
 def linked_passages(
