@@ -1,9 +1,9 @@
 """Ordered per-key computations that hold when one key owns a large share of all rows.
 
 A window over a key puts all rows of the key into one task. Here the rows of hot keys are dealt
-into ranges of key and order that hold about equal numbers of rows, however the order numbers are
-spread; each range of a key is a window partition of its own, and one carry row per range brings in
-what the ranges before it amount to.
+into slices of key and order that hold about equal numbers of rows, however the order numbers are
+spread; each slice of a key is a window partition of its own, and one carry row per slice brings in
+what the slices before it amount to.
 """
 
 from __future__ import annotations
@@ -20,8 +20,11 @@ HOT_ROWS = 1_000_000
 # The written list of hot keys is broadcast when it has at most so many rows; beyond that the
 # planner joins it by its size.
 BROADCAST_KEYS = 100_000
-# Rows of a slice, about: borders come from a sample of the rows.
+# Rows of a slice.
 SLICE_ROWS = 1 << 20
+# Rows of a task that cuts slices, at least: however small slices are, tasks, their files and the
+# sample that the driver takes its borders from grow with the rows alone.
+RANGE_ROWS = 1 << 18
 
 _SLICE = "_slice"
 _REAL = "_real"
@@ -62,13 +65,16 @@ def equal_slices(
 ) -> DataFrame:
     """The rows, written, with the number of their slice.
 
-    Ranges of key and order come from quantiles that Spark samples from the rows, so a slice has
-    about ``slice_rows`` of them wherever the order numbers lie. Slices of a key ascend with the order.
+    Ranges of key and order come from quantiles that Spark samples from the rows. Each is sorted and
+    cut after every ``slice_rows`` rows, so slices hold as many wherever the order numbers lie; only a
+    range's last one may hold fewer. Slices of a key ascend with the order.
     """
-    n = max(1, math.ceil(rows / slice_rows))
+    n = max(1, math.ceil(rows / max(slice_rows, RANGE_ROWS)))
     # An explicit number keeps adaptive execution from putting ranges together again.
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_SLICE, F.spark_partition_id())
-    return Workspace(df.sparkSession, "slices").stage(ranged, "rows")
+    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    # Numbers of rows, gapless within a range; those of different ranges lie 2^33 apart.
+    cut = F.expr(f"monotonically_increasing_id() div {slice_rows}")
+    return Workspace(df.sparkSession, "slices").stage(ranged.withColumn(_SLICE, cut), "rows")
 
 
 def previous_value(

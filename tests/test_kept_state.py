@@ -131,6 +131,21 @@ def test_slices_have_about_as_many_rows_as_asked_for(spark):
     assert values(found) == values(plain)
 
 
+def test_small_slices_share_tasks(spark):
+    """Tasks and files grow with the rows, not with the slices, down to one row each."""
+    rows = [(i % 3, i * 1_000_003, i) for i in range(6_000)]
+    table = spark.createDataFrame(rows, "k int, seq long, qty int").repartition(6)
+    for slice_rows in (16, 1):
+        sliced = equal_slices(table, ["k"], ["seq"], 6_000, slice_rows)
+        sizes = [r[1] for r in sliced.groupBy("_slice").count().collect()]
+        assert max(sizes) == slice_rows and sum(sizes) == 6_000 and len(sizes) == 6_000 // slice_rows
+        assert len(sliced.inputFiles()) == 1
+        borders = sliced.groupBy("k", "_slice").agg(F.min("seq"), F.max("seq")).orderBy("k", "_slice").collect()
+        assert all(a[3] < b[2] for a, b in zip(borders, borders[1:]) if a[0] == b[0])
+        found = qt.quantity_delta(table, ["k"], ["seq"], hot_rows=10, span=slice_rows)
+        assert values(found) == values(qt.quantity_delta(table, ["k"], ["seq"]))
+
+
 @pytest.mark.parametrize("hot_rows, span", [(1 << 20, 1 << 20), (20, 30)])
 def test_last_known_value(spark, hot_rows, span):
     rows = [(k, i, None if (i * 7 + (k or 0)) % 5 else i) for k in (1, 2, None) for i in range(200 if k == 1 else 10)]
