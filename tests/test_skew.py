@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from syncloom.operators import quantity as qt
+from syncloom.operators import quantity as qt, skew
 from syncloom.operators.skew import hot_keys, latest
 from syncloom.schemas import SKU_KEYS
 
@@ -44,6 +44,18 @@ def test_delta_is_the_same_however_hot_keys_are_sliced(spark, hot_rows, span):
     assert values(deltas, "branch", "synced_at", "qty", "prev_qty") == brute_force(rows)
 
 
+@pytest.mark.parametrize("range_rows, span, files", [(1000, 20, 3), (1000, 1500, 2), (10_000, 20, 1)])
+def test_tasks_of_slices_grow_with_the_rows_alone(spark, monkeypatch, range_rows, span, files):
+    """Several ranges of several slices each: borders within and between ranges."""
+    monkeypatch.setattr(skew, "RANGE_ROWS", range_rows)
+    rows = events(seed=3)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    order = ["seq", "synced_at"]
+    assert len(skew.equal_slices(frame, SKU_KEYS, order, len(rows), span).inputFiles()) <= files
+    deltas = qt.quantity_delta(frame, hot_rows=1, span=span)
+    assert values(deltas, "branch", "synced_at", "qty", "prev_qty") == brute_force(rows)
+
+
 def test_hot_slices_lie_in_different_partitions(spark):
     rows = events(seed=1)
     frame = spark.createDataFrame(rows, SCHEMA)
