@@ -758,9 +758,10 @@ def stream_dedupe(t: Standins) -> DataFrame:
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     length = (last - first) / 4
     overlap = timedelta(days=1)
+    # A quarter is rounded to the microsecond: the last export ends where the log ends.
+    ends = [first + (n + 1) * length for n in range(3)] + [last]
     exports = [
-        events.where(F.col("ts").between(first + n * length - overlap, first + (n + 1) * length))
-        for n in range(4)
+        events.where(F.col("ts").between(first + n * length - overlap, end)) for n, end in enumerate(ends)
     ]
     root = t.work.path("deduped")
     for folder in _arrivals(t, exports, "exports"):
