@@ -56,6 +56,19 @@ def active_change_feed(diff: DataFrame, assets: DataFrame, active: DataFrame) ->
     return keep_matching(diff, located, ASSET_KEYS, unique=True)
 
 
+def active_changes(
+    current: DataFrame, state: DataFrame, active: DataFrame
+) -> DataFrame:
+    """Changes of assets whose current branch is active, found by comparing those assets alone.
+
+    ``current`` holds each asset once, with its hash and ``current_branch``; the result is that of
+    ``active_change_feed`` on ``snapshot_diff``, without the join that brings the branch back.
+    """
+    return snapshot_diff(
+        in_active_branches(current, active, branch="current_branch"), state, ASSET_KEYS
+    )
+
+
 def replay_into_changes(changes: DataFrame, queue: DataFrame) -> DataFrame:
     """Add the assets that wait in the queue and are not among the changes, as updates."""
     waiting = queue.where(F.col("sent_at").isNull()).select(*ASSET_KEYS).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -103,12 +103,16 @@ def mark_sent(
     done = sent.select(*keys).distinct().withColumn("_done", F.lit(True))
     joined = queue.join(done, list(keys), "left")
     now = F.col("sent_at").isNull() & F.coalesce(F.col("_done"), F.lit(False))
-    return joined.withColumns(
+    return _sent_now(joined, now, run_id, run_ts).select(*queue.columns)
+
+
+def _sent_now(queue: DataFrame, now: Column, run_id: str, run_ts: Column) -> DataFrame:
+    return queue.withColumns(
         {
             "run_id": F.when(now, F.lit(run_id)).otherwise(F.col("run_id")),
             "sent_at": F.when(now, run_ts).otherwise(F.col("sent_at")),
         }
-    ).select(*queue.columns)
+    )
 
 
 def asset_positions(changes: DataFrame, assets: DataFrame, active: DataFrame) -> DataFrame:
@@ -155,24 +159,27 @@ def settle_assets(
     active: DataFrame,
     run_id: str,
     run_ts: Column,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
     """The changes that can be sent, and the queue after them.
 
     ``queue`` already has the held rows. What counts is where an asset is now: it is sent when its
     current branch is active and its current SKU, not a bulk one, has a remote id, just as the
     payload takes it. All its entries are then marked as sent. Of an asset that still waits, the
-    entries for where it no longer is are closed, and the one for where it is stays.
+    entries for where it no longer is are closed, and the one for where it is stays. ``stage`` may
+    write where the assets are and whether they can be sent, which is read three times.
     """
-    positions = asset_positions(changes, assets, active)
-    ready = keep_matching(positions, resolved(skus, is_bulk=False), SKU_KEYS, unique=True)
-    waits = exclude(positions, ready, ASSET_KEYS, unique=True)
-    entries = unsent(queue).select(*ENTRY_KEYS).distinct()
-    arrived = keep_matching(entries, ready, ASSET_KEYS, unique=True)
-    moved = exclude(
-        keep_matching(entries, waits, ASSET_KEYS, unique=True),
-        _padded(waits),
-        ENTRY_KEYS,
-        unique=True,
-    )
-    settled = mark_sent(queue, arrived.unionByName(moved), ENTRY_KEYS, run_id, run_ts)
-    return keep_matching(changes, ready, ASSET_KEYS, unique=True), settled
+    ids = resolved(skus, is_bulk=False).select(*SKU_KEYS, F.lit(True).alias("_ready"))
+    placed = asset_positions(changes, assets, active).join(ids, SKU_KEYS, "left")
+    placed = stage(placed.withColumn("_ready", F.coalesce("_ready", F.lit(False))))
+    ready = placed.where("_ready").select(*ASSET_KEYS)
+    # Each asset and each place once, so that no queue row is multiplied.
+    located = placed.groupBy(*ASSET_KEYS).agg(F.max("_ready").alias("_ready"))
+    here = _padded(placed.select(*ENTRY_KEYS)).distinct().withColumn("_here", F.lit(True))
+    joined = queue.join(located, ASSET_KEYS, "left").join(here, ENTRY_KEYS, "left")
+    whole = F.concat("branch", "category", "class_code").isNotNull()
+    now = F.col("sent_at").isNull() & whole & (F.col("_ready") | F.col("_here").isNull())
+    done = F.col("_ready").isNotNull() & now
+    return keep_matching(changes, ready, ASSET_KEYS, unique=True), _sent_now(
+        joined, done, run_id, run_ts
+    ).select(*queue.columns)

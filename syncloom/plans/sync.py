@@ -189,8 +189,8 @@ class SyncRun:
             keep=["current_branch", "synced_at"],
         )
         prints = self.work.stage(latest(hashed, ASSET_KEYS, ["synced_at"]), "asset_prints")
-        diff = ch.snapshot_diff(prints, self.commit.read("asset_state"), ASSET_KEYS)
-        located = self.work.stage(ch.active_change_feed(diff, prints, active), "asset_feed")
+        found = ch.active_changes(prints, self.commit.read("asset_state"), active)
+        located = self.work.stage(found, "asset_feed")
         changes = ch.replay_into_changes(located, self.commit.read("asset_queue"))
         changes = self.work.stage(changes, "asset_changes")
         # The wide table is read once for all that follows.
@@ -324,7 +324,8 @@ class SyncRun:
         held = self.work.stage(held, "asset_held")
         queue, _ = retry.append_capture(queue, held)
         remaining, settled = retry.settle_assets(
-            changes, changed, queue, skus, active, self.run_id, self.now
+            changes, changed, queue, skus, active, self.run_id, self.now,
+            stage=lambda df: self.work.stage(df, "placed_assets"),
         )
         remaining = self.work.stage(remaining, "assets_to_send")
         self.keep_queue("asset_queue", settled)

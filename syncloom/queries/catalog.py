@@ -350,7 +350,7 @@ def hold_back_bulk_dedupe(t: Standins) -> DataFrame:
 
 def _held_assets(t: Standins) -> DataFrame:
     return retry.hold_back_assets(
-        t.changes, t.assets, t.resolved, t.active, t.asset_queue, RUN_ID, ntz(RUN_TS)
+        t.changes, t.changed_assets, t.resolved, t.active, t.asset_queue, RUN_ID, ntz(RUN_TS)
     )
 
 
@@ -406,7 +406,8 @@ def _settled(t: Standins):
     held = t.stage(_held_assets(t), "held_assets")
     queue, _ = retry.append_capture(t.asset_queue, held)
     return retry.settle_assets(
-        t.changes, t.assets, queue, t.resolved, t.active, RUN_ID, ntz(RUN_TS)
+        t.changes, t.changed_assets, queue, t.resolved, t.active, RUN_ID, ntz(RUN_TS),
+        stage=lambda df: t.stage(df, "placed_assets"),
     )
 
 

@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncloom.functions.keys import pad, product_id, upc
 from syncloom.operators.changes import (
-    active_change_feed,
+    active_changes,
     fingerprint,
     replay_into_changes,
     snapshot_diff,
 )
+from syncloom.operators.joins import keep_matching
 from syncloom.operators.quantity import (
     fill_from_snapshot,
     mark_known_events,
@@ -340,9 +341,20 @@ class Standins:
     @cached_property
     def changes(self) -> DataFrame:
         self.write_tables("assets")
-        feed = self.stage(active_change_feed(self.diff, self.assets, self.active), "feed")
+        current = fingerprint(
+            self.assets, ASSET_KEYS, exclude_columns=["synced_at"], keep=["current_branch"]
+        )
+        found = active_changes(current, self.prints(self.assets_before), self.active)
+        feed = self.stage(found, "feed")
         return self.stage(replay_into_changes(feed, self.asset_queue), "changes")
 
+    @cached_property
+    def changed_assets(self) -> DataFrame:
+        """Where changed assets are, and of what SKU; read by all that follows the changes."""
+        columns = [*ASSET_KEYS, "current_branch", "category", "class_code", "delete_code"]
+        changed = keep_matching(self.assets.select(*columns), self.changes, ASSET_KEYS, unique=True)
+        return self.stage(changed, "changed_assets")
+
     @cached_property
     def sent_quantities(self) -> DataFrame:
         return self.stage(self.quantity_changes, "quantity_changes")
@@ -353,7 +365,7 @@ class Standins:
 
     @cached_property
     def asset_skus(self) -> DataFrame:
-        return skus_of_assets(self.changes, self.assets, self.sku_master, self.active)
+        return skus_of_assets(self.changes, self.changed_assets, self.sku_master, self.active)
 
     @cached_property
     def bulk_skus(self) -> DataFrame:
@@ -362,7 +374,7 @@ class Standins:
     @cached_property
     def listed(self) -> DataFrame:
         self.write_tables("assets", "qty_events", "sku_master")
-        together(lambda: self.changes, lambda: self.sent_quantities)
+        together(lambda: self.changed_assets, lambda: self.sent_quantities)
         return self.stage(self.asset_skus.unionByName(self.bulk_skus), "listed")
 
     @cached_property

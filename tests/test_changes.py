@@ -129,3 +129,13 @@ def test_matching_never_multiplies(spark):
     right = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     assert values(joins.keep_matching(left, right, ["k"])) == [(1,), (1,)]
     assert values(joins.exclude(left, right, ["k"])) == [(2,), (None,)]
+
+
+def test_changes_of_active_branches_need_no_second_look_at_the_assets(spark):
+    rows = [("01", "a", "h1", "0001"), ("01", "b", "h2", "0002"), ("01", "c", "h3", "0009"), ("01", "d", "h4", None)]
+    current = spark.createDataFrame(rows, "company string, asset_id string, hash string, current_branch string")
+    state = spark.createDataFrame([("01", "a", "h0"), ("01", "b", "h2"), ("01", "x", "h9")], "company string, asset_id string, hash string")
+    active = spark.createDataFrame([("01", "0001"), ("01", "0002")], "company string, branch string")
+    found = ch.active_changes(current, state, active)
+    expected = ch.active_change_feed(ch.snapshot_diff(current, state, ["company", "asset_id"]), current, active)
+    assert values(found) == values(expected) == [("01", "a", "UPD")]

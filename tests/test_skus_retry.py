@@ -200,3 +200,33 @@ def test_payload_shows_serial_numbers_now_and_before(spark):
     assert values(sent, "HQLocationID", "HQSKUID", "TagID", "SerialNumber", "PrevSerial") == [
         (1, 70, "a1", "news1", "s1"), (1, 70, "a2", "news2", None)
     ]
+
+
+def test_settling_reads_where_assets_are_once(spark):
+    """Sent, waiting, moved and unknown assets, and entries with a NULL, in one pass over the queue."""
+    assets = spark.createDataFrame(
+        [("01", a, b, c, 5) for a, b, c in [("a", "0001", 1), ("b", "0002", 2), ("c", "0002", 2), ("d", "0009", 1)]],
+        "company string, asset_id string, current_branch string, category int, class_code int",
+    )
+    changes = assets.select("company", "asset_id").withColumn("change_type", F.lit("UPD"))
+    skus = spark.createDataFrame(
+        [("01", "0001", 1, 5, False, 7), ("01", "0002", 2, 5, False, 0)],
+        "company string, branch string, category int, class_code int, is_bulk boolean, sku_id long",
+    )
+    active = spark.createDataFrame([(1, "01", "0001"), (2, "01", "0002")], "id long, company string, branch string")
+    entries = [
+        ("a", "0001", "001", None), ("a", "0002", "002", None), ("a", None, "001", None), ("b", "0002", "002", None),
+        ("b", "0001", "001", None), ("c", "0002", "002", "r0"), ("d", "0009", "001", None), ("e", "0001", "001", None),
+    ]
+    queue = spark.createDataFrame(
+        [("r0", "01", a, b, c, "0005", sent) for a, b, c, sent in entries],
+        "run_id string, company string, asset_id string, branch string, category string, class_code string, sent_at string",
+    )
+    staged = []
+    sendable, settled = retry.settle_assets(
+        changes, assets, queue, skus, active, "r1", F.lit("now"), stage=lambda df: staged.append(df) or df
+    )
+    assert values(sendable, "asset_id") == [("a",)] and len(staged) == 1
+    sent = {("a", "0001"), ("a", "0002"), ("b", "0001")}
+    expected = [(a, b, "r1" if (a, b) in sent else "r0", "now" if (a, b) in sent else s) for a, b, _, s in entries]
+    assert values(settled, "asset_id", "branch", "run_id", "sent_at") == sorted(expected, key=repr)
