@@ -13,7 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ MAGIC = b"PFB1"
 #: Pieces of text whose ids a worker remembers, and as many from before, of which those that come up
 #: again are taken over.
 REMEMBERED = 600_000
+#: New pieces in one text for the tokenizer.
+JOINED = 1000
 
 
 # --- the file format ---------------------------------------------------------------------------
@@ -146,7 +148,14 @@ class Segment:
 _CUT = re.compile(r"(?<=\S)(?= )")
 _FEEDS = re.compile(r"(\n+)")
 #: Letters of two ranges that are all letters to every library, then ASCII marks but the apostrophe.
-_WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
+_WORD, _MARKS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!-&(-/:-@\[-`{-~]+"
+_WORD_AND_MARKS = re.compile(f"({_WORD})({_MARKS})")
+#: The same for Arrow; words or marks alone; a plain piece, without white space and control characters
+#: but for the space before; two of them with line feeds between.
+_APART = rf"\A(?P<word>{_WORD})(?P<marks>{_MARKS})\z"
+_ALONE = rf"\A ?(?:{_WORD}|{_MARKS})\z"
+_PLAIN = r"\A ?[^\p{Z}\p{C}]+\z"
+_LINES = r"\A(?P<end>[^\p{Z}\p{C}]+)(?P<feeds>\n+)(?P<head>[^\p{Z}\p{C}]+)\z"
 
 
 class _Slots(dict):
@@ -177,6 +186,12 @@ class _Grown:
         self.size = size
 
 
+def _runs(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What lies in the runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def cuts_known(path: str) -> bool:
     """Whether the vocabulary's own cuts are those of byte-level BPE: letters, digits, marks and
     white space apart, a space with what follows it."""
@@ -201,18 +216,31 @@ class PieceEncoder:
 
     Where the vocabulary cuts as byte-level BPE mostly does, line feeds between other characters
     stand by themselves, the last of a run apart from those before, and marks at the end of a word
-    apart from its letters. So a new piece with either is put together from smaller ones.
+    apart from its letters. So a new piece with either is put together from smaller ones. New pieces
+    without white space are handed to the tokenizer as lines of one text, whose line feeds say where
+    the ids of each end. Lines of letters or of marks alone need no cutting: their bytes are spelled
+    as byte-level BPE does, and the same model takes them line by line.
 
     Texts are cut, and their distinct pieces found, by Arrow; Python sees each piece of a batch once.
     """
 
     def __init__(self, path: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
         self.cuts_known = cuts_known(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        # An added token that takes in white space could take in the line feeds.
+        spaced = any(t.lstrip or t.rstrip or any(map(str.isspace, t.content)) for t in added)
+        self.feed = feed[0] if self.cuts_known and len(feed) == 1 and not spaced else None
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = "\n" + "".join(map(chr, chain(range(0x20, 0x7F), range(0xC0, 0x250))))
+        self.spelled = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in letters}
+        self.line_tokenizer = Tokenizer(self.tokenizer.model)
+        self.line_tokenizer.pre_tokenizer = pre_tokenizers.Split(self.spelled[ord("\n")], "isolated")
         self.heads, self.rest = {}, {}
         self.begins = self.sizes = self.flat = _Grown([], np.int64)
         self.clear()
@@ -280,15 +308,12 @@ class PieceEncoder:
             return
         entries, self.waiting = self.waiting, []
         first = self.count - len(entries)
-        found = self.tokenizer.encode_batch_fast(
-            [e for e in entries if isinstance(e, str)], add_special_tokens=False
-        )
-        whole = iter(found)
+        whole = iter(self._encode([e for e in entries if isinstance(e, str)]))
         parts: list[list[int]] = []
         begins, sizes, flat = self.begins.held, self.sizes.held, self.flat.held
         for entry in entries:
             if isinstance(entry, str):
-                parts.append(next(whole).ids)
+                parts.append(next(whole))
                 continue
             if isinstance(entry, list):
                 parts.append(entry)
@@ -300,14 +325,120 @@ class PieceEncoder:
                 else:
                     joined += flat[begins[slot] : begins[slot] + sizes[slot]].tolist()
             parts.append(joined)
-        new = np.fromiter(map(len, parts), np.int64, len(parts))
-        self.begins.add(self.flat.size + np.cumsum(new) - new)
-        self.sizes.add(new)
         odd = np.zeros(len(parts), dtype=bool)
         odd[np.array(self.odd, dtype=np.int64) - first] = True
-        self.odd_flags.add(odd)
-        self.odd = []
-        self.flat.add(np.fromiter(chain.from_iterable(parts), np.uint32, int(new.sum())))
+        self.odd, self.count = [], first
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        self._grow(np.fromiter(chain.from_iterable(parts), np.uint32, int(sizes.sum())), sizes, odd)
+
+    def _grow(self, ids: np.ndarray, sizes: np.ndarray, odd: np.ndarray | None = None) -> range:
+        """Slots for pieces whose ids are known; no others wait."""
+        self.begins.add(self.flat.size + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.odd_flags.add(np.zeros(len(sizes), dtype=bool) if odd is None else odd)
+        self.flat.add(ids)
+        first, self.count = self.count, self.count + len(sizes)
+        return range(first, self.count)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text, those of plain pieces in few calls."""
+        found: list[list[int]] = [[]] * len(texts)
+        if self.feed is None or not texts:
+            plain = np.zeros(len(texts), dtype=bool)
+        else:
+            plain = pc.match_substring_regex(pa.array(texts, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
+        others = np.flatnonzero(~plain).tolist()
+        whole = self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
+        for i, one in zip(others, whole, strict=True):
+            found[i] = one.ids
+        lines = np.flatnonzero(plain).tolist()
+        ids, sizes = self._encode_lines([texts[i] for i in lines])
+        ends, ids = np.cumsum(sizes).tolist(), ids.tolist()
+        for i, begin, end in zip(lines, [0, *ends], ends):
+            found[i] = ids[begin:end]
+        return found
+
+    def _encode_lines(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of plain pieces, and the number of ids of each."""
+        alone = pc.match_substring_regex(pa.array(pieces, pa.string()), _ALONE).to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(alone), np.flatnonzero(~alone)])
+        first = int(alone.sum())
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for chosen, tokenizer in ((order[:first], self.line_tokenizer), (order[first:], self.tokenizer)):
+            lines = [pieces[i] for i in chosen.tolist()]
+            texts = ["\n".join([*lines[i : i + JOINED], ""]) for i in range(0, len(lines), JOINED)]
+            if tokenizer is self.line_tokenizer:
+                texts = [t.translate(self.spelled) for t in texts]
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            with_feeds = np.concatenate([ids[0], *(np.array(f.ids, dtype=np.uint32) for f in found)])
+            feeds = np.flatnonzero(with_feeds == self.feed)
+            if len(feeds) != len(lines):
+                raise ValueError("the tokenizer joined line feeds with what stands beside them")
+            ids.append(np.delete(with_feeds, feeds))
+            sizes.append(np.diff(feeds, prepend=-1) - 1)
+        flat, counts = np.concatenate(ids), np.concatenate(sizes)
+        begins, back = np.cumsum(counts) - counts, np.argsort(order)
+        return _runs(flat, begins[back], counts[back]), counts[back]
+
+    def _add_plain(self, table: _Slots, pieces: list[str]) -> None:
+        """Slots for new plain pieces: ids of the older generation, or of the tokenizer."""
+        older = np.fromiter(map(table.older.get, pieces, repeat(-1)), np.int64, len(pieces))
+        held, new = np.flatnonzero(older >= 0), np.flatnonzero(older < 0)
+        begins, sizes, flat = self.older
+        begins, sizes = begins[older[held]], sizes[older[held]]
+        found = [pieces[i] for i in held.tolist()]
+        table.update(zip(found, self._grow(_runs(flat, begins, sizes), sizes), strict=True))
+        found = [pieces[i] for i in new.tolist()]
+        lines = [table.before + p for p in found] if table.before else found
+        table.update(zip(found, self._grow(*self._encode_lines(lines)), strict=True))
+
+    def _put_together(self, parts: np.ndarray) -> range:
+        """New slots, each for the pieces whose slots stand in its row."""
+        sizes = self.sizes.held[parts]
+        ids = _runs(self.flat.held, self.begins.held[parts.ravel()], sizes.ravel())
+        return self._grow(ids, sizes.sum(axis=1))
+
+    def _slots_of(self, table: _Slots, pieces: pa.Array) -> np.ndarray:
+        """The slots of pieces that follow a space, or that none comes before, as the table says."""
+        coded = pieces.dictionary_encode()
+        texts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        slots = np.fromiter(map(table.get, texts, repeat(-1)), np.int64, len(texts))
+        new = np.flatnonzero(slots < 0)
+        if self.feed is not None and len(new):
+            self._learn()
+            slots[new] = self._new_slots(table, coded.dictionary.take(pa.array(new)), [texts[i] for i in new.tolist()])
+            new = np.flatnonzero(slots < 0)
+        slots[new] = np.fromiter(map(table.__getitem__, [texts[i] for i in new.tolist()]), np.int64, len(new))
+        return slots[coded.indices.to_numpy()]
+
+    def _new_slots(self, table: _Slots, pieces: pa.Array, texts: list[str]) -> np.ndarray:
+        """Slots for distinct new pieces; -1 for those with other white space than single line ends."""
+        slots = np.full(len(texts), -1, dtype=np.int64)
+        is_plain = pc.match_substring_regex(pieces, _PLAIN)
+        words, lines = pc.extract_regex(pieces, _APART), pc.extract_regex(pieces, _LINES)
+        plain, apart, broken = (
+            np.flatnonzero(m.to_numpy(zero_copy_only=False))
+            for m in (pc.and_not(is_plain, words.is_valid()), words.is_valid(), lines.is_valid())
+        )
+        found = [texts[i] for i in plain.tolist()]
+        self._add_plain(table, found)
+        slots[plain] = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
+        if len(apart):
+            words = words.take(pa.array(apart))
+            first = self._slots_of(table, pc.struct_field(words, "word"))
+            marks = self._slots_of(self.heads, pc.struct_field(words, "marks"))
+            slots[apart] = self._put_together(np.column_stack([first, marks]))
+            table.update(zip([texts[i] for i in apart.tolist()], slots[apart].tolist(), strict=True))
+        if len(broken):  # two words and the end of a line seldom come again
+            lines = lines.take(pa.array(broken))
+            end = self._slots_of(table, pc.struct_field(lines, "end"))
+            head = self._slots_of(self.heads, pc.struct_field(lines, "head"))
+            runs = pc.utf8_length(pc.struct_field(lines, "feeds")).to_numpy()
+            feeds = {n: self._feeds(n, False) for n in np.unique(runs).tolist()}
+            self._learn()
+            between = np.fromiter(map(feeds.__getitem__, runs.tolist()), np.int64, len(runs))
+            slots[broken] = self._put_together(np.column_stack([end, between, head]))
+        return slots
 
     def _by_the_rule(self, text: str) -> np.ndarray:
         if any(map(text.__contains__, self.added)):
@@ -331,13 +462,9 @@ class PieceEncoder:
         chosen = np.zeros(bounds[-1], dtype=np.int64)
         is_rest = np.ones(len(pieces), dtype=bool)
         is_rest[offsets[:-1]] = False
-        heads = pieces.take(pa.array(offsets[:-1])).to_pylist()
-        chosen[bounds[:-1]] = np.fromiter(map(self.heads.__getitem__, heads), np.int64, rows)
-        rest = pieces.filter(pa.array(is_rest)).dictionary_encode()
-        known = rest.dictionary.to_pylist()
-        slots = np.fromiter(map(self.rest.__getitem__, known), np.int64, len(known))
+        chosen[bounds[:-1]] = self._slots_of(self.heads, pieces.take(pa.array(offsets[:-1])))
         places = np.arange(len(pieces)) + np.repeat(np.arange(rows), np.diff(offsets))
-        chosen[places[is_rest]] = slots[rest.indices.to_numpy()]
+        chosen[places[is_rest]] = self._slots_of(self.rest, pieces.filter(pa.array(is_rest)))
         self._learn()
         # A piece that ends in white space is fine at the end of its text only.
         inner = np.flatnonzero(self.odd_flags.held[chosen[:-1]] & (chosen[1:] != 0))
@@ -353,8 +480,7 @@ class PieceEncoder:
             bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         sizes = self.sizes.held[chosen]
         ends = np.cumsum(sizes)
-        ids = self.flat.held[np.repeat(self.begins.held[chosen] - (ends - sizes), sizes) + np.arange(ends[-1])]
-        return ids, np.diff(ends[bounds[1:] - 1], prepend=0)
+        return _runs(self.flat.held, self.begins.held[chosen], sizes), np.diff(ends[bounds[1:] - 1], prepend=0)
 
 
 _encoders: dict[tuple[str, int], PieceEncoder] = {}

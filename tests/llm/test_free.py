@@ -186,6 +186,53 @@ def test_pieces_encode_like_whole_texts(tokenizer, texts):
         assert ids[end - n : end].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
 
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.lists(
+            st.one_of(
+                st.sampled_from(["foo,", "Ünï", "le'au", "it's", "x1", "...", "end.\nNext", "a\n\nb", "<|endoftext|>"]),
+                st.text(alphabet="abéßɏɐж中'!.,-_19\n\t\r\x00\x7f\x85\xa0\xad\u200b\u2028\u180e\ufeffĊĠ🙂", max_size=8),
+            ),
+            max_size=12,
+        ).map(" ".join),
+        max_size=6,
+    ),
+    st.booleans(),
+)
+def test_new_pieces_encode_like_whole_texts(tokenizer, texts, forget):
+    """Whatever is new, known, or known from before."""
+    encoder = token_blocks._encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    if forget:
+        encoder.clear()
+    for _ in range(2):
+        ids, counts = encoder.encode(texts)
+        wanted = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts))[:-1]] == wanted
+
+
+def test_new_pieces_share_calls_of_the_tokenizer(tokenizer):
+    """Not a text for each of them: its overhead was most of the work."""
+
+    class Counted:
+        texts = 0
+
+        def __init__(self, held):
+            self.held = held
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            Counted.texts += len(texts)
+            return self.held.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    encoder = token_blocks.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    for name in {"tokenizer", "line_tokenizer"} & set(vars(encoder)):
+        setattr(encoder, name, Counted(getattr(encoder, name)))
+    words = [f"{a}{b}{c}" for a in "brém tol gas".split() for b in "aeiouäö" for c in ("x", "n,", "k's", "l.\nThen")]
+    text = " ".join(words)
+    assert encoder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert Counted.texts < len(words) / 4
+
+
 def test_tokens_through_files(spark, docs, texts, tokenizer, tmp_path):
     path = str(tmp_path / "tokens")
     token_blocks.write_tokens(
