@@ -241,14 +241,15 @@ class PieceEncoder:
         self.spelled = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in letters}
         self.line_tokenizer = Tokenizer(self.tokenizer.model)
         self.line_tokenizer.pre_tokenizer = pre_tokenizers.Split(self.spelled[ord("\n")], "isolated")
-        self.heads, self.rest = {}, {}
+        self.heads, self.rest = _Slots(self, "", {}), _Slots(self, " ", {})
         self.begins = self.sizes = self.flat = _Grown([], np.int64)
         self.clear()
 
     def clear(self) -> None:
         """Start anew, with what is known so far as the older generation."""
-        self.heads, self.rest = _Slots(self, "", dict(self.heads)), _Slots(self, " ", dict(self.rest))
-        self.older = (self.begins.held, self.sizes.held, self.flat.held)
+        self.heads.older, self.rest.older = {}, {}  # before that there is nothing to remember
+        self.heads, self.rest = _Slots(self, "", self.heads), _Slots(self, " ", self.rest)
+        self.older = tuple(a.held[: a.size].copy() for a in (self.begins, self.sizes, self.flat))
         self.feeds: dict[tuple[int, bool], int] = {}
         self.waiting: list[str | tuple[int, ...] | list[int]] = []
         self.count = 1  # the first slot is the end id
