@@ -150,6 +150,7 @@ _FEEDS = re.compile(r"(\n+)")
 #: Letters of two ranges that are all letters to every library, then ASCII marks but the apostrophe.
 _WORD, _MARKS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!-&(-/:-@\[-`{-~]+"
 _WORD_AND_MARKS = re.compile(f"({_WORD})({_MARKS})")
+_WORD_OR_MARKS = re.compile(f"{_WORD}|{_MARKS}")
 #: The same for Arrow; words or marks alone; a plain piece, without white space and control characters
 #: but for the space before; two of them with line feeds between.
 _APART = rf"\A(?P<word>{_WORD})(?P<marks>{_MARKS})\z"
@@ -233,9 +234,13 @@ class PieceEncoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [t.content for t in added]
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        # An added token that takes in white space could take in the line feeds.
-        spaced = any(t.lstrip or t.rstrip or any(map(str.isspace, t.content)) for t in added)
-        self.feed = feed[0] if self.cuts_known and len(feed) == 1 and not spaced else None
+        # An added token that takes in white space could take in the line feeds; one of letters or of
+        # marks alone is unknown where lines of these are encoded.
+        taken = any(
+            t.lstrip or t.rstrip or any(map(str.isspace, t.content)) or _WORD_OR_MARKS.fullmatch(t.content)
+            for t in added
+        )
+        self.feed = feed[0] if self.cuts_known and len(feed) == 1 and not taken else None
         bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = "\n" + "".join(map(chr, chain(range(0x20, 0x7F), range(0xC0, 0x250))))
         self.spelled = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in letters}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -211,6 +212,26 @@ def test_new_pieces_encode_like_whole_texts(tokenizer, texts, forget):
         assert [p.tolist() for p in np.split(ids, np.cumsum(counts))[:-1]] == wanted
 
 
+@pytest.mark.parametrize("token", ["foo", "!?", "a b", "x\ny", "<x>", None])
+def test_other_vocabularies_encode_like_whole_texts(tmp_path, token):
+    """With an added token of any kind, or with cuts that are not known."""
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        described = json.load(file)
+    if token:
+        described["added_tokens"].append(described["added_tokens"][0] | {"id": 50257, "content": token})
+    else:
+        described["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [described["pre_tokenizer"]]}
+    path = tmp_path / "vocabulary.json"
+    path.write_text(json.dumps(described), encoding="utf-8")
+    texts = ["fooy", "foo bar foo, !?", "a b a bb, x\ny", "one <x>two\nthree four.\n\nFive", "é!? foo\nfoo", ""]
+    ids, counts = token_blocks.PieceEncoder(str(path), 2).encode(texts)
+    whole = Tokenizer.from_file(str(path))
+    wanted = [whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [p.tolist() for p in np.split(ids, np.cumsum(counts))[:-1]] == wanted
+
+
 def test_new_pieces_share_calls_of_the_tokenizer(tokenizer):
     """Not a text for each of them: its overhead was most of the work."""
 
